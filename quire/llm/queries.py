@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from quire.llm import pieces, quality_model, quality_rules, secret_scan, source_mix
+from quire.llm import pieces, quality_model, quality_rules, secret_scan, simhash, source_mix
 
 
 def queries() -> dict:
     return {
         "op1_secret_scan": secret_scan.op1_secret_scan,
+        "op3_simhash": simhash.op3_simhash,
         "op4_quality_model": quality_model.op4_quality_model,
         "op8_quality_rules": quality_rules.op8_quality_rules, "op9_source_mix": source_mix.op9_source_mix,
         "op10_pieces": pieces.op10_pieces,
