@@ -38,7 +38,7 @@ def save(df: DataFrame, tag: str) -> DataFrame:
 
 def size_hint(df: DataFrame) -> int:
     """Catalyst's estimate of the bytes in df; steers numbers of partitions and never results."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def in_order(df: DataFrame, *order) -> DataFrame:

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from quire.llm import pieces, quality_model, quality_rules, secret_scan, simhash, source_mix
+from quire.llm import pieces, quality_model, quality_rules, secret_scan, simhash, source_mix, substring_dedup, suffix_dedup
 
 
 def queries() -> dict:
     return {
         "op1_secret_scan": secret_scan.op1_secret_scan,
+        "op2_suffix_dedup": suffix_dedup.op2_suffix_dedup,
         "op3_simhash": simhash.op3_simhash,
         "op4_quality_model": quality_model.op4_quality_model,
+        "op6_substring_dedup": substring_dedup.op6_substring_dedup,
         "op8_quality_rules": quality_rules.op8_quality_rules, "op9_source_mix": source_mix.op9_source_mix,
         "op10_pieces": pieces.op10_pieces,
     }
