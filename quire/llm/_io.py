@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 #: Words are runs of anything but these ASCII white-space characters.
@@ -46,21 +47,24 @@ def in_order(df: DataFrame, *order) -> DataFrame:
     return save(df.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "ordered")
 
 
-def number_rows(df: DataFrame, key: str, order: list, name: str) -> DataFrame:
-    """df with a number from 1 in each key's order, whatever share of the rows one key has.
+def running_sum(df: DataFrame, key: str, order: list, value: str, name: str) -> DataFrame:
+    """df with the sum of `value` up to and with each row in its key's order, whatever share of the rows one key has.
 
-    Range partitions are numbered on their own; the counts of the earlier ones, a row for each
-    partition and key, are summed up and added. Rows alike in every column are interchangeable.
+    Range partitions are summed up on their own; the totals of the earlier ones, a row for each
+    partition and key, are added. Rows alike in every column are interchangeable.
     """
-    from pyspark.sql import Window as W
-
     cols = df.columns
     parts = in_order(df, F.col(key).asc_nulls_last(), *order)
-    counts = parts.groupBy("part", key).agg(F.count(F.lit(1)).alias("rows_here"))
+    totals = parts.groupBy("part", key).agg(F.sum(value).alias("total_here"))
     before = W.partitionBy(key).orderBy("part").rowsBetween(W.unboundedPreceding, -1)
-    offsets = counts.select(F.col("part").alias("o_part"), F.col(key).alias("o_key"), F.coalesce(F.sum("rows_here").over(before), F.lit(0)).alias("offset"))
+    offsets = totals.select(F.col("part").alias("o_part"), F.col(key).alias("o_key"), F.coalesce(F.sum("total_here").over(before), F.lit(0)).alias("offset"))
     offsets = save(offsets, "offsets")
-    local = F.row_number().over(W.partitionBy("part", key).orderBy(*order))
-    here = parts.withColumn("local_no", local)
+    local = F.sum(value).over(W.partitionBy("part", key).orderBy(*order).rowsBetween(W.unboundedPreceding, 0))
+    here = parts.withColumn("local_sum", local)
     on = (here["part"] == offsets["o_part"]) & here[key].eqNullSafe(offsets["o_key"])
-    return here.join(offsets, on).select(*cols, (F.col("offset") + F.col("local_no")).alias(name))
+    return here.join(offsets, on).select(*cols, (F.col("offset") + F.col("local_sum")).alias(name))
+
+
+def number_rows(df: DataFrame, key: str, order: list, name: str) -> DataFrame:
+    """df with a number from 1 in each key's order."""
+    return running_sum(df.withColumn("one_row", F.lit(1).cast("long")), key, order, "one_row", name).drop("one_row")

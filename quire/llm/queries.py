@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quire.llm import pieces, quality_model, quality_rules, secret_scan, simhash, source_mix, substring_dedup, suffix_dedup
+from quire.llm import pieces, quality_model, quality_rules, secret_scan, shards, simhash, source_mix, substring_dedup, suffix_dedup, topk
 
 
 def queries() -> dict:
@@ -11,11 +11,16 @@ def queries() -> dict:
         "op2_suffix_dedup": suffix_dedup.op2_suffix_dedup,
         "op3_simhash": simhash.op3_simhash,
         "op4_quality_model": quality_model.op4_quality_model,
+        "op5_shards": shards.op5_shards,
         "op6_substring_dedup": substring_dedup.op6_substring_dedup,
+        "op7_top_k": topk.op7_top_k,
         "op8_quality_rules": quality_rules.op8_quality_rules, "op9_source_mix": source_mix.op9_source_mix,
         "op10_pieces": pieces.op10_pieces,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_quality_rules": quality_rules.oracle(), "op9_source_mix": source_mix.oracle()}
+    return {
+        "op7_top_k": topk.oracle(),
+        "op8_quality_rules": quality_rules.oracle(), "op9_source_mix": source_mix.oracle(),
+    }
