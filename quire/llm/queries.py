@@ -6,6 +6,8 @@ from quire.llm import pieces, quality_model, quality_rules, secret_scan, shards,
 
 
 def queries() -> dict:
+    import corpus_pipeline
+
     return {
         "op1_secret_scan": secret_scan.op1_secret_scan,
         "op2_suffix_dedup": suffix_dedup.op2_suffix_dedup,
@@ -16,6 +18,7 @@ def queries() -> dict:
         "op7_top_k": topk.op7_top_k,
         "op8_quality_rules": quality_rules.op8_quality_rules, "op9_source_mix": source_mix.op9_source_mix,
         "op10_pieces": pieces.op10_pieces,
+        "pipeline": corpus_pipeline.run,
     }
 
 

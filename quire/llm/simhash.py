@@ -230,7 +230,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp, component_id) for every row; component_id is the smallest doc_id reachable by links.
+    """(doc_id, fp, component_id, root) for every row; component_id is the smallest doc_id reachable by links, root names the component too.
 
     Documents with equal fingerprints are one node, with the smallest of their ids; links join
     nodes. Rows without words share the fingerprint 0; rows with a null id count as documents but
@@ -242,8 +242,8 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, id_col: str = "doc_id",
     named = nodes.join(roots, F.col("fp") == F.col("node"), "left").withColumn("root", F.coalesce("root", "fp"))
     named = save(named.select("fp", "least_id", "root"), "named")
     ids = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    of = save(named.join(ids, "root").select(F.col("fp").alias("node_fp"), "component_id"), "component_ids")
-    return fps.join(of, F.col("fp") == F.col("node_fp")).select("doc_id", "fp", "component_id")
+    of = save(named.join(ids, "root").select(F.col("fp").alias("node_fp"), "component_id", "root"), "component_ids")
+    return fps.join(of, F.col("fp") == F.col("node_fp")).select("doc_id", "fp", "component_id", "root")
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
