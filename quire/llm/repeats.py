@@ -43,11 +43,11 @@ class Kind(NamedTuple):
     clean: Callable[[bytes], bytes]
     #: Block bytes and offsets of its documents to the hash, start and end of each symbol, and each document's first symbol.
     symbols: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
-    #: Pieces with least id and count to, for each piece, a value for each of its windows; NO_ID: nothing found.
-    index: Callable[[list[bytes], np.ndarray, np.ndarray], list[np.ndarray]]
+    #: Pieces with least id and count to a value for each window of each piece, in a row; NO_ID: nothing found.
+    index: Callable[[list[bytes], np.ndarray, np.ndarray], np.ndarray]
     #: Splits a piece into its windows.
     windows: Callable[[bytes], list[bytes]]
-    #: Symbols of a piece, for bounds of memory.
+    #: Symbols of a piece.
     size: Callable[[bytes], int]
     #: Whether copies in one document count.
     same_document: bool
@@ -207,6 +207,21 @@ def _shared(key: tuple, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFram
     yield pd.DataFrame({"block": [n for n, _ in rows], "range": int(key[0]), "levels": [zstandard.compress(level[a:b].tobytes(), 1) for a, b in zip(cuts, cuts[1:], strict=False)]})
 
 
+def _put(table: dict[int, dict[bytes, list]], r: int, mark: int, text: bytes, at: int, doc: int) -> None:
+    own = table.get(r)
+    if own is None:
+        own = table[r] = {}
+    got = own.get(text)
+    if got is None:
+        own[text] = [mark, doc, doc, [at]]
+    else:
+        if doc < got[1]:
+            got[1] = doc
+        elif doc > got[2]:
+            got[2] = doc
+        got[3].append(at)
+
+
 def _send_pieces(kind: Kind, ranges: int):
     """A block's repeated pieces, each distinct one once, in packets for their ranges."""
 
@@ -225,24 +240,16 @@ def _send_pieces(kind: Kind, ranges: int):
             table: dict[int, dict[bytes, list]] = {}
             data, w = b.data, kind.window
 
-            def put(r: int, mark: int, text: bytes, at: int, doc: int, table=table) -> None:
-                got = table.setdefault(r, {}).get(text)
-                if got is None:
-                    table[r][text] = [mark, doc, doc, [at]]
-                else:
-                    got[1], got[2] = min(got[1], doc), max(got[2], doc)
-                    got[3].append(at)
-
             some = np.flatnonzero(level == 1)
-            begin, end = p.starts[p.first[some]].tolist(), p.ends[p.last[some] + w - 1].tolist()
-            docs, rs, marks = b.ids[p.doc[some]].tolist(), p.range[some].tolist(), p.mark[some].tolist()
-            for r, mark, x, y, at, doc in zip(rs, marks, begin, end, p.first[some].tolist(), docs, strict=True):
-                put(r, mark, data[x:y], at, doc)
+            some = some[np.argsort(p.range[some], kind="stable")]
+            rows = [p.range[some], p.mark[some], p.starts[p.first[some]], p.ends[p.last[some] + w - 1], p.first[some], b.ids[p.doc[some]]]
+            for r, mark, x, y, at, doc in zip(*[v.tolist() for v in rows], strict=True):
+                _put(table, r, mark, data[x:y], at, doc)
             for i in np.flatnonzero(level == 2):
                 for at in range(p.first[i], p.last[i] + 1):
                     text = data[p.starts[at] : p.ends[at + w - 1]]
                     h = xxhash.xxh64_intdigest(text)
-                    put(h % ranges, h >> 33, text, at, int(b.ids[p.doc[i]]))
+                    _put(table, h % ranges, h >> 33, text, at, int(b.ids[p.doc[i]]))
             for r, found in table.items():
                 texts, rows = list(found), list(found.values())
                 parts = [np.array([len(texts), sum(len(x[3]) for x in rows)], np.int64), np.array([x[1] for x in rows], np.int64), np.array([x[2] for x in rows], np.int64)]
@@ -267,44 +274,55 @@ def _open(packet: bytes) -> tuple[list[np.ndarray], list[bytes]]:
     return [low, high, mark, count, np.frombuffer(raw, np.uint32, m, at).astype(np.int64)], texts
 
 
-def _find(kind: Kind, texts: list[bytes], mark: np.ndarray, low: np.ndarray, count: np.ndarray) -> list[np.ndarray]:
-    """Values of all windows; pieces of one anchor stay together, and one index holds INDEX_SYMBOLS at most."""
-    out: list = [None] * len(texts)
-    todo, total = [], 0
+def spread(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers start..start + size - 1 of each pair, in a row."""
+    return np.arange(size.sum()) + np.repeat(start - np.cumsum(size) + size, size)
 
-    def flush() -> None:
-        nonlocal todo, total
-        if todo:
-            for i, v in zip(todo, kind.index([texts[i] for i in todo], low[todo], count[todo]), strict=True):
-                out[i] = v
-        todo, total = [], 0
 
+def _find(kind: Kind, texts: list[bytes], mark: np.ndarray, low: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Values of all windows in a row, and each piece's first; pieces of one anchor stay together, and one index holds INDEX_SYMBOLS at most."""
+    symbols = np.fromiter(map(kind.size, texts), np.int64, len(texts))
+    per = symbols - kind.window + 1
+    offset = np.cumsum(per) - per
+    out = np.full(per.sum(), NO_ID)
     order = np.argsort(mark, kind="stable")
-    cuts = np.flatnonzero(np.r_[True, np.diff(mark[order]) != 0, True]) if len(order) else []
-    for a, z in zip(cuts, cuts[1:], strict=False):
-        group = order[a:z].tolist()
-        size = sum(kind.size(texts[i]) for i in group)
-        if total + size > INDEX_SYMBOLS:
-            flush()
-        if size <= INDEX_SYMBOLS:
-            todo, total = todo + group, total + size
-            continue
-        # Pieces of one anchor that are too many: their windows, in buckets of a hash of the window.
-        split = [kind.windows(texts[i]) for i in group]
-        buckets = -(-sum(map(len, split)) * kind.window // INDEX_SYMBOLS)
-        own: list[dict[bytes, list]] = [{} for _ in range(buckets)]
-        for i, ws in zip(group, split, strict=True):
-            for k, x in enumerate(ws):
-                own[xxhash.xxh64_intdigest(x) % buckets].setdefault(x, []).append((i, k))
-            out[i] = np.full(len(ws), NO_ID)
-        for found in own:
-            places = list(found.values())
-            values = kind.index(list(found), np.array([min(low[i] for i, _ in x) for x in places]), np.array([sum(count[i] for i, _ in x) for x in places]))
-            for x, v in zip(places, values, strict=True):
-                for i, k in x:
-                    out[i][k] = v[0]
-    flush()
-    return out
+    ordered = np.cumsum(symbols[order])
+    cuts = np.flatnonzero(np.r_[True, np.diff(mark[order]) != 0, True]) if len(order) else np.zeros(1, np.int64)
+
+    def simple(a: int, z: int) -> None:
+        if z > a:
+            todo = order[a:z]
+            out[spread(offset[todo], per[todo])] = kind.index([texts[i] for i in todo.tolist()], low[todo], count[todo])
+
+    begin, done = 0, 0
+    for a, z in zip(cuts.tolist(), cuts[1:].tolist(), strict=False):
+        before = int(ordered[a - 1]) if a else 0
+        size = int(ordered[z - 1]) - before
+        if int(ordered[z - 1]) - done > INDEX_SYMBOLS:
+            simple(begin, a)
+            begin, done = a, before
+        if size > INDEX_SYMBOLS:
+            _windows(kind, texts, order[a:z].tolist(), low, count, out, offset)
+            begin, done = z, int(ordered[z - 1])
+    simple(begin, len(order))
+    return out, offset
+
+
+def _windows(kind: Kind, texts: list[bytes], group: list[int], low: np.ndarray, count: np.ndarray, out: np.ndarray, offset: np.ndarray) -> None:
+    """Pieces of one anchor that are too many for an index: their windows, in buckets of a hash of the window."""
+    split = [kind.windows(texts[i]) for i in group]
+    buckets = -(-sum(map(len, split)) * kind.window // INDEX_SYMBOLS)
+    own: list[dict[bytes, list]] = [{} for _ in range(buckets)]
+    for i, ws in zip(group, split, strict=True):
+        for k, x in enumerate(ws):
+            own[xxhash.xxh64_intdigest(x) % buckets].setdefault(x, []).append((i, k))
+    for found in own:
+        places = list(found.values())
+        least = np.array([min(low[i] for i, _ in x) for x in places], np.int64)
+        values = kind.index(list(found), least, np.array([sum(count[i] for i, _ in x) for x in places], np.int64)) if found else []
+        for x, v in zip(places, values, strict=True):
+            for i, k in x:
+                out[offset[i] + k] = v
 
 
 def _match(kind: Kind):
@@ -312,40 +330,41 @@ def _match(kind: Kind):
 
     def run(_: tuple, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         number: dict[bytes, int] = {}
-        texts, packets = [], []
+        packets = []
         for pdf in batches:
             for block, packet in zip(pdf["block"], pdf["packet"], strict=True):
                 (low, high, mark, count, places), own = _open(packet)
-                which = np.empty(len(own), np.int64)
-                for k, t in enumerate(own):
-                    if (i := number.setdefault(t, len(texts))) == len(texts):
-                        texts.append(t)
-                    which[k] = i
+                which = np.fromiter([number.setdefault(t, len(number)) for t in own], np.int64, len(own))
                 packets.append((block, which, low, high, mark, count, places))
-        n = len(texts)
+        n = len(number)
         low_of, count_of, mark_of = np.full(n, NO_ID), np.zeros(n, np.int64), np.zeros(n, np.int64)
         for _, which, low, _, mark, count, _ in packets:
             np.minimum.at(low_of, which, low)
             np.add.at(count_of, which, count)
             mark_of[which] = mark
-        values = _find(kind, texts, mark_of, low_of, count_of)
-        runs = []
-        for v in values:
-            at = np.flatnonzero(np.r_[True, v[1:] != v[:-1]])
-            some = v[at] != NO_ID
-            runs.append((at[some], np.diff(np.r_[at, len(v)])[some], v[at][some]))
+        values, offset = _find(kind, list(number), mark_of, low_of, count_of)
+        number.clear()
+        # Runs of windows with one value, and each piece's first run.
+        new = np.r_[True, values[1:] != values[:-1]] if len(values) else np.zeros(0, bool)
+        new[offset] = True
+        at = np.flatnonzero(new)
+        size, value = np.diff(np.r_[at, len(values)]), values[at]
+        some = value != NO_ID
+        at, size, value = at[some], size[some], value[some]
+        first = np.searchsorted(at, offset)
+        runs_of = np.diff(np.r_[first, len(at)])
         for block, which, _, high, _, count, places in packets:
-            got, at = [], 0
-            for i, h, c in zip(which.tolist(), high.tolist(), count.tolist(), strict=True):
-                first, size, value = runs[i]
-                if not kind.same_document and len(value) and not (keep := value < h).all():
-                    first, size, value = first[keep], size[keep], value[keep]
-                if len(value):
-                    here = places[at : at + c]
-                    got.append(np.stack([np.add.outer(here, first).ravel(), np.tile(size, c), np.tile(value, c)]))
-                at += c
-            if got:
-                yield pd.DataFrame({"block": [block], "runs": [zstandard.compress(np.concatenate(got, 1).tobytes(), 1)]})
+            # A row for each run of each piece, then one for each place of the piece in the block.
+            entry = np.repeat(np.arange(len(which)), runs_of[which])
+            run = spread(first[which], runs_of[which])
+            if not kind.same_document:
+                keep = value[run] < high[entry]
+                entry, run = entry[keep], run[keep]
+            if len(run):
+                begin = np.cumsum(count) - count
+                here = places[spread(begin[entry], count[entry])] + np.repeat(at[run] - offset[which[entry]], count[entry])
+                got = np.stack([here, np.repeat(size[run], count[entry]), np.repeat(value[run], count[entry])])
+                yield pd.DataFrame({"block": [block], "runs": [zstandard.compress(got.tobytes(), 1)]})
 
     return run
 

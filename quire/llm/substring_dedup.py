@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
 from quire.llm._io import table
-from quire.llm.repeats import _BYTE, _ODD, NO_ID, Block, Kind, _mix, covered
+from quire.llm.repeats import _BYTE, _ODD, NO_ID, Block, Kind, _mix, covered, spread
 
 WINDOW = 35
 #: Suffixes of one subtree; a prefix with more is made longer.
@@ -89,14 +89,14 @@ def deep_nodes(t: np.ndarray, depth: int, at: np.ndarray) -> tuple[np.ndarray, n
     return np.concatenate([*done_at, at]), np.concatenate([*done_node, node])
 
 
-def _index(pieces: list[bytes], low: np.ndarray, count: np.ndarray) -> list[np.ndarray]:
+def _index(pieces: list[bytes], low: np.ndarray, count: np.ndarray) -> np.ndarray:
     """For each window of each piece: 0 if the corpus has it twice or more, else NO_ID."""
     ids: dict[bytes, int] = {}
     split = [p.split(b" ") for p in pieces]
     t = np.fromiter((ids.setdefault(w, len(ids)) for p in split for w in p), np.int64)
     sizes = np.array(list(map(len, split)), np.int64)
     starts, per = np.cumsum(sizes) - sizes, sizes - WINDOW + 1
-    windows = np.repeat(starts, per) + np.arange(per.sum()) - np.repeat(np.cumsum(per) - per, per)
+    windows = spread(starts, per)
     weight = np.zeros(len(t), np.int64)
     weight[windows] = np.repeat(count, per)
     value = np.full(len(t), NO_ID)
@@ -105,7 +105,7 @@ def _index(pieces: list[bytes], low: np.ndarray, count: np.ndarray) -> list[np.n
         _, which = np.unique(node, return_inverse=True)
         total = np.bincount(which, weight[at])
         value[at[total[which] > 1]] = 0
-    return np.split(value[windows], np.cumsum(per)[:-1])
+    return value[windows]
 
 
 def _windows(piece: bytes) -> list[bytes]:

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
 from quire.llm._io import table
-from quire.llm.repeats import _BYTE, NO_ID, Block, Kind, covered
+from quire.llm.repeats import _BYTE, NO_ID, Block, Kind, covered, spread
 
 LENGTH = 50
 
@@ -82,7 +82,7 @@ def common_prefixes(bwt: np.ndarray, length: int) -> np.ndarray:
     return unset[:n]
 
 
-def _index(pieces: list[bytes], low: np.ndarray, count: np.ndarray) -> list[np.ndarray]:
+def _index(pieces: list[bytes], low: np.ndarray, count: np.ndarray) -> np.ndarray:
     """For each window of each piece, the least id of a document that has it."""
     sizes = np.array(list(map(len, pieces)), np.int64)
     t = np.frombuffer(b"\0".join(pieces) + b"\0\0", np.uint8).astype(np.uint16) + np.uint16(2)
@@ -92,12 +92,12 @@ def _index(pieces: list[bytes], low: np.ndarray, count: np.ndarray) -> list[np.n
     shares = common_prefixes(t[sa - 1], LENGTH)
     value = np.full(len(t), NO_ID)
     per = sizes - LENGTH + 1
-    windows = np.repeat(starts, per) + np.arange(per.sum()) - np.repeat(np.cumsum(per) - per, per)
+    windows = spread(starts, per)
     value[windows] = np.repeat(low, per)
     begin = np.flatnonzero(~shares)
     least = np.repeat(np.minimum.reduceat(value[sa], begin), np.diff(np.r_[begin, len(t)]))
     value[sa] = least
-    return np.split(value[windows], np.cumsum(per)[:-1])
+    return value[windows]
 
 
 def _bytes(data: np.ndarray, offsets: np.ndarray):
@@ -112,7 +112,6 @@ KIND = Kind(
 
 def kept(b: Block, removed: np.ndarray, starts: np.ndarray, ends: np.ndarray, firsts: np.ndarray) -> pd.DataFrame:
     """A row for each document of a block: sizes, and removed runs as (start, end) pairs of bytes."""
-    edge = np.diff(np.r_[0, removed.astype(np.int8), 0])
     rows, data, prefix = [], np.frombuffer(b.data, np.uint8), np.r_[0, np.cumsum(removed)]
     for k in range(len(b.ids)):
         x, y = int(b.offsets[k]), int(b.offsets[k + 1])
