@@ -18,9 +18,9 @@ from pyspark.sql import functions as F
 from quire.llm._io import table
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-#: A piece crosses no place where a space follows anything else, so texts fall apart there.
-CHUNK = re.compile(" *[^ ]+| +")
-CACHED, CACHED_CHARS = 1 << 17, 48
+#: Texts fall apart where no piece crosses: before the spaces that follow anything else, and around these characters.
+BREAKS = "\n\r\t"
+CACHED, CACHED_CHARS = 1 << 19, 48
 
 
 class Vocabulary:
@@ -39,12 +39,18 @@ class Vocabulary:
         self.unknown = min((s for *_, s in pieces), default=0.0) - 10.0
         self.bytes_of = {i: p.encode() for i, p, _ in pieces} | {i: bytes([b]) for b, i in enumerate(byte_ids)}
         self._build()
-        self._score = {p: s for _, p, s in pieces}
-        self._cache: dict[str, list[int]] = {}
-        self._fits: dict[tuple[str, str], bool] = {}
+        self._score, self._text = {p: s for _, p, s in pieces}, {i: p for i, p, _ in pieces}
+        self._halves: dict[str, tuple[str, str] | None] = {}
+        own = re.escape("".join(c for c in BREAKS if not any(c in p for _, p, _ in pieces)))
+        self._chunks = re.compile(f" *[^ {own}]+| +|[{own}]" if own else " *[^ ]+| +").findall
+        # Two generations each: a full one becomes the old one.
+        self._cache: dict[str, tuple[int, ...]] = {}
+        self._old: dict[str, tuple[int, ...]] = {}
+        self._fits: dict[int, bool] = {}
+        self._old_fits: dict[int, bool] = {}
 
     def __reduce__(self):
-        return Vocabulary, (self.pieces, self.byte_ids, self.merged)
+        return _once, (self.pieces, self.byte_ids, self.merged)
 
     @classmethod
     def load(cls, path: str = MODEL) -> Vocabulary:
@@ -81,21 +87,22 @@ class Vocabulary:
                     back = self.fail[back]
                 self.fail[child] = back = self.goto[back].get(c, 0)
                 self.link[child] = back if self.out[back] else self.link[back]
+        # The first node with a piece on each state's chain, and transitions that failures were followed for.
+        self._first = [k if o else self.link[k] for k, o in enumerate(self.out)]
+        self._next = [dict(g) for g in self.goto]
 
-    def viterbi(self, chunk: str) -> list[int]:
+    def viterbi(self, chunk: str) -> tuple[int, ...]:
         """Ids of the segmentation with the highest sum of scores; at a tie the longer last piece wins.
 
         One pass: each character moves the automaton, and the chain of output links from its state
         lists every piece that ends there. A character that is no piece costs `unknown` and is
         written as its UTF-8 bytes.
         """
-        goto, fail, link, out = self.goto, self.fail, self.link, self.out
+        follow, first, link, out = self._next, self._first, self.link, self.out
         best, last, state = [0.0], [(0, 0)], 0
         for i, c in enumerate(chunk, 1):
-            while state and c not in goto[state]:
-                state = fail[state]
-            state = goto[state].get(c, 0)
-            node = state if out[state] else link[state]
+            state = s if (s := follow[state].get(c)) is not None else self._step(state, c)
+            node = first[state]
             top, how, size = float("-inf"), (0, 0), 0
             while node:
                 size, score, piece = out[node]
@@ -114,66 +121,117 @@ class Vocabulary:
             else:
                 ids.append(piece)
             i -= size
-        return ids[::-1]
+        return tuple(ids[::-1])
+
+    def _last_merge(self, piece: str) -> tuple[str, str] | None:
+        """The two parts that became the piece last, when its own characters merge; None if something else comes out."""
+        if piece in self._halves:
+            return self._halves[piece]
+        parts, score, halves = list(piece), self._score, None
+        while len(parts) > 1:
+            ranks = [score.get(a + b, float("-inf")) for a, b in zip(parts, parts[1:], strict=False)]
+            top = max(ranks)
+            if top == float("-inf"):
+                halves = None
+                break
+            k = ranks.index(top)
+            halves = (parts[k], parts[k + 1])
+            parts[k : k + 2] = [parts[k] + parts[k + 1]]
+        self._halves[piece] = halves
+        return halves
 
     def fits(self, left: str, right: str) -> bool:
-        """Whether merging the characters of both by rank, leftmost first, ends with just these two pieces."""
-        key = (left, right)
-        if (known := self._fits.get(key)) is None:
-            parts, score = list(left + right), self._score
-            while len(parts) > 1:
-                ranks = [score.get(a + b, float("-inf")) for a, b in zip(parts, parts[1:], strict=False)]
-                top = max(ranks)
-                if top == float("-inf"):
-                    break
-                k = ranks.index(top)
-                parts[k : k + 2] = [parts[k] + parts[k + 1]]
-            if len(self._fits) >= CACHED:
-                self._fits.clear()
-            known = self._fits[key] = parts == [left, right]
+        """Whether merging the characters of both by rank, leftmost first among equals, leaves the seam between them.
+
+        Undoes the merges of both sides, the latest first. The seam holds if, at each step, the two
+        parts that touch it make no piece, or one whose turn is after the merge just undone.
+        """
+        a, b, score, least, ties = left, right, self._score, float("-inf"), False
+        while True:
+            seam = score.get(a + b)
+            if seam is not None and (seam > least or ties and seam == least):
+                return False
+            if len(a) == 1 and len(b) == 1:
+                return True
+            # One character was there from the start; of equal ranks the right one merged later.
+            if len(b) == 1 or len(a) > 1 and score[a] < score[b]:
+                least, ties, halves = score[a], False, self._last_merge(a)
+                a = halves and halves[1]
+            else:
+                least, ties, halves = score[b], True, self._last_merge(b)
+                b = halves and halves[0]
+            if halves is None:
+                return False
+
+    def _fits_ids(self, key: int) -> bool:
+        """fits() by numbers: the left piece's above the right one's 20 bits; 0xFFFFF is a character that is no piece, or nothing."""
+        left, right = key >> 20, self._text[key & 0xFFFFF]
+        known = self._old_fits.get(key)
+        if known is None:
+            known = len(right) == 1 or self._last_merge(right) is not None if left == 0xFFFFF else self.fits(self._text[left], right)
+        if len(self._fits) >= CACHED:
+            self._fits, self._old_fits = {}, self._fits
+        self._fits[key] = known
         return known
 
-    def merge_order(self, chunk: str) -> list[int]:
+    def _step(self, state: int, c: str) -> int:
+        """The automaton's next state, kept for the next time."""
+        goto, back = self.goto, state
+        while back and c not in goto[back]:
+            back = self.fail[back]
+        after = goto[back].get(c, 0)
+        if len(self._next[state]) < 512:
+            self._next[state][c] = after
+        return after
+
+    def merge_order(self, chunk: str) -> tuple[int, ...]:
         """Ids that merging adjacent pieces, best rank first, would end with, found in one pass.
 
         A segmentation is that of the merge order if and only if each pair of neighbours is; so of the
         pieces that end at a position just one fits the last piece of what stands before it.
         """
-        goto, fail, link, out, fits = self.goto, self.fail, self.link, self.out, self.fits
-        last, state = [("", -1)], 0
+        follow, first, link, out, fits = self._next, self._first, self.link, self.out, self._fits.get
+        last, sizes, state = [0xFFFFF], [0], 0
         for i, c in enumerate(chunk, 1):
-            while state and c not in goto[state]:
-                state = fail[state]
-            state = goto[state].get(c, 0)
-            node = state if out[state] else link[state]
-            how = (c, -1)
+            state = s if (s := follow[state].get(c)) is not None else self._step(state, c)
+            node = first[state]
             while node:
                 size, _, piece = out[node]
-                text, before = chunk[i - size : i], last[i - size][0]
-                if size == i or fits(before, text):
-                    how = (text, piece)
+                key = last[i - size] << 20 | piece
+                known = fits(key)
+                if known is None:
+                    known = self._fits_ids(key)
+                    fits = self._fits.get
+                if known:
+                    last.append(piece)
+                    sizes.append(size)
                     break
                 node = link[node]
-            last.append(how)
+            else:
+                last.append(0xFFFFF)
+                sizes.append(1)
         ids, i = [], len(chunk)
         while i:
-            text, piece = last[i]
-            ids.extend([piece] if piece >= 0 else [self.byte_ids[b] for b in reversed(text.encode())])
-            i -= len(text)
-        return ids[::-1]
+            if last[i] == 0xFFFFF:
+                ids.extend(self.byte_ids[b] for b in reversed(chunk[i - 1].encode()))
+            else:
+                ids.append(last[i])
+            i -= sizes[i]
+        return tuple(ids[::-1])
 
     def encode(self, text: str | None) -> list[int]:
         """Ids of a whole text with a space put before it; none for null and empty texts."""
         if not text:
             return []
-        cache, ids, run = self._cache, [], self.merge_order if self.merged else self.viterbi
-        for chunk in CHUNK.findall(" " + text):
+        cache, old, ids, run = self._cache, self._old, [], self.merge_order if self.merged else self.viterbi
+        for chunk in self._chunks(" " + text):
             got = cache.get(chunk)
             if got is None:
-                got = run(chunk)
+                got = old.get(chunk) or run(chunk)
                 if len(chunk) <= CACHED_CHARS:
                     if len(cache) >= CACHED:
-                        cache.clear()
+                        self._old, self._cache = cache, {}
+                        cache, old = self._cache, cache
                     cache[chunk] = got
             ids += got
         return ids
@@ -184,6 +242,18 @@ class Vocabulary:
         return b"".join([of[i] for i in ids]).decode("utf-8", "replace")[1:]
 
 
+_loaded: dict[tuple, Vocabulary] = {}
+
+
+def _once(pieces: list, byte_ids: list[int], merged: bool) -> Vocabulary:
+    """The vocabulary of a process: later tasks of a worker find the automaton and the caches ready."""
+    key = (len(pieces), hash(tuple(pieces)), tuple(byte_ids), merged)
+    if key not in _loaded:
+        _loaded.clear()
+        _loaded[key] = Vocabulary(pieces, byte_ids, merged)
+    return _loaded[key]
+
+
 def encode(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, ids and n_ids of every row, and round_trip: whether decoding ids gave the text (null: empty) back.
 
