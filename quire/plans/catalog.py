@@ -1,11 +1,14 @@
-"""The registered queries and their SQL."""
+"""All registered queries of the library."""
 
 from __future__ import annotations
 
+from quire.plans import audit_plans, campaign_plans, relation_plans, text_plans  # noqa: F401  they register themselves
+from quire.plans.registry import QUERIES, SQL
+
 
 def queries() -> dict:
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
