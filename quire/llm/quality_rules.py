@@ -55,7 +55,8 @@ def words_of(text: Column) -> Column:
 def repeated_words(words: Column, window: int = WINDOW) -> Column:
     """Number of words inside windows whose hash occurs twice or more, by sorting (hash, start)."""
     n = F.size(words)
-    hashes = F.transform(F.sequence(F.lit(1), n - (window - 1)), lambda i: F.xxhash64(F.slice(words, i, window)))
+    # slice() inside a lambda copies the whole array; single elements cost the same wherever they are.
+    hashes = F.transform(F.sequence(F.lit(0), n - window), lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(window)]))
 
     def neighbours(pairs: Column) -> Column:
         def start(p: Column, k: Column) -> Column:
