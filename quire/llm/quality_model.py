@@ -78,7 +78,9 @@ class Forest(NamedTuple):
         node = np.zeros((len(x), len(self.feature)), np.int64)
         for _ in range(depth):
             node = 2 * node + 1 + (np.take_along_axis(x, self.feature[trees, node], 1) > self.cut[trees, node])
-        raw = self.prior + (self.value[trees, node - self.feature.shape[1]].sum(1) if len(self.value) else 0.0)
+        raw = np.full(len(x), self.prior)
+        if len(self.value):
+            raw += self.value[trees, node - self.feature.shape[1]].sum(1)
         return 1 / (1 + np.exp(-np.clip(raw, -35, 35)))
 
 

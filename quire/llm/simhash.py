@@ -206,10 +206,10 @@ def links(distinct: DataFrame, count: int) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, root): the smallest node that each linked node reaches.
+    """(node, root): the smallest node that each linked node reaches; roots themselves have no row.
 
-    Alternates two joins-free star steps until neither changes anything: every node's larger
-    neighbours, then its smaller ones, are tied to the smallest neighbour. The edges stay as many
+    Alternates two star steps until nothing changes: every node's larger neighbours, then its
+    smaller ones, are tied to the smallest neighbour. The edges stay as many
     as they are at most, and steps grow with the logarithm of a component's size.
     """
     e = save(edges.filter("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
