@@ -253,7 +253,7 @@ def worker_output(pages: DataFrame) -> DataFrame:
     many = (total > F.greatest(F.lit(4.0), F.length(body) * 0.005)) & (longest < 3) & (total > 60)
     return union([
         finding(rows, "label-count", F.col("n_label") != 1, metric=F.col("n_label")), finding(rows, "empty-target", body == ""),
-        finding(rows, "embedded-differs", text.fold_space(embedded) != text.fold_space(F.col("source"))),
+        finding(rows, "embedded-differs", embedded.isNotNull() & (text.fold_space(embedded) != text.fold_space(F.col("source")))),
         finding(rows, "scratchpad", F.col("raw").rlike(text.SCRATCH), metric=F.regexp_count(F.col("raw"), F.lit(text.SCRATCH))),
         finding(rows, "untranslated", (longest >= 12) | many, metric=longest), finding(rows, "truncation", truncated(body)),
         finding(rows, "ratio", too_short(body, F.col("n")), metric=F.length(body).cast("double") / F.nullif(F.col("n"), F.lit(0))),

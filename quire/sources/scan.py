@@ -24,7 +24,7 @@ def layer(spark: SparkSession, path: str, name: str) -> DataFrame:
     """(page, layer, content) of the page files of a folder; undecodable bytes become U+FFFD."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "page_*.txt").load(path)
     page = F.regexp_extract("path", PAGE_NAME, 1).try_cast("int")
-    return files.select(page.alias("page"), F.lit(name).alias("layer"), F.make_valid_utf8(F.decode(F.col("content"), "UTF-8")).alias("content")).filter("page is not null")
+    return files.select(page.alias("page"), F.lit(name).alias("layer"), lenient(F.col("content")).alias("content")).filter("page is not null")
 
 
 def layers(spark: SparkSession, folders: dict[str, str]) -> DataFrame:
@@ -43,7 +43,7 @@ def dense_pages(spark: SparkSession, total: int, layers_: dict[str, DataFrame])
 
 def lenient(content: Column) -> Column:
     """Text of bytes, whatever they are."""
-    return F.make_valid_utf8(F.decode(content, "UTF-8"))
+    return F.make_valid_utf8(content.cast("string"))
 
 
 def dataset(spark: SparkSession, path: str) -> DataFrame:
@@ -70,7 +70,7 @@ def tolerant_records(docs: DataFrame, column: str, total: int) -> DataFrame:
 def require_rows(rows: DataFrame, key: str) -> DataFrame:
     """Fails when it is run if there are no rows."""
     n = rows.agg(F.count(F.lit(1)).alias("n")).select(F.assert_true(F.col("n") > 0, F.lit("no pages found")).alias("checked"))
-    return rows.join(F.broadcast(n)).drop("checked")
+    return rows.join(F.broadcast(n)).filter("checked is null").drop("checked")  # one row
 
 
 def event_log(spark: SparkSession, path: str) -> DataFrame:
@@ -108,7 +108,7 @@ def one_record(records: DataFrame, page: int) -> DataFrame:
     """The record of a page; fails when it is run unless there is exactly one."""
     rows = records.filter(F.col("page") == page)
     n = rows.agg(F.count(F.lit(1)).alias("n")).select(F.assert_true(F.col("n") == 1, F.lit(f"page {page} must have one record")).alias("checked"))
-    return rows.join(F.broadcast(n)).drop("checked")
+    return rows.join(F.broadcast(n)).filter("checked is null").drop("checked")  # one row
 
 
 def total_pages(manifest: str, default: int = 604) -> int:
