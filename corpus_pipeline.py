@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 from quire.llm import pieces, quality_model, secret_scan, simhash, source_mix
 from quire.llm._io import save, table
 
-#: Words of a shingle in the near-duplicate stage; the registered query takes three by its contract.
-SHINGLE_WORDS = 5
+#: The near-duplicate stage finds candidates by fingerprints over three words, and links those whose
+#: five-word shingles are 0.8 or more alike: cos(13 pi / 64) is 0.80, so their fingerprints differ by
+#: 13 of 64 bits at most.
+CHECK_WORDS = 5
+LIMITS = simhash.Limits(most_bits=7, check_bits=13)
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,18 +26,18 @@ def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Of repeated rows with that id one stays. A group whose rows have no id at all keeps one of them.
     """
-    rows = save(simhash.near_duplicates(docs, SHINGLE_WORDS), "classes")
+    rows = save(simhash.near_duplicates(docs, limits=LIMITS, check_words=CHECK_WORDS), "classes")
     kept = rows.filter("doc_id = component_id").groupBy(F.col("doc_id").alias("keep_id")).agg(F.count(F.lit(1)).alias("times"))
     kept = save(kept, "kept")
     named = docs.join(kept.select("keep_id"), F.col("doc_id") == F.col("keep_id"), "left_semi")
     if not kept.filter("times > 1").isEmpty():
         named = named.dropDuplicates(["doc_id"])
-    nameless = rows.filter("doc_id is null and component_id is null").select(F.col("fp").alias("node"), "root").distinct()
+    nameless = rows.filter("doc_id is null and component_id is null").select("node", "root").distinct()
     if nameless.isEmpty():
         return named
     loose = save(docs.filter("doc_id is null").withColumn("row_no", F.monotonically_increasing_id()), "nameless")
-    fps = simhash.fingerprints(loose, SHINGLE_WORDS, "row_no").select(F.col("doc_id").alias("no"), "fp")
-    first = fps.join(nameless, F.col("fp") == F.col("node")).groupBy("root").agg(F.min("no").alias("first_no"))
+    fps = simhash.fingerprints(loose, check_words=CHECK_WORDS, id_col="row_no").select(F.col("doc_id").alias("no"), "node")
+    first = fps.join(nameless, "node").groupBy("root").agg(F.min("no").alias("first_no"))
     return named.unionByName(loose.join(first, F.col("row_no") == F.col("first_no"), "left_semi").drop("row_no"))
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -41,17 +42,27 @@ def fingerprint(text: str | None, words: int = WORDS, seed: int = SEED) -> int:
     return int(np.packbits(2 * total > n, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, words: int = WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp): fp is the fingerprint's 64 bits as a long."""
+def node_of(fp: np.ndarray, check: np.ndarray | None) -> np.ndarray:
+    """What names a node: the fingerprint, or a hash of both fingerprints."""
+    return fp if check is None else _mix(fp ^ _mix(check))
+
+
+def fingerprints(docs: DataFrame, words: int = WORDS, check_words: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, node, fp) with fingerprints as longs, and check_fp over shingles of check_words words if that is given."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for k in range(0, batch.num_rows, 256):
-                out += [fingerprint(t, words) for t in batch.column(1).slice(k, 256).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(out, np.uint64).view(np.int64))], ["doc_id", "fp"])
+            texts = batch.column(1)
+            fp = np.array([fingerprint(t.as_py(), words) for t in texts], np.uint64)
+            check = None if check_words is None else np.array([fingerprint(t.as_py(), check_words) for t in texts], np.uint64)
+            columns = [batch.column(0), pa.array(node_of(fp, check).view(np.int64)), pa.array(fp.view(np.int64))]
+            names = ["doc_id", "node", "fp"]
+            if check is not None:
+                columns, names = [*columns, pa.array(check.view(np.int64))], [*names, "check_fp"]
+            yield pa.RecordBatch.from_arrays(columns, names)
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, fp long")
+    schema = "doc_id long, node long, fp long" + ("" if check_words is None else ", check_fp long")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
 
 
 def segments(low: int, width: int, most_bits: int) -> list[tuple[int, int]]:
@@ -68,57 +79,66 @@ def _mix(v: np.ndarray) -> np.ndarray:
         return v ^ (v >> np.uint64(33))
 
 
-def _key(v: np.ndarray, number: int, half: bool) -> np.ndarray:
-    """A hash of a variant and its number; the lowest bit tells the half that it fixes."""
+def _key(v: np.ndarray, number: int, segment: int) -> np.ndarray:
+    """A hash of a variant and its number; the lowest bits tell the segment that it fixes."""
     odd = np.uint64(0x9E3779B97F4A7C15 * (number + 1) % 2**64)
-    return _mix(v + odd) & ~np.uint64(1) | np.uint64(half)
+    return _mix(v + odd) & ~np.uint64(7) | np.uint64(segment)
 
 
-def variants(fp: np.ndarray, low: int, width: int, most_bits: int) -> Iterator[tuple[int, np.ndarray]]:
-    """For each segment and bit in it: its number, and the segment without that bit. Equal values mean one bit apart at most."""
+def variants(fp: np.ndarray, low: int, width: int, most_bits: int) -> Iterator[tuple[int, int, np.ndarray]]:
+    """For each segment and bit in it: its number, the segment's, and the segment without that bit. Equal values mean one bit apart at most."""
     number = 0
-    for at, size in segments(low, width, most_bits):
+    for segment, (at, size) in enumerate(segments(low, width, most_bits)):
         mask = np.uint64(((1 << size) - 1) << at)
         for bit in range(at, at + size):
-            yield number, fp & mask & ~np.uint64(1 << bit)
+            yield number, segment, fp & mask & ~np.uint64(1 << bit)
             number += 1
 
 
-def _pack(batches: Iterator[pd.DataFrame], ranges: int) -> Iterator[pd.DataFrame]:
-    """(fp) rows to blobs of (key, fp), one for each range of the keys' hashes."""
+class Limits(NamedTuple):
+    """Links differ by most_bits of the fingerprint at most and, if there is a second one, by check_bits of that."""
+
+    most_bits: int = MOST_BITS
+    check_bits: int | None = None
+
+    def near(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        near = np.bitwise_count(a[..., 0] ^ b[..., 0]) <= self.most_bits
+        return near if self.check_bits is None else near & (np.bitwise_count(a[..., 1] ^ b[..., 1]) <= self.check_bits)
+
+    def names(self, nodes: np.ndarray) -> np.ndarray:
+        return node_of(nodes[:, 0], None if self.check_bits is None else nodes[:, 1])
+
+    @property
+    def columns(self) -> list[str]:
+        return ["fp"] if self.check_bits is None else ["fp", "check_fp"]
+
+
+def _pack(batches: Iterator[pd.DataFrame], ranges: int, limits: Limits) -> Iterator[pd.DataFrame]:
+    """Nodes to blobs of (key, fingerprints), one for each range of the keys' hashes."""
     for pdf in batches:
         for k in range(0, len(pdf), 1 << 14):
-            fp = pdf["fp"].to_numpy()[k : k + (1 << 14)].view(np.uint64)
-            keys = np.concatenate([_key(v, n, n >= BITS // 2) for n, v in variants(fp, 0, BITS, MOST_BITS)])
-            yield from _blobs(keys, np.tile(fp, BITS), ranges)
+            nodes = pdf[limits.columns].to_numpy()[k : k + (1 << 14)].astype(np.int64).view(np.uint64)
+            keys = np.concatenate([_key(v, n, g) for n, g, v in variants(nodes[:, 0], 0, BITS, limits.most_bits)])
+            yield from _blobs(keys, np.tile(nodes, (BITS, 1)), ranges)
 
 
-def _blobs(keys: np.ndarray, fp: np.ndarray, ranges: int) -> Iterator[pd.DataFrame]:
-    # The lowest bit of a key is no hash; a range takes the others.
-    where = ((keys >> np.uint64(1)) % np.uint64(ranges)).astype(np.int64)
+def _blobs(keys: np.ndarray, nodes: np.ndarray, ranges: int) -> Iterator[pd.DataFrame]:
+    # The lowest bits of a key are no hash; a range takes the others.
+    where = ((keys >> np.uint64(3)) % np.uint64(ranges)).astype(np.int64)
     order = np.argsort(where, kind="stable")
-    pairs = np.stack([keys[order], fp[order]], 1)
+    pairs = np.column_stack([keys[order], nodes[order]])
     cuts = np.searchsorted(where[order], np.arange(ranges + 1))
     full = np.flatnonzero(np.diff(cuts))
     yield pd.DataFrame({"range": full, "pairs": [pairs[cuts[r] : cuts[r + 1]].tobytes() for r in full]})
 
 
-def _roots(fp: np.ndarray, most_bits: int) -> np.ndarray:
-    """For each of the distinct fingerprints the smallest index it is linked to, over any number of links; blocks bound the memory."""
-    root = np.arange(len(fp))
-
-    def find(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
-
-    for a in range(0, len(fp), _BLOCK):
-        for b in range(a, len(fp), _BLOCK):
-            near = np.bitwise_count(fp[a : a + _BLOCK, None] ^ fp[None, b : b + _BLOCK]) <= most_bits
-            i, j = np.nonzero(near)
+def _roots(nodes: np.ndarray, limits: Limits) -> np.ndarray:
+    """For each of the distinct nodes the smallest index it is linked to, over any number of links; blocks bound the memory."""
+    root = np.arange(len(nodes))
+    for a in range(0, len(nodes), _BLOCK):
+        for b in range(a, len(nodes), _BLOCK):
+            i, j = np.nonzero(limits.near(nodes[a : a + _BLOCK, None], nodes[None, b : b + _BLOCK]))
             i, j = i + a, j + b
-            # What is already joined needs no walk; hooks of one block row join most members at once.
             while len(i):
                 ri, rj = root[i], root[j]
                 todo = ri != rj
@@ -129,79 +149,85 @@ def _roots(fp: np.ndarray, most_bits: int) -> np.ndarray:
     return root
 
 
-def _edges(pairs: np.ndarray, limit: int | None) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """Links (member, root) inside the buckets of (key, fp) rows, and the rows of buckets above limit."""
-    pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
+def _edges(pairs: np.ndarray, limit: int | None, limits: Limits) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Links (member, root) inside the buckets of (key, fingerprints) rows, and the rows of buckets above limit."""
+    pairs = pairs[np.lexsort(pairs.T[::-1])]
     starts = np.flatnonzero(np.r_[True, pairs[1:, 0] != pairs[:-1, 0]]) if len(pairs) else np.zeros(0, np.int64)
     ends = np.r_[starts[1:], len(pairs)]
-    links, large = [], []
-    size = ends - starts
+    nodes, size = pairs[:, 1:], ends - starts
     two = starts[size == 2]  # most buckets that are shared at all
-    near = np.bitwise_count(pairs[two, 1] ^ pairs[two + 1, 1]) <= MOST_BITS if len(two) else np.zeros(0, bool)
-    links.append(np.stack([pairs[two + 1, 1], pairs[two, 1]], 1)[near])
-    for a, b in zip(starts[size > 2], ends[size > 2], strict=True):
-        fp = np.unique(pairs[a:b, 1])
-        if limit is not None and len(fp) > limit:
-            large.append(np.stack([np.full(len(fp), pairs[a, 0]), fp], 1))
+    near = two[limits.near(nodes[two], nodes[two + 1])]
+    links, large = [np.column_stack([limits.names(nodes[near + 1]), limits.names(nodes[near])])], []
+    for a, b in zip(starts[size > 2].tolist(), ends[size > 2].tolist(), strict=True):
+        own = nodes[a:b]
+        own = own[np.r_[True, (own[1:] != own[:-1]).any(1)]]
+        if limit is not None and len(own) > limit:
+            large.append(np.column_stack([np.full(len(own), pairs[a, 0]), own]))
             continue
-        root = _roots(fp, MOST_BITS)
-        child = root != np.arange(len(fp))
-        links.append(np.stack([fp[child], fp[root[child]]], 1))
+        root = _roots(own, limits)
+        child = root != np.arange(len(own))
+        names = limits.names(own)
+        links.append(np.column_stack([names[child], names[root[child]]]))
     return links, large
 
 
-def _resolve(limit: int | None):
+def _resolve(limit: int | None, limits: Limits):
     def run(key: tuple, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         blobs = [b for pdf in batches for b in pdf["pairs"]]
-        links, large = _edges(np.frombuffer(b"".join(blobs), np.uint64).reshape(-1, 2), limit)
+        links, large = _edges(np.frombuffer(b"".join(blobs), np.uint64).reshape(-1, 1 + len(limits.columns)), limit, limits)
         link = np.unique(np.concatenate(links), axis=0).view(np.int64)
         yield pd.DataFrame({"key": np.zeros(len(link), np.int64), "a": link[:, 0], "b": link[:, 1], "linked": True})
         for rows in large:
             rows = rows.view(np.int64)
-            yield pd.DataFrame({"key": rows[:, 0], "a": rows[:, 1], "b": rows[:, 1], "linked": False})
+            yield pd.DataFrame({"key": rows[:, 0], "a": rows[:, 1], "b": rows[:, -1], "linked": False})
 
     return run
 
 
-def _split_large(ranges: int):
+def _split_large(ranges: int, limits: Limits):
     """Rows of large buckets to finer ones.
 
-    Linked members of a bucket differ by at most three bits of the half that its key leaves free, so
-    the two segments of that half, each without one of its bits, are the next signatures.
+    Linked members of a bucket differ by at most most_bits of the bits outside the segment that its key
+    fixes, so those bits, put together, are cut into segments in turn.
     """
+    cut = segments(0, BITS, limits.most_bits)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for k in range(0, len(pdf), 1 << 14):
                 part = pdf.iloc[k : k + (1 << 14)]
-                key, fp = part["key"].to_numpy().view(np.uint64), part["a"].to_numpy().view(np.uint64)
-                keys, fps = [], []
-                for half in (0, 1):
-                    rows = (key & np.uint64(1)) != half
-                    for n, v in variants(fp[rows], BITS // 2 * half, BITS // 2, MOST_BITS):
-                        keys.append(_mix(key[rows] ^ _key(v, n, bool(half))))
-                        fps.append(fp[rows])
-                yield from _blobs(np.concatenate(keys), np.concatenate(fps), ranges)
+                key = part["key"].to_numpy().view(np.uint64)
+                nodes = part[["a", "b"][: len(limits.columns)]].to_numpy().astype(np.int64).view(np.uint64)
+                keys, own = [], []
+                for segment, (at, size) in enumerate(cut):
+                    rows = (key & np.uint64(7)) == segment
+                    fp = nodes[rows, 0]
+                    high = fp >> np.uint64(at + size) << np.uint64(at) if at + size < BITS else fp & np.uint64(0)
+                    rest = high | fp & np.uint64((1 << at) - 1)
+                    for n, g, v in variants(rest, 0, BITS - size, limits.most_bits):
+                        keys.append(_mix(key[rows] ^ _key(v, n, g)))
+                        own.append(nodes[rows])
+                yield from _blobs(np.concatenate(keys), np.concatenate(own), ranges)
 
     return run
 
 
-def links(distinct: DataFrame, count: int) -> DataFrame:
-    """(a, b) links whose components are those of all pairs within MOST_BITS bits.
+def links(distinct: DataFrame, count: int, limits: Limits = Limits()) -> DataFrame:
+    """(a, b) links whose components are those of all pairs of nodes within the limits.
 
-    distinct holds each fingerprint once, count says about how many. Each goes with its 64
-    signatures to the ranges of a hash; packed, they take 16 bytes each. A range bounds memory, as
-    their number follows the count. Inside a bucket members get a link to their root instead of
-    one to every partner. Buckets above PAIRWISE members are cut again: 31 bits are fixed there
-    and 15 or more of the rest get fixed, so what is left free, 18 bits, bounds a bucket for good.
+    distinct holds each node once, count says about how many. Each goes with its 64 signatures to the
+    ranges of a hash; packed, they take a few words each. A range bounds memory, as their number
+    follows the count. Inside a bucket members get a link to their root instead of one to every
+    partner. Buckets above PAIRWISE members are cut again. At three bits 31 bits are fixed first and
+    15 or more then, so what is left free, 18 bits, bounds a bucket for good.
     """
-    ranges = max(12, -(-count * BITS * 16 // _RANGE_BYTES))
+    ranges = max(64, -(-count * BITS * 8 * (1 + len(limits.columns)) // _RANGE_BYTES))
     schema = "key long, a long, b long, linked boolean"
-    blobs = distinct.select("fp").mapInPandas(lambda it: _pack(it, ranges), "range long, pairs binary")
-    found = save(blobs.repartition(ranges, "range").groupBy("range").applyInPandas(_resolve(PAIRWISE), schema), "links")
-    large = found.filter(~F.col("linked")).select("key", "a")
-    finer = large.mapInPandas(_split_large(ranges), "range long, pairs binary")
-    more = finer.repartition(ranges, "range").groupBy("range").applyInPandas(_resolve(None), schema)
+    blobs = distinct.select(*limits.columns).mapInPandas(lambda it: _pack(it, ranges, limits), "range long, pairs binary")
+    found = save(blobs.groupBy("range").applyInPandas(_resolve(PAIRWISE, limits), schema), "links")
+    large = found.filter(~F.col("linked")).select("key", "a", "b")
+    finer = large.mapInPandas(_split_large(ranges, limits), "range long, pairs binary")
+    more = finer.groupBy("range").applyInPandas(_resolve(None, limits), schema)
     return found.filter("linked").select("a", "b").union(more.filter("linked").select("a", "b"))
 
 
@@ -229,21 +255,21 @@ def components(edges: DataFrame) -> DataFrame:
     return e.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root"))
 
 
-def near_duplicates(docs: DataFrame, words: int = WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp, component_id, root) for every row; component_id is the smallest doc_id reachable by links, root names the component too.
+def near_duplicates(docs: DataFrame, words: int = WORDS, limits: Limits = Limits(), check_words: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, node, fp, component_id, root) for every row; component_id is the smallest doc_id reachable by links, root names the component too.
 
     Documents with equal fingerprints are one node, with the smallest of their ids; links join
     nodes. Rows without words share the fingerprint 0; rows with a null id count as documents but
     never name a component, unless it has no other id. Repeated rows stay.
     """
-    fps = save(fingerprints(docs, words, id_col, text_col), "fingerprints")
-    nodes = save(fps.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "nodes")
-    roots = components(links(nodes, nodes.count()))
-    named = nodes.join(roots, F.col("fp") == F.col("node"), "left").withColumn("root", F.coalesce("root", "fp"))
-    named = save(named.select("fp", "least_id", "root"), "named")
+    fps = save(fingerprints(docs, words, check_words, id_col, text_col), "fingerprints")
+    nodes = save(fps.groupBy("node", *limits.columns).agg(F.min("doc_id").alias("least_id")), "nodes")
+    roots = components(links(nodes, nodes.count(), limits)).select(F.col("node").alias("r_node"), F.col("root").alias("r_root"))
+    named = nodes.join(roots, F.col("node") == F.col("r_node"), "left").select("node", "least_id", F.coalesce("r_root", "node").alias("root"))
+    named = save(named, "named")
     ids = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    of = save(named.join(ids, "root").select(F.col("fp").alias("node_fp"), "component_id", "root"), "component_ids")
-    return fps.join(of, F.col("fp") == F.col("node_fp")).select("doc_id", "fp", "component_id", "root")
+    of = save(named.join(ids, "root").select(F.col("node").alias("c_node"), "component_id", "root"), "component_ids")
+    return fps.join(of, F.col("node") == F.col("c_node")).select("doc_id", "node", "fp", "component_id", "root")
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -51,37 +51,43 @@ def test_subtrees(monkeypatch, group):
     assert [v == 0 for v in got.tolist()] == [seen.count(w) > 1 for w in seen]
 
 
-def test_large_buckets_are_split(spark, monkeypatch):
-    rnd = random.Random(4)
-    centre = rnd.getrandbits(64)
-    fps = {centre ^ sum(1 << b for b in rnd.sample(range(64), rnd.randint(0, 4))) for _ in range(300)} | {rnd.getrandbits(64) for _ in range(50)}
-    fp = np.array(sorted(fps), np.uint64)
-    keys = np.concatenate([simhash._key(v, n, n >= 32) for n, v in simhash.variants(fp, 0, 64, 3)])
-    every, large = simhash._edges(np.stack([keys, np.tile(fp, 64)], 1), None)
-    some, rest = simhash._edges(np.stack([keys, np.tile(fp, 64)], 1), 5)
-    assert not large and rest
+@pytest.mark.parametrize(("bits", "check"), [(3, None), (7, None), (7, 20)])
+def test_large_buckets_are_split(bits, check):
     import pandas as pd
 
-    rows = pd.DataFrame({"key": np.concatenate(rest)[:, 0].view(np.int64), "a": np.concatenate(rest)[:, 1].view(np.int64)})
-    for pdf in simhash._split_large(4)(iter([rows])):
+    rnd = random.Random(4)
+    limits = simhash.Limits(bits, check)
+    flip = lambda x, n: x ^ sum(1 << b for b in rnd.sample(range(64), n))
+    centre, other = rnd.getrandbits(64), rnd.getrandbits(64)
+    pairs = {(flip(centre, rnd.randint(0, bits)), flip(other, rnd.randint(0, 16))) for _ in range(300)} | {(rnd.getrandbits(64), 0) for _ in range(50)}
+    nodes = np.array(sorted(dict(pairs).items()), np.uint64)[:, : len(limits.columns)]
+    keys = np.concatenate([simhash._key(v, n, g) for n, g, v in simhash.variants(nodes[:, 0], 0, 64, bits)])
+    rows = np.column_stack([keys, np.tile(nodes, (64, 1))])
+    every, large = simhash._edges(rows, None, limits)
+    some, rest = simhash._edges(rows, 5, limits)
+    assert not large and rest
+    rest = np.concatenate(rest).view(np.int64)
+    for pdf in simhash._split_large(4, limits)(iter([pd.DataFrame({"key": rest[:, 0], "a": rest[:, 1], "b": rest[:, -1]})])):
         for blob in pdf["pairs"]:
-            some += simhash._edges(np.frombuffer(blob, np.uint64).reshape(-1, 2), None)[0]
-    roots = []
-    for links in (every, some):
-        root = {int(x): int(x) for x in fp}
+            some += simhash._edges(np.frombuffer(blob, np.uint64).reshape(-1, rows.shape[1]), None, limits)[0]
+    names = [int(x) for x in limits.names(nodes)]
+    want = [(a, b) for i, a in enumerate(names) for j, b in enumerate(names) if limits.near(nodes[i], nodes[j])]
+    classes = []
+    for links in (want, np.concatenate(every).tolist(), np.concatenate(some).tolist()):
+        root = {x: x for x in names}
 
         def find(x, root=root):
             while root[x] != x:
                 x = root[x]
             return x
 
-        for a, b in np.concatenate(links).tolist():
+        for a, b in links:
             root[find(a)] = find(b)
-        roots.append({frozenset(int(y) for y in fp if find(int(y)) == find(int(x))) for x in fp})
-    assert roots[0] == roots[1]
-    want = {int(x): {int(y) for y in fp if (int(x) ^ int(y)).bit_count() <= 3} for x in fp}
-    for x, near in want.items():
-        assert near <= next(c for c in roots[0] if x in c)
+        own = {}
+        for x in names:
+            own.setdefault(find(x), set()).add(x)
+        classes.append(sorted(map(sorted, own.values())))
+    assert classes[0] == classes[1] == classes[2]
 
 
 def test_components(spark):
