@@ -40,18 +40,30 @@ def shingle_hashes(tokens: Column, k: int = SHINGLE) -> Column:
 def near_pairs(pages: DataFrame, key: str, body: str, k: int = SHINGLE, least: float = NEAR, profile: str = "fixed") -> DataFrame:
     """(page_a, page_b, shared, containment) of pages whose larger share of common shingles is above least.
 
-    Copies of one body are compared once, through the first of them. Shingles of one page alone meet
-    nobody and go before the join; an equi-join on the others finds every overlapping pair.
+    Copies of one body are compared once, through the first of them. A pair above the limit shares
+    more than that share of the smaller set, so one of the smaller set's rarest shingles, as many as
+    it can miss and one more, must be common: only these look for partners. Shingles of one page
+    alone are the rarest and meet nobody; a passage that very many pages share is looked up only by
+    pages that hold little else. Candidates are then counted in full, so the result is exact.
     """
     firsts = pages.select(F.col(key).alias("page"), F.col(body).alias("body")).groupBy(F.md5(text.fold_space(F.col("body"))).alias("digest"))
     one = firsts.agg(F.min("page").alias("page"), F.min_by("body", "page").alias("body"))
     sets = one.select("page", shingle_hashes(words(F.col("body"), profile), k).alias("hs"))
-    rows = sets.select("page", F.explode(chars.let(F.col("hs"), lambda hs: F.transform(hs, lambda h: F.struct(h.alias("h"), F.size(hs).alias("n"))))).alias("x")).select("page", "x.h", "x.n")
-    shared = rows.groupBy("h").agg(F.count(F.lit(1)).alias("pages")).filter("pages > 1").select("h")
+    sized = F.transform("hs", lambda h: F.struct(h.alias("h"), F.size("hs").alias("n")))
+    rows = sets.select("page", F.explode(sized).alias("x")).select("page", "x.h", "x.n")
+    shared = rows.groupBy("h").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
     rows = rows.join(shared, "h")
-    other = rows.select("h", F.col("page").alias("page_b"), F.col("n").alias("n_b"))
-    pairs = rows.join(other, "h").filter("page < page_b").groupBy(F.col("page").alias("page_a"), "page_b").agg(F.count(F.lit(1)).alias("shared"), F.min(F.least("n", "n_b")).alias("smaller"))
-    return pairs.withColumn("containment", F.col("shared").cast("double") / F.col("smaller")).filter(F.col("containment") > least).drop("smaller")
+    own = W.partitionBy("page")
+    ranked = rows.withColumns({"rarity": F.row_number().over(own.orderBy("df", "h")), "n_shared": F.count(F.lit(1)).over(own)})
+    may_miss = F.col("n") - F.floor(least * F.col("n"))  # with one more than `least` of n common, the rarest n - that + 1 hold one
+    asking = ranked.filter(F.col("rarity") <= may_miss - (F.col("n") - F.col("n_shared"))).select("h", F.col("page").alias("small"), F.col("n").alias("n_small"))
+    larger = (F.col("n") > F.col("n_small")) | ((F.col("n") == F.col("n_small")) & (F.col("page") > F.col("small")))
+    met = asking.join(rows.select("h", "page", "n"), "h").filter(larger).select("small", "page").distinct()
+    left, right = sets.select(F.col("page").alias("small"), F.col("hs").alias("a")), sets.select("page", F.col("hs").alias("b"))
+    counted = met.join(left, "small").join(right, "page").withColumn("shared", F.size(F.array_intersect("a", "b")).cast("long"))
+    counted = counted.withColumn("containment", F.col("shared").cast("double") / F.least(F.size("a"), F.size("b")))
+    pair = F.least("small", "page").alias("page_a"), F.greatest("small", "page").alias("page_b")
+    return counted.filter(F.col("containment") > least).select(*pair, "shared", "containment")
 
 
 def containment(pages: DataFrame, key: str, body: str, refs: DataFrame, ref_key: str, ref_body: str, k: int, profile: str = "fixed") -> DataFrame:
@@ -81,11 +93,12 @@ def document_frequency(pages: DataFrame, key: str, tokens: Column) -> DataFrame:
 
 def rare_coverage(pages: DataFrame, key: str, tokens: Column, target: str, rare: int = 3, least: int = 4) -> DataFrame:
     """(key, n_rare, n_found, coverage): how many of a page's rare terms its target body holds."""
-    # Looked up before the rows multiply, so that no body travels with its terms.
-    looked = F.transform(F.array_distinct(tokens), lambda t: F.struct(t.alias("term"), F.contains(F.col(target), t).alias("found")))
-    terms = pages.select(key, F.explode(looked).alias("x")).select(key, "x.term", "x.found")
-    few = document_frequency(pages, key, tokens).filter(F.col("df") <= rare).select("term")
-    own = terms.join(few, "term").groupBy(key).agg(F.count(F.lit(1)).alias("n_rare"), F.count_if("found").alias("n_found"))
+    terms = pages.select(key, F.explode(F.array_distinct(tokens)).alias("term"))
+    few = terms.groupBy("term").agg(F.count(F.lit(1)).alias("df")).filter(F.col("df") <= rare).select("term")
+    # Rare terms go back to their page as an array, so that no body travels with its terms.
+    rarest = terms.join(few, "term").groupBy(F.col(key).alias("rare_key")).agg(F.collect_list("term").alias("rarest"))
+    found = F.size(F.filter("rarest", lambda t: F.contains(F.col(target), t)))
+    own = pages.join(rarest, F.col(key) == F.col("rare_key")).select(key, F.size("rarest").cast("long").alias("n_rare"), found.cast("long").alias("n_found"))
     return own.filter(F.col("n_rare") >= least).withColumn("coverage", F.col("n_found").cast("double") / F.col("n_rare"))
 
 

@@ -39,7 +39,7 @@ def test_query(spark, duck, name):
     names = sorted(got.columns)
     found = got.select(*names).collect()
     if name in SQL:
-        want = duck.execute(f"select {', '.join(names)} from ({SQL[name]})").fetchall()
+        want = duck.execute(f"select {', '.join(chr(34) + n + chr(34) for n in names)} from ({SQL[name]})").fetchall()
         assert rows(found, names) == rows(want, names)
 
 
