@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from quire.llm._io import save, size_hint
 
 BLOCK_BYTES = 2 << 20
+STEP = 1 << 16
 RANGE_BYTES = 8 << 20
 #: Symbols that one index is built over; memory is about 150 bytes for each.
 INDEX_SYMBOLS = 1 << 20
@@ -136,6 +137,11 @@ def _least(v: np.ndarray, k: int) -> np.ndarray:
     return np.minimum(v[: len(v) - rest], v[rest:]) if rest else v
 
 
+def spread(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers start..start + size - 1 of each pair, in a row."""
+    return np.arange(size.sum()) + np.repeat(start - np.cumsum(size) + size, size)
+
+
 class Pieces(NamedTuple):
     """Runs of windows with one anchor: first and last window, and what identifies the anchor."""
 
@@ -151,22 +157,34 @@ class Pieces(NamedTuple):
 
 def pieces(b: Block, kind: Kind, ranges: int) -> Pieces:
     hashes, starts, ends, firsts = kind.symbols(np.frombuffer(b.data, np.uint8), b.offsets)
-    n = len(hashes)
-    sizes = np.diff(np.r_[firsts, n])
+    n, found = len(hashes), []
+    bounds = np.r_[firsts, n]
+    # A few documents at a time, so that the arrays stay in the processor's cache.
+    cuts = np.unique(np.r_[np.searchsorted(bounds, np.arange(0, n, STEP)), len(firsts)])
+    for i, k in zip(cuts.tolist(), cuts[1:].tolist(), strict=False):
+        x, y = int(bounds[i]), int(bounds[k])
+        if y - x >= kind.window:
+            found.append(_pieces(hashes[x:y], bounds[i:k] - x, kind, x))
     none = np.zeros(0, np.int64)
-    if n < kind.window:
-        return Pieces(none, none, none, none, none, starts, ends, firsts)
+    first, last, gram = (np.concatenate(v) for v in zip(*found, strict=True)) if found else (none, none, none.view(np.uint64))
+    key = _mix(gram ^ np.uint64(0x5851F42D4C957F2D))
+    doc = np.searchsorted(firsts, first, side="right") - 1  # empty documents stand before the one that begins there
+    return Pieces(first, last, doc, ((key >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64), (key & np.uint64(0x7FFFFFFF)).astype(np.int64), starts, ends, firsts)
+
+
+def _pieces(hashes: np.ndarray, firsts: np.ndarray, kind: Kind, shift: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first window, last window, hash of the anchor) of the pieces of some documents."""
+    sizes = np.diff(np.r_[firsts, len(hashes)])
     gram = _grams(hashes, kind.gram)
     place = np.arange(len(gram), dtype=np.uint64)
     least = _least((gram & np.uint64(0xFFFFFFFF00000000)) | place, kind.window - kind.gram + 1)
     anchor = (least & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    doc = np.repeat(np.arange(len(sizes)), sizes)
-    s = np.flatnonzero((firsts + sizes)[doc[: len(anchor)]] - np.arange(len(anchor)) >= kind.window)
+    s = spread(firsts, np.maximum(sizes - kind.window + 1, 0))
+    if not len(s):
+        return s, s, gram[:0]
     a = anchor[s]
-    new = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (s[1:] != s[:-1] + 1)]) if len(s) else none
-    first, last = s[new], s[np.r_[new[1:], len(s)] - 1] if len(s) else none
-    key = _mix(gram[a[new]] ^ np.uint64(0x5851F42D4C957F2D))
-    return Pieces(first, last, doc[first], ((key >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64), (key & np.uint64(0x7FFFFFFF)).astype(np.int64), starts, ends, firsts)
+    new = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (s[1:] != s[:-1] + 1)])
+    return s[new] + shift, s[np.r_[new[1:], len(s)] - 1] + shift, gram[a[new]]
 
 
 def _anchors(b: Block, p: Pieces, kind: Kind) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -274,11 +292,6 @@ def _open(packet: bytes) -> tuple[list[np.ndarray], list[bytes]]:
     return [low, high, mark, count, np.frombuffer(raw, np.uint32, m, at).astype(np.int64)], texts
 
 
-def spread(start: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """The numbers start..start + size - 1 of each pair, in a row."""
-    return np.arange(size.sum()) + np.repeat(start - np.cumsum(size) + size, size)
-
-
 def _find(kind: Kind, texts: list[bytes], mark: np.ndarray, low: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Values of all windows in a row, and each piece's first; pieces of one anchor stay together, and one index holds INDEX_SYMBOLS at most."""
     symbols = np.fromiter(map(kind.size, texts), np.int64, len(texts))

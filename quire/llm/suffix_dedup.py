@@ -24,7 +24,7 @@ def suffix_array(t: np.ndarray) -> np.ndarray:
     key = np.zeros(n, np.uint64)
     for k in range(h):
         key = key << np.uint64(9) | wide[k : k + n]
-    sa = np.argsort(key, kind="stable")
+    sa = np.argsort(key)
     new = np.r_[True, key[sa[1:]] != key[sa[:-1]]]
     rank = np.empty(n + 1, np.int64)
     rank[n] = -1
@@ -34,7 +34,7 @@ def suffix_array(t: np.ndarray) -> np.ndarray:
     while len(open_):
         at = sa[open_]
         both = rank[at] * (n + 1) + rank[np.minimum(at + h, n)] + 1
-        order = np.argsort(both, kind="stable")
+        order = np.argsort(both)
         at, both = at[order], both[order]
         sa[open_] = at
         new = np.r_[True, both[1:] != both[:-1]]
@@ -53,16 +53,16 @@ def common_prefixes(bwt: np.ndarray, length: int) -> np.ndarray:
     at an earlier level need not be followed. What is unset after `length` levels is as long or longer.
     """
     n = len(bwt)
-    order = np.argsort(bwt, kind="stable")  # the k-th occurrence, over the sorted symbols
-    lf = np.empty(n, np.int64)
-    lf[order] = np.arange(n)
-    same = np.r_[False, bwt[order[1:]] == bwt[order[:-1]], False]
-    before, after = np.empty(n, np.int64), np.empty(n, np.int64)
-    before[order] = np.where(same[:-1], np.r_[-1, order[:-1]], -1)
-    after[order] = np.where(same[1:], np.r_[order[1:], n], n)
+    order = np.argsort(bwt, kind="stable").astype(np.int32)  # the k-th occurrence, over the sorted symbols
+    lf = np.empty(n, np.int32)
+    lf[order] = np.arange(n, dtype=np.int32)
+    same = bwt[order[1:]] == bwt[order[:-1]]
+    before, after = np.full(n, -1, np.int32), np.full(n, n, np.int32)
+    before[order[1:]] = np.where(same, order[:-1], -1)
+    after[order[:-1]] = np.where(same, order[1:], n)
     unset = np.ones(n + 1, bool)
     unset[[0, n]] = False
-    low, high = np.array([0]), np.array([n])  # high is exclusive
+    low, high = np.zeros(1, np.int32), np.full(1, n, np.int32)  # high is exclusive
     for _ in range(length):
         if not len(low):
             break
@@ -70,9 +70,8 @@ def common_prefixes(bwt: np.ndarray, length: int) -> np.ndarray:
         single = lf[low[one]]
         low, high = low[~one], high[~one]
         size = high - low
-        which = np.repeat(np.arange(len(low)), size)
-        at = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size - low, size)
-        first, last = before[at] < low[which], after[at] >= high[which]
+        at = np.arange(size.sum(), dtype=np.int32) - np.repeat(np.cumsum(size, dtype=np.int32) - size - low, size)
+        first, last = before[at] < np.repeat(low, size), after[at] >= np.repeat(high, size)
         # The extended intervals are disjoint, so that sorting matches starts with ends.
         low, high = np.sort(lf[at[first]]), np.sort(lf[at[last]]) + 1
         low, high = np.concatenate([low, single]), np.concatenate([high, single + 1])
@@ -102,7 +101,7 @@ def _index(pieces: list[bytes], low: np.ndarray, count: np.ndarray) -> np.ndarra
 
 def _bytes(data: np.ndarray, offsets: np.ndarray):
     at = np.arange(len(data))
-    return _BYTE[data], at, at + 1, offsets[:-1]
+    return np.take(_BYTE, data), at, at + 1, offsets[:-1]
 
 
 KIND = Kind(
