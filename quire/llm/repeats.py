@@ -24,7 +24,7 @@ from quire.llm._io import save, size_hint
 
 BLOCK_BYTES = 2 << 20
 STEP = 1 << 16
-RANGE_BYTES = 8 << 20
+RANGE_BYTES = 4 << 20
 #: Symbols that one index is built over; memory is about 150 bytes for each.
 INDEX_SYMBOLS = 1 << 20
 #: An anchor in more blocks than this has its windows dealt out one by one.
