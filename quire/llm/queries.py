@@ -24,6 +24,9 @@ def queries() -> dict:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_secret_scan": secret_scan.oracle(),
+        "op2_suffix_dedup": suffix_dedup.oracle(),
+        "op6_substring_dedup": substring_dedup.oracle(),
         "op7_top_k": topk.oracle(),
         "op8_quality_rules": quality_rules.oracle(), "op9_source_mix": source_mix.oracle(),
     }

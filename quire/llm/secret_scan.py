@@ -138,3 +138,23 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *[count(r.kind).alias(f"n_{r.kind}") for r in BASE],
         F.sha2(digest(F.col("spans"), tuple(r.kind for r in BASE)), 256).alias("base_sha256"), digest(F.col("spans")).alias("spans"),
     )
+
+
+def oracle() -> str:
+    def found(k: int, r: Rule) -> str:
+        p = r.pattern.replace("'", "''")
+        return f"""SELECT no, {k} AS rank, '{r.kind}' AS kind, s, s + length(m[i]) AS e FROM (SELECT no, m, i,
+      (list_sum(list_transform(p[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0))::BIGINT AS s
+    FROM (SELECT no, regexp_split_to_array(t, '{p}') AS p, regexp_extract_all(t, '{p}') AS m, unnest(range(1, len(regexp_extract_all(t, '{p}')) + 1)) AS i,
+      regexp_extract_all(t, '{p}', {r.group}) AS g FROM d) WHERE length(g[i]) >= {r.least})"""
+
+    base = ", ".join(f"'{r.kind}'" for r in BASE)
+    counts = ", ".join(f"coalesce(count(*) FILTER (kind = '{r.kind}'), 0)::BIGINT AS n_{r.kind}" for r in BASE)
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS no, doc_id, coalesce(text, '') AS t FROM documents),
+f AS ({" UNION ALL ".join(found(k, r) for k, r in enumerate(RULES))})
+SELECT any_value(doc_id) AS doc_id, {counts},
+  sha256(coalesce(string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank) FILTER (kind IN ({base})), '')) AS base_sha256,
+  coalesce(string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank), '') AS spans
+FROM d LEFT JOIN f USING (no) GROUP BY no
+"""

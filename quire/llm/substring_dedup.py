@@ -141,3 +141,16 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Null and empty texts have no words; repeated rows repeat each other's windows."""
     return covered(table(spark, sf_dir, "documents"), KIND, _digest, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+
+
+def oracle() -> str:
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS no, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+w AS (SELECT no, i, array_to_string(ws[i:i + {WINDOW - 1}], ' ') AS s FROM (SELECT no, ws, unnest(range(1, len(ws) - {WINDOW - 2})) AS i FROM d)),
+r AS (SELECT no, i FROM (SELECT no, i, count(*) OVER (PARTITION BY s) AS n FROM w) WHERE n > 1),
+c AS (SELECT DISTINCT no, i + o AS at_word FROM r, range({WINDOW}) x(o)),
+g AS (SELECT no, count(*) AS n, list(at_word) AS gone FROM c GROUP BY no)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(g.n, 0)::BIGINT AS n_removed,
+  sha256(CASE WHEN g.no IS NULL THEN array_to_string(ws, ' ') ELSE coalesce((SELECT string_agg(ws[k], ' ' ORDER BY k) FROM (SELECT unnest(range(1, len(ws) + 1)) AS k) WHERE NOT list_contains(gone, k)), '') END) AS kept_sha256
+FROM d LEFT JOIN g USING (no)
+"""

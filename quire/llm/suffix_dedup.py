@@ -136,3 +136,18 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Null and empty texts have no bytes; repeated rows are repeated in the result."""
     return suffix_dedup(table(spark, sf_dir, "documents")).drop("spans")
+
+
+def oracle() -> str:
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS no, doc_id, coalesce(doc_id, {NO_ID}) AS id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT no, id, i, substr(h, 2 * i - 1, {2 * LENGTH}) AS s FROM (SELECT no, id, h, unnest(range(1, length(h) // 2 - {LENGTH - 2})) AS i FROM d)),
+r AS (SELECT no, i FROM (SELECT no, i, id, min(id) OVER (PARTITION BY s) AS least FROM w) WHERE least < id),
+c AS (SELECT no, b, lag(b) OVER (PARTITION BY no ORDER BY b) AS before FROM (SELECT DISTINCT no, i + o AS b FROM r, range({LENGTH}) x(o))),
+g AS (SELECT no, count(*) AS n, count(*) FILTER (before IS NULL OR before < b - 1) AS runs FROM c GROUP BY no),
+k AS (SELECT e.no, string_agg(substr(h, 2 * b - 1, 2), '' ORDER BY b) AS kept
+  FROM (SELECT no, h, unnest(range(1, length(h) // 2 + 1)) AS b FROM d WHERE no IN (SELECT no FROM g)) e ANTI JOIN c ON e.no = c.no AND e.b = c.b GROUP BY e.no)
+SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(g.n, 0)::BIGINT AS n_removed, coalesce(g.runs, 0)::BIGINT AS n_spans,
+  sha256(unhex(CASE WHEN g.no IS NULL THEN h ELSE coalesce(kept, '') END)) AS kept_sha256
+FROM d LEFT JOIN g USING (no) LEFT JOIN k USING (no)
+"""
