@@ -20,7 +20,7 @@ from quire.llm._io import table
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Texts fall apart where no piece crosses: before the spaces that follow anything else, and around these characters.
 BREAKS = "\n\r\t"
-CACHED, CACHED_CHARS = 1 << 19, 48
+CACHED, CACHED_CHARS = 1 << 18, 48
 
 
 class Vocabulary:

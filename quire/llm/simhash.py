@@ -20,7 +20,8 @@ WORDS = 3
 SEED = 42
 #: Buckets up to this many fingerprints are compared pair by pair in blocks; larger ones are split further.
 PAIRWISE = 1 << 14
-_BLOCK = 1 << 10
+_BLOCK = 1 << 9
+_SMALL = 32
 _RANGE_BYTES = 8 << 20
 
 
@@ -155,10 +156,17 @@ def _edges(pairs: np.ndarray, limit: int | None, limits: Limits) -> tuple[list[n
     starts = np.flatnonzero(np.r_[True, pairs[1:, 0] != pairs[:-1, 0]]) if len(pairs) else np.zeros(0, np.int64)
     ends = np.r_[starts[1:], len(pairs)]
     nodes, size = pairs[:, 1:], ends - starts
-    two = starts[size == 2]  # most buckets that are shared at all
-    near = two[limits.near(nodes[two], nodes[two + 1])]
-    links, large = [np.column_stack([limits.names(nodes[near + 1]), limits.names(nodes[near])])], []
-    for a, b in zip(starts[size > 2].tolist(), ends[size > 2].tolist(), strict=True):
+    links, large = [np.zeros((0, 2), np.uint64)], []
+    # Most shared buckets are small: neighbours at each distance are compared in all of them at once.
+    small = np.repeat((size > 1) & (size <= _SMALL), size)
+    key, some = pairs[small, 0], nodes[small]
+    for d in range(1, _SMALL):
+        same = np.flatnonzero(key[d:] == key[:-d])
+        if not len(same):
+            break
+        near = same[limits.near(some[same + d], some[same])]
+        links.append(np.column_stack([limits.names(some[near + d]), limits.names(some[near])]))
+    for a, b in zip(starts[size > _SMALL].tolist(), ends[size > _SMALL].tolist(), strict=True):
         own = nodes[a:b]
         own = own[np.r_[True, (own[1:] != own[:-1]).any(1)]]
         if limit is not None and len(own) > limit:

@@ -52,9 +52,10 @@ def test_subtrees(monkeypatch, group):
 
 
 @pytest.mark.parametrize(("bits", "check"), [(3, None), (7, None), (7, 20)])
-def test_large_buckets_are_split(bits, check):
+def test_large_buckets_are_split(monkeypatch, bits, check):
     import pandas as pd
 
+    monkeypatch.setattr(simhash, "_SMALL", 4)
     rnd = random.Random(4)
     limits = simhash.Limits(bits, check)
     flip = lambda x, n: x ^ sum(1 << b for b in rnd.sample(range(64), n))
