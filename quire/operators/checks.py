@@ -129,28 +129,37 @@ def copy_forward(pages: DataFrame, sources: DataFrame) -> DataFrame:
     return union(out)
 
 
+def row_findings(rows: DataFrame, rules: dict[str, tuple[Column, Column | None, Column | None]]) -> DataFrame:
+    """Findings of rules that look at one row, in one scan: name -> (condition, metric, detail)."""
+    null = lambda c, kind: (c if c is not None else F.lit(None)).cast(kind)
+    each = [F.when(when, F.struct(F.lit(name).alias("rule"), null(metric, "double").alias("metric"), null(detail, "string").alias("detail"))) for name, (when, metric, detail) in rules.items()]
+    found = rows.select(F.col("page").cast("long").alias("page"), "layer", F.explode(F.array_compact(F.array(*each))).alias("f"))
+    return found.select("f.rule", "page", "layer", F.lit("error").alias("severity"), F.lit(None).cast("long").alias("other_page"), "f.metric", "f.detail")
+
+
 def dataset_audit(pages: DataFrame) -> DataFrame:
     """All findings of the dataset audit on long rows (page, layer in ar, en, id, body)."""
     layer, body = F.col("layer"), F.col("body")
+    target, folded = layer.isin("en", "id"), text.fold_space(body)
     state = F.coalesce(by_lang(layer, lambda g: coverage(body, g)), coverage(body, "ar"))
-    targets = pages.filter(layer.isin("en", "id"))
-    rows = pages.withColumn("state", state)
-    out = [finding(rows, "coverage", F.col("state") != "real", detail=F.col("state"))]
-    keyed = pages.withColumn("folded", text.fold_space(body)).filter(F.length("folded") >= MIN_CHECKED["duplicate"]).withColumn("digest", F.md5("folded"))
+    wrong = by_lang(layer, lambda g: chars.marker_density(folded, dims.MARKERS["id" if g == "en" else "en"]))
+    judged = F.when(target & (F.length(folded) >= MIN_CHECKED["language"]) & ~body.rlike(text.PLACEHOLDER), wrong)
+    run = F.when(target, chars.longest(chars.runs(body, chars.ARABIC_BLOCK)))
+    artifact = target & (body.rlike(text.BATCH_HEADER) | body.rlike(text.COMBINED_INLINE))
+    seen = pages.select("page", "layer", state.alias("state"), artifact.alias("artifact"), run.alias("run"), judged.alias("density"))
+    out = [row_findings(seen, {
+        "coverage": (F.col("state") != "real", None, F.col("state")), "batch-artifact": (F.col("artifact"), None, None),
+        "arabic-run": (F.col("run") >= 12, F.col("run"), None), "wrong-language": (F.col("density") > 0.05, F.col("density"), None),
+    })]
+    keyed = pages.select("page", "layer", folded.alias("folded")).filter(F.length("folded") >= MIN_CHECKED["duplicate"]).select("page", "layer", F.md5("folded").alias("digest"))
     firsts = keyed.groupBy("layer", "digest").agg(F.min("page").alias("first_page"))
     out.append(finding(keyed.join(firsts, ["layer", "digest"]), "duplicate-body", F.col("page") > F.col("first_page"), other=F.col("first_page")))
-    out.append(finding(targets, "batch-artifact", body.rlike(text.BATCH_HEADER) | body.rlike(text.COMBINED_INLINE)))
-    run = chars.longest(chars.runs(body, chars.ARABIC_BLOCK))
-    out.append(finding(targets.withColumn("run", run), "arabic-run", F.col("run") >= 12, metric=F.col("run")))
-    wrong = by_lang(layer, lambda g: chars.marker_density(text.fold_space(body), dims.MARKERS["id" if g == "en" else "en"]))
-    prose = targets.withColumn("density", wrong).filter((F.length(text.fold_space(body)) >= MIN_CHECKED["language"]) & ~body.rlike(text.PLACEHOLDER))
-    out.append(finding(prose, "wrong-language", F.col("density") > 0.05, metric=F.col("density")))
     src = pages.filter(layer == "ar").select(F.col("page").alias("source_page"), folio(body, "top_three").alias("want"))
-    numbered = targets.withColumn("got", folio(body, "top_three")).join(src, F.col("page") == F.col("source_page"))
-    delta = F.abs(F.col("got").try_cast("long") - F.col("want").try_cast("long"))
-    numbered = numbered.withColumn("delta", delta)
-    out.append(finding(numbered, "misfiled", F.col("delta") >= 2, metric=F.col("delta"), detail=F.concat_ws(" vs ", "want", "got")))
-    out.append(finding(numbered, "off-by-one", (F.col("delta") == 1) | (F.col("delta").isNull() & (F.col("want") != F.col("got"))), severity="info", detail=F.concat_ws(" vs ", "want", "got")))
+    numbered = pages.filter(target).select("page", "layer", folio(body, "top_three").alias("got")).join(src, F.col("page") == F.col("source_page"))
+    numbered = numbered.withColumn("delta", F.abs(F.col("got").try_cast("long") - F.col("want").try_cast("long")))
+    both = F.concat_ws(" vs ", "want", "got")
+    out.append(finding(numbered, "misfiled", F.col("delta") >= 2, metric=F.col("delta"), detail=both))
+    out.append(finding(numbered, "off-by-one", (F.col("delta") == 1) | (F.col("delta").isNull() & (F.col("want") != F.col("got"))), severity="info", detail=both))
     return union(out)
 
 

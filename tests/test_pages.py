@@ -180,3 +180,14 @@ def test_relations(spark):
     cases = [(0, 0), (3, 0), (3, 1), (2, 2), (1, 4)]
     got = spark.createDataFrame(cases, "a int, b int").coalesce(1).select(relate.bucket_delta(F.col("a"), F.col("b"))).collect()
     assert [r[0] for r in got] == ["clean", "now clean", "cleaner", "unchanged", "worse"]
+
+
+def test_dataset_audit(spark):
+    long_en = "The master said that the names were written in the book. " * 5
+    rows = [(1, "ar", "— 1 —\nنص"), (1, "en", "— 3 —\n" + long_en), (2, "ar", "— 2 —"), (2, "en", "— 3 —\n" + long_en), (3, "en", "Dan nama itu tidak ada dalam kitab ini untuk yang lain dengan huruf dan angka yang ada di situ juga."), (4, "en", ""), (5, "id", "قال الشيخ الحروفكلهافيالكتاب [combined output x]"), (6, "en", "blank page")]
+    got = {(r.rule, r.page, r.detail) for r in checks.dataset_audit(spark.createDataFrame(rows, "page long, layer string, body string")).collect()}
+    assert got == {
+        ("misfiled", 1, "1 vs 3"), ("off-by-one", 2, "2 vs 3"), ("duplicate-body", 2, None), ("coverage", 3, "not-translation-like"), ("wrong-language", 3, None), ("coverage", 4, "empty"),
+        ("coverage", 5, "not-translation-like"), ("arabic-run", 5, None), ("batch-artifact", 5, None), ("coverage", 6, "placeholder"),
+    }
+    assert tuple(checks.blocking(checks.dataset_audit(spark.createDataFrame(rows, "page long, layer string, body string"))).first()) == (9, 0, True)
