@@ -275,7 +275,8 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, limits: Limits = Limits
     roots = components(links(nodes, nodes.count(), limits)).select(F.col("node").alias("r_node"), F.col("root").alias("r_root"))
     named = nodes.join(roots, F.col("node") == F.col("r_node"), "left").select("node", "least_id", F.coalesce("r_root", "node").alias("root"))
     named = save(named, "named")
-    ids = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    # Written before the join, so that a large component's rows can be split there.
+    ids = save(named.groupBy("root").agg(F.min("least_id").alias("component_id")), "ids")
     of = save(named.join(ids, "root").select(F.col("node").alias("c_node"), "component_id", "root"), "component_ids")
     return fps.join(of, F.col("node") == F.col("c_node")).select("doc_id", "node", "fp", "component_id", "root")
 
