@@ -5,14 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import pieces, quality_model, secret_scan, simhash, source_mix
+from quire.llm import pieces, quality_model, secret_scan, shingle_sets, simhash, source_mix
 from quire.llm._io import save, table
 
-#: The near-duplicate stage finds candidates by fingerprints over three words, and links those whose
-#: five-word shingles are 0.8 or more alike: cos(13 pi / 64) is 0.80, so their fingerprints differ by
-#: 13 of 64 bits at most.
+#: The near-duplicate stage links all texts whose sets of five-word shingles have a Jaccard similarity
+#: of 80 percent or more; fingerprints within any usable number of bits lose some of those.
 CHECK_WORDS = 5
-LIMITS = simhash.Limits(most_bits=7, check_bits=13)
+LIMITS = simhash.Limits(alike=80)
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +35,7 @@ def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     if nameless.isEmpty():
         return named
     loose = save(docs.filter("doc_id is null").withColumn("row_no", F.monotonically_increasing_id()), "nameless")
-    fps = simhash.fingerprints(loose, check_words=CHECK_WORDS, id_col="row_no").select(F.col("doc_id").alias("no"), "node")
+    fps = loose.select(F.col("row_no").alias("no"), shingle_sets.node(F.col("text")).alias("node"))
     first = fps.join(nameless, "node").groupBy("root").agg(F.min("no").alias("first_no"))
     return named.unionByName(loose.join(first, F.col("row_no") == F.col("first_no"), "left_semi").drop("row_no"))
 

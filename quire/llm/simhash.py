@@ -97,10 +97,14 @@ def variants(fp: np.ndarray, low: int, width: int, most_bits: int) -> Iterator[t
 
 
 class Limits(NamedTuple):
-    """Links differ by most_bits of the fingerprint at most and, if there is a second one, by check_bits of that."""
+    """Links differ by most_bits of the fingerprint at most and, if there is a second one, by check_bits of that.
+
+    With alike, links are the pairs whose shingle sets have a Jaccard similarity of so many percent at least.
+    """
 
     most_bits: int = MOST_BITS
     check_bits: int | None = None
+    alike: int | None = None
 
     def near(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         near = np.bitwise_count(a[..., 0] ^ b[..., 0]) <= self.most_bits
@@ -268,8 +272,13 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, limits: Limits = Limits
 
     Documents with equal fingerprints are one node, with the smallest of their ids; links join
     nodes. Rows without words share the fingerprint 0; rows with a null id count as documents but
-    never name a component, unless it has no other id. Repeated rows stay.
+    never name a component, unless it has no other id. Repeated rows stay. With limits.alike no
+    fingerprint decides: shingle sets of check_words words do, and there is no fp.
     """
+    if limits.alike is not None:
+        from quire.llm import shingle_sets
+
+        return shingle_sets.near_duplicates(docs, limits.alike, check_words or words, id_col, text_col)
     fps = save(fingerprints(docs, words, check_words, id_col, text_col), "fingerprints")
     nodes = save(fps.groupBy("node", *limits.columns).agg(F.min("doc_id").alias("least_id")), "nodes")
     roots = components(links(nodes, nodes.count(), limits)).select(F.col("node").alias("r_node"), F.col("root").alias("r_root"))
