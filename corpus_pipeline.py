@@ -42,9 +42,9 @@ def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, with the secrets found in its text masked and n_chars counted again."""
-    ledger = save(secret_scan.scan_new(docs, content_col="text"), "ledger")
+    ledger = save(secret_scan.scan_new(docs, rules=secret_scan.MASKED, content_col="text"), "ledger")
     named = docs.withColumn("secret_blob", secret_scan.address(F.col("text")))
-    found = save(secret_scan.findings(ledger).withColumnRenamed("spans", "secret_spans"), "findings")
+    found = save(secret_scan.findings(ledger, secret_scan.MASKED).withColumnRenamed("spans", "secret_spans"), "findings")
     marked = named.join(found, F.col("secret_blob") == F.col("found_blob"), "left")
     has = F.col("secret_spans").isNotNull()
     masked = marked.withColumn("text", F.when(has, secret_scan.masked(F.col("text"), F.col("secret_spans"))).otherwise(F.col("text")))

@@ -41,6 +41,12 @@ MORE = (
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}", 0, 1),
 )
 RULES = BASE + MORE
+#: What is masked of a private key: the body too, up to the END line or, without one, over the base64 lines.
+_PEM = (
+    r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----(?:\s*[A-Za-z0-9-]{1,40}:[^\r\n]*){0,8}"
+    r"(?:[^-]*-----END [A-Z ]{0,40}PRIVATE KEY-----|(?:(?:\\[nr]|\s){0,4}[A-Za-z0-9+/]{16,}={0,2}|[\x20\t]*\r?\n[A-Za-z0-9+/]+={0,2}[\x20\t]*(?=\r?\n|$)){0,400})"
+)
+MASKED = tuple(r._replace(pattern=_PEM) if r.kind == "pem" else r for r in RULES)
 SPAN = "array<struct<start:bigint,rank:int,end:bigint,kind:string>>"
 
 

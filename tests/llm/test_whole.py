@@ -61,3 +61,18 @@ def test_parity_maps_never_exceed_the_difference():
     for _ in range(200):
         a, b = (np.unique(rnd.choice(pool[: rnd.integers(1, 3000)], rnd.integers(0, 2000))) for _ in range(2))
         assert shingle_sets.differing(shingle_sets.parity(a), shingle_sets.parity(b)) <= len(np.setxor1d(a, b))
+
+
+def test_bodies_of_private_keys_are_masked(spark):
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    body = "\n".join(["MIIEowIBAAKCAQEA" + "aB3/" * 12] * 20 + ["Qx9+short=="])
+    texts = [
+        f"before {begin}\n{body}\n{end} after", f"before {begin}\n{body}\n after all", f"before {begin}\r\nProc-Type: 4,ENCRYPTED\r\nDEK-Info: AES-128-CBC,00FF\r\n\r\n{body}\r\n{end}\nafter",
+        f"before {begin}" + "\\n" + body.replace("\n", "\\n") + f"\\n{end} after", f"before {begin} after", f"before {begin}\n{body}\n\nplain words between them\n{begin}\n{body}\n{end} after",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in corpus_pipeline.mask_secrets(spark, docs, "").collect()}
+    for k, t in got.items():
+        assert t.startswith("before [SECRET]") and "after" in t, (k, t)
+        assert not any(s in t for s in ("MIIE", "aB3", "Qx9", "END")), (k, t)
+    assert "plain words between them" in got[5] and got[5].count("[SECRET]") == 2
