@@ -21,23 +21,20 @@ def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one row of each group of near duplicates, the one with the smallest id.
+    """Keeps one row of each group of near duplicates, one with the smallest id.
 
-    Of repeated rows with that id one stays. A group whose rows have no id at all keeps one of them.
+    Of rows with that id and one text one stays, and so of rows without id; an id whose texts are in
+    several groups stands for each group whose smallest id it is.
     """
     rows = save(simhash.near_duplicates(docs, limits=LIMITS, check_words=CHECK_WORDS), "classes")
-    kept = rows.filter("doc_id = component_id").groupBy(F.col("doc_id").alias("keep_id")).agg(F.count(F.lit(1)).alias("times"))
-    kept = save(kept, "kept")
-    named = docs.join(kept.select("keep_id"), F.col("doc_id") == F.col("keep_id"), "left_semi")
+    least = rows.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root", "node", "component_id").agg(F.count(F.lit(1)).alias("times"))
+    kept = least.groupBy("root").agg(F.min(F.struct("node", "component_id", "times")).alias("k"))
+    kept = save(kept.select(F.col("k.node").alias("keep_node"), F.col("k.component_id").alias("keep_id"), F.col("k.times").alias("times")), "kept")
+    named = docs.withColumn("node", shingle_sets.node(F.col("text")))
+    named = named.join(kept, (F.col("node") == F.col("keep_node")) & F.col("doc_id").eqNullSafe(F.col("keep_id")), "left_semi")
     if not kept.filter("times > 1").isEmpty():
-        named = named.dropDuplicates(["doc_id"])
-    nameless = rows.filter("doc_id is null and component_id is null").select("node", "root").distinct()
-    if nameless.isEmpty():
-        return named
-    loose = save(docs.filter("doc_id is null").withColumn("row_no", F.monotonically_increasing_id()), "nameless")
-    fps = loose.select(F.col("row_no").alias("no"), shingle_sets.node(F.col("text")).alias("node"))
-    first = fps.join(nameless, "node").groupBy("root").agg(F.min("no").alias("first_no"))
-    return named.unionByName(loose.join(first, F.col("row_no") == F.col("first_no"), "left_semi").drop("row_no"))
+        named = named.dropDuplicates(["doc_id", "node"])
+    return named.drop("node")
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

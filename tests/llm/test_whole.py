@@ -76,3 +76,13 @@ def test_bodies_of_private_keys_are_masked(spark):
         assert t.startswith("before [SECRET]") and "after" in t, (k, t)
         assert not any(s in t for s in ("MIIE", "aB3", "Qx9", "END")), (k, t)
     assert "plain words between them" in got[5] and got[5].count("[SECRET]") == 2
+
+
+def test_one_row_of_each_group_under_repeated_ids(spark):
+    rnd = random.Random(13)
+    a, b, c = (" ".join(f"w{rnd.randint(0, 3000)}" for _ in range(80)) for _ in range(3))
+    # Id 5 names the groups of a and b; c's smallest id is 2, so its row with id 5 goes.
+    rows = [(5, a), (5, a), (5, b), (6, b), (7, a), (2, c), (5, c), (None, "no id here"), (None, "no id here"), (None, a)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id or 0, r.text) for r in corpus_pipeline.deduplicate(spark, docs, "").collect())
+    assert got == sorted([(5, a), (5, b), (2, c), (0, "no id here")])
