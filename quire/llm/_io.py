@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 #: Words are runs of anything but these ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
+BATCH_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,9 +22,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; a temporary folder only where a session (of a test) names none."""
+    """The folder of spark.checkpoint.dir, which all executors share.
+
+    Where it is unset, a session on one machine (of a test) gets a temporary one; on a cluster that
+    would be a folder of each executor's own, so there it is an error.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not named:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir is not set: it must name a folder that the driver and all executors share")
         named = tempfile.mkdtemp(prefix="quire-")
         spark.conf.set("spark.checkpoint.dir", named)
     return named.rstrip("/")
@@ -42,6 +52,24 @@ def size_hint(df: DataFrame) -> int:
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """df, whose rows go to Python workers in Arrow batches of BATCH_BYTES, or of one row that is larger.
+
+    Spark's own bound, 64 MB, is held by both sides of each task, more than once. A smaller setting of the session stays.
+    """
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = conf.get(name, None)
+    if now is None or not now.rstrip("b").isdigit() or int(now.rstrip("b")) > BATCH_BYTES:
+        conf.set(name, str(BATCH_BYTES))
+    return df
+
+
+def raw_texts(column: pa.Array) -> Iterator[memoryview]:
+    """The UTF-8 bytes of each text, where the batch has them; none for null."""
+    for t in column:
+        yield memoryview(t.as_buffer() or b"")
+
+
 def in_order(df: DataFrame, *order) -> DataFrame:
     """df range-partitioned by the columns, with `part`, which grows with the order; written, so that it stays."""
     return save(df.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "ordered")

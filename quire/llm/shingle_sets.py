@@ -1,9 +1,12 @@
 """Near duplicates by their shingle sets: every pair whose Jaccard similarity reaches a threshold, and no other.
 
-Shingles have one order for all texts, rare ones first. Two sets that are alike enough share one of
-the first shingles of each (prefix filter), so texts meet under these; sizes and places in the order
-rule further pairs out (length and position filter), then parity maps do, and what is left is
-compared set by set. None of the filters loses a pair.
+SimHash proposes first: nodes whose fingerprints meet under a deletion variant and lie within a few
+bits are compared set by set, which puts most copies into their groups. Pairs that fingerprints tell
+apart though their sets are alike are found after it. Shingles have one order for all texts, rare
+ones first; two sets that are alike enough share one of the first shingles of each (prefix filter),
+so texts of different groups meet under these; sizes and places in the order rule further pairs out
+(length and position filter), then parity maps do, and what is left is compared set by set. None of
+the filters loses a pair.
 """
 
 from __future__ import annotations
@@ -17,35 +20,38 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm._io import save
-from quire.llm.simhash import SEED, _blobs, components
+from quire.llm._io import raw_texts, save, small_batches
+from quire.llm.simhash import BITS, MOST_BITS, SEED, blobs, classes, components, ranges_of, shingle_hashes, tokens
+from quire.llm.simhash import links as fingerprint_links
 
 #: About so many texts tell which shingles are common; they steer the order and never results.
 SAMPLE = 1 << 13
 LEAST_COMMON, MOST_COMMON = 4, 1 << 17
 #: Members of a bucket are compared up to this distance at first; where several components are left, up to WIDER times it, and so on.
 REACH, WIDER = 8, 8
-_RANGE_BYTES = 8 << 20
 _KEPT = 256
 
 
-def line_of(text: str | None) -> bytes:
+def line_of(raw: bytes | memoryview) -> bytes:
     """The words of a text as fingerprints see them: ASCII case and white space alone are folded."""
-    return b" ".join((text or "").encode("utf-8", "replace").lower().split())
+    return b" ".join(b" ".join(part) for part in tokens(raw) if part)
 
 
 def _name(line: bytes) -> int:
     return xxhash.xxh64_intdigest(line, SEED)
 
 
-def shingles(line: bytes, words: int) -> np.ndarray:
+def shingles(raw: bytes | memoryview, words: int) -> np.ndarray:
     """Distinct XXH64 of the shingles; a text of fewer words is one shingle, one without words has none."""
-    if not line:
-        return np.zeros(0, np.uint64)
-    ends = np.flatnonzero(np.frombuffer(line, np.uint8) == 32).tolist() + [len(line)]
-    starts = [0] + [e + 1 for e in ends[:-1]]
-    digest, spans = xxhash.xxh64_intdigest, zip(starts, ends[words - 1 :] if len(ends) >= words else ends[-1:], strict=False)
-    return np.unique(np.array([digest(line[a:b], SEED) for a, b in spans], np.uint64))
+    return np.unique(np.concatenate([np.zeros(0, np.uint64), *shingle_hashes(raw, words)]))
+
+
+def majority(own: np.ndarray) -> int:
+    """The fingerprint of a set of shingles."""
+    total = np.zeros(BITS, np.int64)
+    for k in range(0, len(own), 4096):
+        total += np.unpackbits(own[k : k + 4096].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return int(np.packbits(2 * total > len(own), bitorder="little").view(np.uint64)[0])
 
 
 def node(text: Column) -> Column:
@@ -53,7 +59,7 @@ def node(text: Column) -> Column:
 
     @F.pandas_udf("long")
     def named(texts: pd.Series) -> pd.Series:
-        return pd.Series(np.array([_name(line_of(t)) for t in texts], np.uint64).view(np.int64))
+        return pd.Series(np.array([_name(line_of((t or "").encode("utf-8", "replace"))) for t in texts], np.uint64).view(np.int64))
 
     return named(text)
 
@@ -63,14 +69,14 @@ def _common(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lines = {line_of(t.as_py()) for t in batch.column(0)}
+            lines = {line_of(t) for t in raw_texts(batch.column(0))}
             found = np.concatenate([np.zeros(0, np.uint64), *(shingles(x, words) for x in lines)])
             h, n = np.unique(found, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], ["h", "n"])
 
     share = min(1.0, SAMPLE / max(1, docs.count()))
     some = docs.select("text").sample(share, seed=SEED) if share < 1 else docs.select("text")
-    counted = some.mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).filter(F.col("n") >= LEAST_COMMON)
+    counted = small_batches(some).mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).filter(F.col("n") >= LEAST_COMMON)
     rows = counted.orderBy(F.col("n").desc(), "h").limit(MOST_COMMON).collect()
     h, n = np.array([r.h for r in rows], np.int64).view(np.uint64), np.array([r.n for r in rows], np.int64)
     order = np.argsort(h)
@@ -104,26 +110,28 @@ def differing(a: bytes, b: bytes) -> int:
 
 
 def _prefixes(docs: DataFrame, common: tuple[np.ndarray, np.ndarray], words: int, alike: int) -> DataFrame:
-    """(doc_id, node, size, prefix, parity) of every row."""
+    """(doc_id, node, size, fp, prefix, parity) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, sizes, firsts, maps = [], [], [], []
-            for t in batch.column(1):
-                line = line_of(t.as_py())
+            names, sizes, prints, firsts, maps = [], [], [], [], []
+            for t in raw_texts(batch.column(1)):
+                line = line_of(t)
                 own = shingles(line, words)
                 names.append(_name(line))
                 sizes.append(len(own))
+                prints.append(majority(own))
                 firsts.append(prefix(own, common, alike).tobytes())
                 maps.append(parity(own))
-            columns = [batch.column(0), pa.array(np.array(names, np.uint64).view(np.int64)), pa.array(np.array(sizes, np.int64)), pa.array(firsts, pa.binary()), pa.array(maps, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "size", "prefix", "parity"])
+            numbers = [pa.array(np.array(v, np.uint64).view(np.int64)) for v in (names, sizes, prints)]
+            columns = [batch.column(0), *numbers, pa.array(firsts, pa.binary()), pa.array(maps, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "size", "fp", "prefix", "parity"])
 
-    return docs.mapInArrow(run, "doc_id long, node long, size long, prefix binary, parity binary")
+    return small_batches(docs).mapInArrow(run, "doc_id long, node long, size long, fp long, prefix binary, parity binary")
 
 
 def _pack(ranges: int):
-    """Nodes to blobs of (shingle, node, size and place), one for each range of the shingles."""
+    """Nodes to blobs of (shingle, node, size and place, root), one for each range of the shingles."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -132,8 +140,8 @@ def _pack(ranges: int):
                 counts = (part["prefix"].map(len) // 8).to_numpy()
                 place = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
                 where = np.repeat(part["size"].to_numpy(), counts) << 32 | place
-                rows = np.column_stack([np.repeat(part["node"].to_numpy(), counts), where]).astype(np.int64).view(np.uint64)
-                yield from _blobs(np.frombuffer(b"".join(part["prefix"]), np.uint64), rows, ranges)
+                rows = np.column_stack([np.repeat(part["node"].to_numpy(), counts), where, np.repeat(part["root"].to_numpy(), counts)]).astype(np.int64).view(np.uint64)
+                yield from blobs(np.frombuffer(b"".join(part["prefix"]), np.uint64), rows, ranges)
 
     return run
 
@@ -173,11 +181,11 @@ def _found(rows: pd.DataFrame, low: int, high: int, alike: int) -> Iterator[pd.D
 
 def _first(high: int, alike: int):
     def run(_: tuple, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        raw = np.frombuffer(b"".join(x for pdf in batches for x in pdf["pairs"]), np.int64).reshape(-1, 3)
+        raw = np.frombuffer(b"".join(x for pdf in batches for x in pdf["pairs"]), np.int64).reshape(-1, 4)
         raw = raw[np.argsort(raw[:, 0], kind="stable")]
         same = raw[1:, 0] == raw[:-1, 0]
         raw = raw[np.r_[False, same] | np.r_[same, False]] if len(raw) else raw
-        rows = pd.DataFrame({"key": raw[:, 0], "node": raw[:, 1], "size": raw[:, 2] >> 32, "place": raw[:, 2] & 0xFFFFFFFF, "root": raw[:, 1]})
+        rows = pd.DataFrame({"key": raw[:, 0], "node": raw[:, 1], "size": raw[:, 2] >> 32, "place": raw[:, 2] & 0xFFFFFFFF, "root": raw[:, 3]})
         yield from _found(rows, 0, high, alike)
 
     return run
@@ -206,7 +214,7 @@ def _compare(words: int, alike: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         kept: dict[int, np.ndarray] = {}
 
-        def own(name: int, line: bytes) -> np.ndarray:
+        def own(name: int, line: bytes) -> np.ndarray:  # the last ones, as pairs come in groups
             if (got := kept.get(name)) is None:
                 if len(kept) >= _KEPT:
                     kept.clear()
@@ -229,57 +237,78 @@ def _lines(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lines = [line_of(t.as_py()) for t in batch.column(0)]
+            lines = [line_of(t) for t in raw_texts(batch.column(0))]
             names = np.array([_name(x) for x in lines], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(lines, pa.binary())], ["name", "line"])
 
-    every = docs.select("text").mapInArrow(run, "name long, line binary")
+    every = small_batches(docs.select("text")).mapInArrow(run, "name long, line binary")
     return save(every.join(wanted, F.col("name") == F.col("wanted"), "left_semi").groupBy("name").agg(F.first("line").alias("line")), "lines")
 
 
+def _by_fingerprint(nodes: DataFrame) -> DataFrame:
+    """(a, b): nodes with a node of the same fingerprint, and nodes of fingerprints that SimHash links."""
+    one = save(nodes.groupBy("fp").agg(F.min("node").alias("first")), "prints")
+    same = nodes.join(one.withColumnRenamed("fp", "o_fp"), F.col("fp") == F.col("o_fp")).filter("node != first").select(F.col("node").alias("a"), F.col("first").alias("b"))
+    near = fingerprint_links(one, one.count(), MOST_BITS)
+    for c in ("a", "b"):
+        named = one.select(F.col("fp").alias(f"fp_{c}"), F.col("first").alias(f"first_{c}"))
+        near = near.join(named, F.col(c) == F.col(f"fp_{c}"))
+    return same.union(near.select(F.col("first_a").alias("a"), F.col("first_b").alias("b")))
+
+
+def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int, alike: int) -> DataFrame:
+    """The pairs (a, b) whose sets are alike enough."""
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    for c in ("a", "b"):
+        maps = nodes.select(F.col("node").alias(f"node_{c}"), F.col("size").alias(f"size_{c}"), F.col("parity").alias(f"map_{c}"))
+        pairs = pairs.join(maps, F.col(c) == F.col(f"node_{c}"))
+    pairs = save(pairs.select("a", "b", "size_a", "map_a", "size_b", "map_b").mapInPandas(_sift(alike), "a long, b long"), "pairs")
+    if pairs.isEmpty():
+        return pairs
+    lines = _lines(docs, save(pairs.select(F.explode(F.array("a", "b")).alias("wanted")).distinct(), "wanted"))
+    for c in ("a", "b"):
+        own = lines.select(F.col("name").alias(f"name_{c}"), F.col("line").alias(f"line_{c}"))
+        pairs = pairs.join(own, F.col(c) == F.col(f"name_{c}"))
+    return save(small_batches(pairs.select("a", "b", "line_a", "line_b")).mapInPandas(_compare(words, alike), "a long, b long"), "links")
+
+
+def _rooted(nodes: DataFrame, found: DataFrame) -> DataFrame:
+    """nodes with the root of each so far."""
+    roots = save(components(found).select(F.col("node").alias("r_node"), F.col("root").alias("r_root")), "roots")
+    return nodes.join(roots, F.col("node") == F.col("r_node"), "left").withColumn("root", F.coalesce("r_root", "node")).drop("r_node", "r_root")
+
+
 def links(docs: DataFrame, nodes: DataFrame, words: int, alike: int) -> DataFrame:
     """(a, b) links whose components are those of all pairs of nodes alike enough.
 
-    Buckets compare near neighbours first. Where members still belong to several components,
-    distances widen until every pair of different components has been compared, so that large
-    groups of near copies take few comparisons and nothing is left out.
+    What SimHash proposes comes first. Buckets then compare near neighbours first. Where members
+    still belong to several components, distances widen until every pair of different components
+    has been compared, so that large groups of near copies take few comparisons and nothing is left out.
     """
+    out = _verified(docs, nodes, _by_fingerprint(nodes), words, alike)
     size = nodes.agg(F.sum(F.octet_length("prefix"))).first()[0] or 0
-    ranges = max(64, 3 * size // _RANGE_BYTES)
-    blobs = nodes.select("node", "size", "prefix").mapInPandas(_pack(ranges), "range long, pairs binary")
-    found = save(blobs.groupBy("range").applyInPandas(_first(REACH, alike), _FOUND), "candidates")
-
-    def verified(found: DataFrame) -> DataFrame:
-        pairs = found.filter(~F.col("more")).select("a", "b").distinct()
-        for c in ("a", "b"):
-            maps = nodes.select(F.col("node").alias(f"node_{c}"), F.col("size").alias(f"size_{c}"), F.col("parity").alias(f"map_{c}"))
-            pairs = pairs.join(maps, F.col(c) == F.col(f"node_{c}"))
-        pairs = save(pairs.select("a", "b", "size_a", "map_a", "size_b", "map_b").mapInPandas(_sift(alike), "a long, b long"), "pairs")
-        lines = _lines(docs, save(pairs.select(F.explode(F.array("a", "b")).alias("wanted")).distinct(), "wanted"))
-        for c in ("a", "b"):
-            own = lines.select(F.col("name").alias(f"name_{c}"), F.col("line").alias(f"line_{c}"))
-            pairs = pairs.join(own, F.col(c) == F.col(f"name_{c}"))
-        return save(pairs.select("a", "b", "line_a", "line_b").mapInPandas(_compare(words, alike), "a long, b long"), "links")
-
-    out, low, high = verified(found), REACH, REACH * WIDER
-    while not (more := found.filter("more")).isEmpty():
-        roots = save(components(out).select(F.col("node").alias("r_node"), F.col("root").alias("r_root")), "roots")
-        rows = more.join(roots, F.col("a") == F.col("r_node"), "left").select("key", F.col("a").alias("node"), "size", "place", F.coalesce("r_root", "a").alias("root"))
-        found = save(rows.groupBy(F.col("key").alias("bucket")).applyInPandas(_again(low, high, alike), _FOUND), "candidates")
-        out = save(out.union(verified(found)), "links")
+    ranges = ranges_of(4 * size)
+    packed = _rooted(nodes.select("node", "size", "prefix"), out).mapInPandas(_pack(ranges), "range long, pairs binary")
+    found = save(packed.groupBy("range").applyInPandas(_first(REACH, alike), _FOUND), "candidates")
+    low, high = 0, REACH
+    while True:
+        out = save(out.union(_verified(docs, nodes, found.filter(~F.col("more")).select("a", "b"), words, alike)), "links")
+        more = found.filter("more")
+        if more.isEmpty():
+            return out
         low, high = high, high * WIDER
-    return out
+        rows = _rooted(more.select("key", F.col("a").alias("node"), "size", "place"), out)
+        found = save(rows.groupBy(F.col("key").alias("bucket")).applyInPandas(_again(low, high, alike), _FOUND), "candidates")
 
 
 def near_duplicates(docs: DataFrame, alike: int, words: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, node, component_id, root) for every row; links are the pairs with a Jaccard similarity of alike percent at least."""
+    """(doc_id, node, component_id, root) for every row; links are the pairs with a Jaccard similarity of alike percent at least.
+
+    node names texts equal up to ASCII case and white space; null and empty texts and others without
+    words are one node.
+    """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = save(_prefixes(docs, _common(docs, words), words, alike), "prefixes")
-    nodes = save(rows.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.first("size").alias("size"), F.first("prefix").alias("prefix"), F.first("parity").alias("parity")), "nodes")
-    roots = components(links(docs, nodes, words, alike)).select(F.col("node").alias("r_node"), F.col("root").alias("r_root"))
-    named = nodes.join(roots, F.col("node") == F.col("r_node"), "left").select("node", "least_id", F.coalesce("r_root", "node").alias("root"))
-    named = save(named, "named")
-    # Written before the join, so that a large component's rows can be split there.
-    ids = save(named.groupBy("root").agg(F.min("least_id").alias("component_id")), "ids")
-    of = save(named.join(ids, "root").select(F.col("node").alias("c_node"), "component_id", "root"), "component_ids")
-    return rows.select("doc_id", "node").join(of, F.col("node") == F.col("c_node")).select("doc_id", "node", "component_id", "root")
+    first = [F.first(c).alias(c) for c in ("size", "fp", "prefix", "parity")]
+    nodes = save(rows.groupBy("node").agg(F.min("doc_id").alias("least_id"), *first), "nodes")
+    return classes(rows.select("doc_id", "node"), nodes, links(docs, nodes, words, alike))

@@ -51,31 +51,33 @@ def test_subtrees(monkeypatch, group):
     assert [v == 0 for v in got.tolist()] == [seen.count(w) > 1 for w in seen]
 
 
-@pytest.mark.parametrize(("bits", "check"), [(3, None), (7, None), (7, 20)])
-def test_large_buckets_are_split(monkeypatch, bits, check):
+@pytest.mark.parametrize("bits", [3, 7])
+def test_large_buckets_are_split(monkeypatch, bits):
     import pandas as pd
 
     monkeypatch.setattr(simhash, "_SMALL", 4)
     rnd = random.Random(4)
-    limits = simhash.Limits(bits, check)
     flip = lambda x, n: x ^ sum(1 << b for b in rnd.sample(range(64), n))
-    centre, other = rnd.getrandbits(64), rnd.getrandbits(64)
-    pairs = {(flip(centre, rnd.randint(0, bits)), flip(other, rnd.randint(0, 16))) for _ in range(300)} | {(rnd.getrandbits(64), 0) for _ in range(50)}
-    nodes = np.array(sorted(dict(pairs).items()), np.uint64)[:, : len(limits.columns)]
-    keys = np.concatenate([simhash._key(v, n, g) for n, g, v in simhash.variants(nodes[:, 0], 0, 64, bits)])
-    rows = np.column_stack([keys, np.tile(nodes, (64, 1))])
-    every, large = simhash._edges(rows, None, limits)
-    some, rest = simhash._edges(rows, 5, limits)
+    centre = rnd.getrandbits(64)
+    fp = np.array(sorted({flip(centre, rnd.randint(0, bits)) for _ in range(300)} | {rnd.getrandbits(64) for _ in range(50)}), np.uint64)
+    rows = np.column_stack([simhash._keys(fp, bits), np.tile(fp, 64)])
+    every, large = simhash._edges(rows, None, bits)
+    some, rest = simhash._edges(rows, 5, bits)
     assert not large and rest
     rest = np.concatenate(rest).view(np.int64)
-    for pdf in simhash._split_large(4, limits)(iter([pd.DataFrame({"key": rest[:, 0], "a": rest[:, 1], "b": rest[:, -1]})])):
-        for blob in pdf["pairs"]:
-            some += simhash._edges(np.frombuffer(blob, np.uint64).reshape(-1, rows.shape[1]), None, limits)[0]
-    names = [int(x) for x in limits.names(nodes)]
-    want = [(a, b) for i, a in enumerate(names) for j, b in enumerate(names) if limits.near(nodes[i], nodes[j])]
+    read = lambda frames: [np.frombuffer(x, np.uint64).reshape(-1, 2) for pdf in frames for x in pdf["pairs"]]
+    for blob in read(simhash._split_large(4, bits)(iter([pd.DataFrame({"a": rest[:, 0], "b": rest[:, 1]})]))):
+        some += simhash._edges(blob, None, bits)[0]
+    # The same with all keys known to be common beforehand: none is gathered whole, and what was split is not split again.
+    at_once = [np.zeros((0, 2), np.uint64)]
+    for blob in read(simhash._pack(4, bits, np.unique(rows[:, 0]))(iter([pd.DataFrame({"fp": fp.view(np.int64)})]))):
+        found, large = simhash._edges(blob, 5, bits)
+        assert not large
+        at_once += found
+    want = [(a, b) for a in fp.tolist() for b in fp.tolist() if (a ^ b).bit_count() <= bits]
     classes = []
-    for links in (want, np.concatenate(every).tolist(), np.concatenate(some).tolist()):
-        root = {x: x for x in names}
+    for links in (want, np.concatenate(every).tolist(), np.concatenate(some).tolist(), np.concatenate(at_once).tolist()):
+        root = {x: x for x in fp.tolist()}
 
         def find(x, root=root):
             while root[x] != x:
@@ -85,10 +87,44 @@ def test_large_buckets_are_split(monkeypatch, bits, check):
         for a, b in links:
             root[find(a)] = find(b)
         own = {}
-        for x in names:
+        for x in root:
             own.setdefault(find(x), set()).add(x)
         classes.append(sorted(map(sorted, own.values())))
-    assert classes[0] == classes[1] == classes[2]
+    assert classes[0] == classes[1] == classes[2] == classes[3]
+
+
+def test_common_keys_change_no_component(spark, monkeypatch):
+    rnd = random.Random(14)
+    centre = rnd.getrandbits(63)
+    fps = sorted({centre ^ sum(1 << b for b in rnd.sample(range(63), rnd.randint(0, 4))) for _ in range(400)} | {rnd.getrandbits(63) for _ in range(400)})
+    nodes = spark.createDataFrame([(x,) for x in fps], "fp long")
+    want = {tuple(r) for r in simhash.components(simhash.links(nodes, len(fps))).collect()}
+    monkeypatch.setattr(simhash, "SAMPLE", 200)
+    monkeypatch.setattr(simhash, "COMMON", 3)
+    assert len(simhash._common_keys(nodes, len(fps), 3))
+    assert {tuple(r) for r in simhash.components(simhash.links(nodes, len(fps))).collect()} == want and want
+
+
+@pytest.mark.parametrize("chunk", [1, 7, 64])
+def test_fingerprints_of_chunks(monkeypatch, chunk):
+    rnd = random.Random(15)
+    texts = ["", " \n ", "one", "One two", "A b\tC", "é\u2003x  y\x0bz" * 9, *(" ".join("w" * rnd.randint(1, 30) for _ in range(rnd.randint(1, 60))) for _ in range(30))]
+    want = [simhash.fingerprint(t, w) for t in texts for w in (1, 3, 5)]
+    monkeypatch.setattr(simhash, "CHUNK", chunk)
+    assert [simhash.fingerprint(t, w) for t in texts for w in (1, 3, 5)] == want
+    assert [simhash.fingerprint(memoryview(t.encode()), w) for t in texts for w in (1, 3, 5)] == want
+
+
+def test_memory_of_long_texts_is_bounded():
+    import tracemalloc
+
+    raw = b"some words of a very long text indeed " * 550_000  # 21 MB, 4.4 million words
+    small = simhash.fingerprint(raw[: 38 * 1000])
+    tracemalloc.start()
+    assert simhash.fingerprint(raw).bit_count() - small.bit_count() < 8
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 48 << 20
 
 
 def test_components(spark):

@@ -175,7 +175,7 @@ def test_stages_by_brute_force(spark, nasty, docs):
 
     table = spark.read.parquet(f"{nasty}/documents.parquet")
     kept = p.deduplicate(spark, table, nasty).collect()
-    classes = p.simhash.near_duplicates(table, limits=p.LIMITS, check_words=p.CHECK_WORDS).collect()
+    classes = p.simhash.near_duplicates(table, words=p.WORDS, alike=p.ALIKE).collect()
     named = {r.component_id for r in classes if r.component_id is not None}
     loose = {r.root for r in classes if r.component_id is None}
     assert Counter(r.doc_id for r in kept if r.doc_id is not None) == Counter(named)

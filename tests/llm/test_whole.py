@@ -51,7 +51,7 @@ def test_every_pair_alike_is_linked(spark):
     for k in range(len(texts)):
         least.setdefault(find(k), k)
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    rows = simhash.near_duplicates(docs, limits=corpus_pipeline.LIMITS, check_words=corpus_pipeline.CHECK_WORDS).collect()
+    rows = simhash.near_duplicates(docs, words=corpus_pipeline.WORDS, alike=corpus_pipeline.ALIKE).collect()
     assert {r.doc_id: r.component_id for r in rows} == {k: least[find(k)] for k in range(len(texts))}
 
 
@@ -86,3 +86,22 @@ def test_one_row_of_each_group_under_repeated_ids(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = sorted((r.doc_id or 0, r.text) for r in corpus_pipeline.deduplicate(spark, docs, "").collect())
     assert got == sorted([(5, a), (5, b), (2, c), (0, "no id here")])
+
+
+def test_columns_of_any_name_pass_through(spark):
+    """Names that stages and operators use for themselves, held by the documents too."""
+    taken = (
+        "keep_id keep_node node times root component_id least_id doc spans secret_spans found_blob blob secret_blob masked copy_no row_no first_no mix_id mix_digest "
+        "mix_source alike id no size part target copies taken words fp prefix parity x score label_id quality held_out u v m key a b name line col"
+    ).split()
+    rnd = random.Random(16)
+    words = lambda: " ".join(f"w{rnd.randint(0, 3000)}" for _ in range(60))
+    a = words()
+    rows = [(1, a, "s", 0), (2, a + " tail", "s", 0), (3, "token=abcdefgh12 " + words(), None, 0), (4, words(), "s", 0), (5, None, "t", 0)]
+    docs = spark.createDataFrame([(*r, *[f"{k}-{c}" for c in taken]) for k, r in enumerate(rows)], f"doc_id long, text string, source string, n_chars long, {', '.join(f'`{c}` string' for c in taken)}")
+    for name, stage in corpus_pipeline.STAGES[1:-1]:
+        out = stage(spark, docs, "")
+        assert out.columns == docs.columns, name
+        for r in out.collect():
+            assert all(r[c] == f"{r.doc_id - 1}-{c}" for c in taken), name
+    assert sorted(r.doc_id for r in corpus_pipeline.deduplicate(spark, docs, "").collect()) == [1, 3, 4, 5]
