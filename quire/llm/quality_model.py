@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm._io import table
+from quire.llm._io import small_batches, table
 
 #: Bound of the sample of labelled rows that training gathers on the driver.
 MAX_TRAIN_ROWS = 20_000
@@ -141,15 +141,15 @@ def fit(docs: DataFrame, labels: DataFrame, max_train_rows: int = MAX_TRAIN_ROWS
     )
     stats = F.pandas_udf(lambda s: pd.Series([statistics(t) for t in s]), "array<double>")
     # Broadcast: max_train_rows rows of 16 bytes at most.
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("label_id"))
-    got = rows.select("doc_id", "quality", stats("text").alias("x")).toPandas()
-    got = got.assign(key=[tuple(v) for v in got["x"]]).sort_values(["doc_id", "quality", "key"])[:max_train_rows]
+    rows = small_batches(docs.select("doc_id", "text")).join(F.broadcast(sample), F.col("doc_id") == F.col("label_id"))
+    # Ids may repeat, so the bound holds for what is gathered too.
+    got = rows.select("doc_id", "quality", stats("text").alias("x")).orderBy(F.xxhash64("doc_id"), "doc_id", "quality", "x").limit(max_train_rows).toPandas()
     x = np.array(got["x"].tolist(), float).reshape(-1, len(FEATURES))
     return train(x, got["quality"].to_numpy(float))
 
 
 def scorer(forest: Forest):
-    """A Column function from text to score."""
+    """A Column function from text to score; frames that it is put on should go through small_batches() first."""
 
     def score(s: pd.Series) -> pd.Series:
         out = np.empty(len(s))
@@ -163,7 +163,7 @@ def scorer(forest: Forest):
 
 def op4_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores depend on the text alone: null and empty texts share one, repeated rows get the same."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = small_batches(table(spark, sf_dir, "documents").select("doc_id", "text"))
     forest = fit(docs, table(spark, sf_dir, "labels"))
     scored = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), scorer(forest)("text").alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
