@@ -15,6 +15,10 @@ from pyspark.sql import functions as F
 #: Words are runs of anything but these ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 BATCH_BYTES = 8 << 20
+#: Bytes of a text that are words in memory at a time.
+CHUNK = 1 << 18
+SMALL_RANGES = 1 << 12
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,6 +74,28 @@ def raw_texts(column: pa.Array) -> Iterator[memoryview]:
         yield memoryview(t.as_buffer() or b"")
 
 
+def word_chunks(raw: bytes | memoryview) -> Iterator[bytes]:
+    """A text in parts of about CHUNK bytes, cut before white space."""
+    at = 0
+    while at < len(raw):
+        end = min(at + CHUNK, len(raw))
+        if end < len(raw):
+            gap = _SPACE.search(raw, end)
+            end = gap.start() if gap else len(raw)
+        yield bytes(raw[at:end])
+        at = end
+
+
+def ranges_of(size: int, range_bytes: int) -> int:
+    """Into how many ranges so many bytes are dealt.
+
+    A range holds range_bytes; from SMALL_RANGES on, number and size of the ranges grow alike, so that
+    what one block sends to one range doesn't shrink to a row.
+    """
+    small = max(64, -(-size // range_bytes))
+    return small if small <= SMALL_RANGES else int((small * SMALL_RANGES) ** 0.5)
+
+
 def in_order(df: DataFrame, *order) -> DataFrame:
     """df range-partitioned by the columns, with `part`, which grows with the order; written, so that it stays."""
     return save(df.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "ordered")

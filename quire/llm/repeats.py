@@ -14,20 +14,20 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-import xxhash
+import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm._io import save, size_hint
+from quire.llm._io import ranges_of, raw_texts, save, small_batches
 
 BLOCK_BYTES = 2 << 20
 STEP = 1 << 16
-RANGE_BYTES = 4 << 20
+RANGE_BYTES = 6 << 20
 #: Symbols that one index is built over; memory is about 150 bytes for each.
 INDEX_SYMBOLS = 1 << 20
-#: An anchor in more blocks than this has its windows dealt out one by one.
+#: The pieces of an anchor in more blocks than this are cut again by a second anchor.
 HOT_BLOCKS = 1 << 10
 NO_ID = np.iinfo(np.int64).max
 
@@ -41,13 +41,11 @@ class Kind(NamedTuple):
 
     window: int
     gram: int
-    clean: Callable[[bytes], bytes]
+    clean: Callable[[memoryview], bytes]
     #: Block bytes and offsets of its documents to the hash, start and end of each symbol, and each document's first symbol.
     symbols: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
-    #: Pieces with least id and count to a value for each window of each piece, in a row; NO_ID: nothing found.
-    index: Callable[[list[bytes], np.ndarray, np.ndarray], np.ndarray]
-    #: Splits a piece into its windows.
-    windows: Callable[[bytes], list[bytes]]
+    #: Pieces to a number for each window of each piece, in a row; equal windows, and no others, have equal numbers.
+    index: Callable[[list[bytes]], np.ndarray]
     #: Symbols of a piece.
     size: Callable[[bytes], int]
     #: Whether copies in one document count.
@@ -73,37 +71,31 @@ class Block(NamedTuple):
 
 
 def pack(docs: DataFrame, kind: Kind, id_col: str, text_col: str) -> DataFrame:
-    """(block, payload): documents in blocks of about BLOCK_BYTES; one longer text is a block of its own."""
+    """(block, bytes, payload): documents in blocks of about BLOCK_BYTES; one longer text is a block of its own."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, ids, texts, size = TaskContext.get().partitionId() << 32, [], [], 0
 
-        def block() -> pd.DataFrame:
+        def block() -> pa.RecordBatch:
             offsets = np.cumsum([0, *map(len, texts)], dtype=np.int64)
             null = np.array([i is None for i in ids], bool)
             b = Block(np.array([NO_ID if i is None else i for i in ids], np.int64), null, offsets, b"".join(texts))
-            return pd.DataFrame({"block": [number], "payload": [b.packed()]})
+            return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([size], pa.int64()), pa.array([b.packed()], pa.binary())], ["block", "bytes", "payload"])
 
         for batch in batches:
-            for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                t = kind.clean((text or "").encode("utf-8", "replace"))
+            for i, raw in zip(batch.column(0).to_pylist(), raw_texts(batch.column(1)), strict=True):
+                t = kind.clean(raw)
                 if texts and size + len(t) > BLOCK_BYTES:
-                    yield pa_of(block())
+                    yield block()
                     number, ids, texts, size = number + 1, [], [], 0
                 ids.append(i)
                 texts.append(t)
                 size += len(t)
         if texts:
-            yield pa_of(block())
+            yield block()
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return save(rows.mapInArrow(run, "block long, payload binary"), "blocks")
-
-
-def pa_of(pdf: pd.DataFrame):
-    import pyarrow as pa
-
-    return pa.RecordBatch.from_pandas(pdf, schema=pa.schema([("block", pa.int64()), ("payload", pa.binary())]), preserve_index=False)
+    return save(small_batches(rows).mapInArrow(run, "block long, bytes long, payload binary"), "blocks")
 
 
 def _mix(v: np.ndarray) -> np.ndarray:
@@ -157,6 +149,23 @@ class Pieces(NamedTuple):
 
 def pieces(b: Block, kind: Kind, ranges: int) -> Pieces:
     hashes, starts, ends, firsts = kind.symbols(np.frombuffer(b.data, np.uint8), b.offsets)
+    first, last, gram = _cut(hashes, firsts, kind)
+    doc = np.searchsorted(firsts, first, side="right") - 1  # empty documents stand before the one that begins there
+    return Pieces(first, last, doc, *_place(gram, ranges), starts, ends, firsts)
+
+
+def _place(gram: np.ndarray, ranges: int) -> tuple[np.ndarray, np.ndarray]:
+    """Range and mark of an anchor."""
+    key = _mix(gram ^ np.uint64(0x5851F42D4C957F2D))
+    return ((key >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64), (key & np.uint64(0x7FFFFFFF)).astype(np.int64)
+
+
+def _cut(hashes: np.ndarray, firsts: np.ndarray, kind: Kind, second: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first window, last window, hash of the anchor) of the pieces of all documents.
+
+    With second, a piece's windows also share the gram that another hash puts first, and the hash is
+    one of both anchors.
+    """
     n, found = len(hashes), []
     bounds = np.r_[firsts, n]
     # A few documents at a time, so that the arrays stay in the processor's cache.
@@ -164,27 +173,31 @@ def pieces(b: Block, kind: Kind, ranges: int) -> Pieces:
     for i, k in zip(cuts.tolist(), cuts[1:].tolist(), strict=False):
         x, y = int(bounds[i]), int(bounds[k])
         if y - x >= kind.window:
-            found.append(_pieces(hashes[x:y], bounds[i:k] - x, kind, x))
+            found.append(_pieces(hashes[x:y], bounds[i:k] - x, kind, x, second))
     none = np.zeros(0, np.int64)
-    first, last, gram = (np.concatenate(v) for v in zip(*found, strict=True)) if found else (none, none, none.view(np.uint64))
-    key = _mix(gram ^ np.uint64(0x5851F42D4C957F2D))
-    doc = np.searchsorted(firsts, first, side="right") - 1  # empty documents stand before the one that begins there
-    return Pieces(first, last, doc, ((key >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64), (key & np.uint64(0x7FFFFFFF)).astype(np.int64), starts, ends, firsts)
+    return tuple(np.concatenate(v) for v in zip(*found, strict=True)) if found else (none, none, none.view(np.uint64))
 
 
-def _pieces(hashes: np.ndarray, firsts: np.ndarray, kind: Kind, shift: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first window, last window, hash of the anchor) of the pieces of some documents."""
+def _pieces(hashes: np.ndarray, firsts: np.ndarray, kind: Kind, shift: int, second: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     sizes = np.diff(np.r_[firsts, len(hashes)])
     gram = _grams(hashes, kind.gram)
     place = np.arange(len(gram), dtype=np.uint64)
-    least = _least((gram & np.uint64(0xFFFFFFFF00000000)) | place, kind.window - kind.gram + 1)
-    anchor = (least & np.uint64(0xFFFFFFFF)).astype(np.int64)
+
+    def anchors(gram: np.ndarray) -> np.ndarray:
+        least = _least((gram & np.uint64(0xFFFFFFFF00000000)) | place, kind.window - kind.gram + 1)
+        return (least & np.uint64(0xFFFFFFFF)).astype(np.int64)
+
     s = spread(firsts, np.maximum(sizes - kind.window + 1, 0))
     if not len(s):
         return s, s, gram[:0]
-    a = anchor[s]
-    new = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (s[1:] != s[:-1] + 1)])
-    return s[new] + shift, s[np.r_[new[1:], len(s)] - 1] + shift, gram[a[new]]
+    a = anchors(gram)[s]
+    change = a[1:] != a[:-1]
+    if second:
+        other = anchors(_mix(gram ^ np.uint64(_ODD)))[s]
+        change |= other[1:] != other[:-1]
+    new = np.flatnonzero(np.r_[True, change | (s[1:] != s[:-1] + 1)])
+    of = gram[a[new]]
+    return s[new] + shift, s[np.r_[new[1:], len(s)] - 1] + shift, _mix(of + _mix(gram[other[new]])) if second else of
 
 
 def _anchors(b: Block, p: Pieces, kind: Kind) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -207,9 +220,8 @@ def _send_anchors(kind: Kind, ranges: int):
                 anchors, _, alone = _anchors(b, pieces(b, kind, ranges), kind)
                 of = anchors >> 31
                 marks = ((anchors & 0x7FFFFFFF) << 1 | alone).astype(np.uint32)
-                cuts = np.searchsorted(of, np.arange(ranges + 1))
-                full = np.flatnonzero(np.diff(cuts))
-                yield pd.DataFrame({"range": full, "block": np.full(len(full), number, np.int64), "marks": [marks[cuts[r] : cuts[r + 1]].tobytes() for r in full]})
+                full = np.flatnonzero(np.r_[True, of[1:] != of[:-1]]) if len(of) else np.zeros(0, np.int64)
+                yield pd.DataFrame({"range": of[full], "block": np.full(len(full), number, np.int64), "marks": [marks[x:y].tobytes() for x, y in zip(full, np.r_[full[1:], len(of)], strict=False)]})
 
     return run
 
@@ -240,6 +252,16 @@ def _put(table: dict[int, dict[bytes, list]], r: int, mark: int, text: bytes, at
         got[3].append(at)
 
 
+def _cut_again(b: Block, p: Pieces, hot: np.ndarray, kind: Kind, ranges: int) -> tuple[np.ndarray, ...]:
+    """(range, mark, first, last, doc) of the parts that a second anchor makes of hot pieces."""
+    hashes = kind.symbols(np.frombuffer(b.data, np.uint8), b.offsets)[0]
+    first, last, gram = _cut(hashes, p.firsts, kind, second=True)
+    # Every part lies in one piece, the last that begins at or before it.
+    of = np.searchsorted(p.first, first, side="right") - 1
+    keep = hot[of]
+    return *_place(gram[keep], ranges), first[keep], last[keep], p.doc[of[keep]]
+
+
 def _send_pieces(kind: Kind, ranges: int):
     """A block's repeated pieces, each distinct one once, in packets for their ranges."""
 
@@ -258,16 +280,15 @@ def _send_pieces(kind: Kind, ranges: int):
             table: dict[int, dict[bytes, list]] = {}
             data, w = b.data, kind.window
 
-            some = np.flatnonzero(level == 1)
-            some = some[np.argsort(p.range[some], kind="stable")]
-            rows = [p.range[some], p.mark[some], p.starts[p.first[some]], p.ends[p.last[some] + w - 1], p.first[some], b.ids[p.doc[some]]]
-            for r, mark, x, y, at, doc in zip(*[v.tolist() for v in rows], strict=True):
-                _put(table, r, mark, data[x:y], at, doc)
-            for i in np.flatnonzero(level == 2):
-                for at in range(p.first[i], p.last[i] + 1):
-                    text = data[p.starts[at] : p.ends[at + w - 1]]
-                    h = xxhash.xxh64_intdigest(text)
-                    _put(table, h % ranges, h >> 33, text, at, int(b.ids[p.doc[i]]))
+            some = level == 1
+            dealt = [(p.range[some], p.mark[some], p.first[some], p.last[some], p.doc[some])]
+            if (level == 2).any():
+                dealt.append(_cut_again(b, p, level == 2, kind, ranges))
+            for ranges_, marks, firsts, lasts, docs in dealt:
+                some = np.argsort(ranges_, kind="stable")
+                rows = [ranges_[some], marks[some], p.starts[firsts[some]], p.ends[lasts[some] + w - 1], firsts[some], b.ids[docs[some]]]
+                for r, mark, x, y, at, doc in zip(*[v.tolist() for v in rows], strict=True):
+                    _put(table, r, mark, data[x:y], at, doc)
             for r, found in table.items():
                 texts, rows = list(found), list(found.values())
                 parts = [np.array([len(texts), sum(len(x[3]) for x in rows)], np.int64), np.array([x[1] for x in rows], np.int64), np.array([x[2] for x in rows], np.int64)]
@@ -292,6 +313,17 @@ def _open(packet: bytes) -> tuple[list[np.ndarray], list[bytes]]:
     return [low, high, mark, count, np.frombuffer(raw, np.uint32, m, at).astype(np.int64)], texts
 
 
+def _value(kind: Kind, number: np.ndarray, low: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """For each window, by the number of its class: the least id that has it or, where copies in a document count, 0 if it comes twice; else NO_ID."""
+    if not len(number):
+        return np.zeros(0, np.int64)
+    if kind.same_document:
+        return np.where(np.bincount(number, count)[number] > 1, 0, NO_ID)
+    least = np.full(int(number.max()) + 1, NO_ID)
+    np.minimum.at(least, number, low)
+    return least[number]
+
+
 def _find(kind: Kind, texts: list[bytes], mark: np.ndarray, low: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Values of all windows in a row, and each piece's first; pieces of one anchor stay together, and one index holds INDEX_SYMBOLS at most."""
     symbols = np.fromiter(map(kind.size, texts), np.int64, len(texts))
@@ -302,10 +334,11 @@ def _find(kind: Kind, texts: list[bytes], mark: np.ndarray, low: np.ndarray, cou
     ordered = np.cumsum(symbols[order])
     cuts = np.flatnonzero(np.r_[True, np.diff(mark[order]) != 0, True]) if len(order) else np.zeros(1, np.int64)
 
-    def simple(a: int, z: int) -> None:
+    def simple(a: int, z: int, index: Callable = kind.index) -> None:
         if z > a:
             todo = order[a:z]
-            out[spread(offset[todo], per[todo])] = kind.index([texts[i] for i in todo.tolist()], low[todo], count[todo])
+            number = index([texts[i] for i in todo.tolist()])
+            out[spread(offset[todo], per[todo])] = _value(kind, number, np.repeat(low[todo], per[todo]), np.repeat(count[todo], per[todo]))
 
     begin, done = 0, 0
     for a, z in zip(cuts.tolist(), cuts[1:].tolist(), strict=False):
@@ -315,27 +348,57 @@ def _find(kind: Kind, texts: list[bytes], mark: np.ndarray, low: np.ndarray, cou
             simple(begin, a)
             begin, done = a, before
         if size > INDEX_SYMBOLS:
-            _windows(kind, texts, order[a:z].tolist(), low, count, out, offset)
+            simple(a, z, lambda group: _large(kind, group))
             begin, done = z, int(ordered[z - 1])
     simple(begin, len(order))
     return out, offset
 
 
-def _windows(kind: Kind, texts: list[bytes], group: list[int], low: np.ndarray, count: np.ndarray, out: np.ndarray, offset: np.ndarray) -> None:
-    """Pieces of one anchor that are too many for an index: their windows, in buckets of a hash of the window."""
-    split = [kind.windows(texts[i]) for i in group]
-    buckets = -(-sum(map(len, split)) * kind.window // INDEX_SYMBOLS)
-    own: list[dict[bytes, list]] = [{} for _ in range(buckets)]
-    for i, ws in zip(group, split, strict=True):
-        for k, x in enumerate(ws):
-            own[xxhash.xxh64_intdigest(x) % buckets].setdefault(x, []).append((i, k))
-    for found in own:
-        places = list(found.values())
-        least = np.array([min(low[i] for i, _ in x) for x in places], np.int64)
-        values = kind.index(list(found), least, np.array([sum(count[i] for i, _ in x) for x in places], np.int64)) if found else []
-        for x, v in zip(places, values, strict=True):
-            for i, k in x:
-                out[offset[i] + k] = v
+def _large(kind: Kind, texts: list[bytes]) -> np.ndarray:
+    """kind.index() for the pieces of one anchor that are too many for one index.
+
+    Their windows are dealt out in the order of a hash, so that equal ones meet in one share. An
+    index over each share tells which are equal; of those of one hash that fill more than a share,
+    each share's distinct ones go on to the next round.
+    """
+    data = b"\n".join(texts) + b"\n"
+    lengths = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
+    hashes, starts, ends, firsts = kind.symbols(np.frombuffer(data, np.uint8), np.cumsum(np.r_[0, lengths]))
+    per = np.fromiter(map(kind.size, texts), np.int64, len(texts)) - kind.window + 1
+    at = spread(firsts, per)
+    hashed = _grams(hashes, kind.window)[at]
+    number, used, share = np.zeros(len(at), np.int64), 0, max(2, INDEX_SYMBOLS // kind.window)
+    order = np.argsort(hashed, kind="stable")
+    cuts = np.flatnonzero(np.r_[True, np.diff(hashed[order]) != 0, True])
+
+    def classes(rows: np.ndarray) -> np.ndarray:
+        """A number from 0 for the class of each window of rows."""
+        if len(rows) <= share:
+            texts = [data[x:y] for x, y in zip(starts[at[rows]].tolist(), ends[at[rows] + kind.window - 1].tolist(), strict=True)]
+            return np.unique(kind.index(texts), return_inverse=True)[1]
+        # One of each class of each share stands for it in the next round.
+        found, base, firsts_ = [], 0, []
+        for k in range(0, len(rows), share):
+            own = classes(rows[k : k + share])
+            firsts_.append(k + np.unique(own, return_index=True)[1])
+            found.append(own + base)
+            base += int(own.max()) + 1
+        stand = np.concatenate(firsts_)
+        if len(stand) == len(rows):  # all distinct: what shares a hash doesn't shrink
+            return np.unique([data[starts[a] : ends[a + kind.window - 1]] for a in at[rows]], return_inverse=True)[1]
+        return classes(rows[stand])[np.concatenate(found)]
+
+    begin = 0
+    for a, z in zip(cuts.tolist(), cuts[1:].tolist(), strict=False):
+        if z - begin > share and begin < a:
+            number[order[begin:a]] = classes(order[begin:a]) + used
+            used = int(number[order[begin:a]].max()) + 1
+            begin = a
+        if z == len(order) or z - begin > share:
+            number[order[begin:z]] = classes(order[begin:z]) + used
+            used = int(number[order[begin:z]].max()) + 1
+            begin = z
+    return number
 
 
 def _match(kind: Kind):
@@ -410,8 +473,9 @@ def covered(docs: DataFrame, kind: Kind, report: Callable, schema: str, id_col:
 
     Null texts are empty; rows with a null id stand behind all others; other columns are not read.
     """
-    ranges = max(64, size_hint(docs) // RANGE_BYTES)
     blocks = pack(docs, kind, id_col, text_col)
+    ranges = ranges_of(blocks.agg(F.sum("bytes")).first()[0] or 0, RANGE_BYTES)
+    blocks = blocks.drop("bytes")
     anchors = blocks.mapInPandas(_send_anchors(kind, ranges), "range long, block long, marks binary")
     levels = anchors.groupBy("range").applyInPandas(_shared, "block long, range long, levels binary")
     sent = blocks.groupBy("block").cogroup(levels.groupBy("block")).applyInPandas(_send_pieces(kind, ranges), "range long, block long, packet binary")

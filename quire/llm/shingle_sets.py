@@ -20,8 +20,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm._io import raw_texts, save, small_batches
-from quire.llm.simhash import BITS, MOST_BITS, SEED, blobs, classes, components, ranges_of, shingle_hashes, tokens
+from quire.llm._io import ranges_of, raw_texts, save, small_batches
+from quire.llm.simhash import BITS, MOST_BITS, RANGE_BYTES, SEED, blobs, classes, components, shingle_hashes, tokens
 from quire.llm.simhash import links as fingerprint_links
 
 #: About so many texts tell which shingles are common; they steer the order and never results.
@@ -287,7 +287,7 @@ def links(docs: DataFrame, nodes: DataFrame, words: int, alike: int) -> DataFram
     """
     out = _verified(docs, nodes, _by_fingerprint(nodes), words, alike)
     size = nodes.agg(F.sum(F.octet_length("prefix"))).first()[0] or 0
-    ranges = ranges_of(4 * size)
+    ranges = ranges_of(4 * size, RANGE_BYTES)
     packed = _rooted(nodes.select("node", "size", "prefix"), out).mapInPandas(_pack(ranges), "range long, pairs binary")
     found = save(packed.groupBy("range").applyInPandas(_first(REACH, alike), _FOUND), "candidates")
     low, high = 0, REACH

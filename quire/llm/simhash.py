@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from itertools import accumulate, chain
 
@@ -13,40 +12,26 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm._io import raw_texts, save, small_batches, table
+from quire.llm._io import ranges_of, raw_texts, save, small_batches, table, word_chunks
 
 BITS = 64
 MOST_BITS = 3
 WORDS = 3
 SEED = 42
-#: Bytes of a text that are words in memory at a time.
-CHUNK = 1 << 18
 #: Buckets up to this many fingerprints are compared pair by pair in blocks; larger ones are split further.
 PAIRWISE = 1 << 14
 #: A sample of so many nodes tells which keys are so frequent that they are split before they are gathered: the ones with COMMON nodes of it or more.
 SAMPLE, COMMON = 1 << 16, 16
 _BLOCK = 1 << 9
 _SMALL = 32
-_RANGE_BYTES = 8 << 20
-_MOST_SMALL_RANGES = 1 << 12
+RANGE_BYTES = 8 << 20
 #: The lowest bits of a key tell the segment that it fixes; this value stands for a key of a split bucket.
 _FINER = np.uint64(7)
-_SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
 
 def tokens(raw: bytes | memoryview) -> Iterator[list[bytes]]:
-    """Words of a text as bytes with A-Z in lower case, CHUNK bytes of the text at a time.
-
-    bytes.lower() and bytes.split() know ASCII alone.
-    """
-    at = 0
-    while at < len(raw):
-        end = min(at + CHUNK, len(raw))
-        if end < len(raw):
-            gap = _SPACE.search(raw, end)
-            end = gap.start() if gap else len(raw)
-        yield bytes(raw[at:end]).lower().split()
-        at = end
+    """Words of a text with A-Z in lower case, some thousands at a time; bytes.lower() and bytes.split() know ASCII alone."""
+    return (part.lower().split() for part in word_chunks(raw))
 
 
 def shingle_hashes(raw: bytes | memoryview, words: int, seed: int = SEED) -> Iterator[np.ndarray]:
@@ -151,12 +136,6 @@ def blobs(keys: np.ndarray, rows: np.ndarray, ranges: int) -> Iterator[pd.DataFr
     yield pd.DataFrame({"range": where[full], "pairs": [pairs[a:b].tobytes() for a, b in zip(full, np.r_[full[1:], len(where)], strict=False)]})
 
 
-def ranges_of(size: int) -> int:
-    """Into how many ranges so many bytes are dealt: their size stays, and from _MOST_SMALL_RANGES on number and size grow alike, so that no block's packets shrink to a row."""
-    small = max(64, -(-size // _RANGE_BYTES))
-    return small if small <= _MOST_SMALL_RANGES else int((small * _MOST_SMALL_RANGES) ** 0.5)
-
-
 def _pack(ranges: int, most_bits: int, common: np.ndarray):
     """Nodes to blobs of (key, fingerprint), one for each range of the keys' hashes; rows of common keys go to finer buckets at once."""
 
@@ -262,7 +241,7 @@ def links(distinct: DataFrame, count: int, most_bits: int = MOST_BITS) -> DataFr
     before they are gathered, other buckets above PAIRWISE members afterwards. At three bits 31 bits
     are fixed first and 15 or more then, so what is left free, 18 bits, bounds a bucket for good.
     """
-    ranges, schema = ranges_of(count * BITS * 16), "a long, b long, linked boolean"
+    ranges, schema = ranges_of(count * BITS * 16, RANGE_BYTES), "a long, b long, linked boolean"
     packed = distinct.select("fp").mapInPandas(_pack(ranges, most_bits, _common_keys(distinct, count, most_bits)), "range long, pairs binary")
     found = save(packed.groupBy("range").applyInPandas(_resolve(PAIRWISE, most_bits), schema), "links")
     finer = found.filter(~F.col("linked")).mapInPandas(_split_large(ranges, most_bits), "range long, pairs binary")

@@ -9,8 +9,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm._io import table
-from quire.llm.repeats import _BYTE, _ODD, NO_ID, Block, Kind, _mix, covered, spread
+from quire.llm._io import table, word_chunks
+from quire.llm.repeats import _BYTE, _ODD, Block, Kind, _mix, covered, spread
 
 WINDOW = 35
 #: Suffixes of one subtree; a prefix with more is made longer.
@@ -89,31 +89,28 @@ def deep_nodes(t: np.ndarray, depth: int, at: np.ndarray) -> tuple[np.ndarray, n
     return np.concatenate([*done_at, at]), np.concatenate([*done_node, node])
 
 
-def _index(pieces: list[bytes], low: np.ndarray, count: np.ndarray) -> np.ndarray:
-    """For each window of each piece: 0 if the corpus has it twice or more, else NO_ID."""
+def _index(pieces: list[bytes]) -> np.ndarray:
+    """A number for each window of each piece: that of the node WINDOW words deep which its suffix passes."""
     ids: dict[bytes, int] = {}
     split = [p.split(b" ") for p in pieces]
     t = np.fromiter((ids.setdefault(w, len(ids)) for p in split for w in p), np.int64)
     sizes = np.array(list(map(len, split)), np.int64)
-    starts, per = np.cumsum(sizes) - sizes, sizes - WINDOW + 1
-    windows = spread(starts, per)
-    weight = np.zeros(len(t), np.int64)
-    weight[windows] = np.repeat(count, per)
-    value = np.full(len(t), NO_ID)
+    windows = spread(np.cumsum(sizes) - sizes, sizes - WINDOW + 1)
+    number, used = np.zeros(len(t), np.int64), 0
     for depth, at in prefix_groups(t, windows):
         at, node = deep_nodes(t, depth, at)
         _, which = np.unique(node, return_inverse=True)
-        total = np.bincount(which, weight[at])
-        value[at[total[which] > 1]] = 0
-    return value[windows]
+        number[at] = used + which
+        used += int(which.max(initial=-1)) + 1
+    return number[windows]
 
 
-def _windows(piece: bytes) -> list[bytes]:
-    words = piece.split(b" ")
-    return [b" ".join(words[k : k + WINDOW]) for k in range(len(words) - WINDOW + 1)]
+def _clean(raw: memoryview) -> bytes:
+    """Words with one space between them and a newline at the end."""
+    return b" ".join(b" ".join(part.split()) for part in word_chunks(raw) if not part.isspace()) + b"\n"
 
 
-KIND = Kind(WINDOW, 3, lambda b: b" ".join(b.split()) + b"\n", _words, _index, _windows, lambda t: t.count(b" ") + 1, same_document=True)
+KIND = Kind(WINDOW, 3, _clean, _words, _index, lambda t: t.count(b" ") + 1, same_document=True)
 
 
 def kept(b: Block, removed: np.ndarray, starts: np.ndarray, ends: np.ndarray, firsts: np.ndarray) -> pd.DataFrame:

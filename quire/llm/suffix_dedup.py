@@ -81,22 +81,16 @@ def common_prefixes(bwt: np.ndarray, length: int) -> np.ndarray:
     return unset[:n]
 
 
-def _index(pieces: list[bytes], low: np.ndarray, count: np.ndarray) -> np.ndarray:
-    """For each window of each piece, the least id of a document that has it."""
+def _index(pieces: list[bytes]) -> np.ndarray:
+    """A number for each window of each piece; windows of LENGTH equal bytes stand together in the suffix array."""
     sizes = np.array(list(map(len, pieces)), np.int64)
     t = np.frombuffer(b"\0".join(pieces) + b"\0\0", np.uint8).astype(np.uint16) + np.uint16(2)
     starts = np.cumsum(sizes + 1) - sizes - 1
     t[starts + sizes], t[-1] = 1, 0
     sa = suffix_array(t)
-    shares = common_prefixes(t[sa - 1], LENGTH)
-    value = np.full(len(t), NO_ID)
-    per = sizes - LENGTH + 1
-    windows = spread(starts, per)
-    value[windows] = np.repeat(low, per)
-    begin = np.flatnonzero(~shares)
-    least = np.repeat(np.minimum.reduceat(value[sa], begin), np.diff(np.r_[begin, len(t)]))
-    value[sa] = least
-    return value[windows]
+    number = np.empty(len(t), np.int64)
+    number[sa] = np.cumsum(~common_prefixes(t[sa - 1], LENGTH))
+    return number[spread(starts, sizes - LENGTH + 1)]
 
 
 def _bytes(data: np.ndarray, offsets: np.ndarray):
@@ -104,9 +98,7 @@ def _bytes(data: np.ndarray, offsets: np.ndarray):
     return np.take(_BYTE, data), at, at + 1, offsets[:-1]
 
 
-KIND = Kind(
-    LENGTH, 16, lambda b: b, _bytes, _index, lambda t: [t[k : k + LENGTH] for k in range(len(t) - LENGTH + 1)], len, same_document=False
-)
+KIND = Kind(LENGTH, 16, bytes, _bytes, _index, len, same_document=False)
 
 
 def kept(b: Block, removed: np.ndarray, starts: np.ndarray, ends: np.ndarray, firsts: np.ndarray) -> pd.DataFrame:

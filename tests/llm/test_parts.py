@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from quire.llm import pieces, quality_model, repeats, secret_scan, shards, simhash, substring_dedup, suffix_dedup, topk
+from quire.llm import _io, pieces, quality_model, repeats, secret_scan, shards, simhash, substring_dedup, suffix_dedup, topk
 
 
 @given(st.binary(max_size=300))
@@ -24,20 +24,28 @@ def test_suffix_array_and_prefixes(raw):
         assert got.tolist() == same
 
 
-@pytest.mark.parametrize("limit", [100, 1 << 20])
-def test_index_over_small_and_large_groups(monkeypatch, limit):
+@pytest.mark.parametrize("limit", [100, 1000, 1 << 20])
+@pytest.mark.parametrize("kind", [suffix_dedup.KIND, substring_dedup.KIND])
+def test_index_over_small_and_large_groups(monkeypatch, limit, kind):
     rnd = random.Random(2)
     monkeypatch.setattr(repeats, "INDEX_SYMBOLS", limit)
-    base = bytes(rnd.choice(b"abc ") for _ in range(120))
-    texts = sorted({base[a : a + rnd.randint(50, 84)] for a in range(60)} | {base[5:60] + b"zz", base[:50]})
-    low = np.array([rnd.randint(0, 9) for _ in texts])
-    values, offset = repeats._find(suffix_dedup.KIND, texts, np.zeros(len(texts), np.int64), low, np.ones(len(texts), np.int64))
-    least = {}
-    for t, n in zip(texts, low, strict=True):
-        for k in range(len(t) - 49):
-            least[t[k : k + 50]] = min(n, least.get(t[k : k + 50], n))
-    for t, at in zip(texts, offset, strict=True):
-        assert values[at : at + len(t) - 49].tolist() == [least[t[k : k + 50]] for k in range(len(t) - 49)]
+    n = kind.window
+    base = [rnd.choice(["a", "b", "c", "d"]) for _ in range(120)]
+    lists = [base[a : a + rnd.randint(n, n + 30)] for a in range(60)] + [base[5:60] + ["z", "z"], base[:50], *[base[20 : 20 + n] + [str(k)[-1], str(k)[0]] for k in range(100)]]
+    glue = "" if kind is suffix_dedup.KIND else " "
+    texts = sorted({glue.join(x).encode() for x in lists if len(x) >= n})
+    symbols = [list(t.decode()) if glue == "" else t.decode().split() for t in texts]
+    low, count = np.array([rnd.randint(0, 9) for _ in texts]), np.array([rnd.randint(1, 2) for _ in texts])
+    values, offset = repeats._find(kind, texts, np.zeros(len(texts), np.int64), low, count)
+    least, times = {}, {}
+    for x, i, c in zip(symbols, low.tolist(), count.tolist(), strict=True):
+        for k in range(len(x) - n + 1):
+            w = tuple(x[k : k + n])
+            least[w], times[w] = min(i, least.get(w, i)), times.get(w, 0) + c
+    for x, at in zip(symbols, offset, strict=True):
+        windows = [tuple(x[k : k + n]) for k in range(len(x) - n + 1)]
+        want = [(0 if times[w] > 1 else repeats.NO_ID) if kind.same_document else least[w] for w in windows]
+        assert values[at : at + len(windows)].tolist() == want
 
 
 @pytest.mark.parametrize("group", [3, 1 << 16])
@@ -46,9 +54,9 @@ def test_subtrees(monkeypatch, group):
     monkeypatch.setattr(substring_dedup, "GROUP", group)
     words = [rnd.choice("abcd") for _ in range(90)]
     texts = [" ".join(words[a : a + n]).encode() for a, n in ((0, 60), (10, 50), (30, 60), (40, 36))] + [b" ".join([b"a"] * 50)]
-    got = substring_dedup._index(texts, np.zeros(5, np.int64), np.ones(5, np.int64))
+    got = substring_dedup._index(texts).tolist()
     seen = [tuple(t.split()[k : k + 35]) for t in texts for k in range(len(t.split()) - 34)]
-    assert [v == 0 for v in got.tolist()] == [seen.count(w) > 1 for w in seen]
+    assert len(set(zip(got, seen, strict=True))) == len(set(got)) == len(set(seen)) < len(seen)
 
 
 @pytest.mark.parametrize("bits", [3, 7])
@@ -110,7 +118,7 @@ def test_fingerprints_of_chunks(monkeypatch, chunk):
     rnd = random.Random(15)
     texts = ["", " \n ", "one", "One two", "A b\tC", "é\u2003x  y\x0bz" * 9, *(" ".join("w" * rnd.randint(1, 30) for _ in range(rnd.randint(1, 60))) for _ in range(30))]
     want = [simhash.fingerprint(t, w) for t in texts for w in (1, 3, 5)]
-    monkeypatch.setattr(simhash, "CHUNK", chunk)
+    monkeypatch.setattr(_io, "CHUNK", chunk)
     assert [simhash.fingerprint(t, w) for t in texts for w in (1, 3, 5)] == want
     assert [simhash.fingerprint(memoryview(t.encode()), w) for t in texts for w in (1, 3, 5)] == want
 

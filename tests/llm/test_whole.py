@@ -3,9 +3,11 @@
 import random
 
 import numpy as np
+import pandas as pd
+import pytest
 
 import corpus_pipeline
-from quire.llm import shingle_sets, simhash
+from quire.llm import repeats, shingle_sets, simhash, substring_dedup, suffix_dedup
 
 
 def shingle_set(text):
@@ -105,3 +107,67 @@ def test_columns_of_any_name_pass_through(spark):
         for r in out.collect():
             assert all(r[c] == f"{r.doc_id - 1}-{c}" for c in taken), name
     assert sorted(r.doc_id for r in corpus_pipeline.deduplicate(spark, docs, "").collect()) == [1, 3, 4, 5]
+
+
+def repeated_texts(rnd):
+    glue = lambda n: " ".join(f"{rnd.choice('abcde')}{rnd.randint(0, 50)}" for _ in range(n))
+    shared = [glue(50) for _ in range(3)]
+    return [f"{glue(rnd.randint(0, 60))} {rnd.choice(shared)} {glue(rnd.randint(0, 60))}" for _ in range(30)] + [shared[0], shared[0], None, "", glue(400) * 2]
+
+
+@pytest.mark.parametrize("hot", [0, 2, 1 << 10])
+@pytest.mark.parametrize("kind", [suffix_dedup.KIND, substring_dedup.KIND])
+def test_anchors_of_many_blocks_are_cut_again(monkeypatch, kind, hot):
+    """The whole way from blocks to removed symbols, in this process."""
+    monkeypatch.setattr(repeats, "HOT_BLOCKS", hot)
+    texts = repeated_texts(random.Random(17))
+    blocks, ranges = [], 5
+    for k in range(0, len(texts), 3):
+        own = [kind.clean((t or "").encode()) for t in texts[k : k + 3]]
+        ids = np.arange(k, k + len(own))
+        blocks.append((k, repeats.Block(ids, np.zeros(len(own), bool), np.cumsum([0, *map(len, own)]), b"".join(own)).packed()))
+    blocks = pd.DataFrame(blocks, columns=["block", "payload"])
+    grouped = lambda frames, key: pd.concat(list(frames)).groupby(key)
+    levels = pd.concat([x for r, g in grouped(repeats._send_anchors(kind, ranges)(iter([blocks])), "range") for x in repeats._shared((r,), iter([g]))])
+    if not hot:
+        assert any(np.frombuffer(repeats.zstandard.decompress(x), np.uint8).max() == 2 for x in levels["levels"])
+    sent = pd.concat([repeats._send_pieces(kind, ranges)((b,), own, levels[levels["block"] == b]) for b, own in blocks.groupby("block")])
+    runs = pd.concat([x for r, g in sent.groupby("range") for x in repeats._match(kind)((r,), iter([g]))])
+    gone = {}
+
+    def report(b, removed, starts, ends, firsts):
+        for k, x, y in zip(b.ids.tolist(), firsts, np.r_[firsts[1:], len(starts)], strict=True):
+            gone[k] = removed[x:y].tolist()
+        return pd.DataFrame()
+
+    for b, own in blocks.groupby("block"):
+        repeats._finish(kind, ranges, report)((b,), own, runs[runs["block"] == b])
+    symbols = [list((t or "").encode()) if kind is suffix_dedup.KIND else (t or "").split() for t in texts]
+    n, first, times = kind.window, {}, {}
+    for k, x in enumerate(symbols):
+        for a in range(len(x) - n + 1):
+            w = tuple(x[a : a + n])
+            first.setdefault(w, k)
+            times[w] = times.get(w, 0) + 1
+    for k, x in enumerate(symbols):
+        want = [False] * len(x)
+        for a in range(len(x) - n + 1):
+            w = tuple(x[a : a + n])
+            if times[w] > 1 if kind.same_document else first[w] < k:
+                want[a : a + n] = [True] * n
+        assert gone[k] == want, k
+    assert any(any(v) for v in gone.values())
+
+
+@pytest.mark.parametrize("operator", [suffix_dedup.suffix_dedup, substring_dedup.substring_dedup])
+def test_frames_of_any_origin(spark, tmp_path, operator):
+    rows = list(enumerate(repeated_texts(random.Random(18))))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    frame.write.parquet(f"{tmp_path}/d")
+    file = spark.read.parquet(f"{tmp_path}/d")
+    joined = file.select("doc_id").join(file, "doc_id")
+    rdd = spark.sparkContext.parallelize(rows, 3).toDF("doc_id long, text string")
+    want = sorted(map(repr, operator(file).collect()))
+    assert len(want) == len(rows) and any("n_removed=0" not in r for r in want)
+    for other in (frame, joined, rdd):
+        assert sorted(map(repr, operator(other).collect())) == want
