@@ -242,7 +242,9 @@ def links(distinct: DataFrame, count: int, most_bits: int = MOST_BITS) -> DataFr
     are fixed first and 15 or more then, so what is left free, 18 bits, bounds a bucket for good.
     """
     ranges, schema = ranges_of(count * BITS * 16, RANGE_BYTES), "a long, b long, linked boolean"
-    packed = distinct.select("fp").mapInPandas(_pack(ranges, most_bits, _common_keys(distinct, count, most_bits)), "range long, pairs binary")
+    # Each row becomes BITS rows, so that few files of nodes are many tasks.
+    spread = distinct.select("fp").repartition(max(8, count >> 15))
+    packed = spread.mapInPandas(_pack(ranges, most_bits, _common_keys(distinct, count, most_bits)), "range long, pairs binary")
     found = save(packed.groupBy("range").applyInPandas(_resolve(PAIRWISE, most_bits), schema), "links")
     finer = found.filter(~F.col("linked")).mapInPandas(_split_large(ranges, most_bits), "range long, pairs binary")
     more = finer.groupBy("range").applyInPandas(_resolve(None, most_bits), schema)

@@ -10,24 +10,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quire.llm._io import save, table
+from quire.llm._io import save, small_batches, table
 
 K = 5
-#: Points of one data tree, queries that meet it in one task, and queries of one query tree.
-TREE, QUERIES, QUERY_TREE = 2_048, 4_096, 512
+#: Vectors of one data tree, queries that meet it in one task, and points of a leaf.
+TREE, QUERIES, LEAF = 4_096, 4_096, 24
+#: Most pivots, by which vectors that are near each other come into one tree; their table goes to every task.
+PIVOTS = 256
 BASE = 1.4
+NONE = np.iinfo(np.int64).min
+_FOUND = "no long, query_id long, vec_id long, score long"
 
 
 class Tree(NamedTuple):
-    """Points in the order of farthest-first insertion; level l's nodes are the first sizes[l] of them.
+    """A cover tree whose leaves hold some points each.
 
-    So levels are nested; centres of a level lie farther apart than its scale, and every point lies
-    within the scale of one. radius[l][j] is the distance from node j to its farthest descendant,
-    and parent[l][j] is the node above it.
+    Nodes are centres in the order of farthest-first insertion; level l has the first sizes[l] of
+    them, so levels are nested. radius[l][j] is the distance from node j to its farthest point, and
+    parent[l][j] the node above it. Points begin[j] to begin[j + 1] of order are those of leaf j.
     """
 
     order: np.ndarray
-    points: np.ndarray
+    begin: np.ndarray
+    centres: np.ndarray
     norms: np.ndarray
     sizes: list[int]
     parent: list[np.ndarray]
@@ -35,74 +40,96 @@ class Tree(NamedTuple):
     leaf_of: list[np.ndarray]
 
 
-def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    square = (a * a).sum(1)[:, None] + (b * b).sum(1)[None] - 2 * a @ b.T
-    return np.sqrt(np.maximum(square, 0))
-
-
-def build(points: np.ndarray) -> Tree:
+def build(points: np.ndarray, leaf: int = LEAF) -> Tree:
+    """leaf: about how many points a leaf holds; equal points are one leaf, however many they are."""
     n = len(points)
     square = (points * points).sum(1)
-    order, gap = np.zeros(n, np.int64), np.zeros(n)
-    near = np.full(n, np.inf)
-    at = 0
-    for i in range(n):
-        order[i], gap[i] = at, near[at]
-        near = np.minimum(near, square + square[at] - 2 * (points @ points[at]))
-        near[order[: i + 1]] = -1
+    near, which = np.full(n, np.inf), np.zeros(n, np.int64)
+    chosen, gap, at = [], [], 0
+    for i in range(max(1, -(-n // leaf))):
+        if i and near[at] <= 0:
+            break
+        chosen.append(at)
+        gap.append(near[at])
+        away = np.maximum(square + square[at] - 2 * (points @ points[at]), 0)
+        away[at] = 0
+        closer = away < near
+        near[closer], which[closer] = away[closer], i
         at = int(near.argmax())
-    points, gap = points[order], np.sqrt(np.maximum(gap, 0))
-    scale, sizes = (gap[1] if n > 1 else 0.0), [1]
-    while sizes[-1] < n:
+    centres, gap = points[chosen], np.sqrt(np.array(gap))
+    m, scale, sizes = len(chosen), (float(gap[1]) if len(chosen) > 1 else 0.0), [1]
+    while sizes[-1] < m:
         scale /= BASE
         grown = int((gap > scale).sum())  # gaps fall along the order
-        if scale < 1 or grown >= n:
-            grown = n
+        if scale < 1 or grown >= m:
+            grown = m
         if grown > sizes[-1]:
             sizes.append(grown)
     parent, radius, leaf_of = [np.zeros(1, np.int64)], [], []
     for a, b in zip(sizes, sizes[1:], strict=False):
         up = np.arange(b)
-        if b > a:
-            up[a:] = _distances(points[a:b], points[:a]).argmin(1)
+        up[a:] = (2 * centres[a:b] @ centres[:a].T - square[chosen[:a]]).argmax(1)
         parent.append(up)
-    above = np.arange(n)
+    above = which
     for level in range(len(sizes) - 1, -1, -1):
         r = np.zeros(sizes[level])
-        np.maximum.at(r, above, np.sqrt(((points - points[above]) ** 2).sum(1)))
+        np.maximum.at(r, above, np.sqrt(((points - centres[above]) ** 2).sum(1)))
         radius.insert(0, r)
         leaf_of.insert(0, above)
         above = parent[level][above]
-    return Tree(order, points, np.sqrt((points * points).sum(1)), sizes, parent, radius, leaf_of)
+    order = np.argsort(which, kind="stable")
+    return Tree(order, np.searchsorted(which[order], np.arange(m + 1)), centres, np.sqrt((centres * centres).sum(1)), sizes, parent, radius, leaf_of)
+
 
+def _children(parent: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(position in nodes, child) of all children."""
+    order = np.argsort(parent, kind="stable")
+    begin = np.searchsorted(parent[order], nodes)
+    count = np.searchsorted(parent[order], nodes, side="right") - begin
+    at = np.repeat(begin - np.cumsum(count) + count, count) + np.arange(count.sum())
+    return np.repeat(np.arange(len(nodes)), count), order[at]
 
-def survivors(q: Tree, r: Tree, worst: np.ndarray) -> np.ndarray:
-    """Pairs (of q's and r's points, in their orders) whose score may reach the query's worst k-th score.
+
+def survivors(q: Tree, r: Tree, worst: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(q's leaf, r's leaf, bound) of the pairs whose scores may reach a query's worst k-th score.
 
     A node pair's scores are at most <q, r> + Rq |r| + Rr |q| + Rq Rr, R being covering radii. It
     goes if that is less than the lowest worst score among the queries below q's node. Both trees
-    go down a level at each step, until both consist of points.
+    go down a level at each step, and only pairs that are left have children.
     """
-    alive = np.ones((1, 1), bool)
-    steps = max(len(q.sizes), len(r.sizes))
-    for step in range(steps):
+    a = b = np.zeros(1, np.int64)
+    bound = np.zeros(1)
+    for step in range(max(len(q.sizes), len(r.sizes))):
         lq, lr = min(step, len(q.sizes) - 1), min(step, len(r.sizes) - 1)
-        if step:
-            if step < len(q.sizes):
-                alive = alive[q.parent[lq]]
-            if step < len(r.sizes):
-                alive = alive[:, r.parent[lr]]
-        nq, nr = q.sizes[lq], r.sizes[lr]
-        floor = np.full(nq, np.inf)
+        if 0 < step < len(q.sizes):
+            of, a = _children(q.parent[lq], a)
+            b = b[of]
+        if 0 < step < len(r.sizes):
+            of, b = _children(r.parent[lr], b)
+            a = a[of]
+        floor = np.full(q.sizes[lq], np.inf)
         np.minimum.at(floor, q.leaf_of[lq], worst)
-        rq, rr = q.radius[lq][:, None], r.radius[lr][None]
-        bound = q.points[:nq] @ r.points[:nr].T + rq * r.norms[None, :nr] + rr * q.norms[:nq, None] + rq * rr
+        bound = np.empty(len(a))
+        for k in range(0, len(a), 1 << 14):
+            x, y = a[k : k + (1 << 14)], b[k : k + (1 << 14)]
+            rq, rr = q.radius[lq][x], r.radius[lr][y]
+            bound[k : k + len(x)] = np.einsum("ij,ij->i", q.centres[x], r.centres[y]) + rq * r.norms[y] + rr * q.norms[x] + rq * rr
         # Scores are whole numbers; one unit and a share of the bound's size cover rounding.
-        alive &= bound + 1 + 1e-9 * np.abs(bound) >= floor[:, None]
-    return alive
+        bound += 1 + 1e-9 * np.abs(bound)
+        keep = bound >= floor[a]
+        a, b, bound = a[keep], b[keep], bound[keep]
+    return a, b, bound
+
 
+def _scores(a: np.ndarray, b: np.ndarray, most: float) -> np.ndarray:
+    """Whole inner products, through floats where those hold them exactly; what 64 bits cannot hold stays at their limits."""
+    if most < 2**53:
+        return (a.astype(float) @ b.T.astype(float)).astype(np.int64)
+    return np.clip(a.astype(object) @ b.T.astype(object), NONE + 1, np.iinfo(np.int64).max).astype(np.int64)
 
-def _merge(q: np.ndarray, ids: np.ndarray, score: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+
+def _best(q: np.ndarray, ids: np.ndarray, score: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The k best rows of each q, ties to smaller ids."""
     order = np.lexsort((ids, -score, q))
     q, ids, score = q[order], ids[order], score[order]
     first = np.flatnonzero(np.r_[True, q[1:] != q[:-1]]) if len(q) else np.zeros(0, np.int64)
@@ -110,6 +137,39 @@ def _merge(q: np.ndarray, ids: np.ndarray, score: np.ndarray, k: int) -> tuple[n
     return q[rank < k], ids[rank < k], score[rank < k]
 
 
+def search(queries: np.ndarray, own: np.ndarray, points: np.ndarray, ids: np.ndarray, k: int, worst: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """(query, id, score) of each query's k best points of another id that reach its worst score so far, and how many pairs were scored.
+
+    Each leaf of queries takes the leaves of data that survive, best bound first and ever more at a
+    time, until no bound reaches the lowest of its queries' worst k-th scores, which rise meanwhile.
+    """
+    qt, rt = build(queries.astype(float)), build(points.astype(float))
+    most = float(np.abs(queries.astype(float)).max(initial=0)) * float(np.abs(points.astype(float)).max(initial=0)) * max(queries.shape[1], 1)
+    a, b, bound = survivors(qt, rt, worst)
+    order = np.lexsort((-bound, a))
+    a, b, bound = a[order], b[order], bound[order]
+    cuts = np.searchsorted(a, np.arange(qt.sizes[-1] + 1))
+    found, scored = [(np.zeros(0, np.int64),) * 3], 0
+    for leaf in range(qt.sizes[-1]):
+        rows = qt.order[qt.begin[leaf] : qt.begin[leaf + 1]]
+        floor, best, at, take = worst[rows].copy(), (np.zeros(0, np.int64),) * 3, cuts[leaf], 4
+        while at < cuts[leaf + 1] and bound[at] >= floor.min():
+            leaves = b[at : min(at + take, cuts[leaf + 1])]
+            leaves = leaves[bound[at : at + len(leaves)] >= floor.min()]
+            at, take = at + take, 2 * take
+            some = np.concatenate([rt.order[rt.begin[x] : rt.begin[x + 1]] for x in leaves])
+            score = _scores(queries[rows], points[some], most)
+            scored += score.size
+            score[own[rows][:, None] == ids[some]] = NONE
+            kth = np.partition(score, -k, axis=1)[:, -k] if score.shape[1] >= k else np.full(len(rows), NONE + 1)
+            x, y = np.nonzero(score >= np.maximum(np.maximum(kth, floor), NONE + 1)[:, None])
+            best = _best(*(np.concatenate(v) for v in zip(best, (x, ids[some][y], score[x, y]), strict=True)), k)
+            full = np.flatnonzero(np.bincount(best[0], minlength=len(rows)) == k)
+            floor[full] = np.maximum(floor[full], best[2][np.searchsorted(best[0], full, side="right") - 1])
+        found.append((rows[best[0]], best[1], best[2]))
+    return *(np.concatenate(v) for v in zip(*found, strict=True)), scored
+
+
 def _matrix(rows: pd.Series, width: int) -> np.ndarray:
     out = np.zeros((len(rows), width), np.int64)
     for k, v in enumerate(rows):
@@ -117,49 +177,63 @@ def _matrix(rows: pd.Series, width: int) -> np.ndarray:
     return out
 
 
-def _scores(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Whole inner products; through floats where those hold them exactly."""
-    most = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * max(a.shape[1], 1)
-    return (a.astype(float) @ b.T.astype(float)).astype(np.int64) if most < 2**53 else a @ b.T
-
-
 def _search(k: int):
     def run(_: tuple, data: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(data) and len(queries):
-            width = max(int(data["v"].map(len).max()), int(queries["v"].map(len).max()))
-            # Equal vectors are one point with its smallest ids; a query may own k of 2k rows at most.
-            points, which = np.unique(_matrix(data["v"], width), axis=0, return_inverse=True)
-            rows = pd.DataFrame({"point": which.ravel(), "id": data["id"].to_numpy()}).sort_values(["point", "id"])
-            rows = rows[rows.groupby(["point", "id"]).cumcount() < k]
-            rows = rows[rows.groupby("point").cumcount() < 2 * k]
-            begin = np.searchsorted(rows["point"].to_numpy(), np.arange(len(points) + 1))
-            ids = rows["id"].to_numpy()
-            tree = build(points.astype(float))
-            qv, qno, qid = _matrix(queries["v"], width), queries["no"].to_numpy(), queries["id"].to_numpy()
-            for a in range(0, len(qv), QUERY_TREE):
-                own, own_id = qv[a : a + QUERY_TREE], qid[a : a + QUERY_TREE]
-                qt = build(own.astype(float))
-                # The first points of the order are spread out; scores with them start the worst k-th scores.
-                lead = tree.order[: 4 * k]
-                seed = np.sort(_scores(own, points[lead]), 1)[:, ::-1]
-                # One of them may be the query's own row, so the (k + 1)-th counts.
-                worst = seed[:, k].astype(float) if seed.shape[1] > k else np.full(len(own), -np.inf)
-                alive = survivors(qt, tree, worst[qt.order])
-                score = _scores(own[qt.order], points[tree.order])
-                low = np.iinfo(np.int64).min
-                score = np.where(alive, score, low)
-                most = min(2 * k, score.shape[1])
-                kth = np.partition(score, score.shape[1] - most, axis=1)[:, score.shape[1] - most]
-                qi, pi = np.nonzero((score >= kth[:, None]) & alive)
-                s, qi, pi = score[qi, pi], qt.order[qi], tree.order[pi]
-                count = begin[pi + 1] - begin[pi]
-                at = np.repeat(begin[pi] - np.cumsum(count) + count, count) + np.arange(count.sum())
-                q, i, s = np.repeat(qi, count), ids[at], np.repeat(s, count)
-                other = i != own_id[q]
-                q, i, s = _merge(q[other], i[other], s[other], k)
-                out.append(pd.DataFrame({"no": qno[a + q], "query_id": own_id[q], "vec_id": i, "score": s}))
-        return pd.concat(out) if out else pd.DataFrame({c: pd.Series(dtype="int64") for c in ("no", "query_id", "vec_id", "score")})
+        if not len(data) or not len(queries):
+            return pd.DataFrame({c: pd.Series(dtype="int64") for c in ("no", "query_id", "vec_id", "score")})
+        width = max(int(data["v"].map(len).max()), int(queries["v"].map(len).max()))
+        own = queries["id"].to_numpy()
+        q, ids, score, _ = search(_matrix(queries["v"], width), own, _matrix(data["v"], width), data["id"].to_numpy(), k, queries["worst"].to_numpy())
+        return pd.DataFrame({"no": queries["no"].to_numpy()[q], "query_id": own[q], "vec_id": ids, "score": score})
+
+    return run
+
+
+class Pivots(NamedTuple):
+    """Vectors with their norms and, once data are assigned, the radius and the first and last tree of each; PIVOTS rows at most."""
+
+    points: np.ndarray
+    radius: np.ndarray
+    first: np.ndarray
+    end: np.ndarray
+
+    def nearest(self, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        square = (v * v).sum(1)[:, None] + (self.points * self.points).sum(1) - 2 * v @ self.points.T
+        which = square.argmin(1)
+        return which, np.sqrt(((v - self.points[which]) ** 2).sum(1))
+
+
+def _wide(rows: pd.Series, width: int) -> np.ndarray:
+    return _matrix(rows, width).astype(float)
+
+
+def _assigned(df: DataFrame, pivots: Pivots, width: int) -> DataFrame:
+    """df with its vectors' nearest pivot and the distance."""
+
+    def run(batches):
+        for pdf in batches:
+            which, away = pivots.nearest(_wide(pdf["v"], width))
+            yield pdf.assign(pivot=which, away=away)
+
+    return small_batches(df).mapInPandas(run, ", ".join(f"`{c}` {t}" for c, t in df.dtypes) + ", pivot long, away double")
+
+
+def _wanted(pivots: Pivots, width: int):
+    """A row for each query and each tree, but its first one, of a pivot whose bound reaches the query's worst k-th score."""
+
+    def run(batches):
+        for pdf in batches:
+            for k in range(0, len(pdf), 256):
+                part = pdf.iloc[k : k + 256]
+                v = _wide(part["v"], width)
+                bound = v @ pivots.points.T + np.sqrt((v * v).sum(1))[:, None] * pivots.radius
+                bound += 1 + 1e-9 * np.abs(bound)
+                q, p = np.nonzero((bound >= part["worst"].to_numpy()[:, None]) & (pivots.end > pivots.first))
+                count = pivots.end[p] - pivots.first[p]
+                chunk = np.repeat(pivots.first[p] - np.cumsum(count) + count, count) + np.arange(count.sum())
+                q = np.repeat(q, count)
+                other = chunk != part["chunk"].to_numpy()[q]
+                yield part.iloc[q[other]].assign(chunk=chunk[other])[["no", "id", "v", "worst", "part", "chunk"]]
 
     return run
 
@@ -174,23 +248,55 @@ def whole_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embe
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     """(query_id, rank, vec_id, score) of each query's k best rows of another id; both inputs have id and v.
 
-    Data meet queries in blocks: a task holds TREE vectors and QUERIES queries and returns k rows a
-    query, which one window by query merges. Shorter vectors count as filled up with zeros.
-    Repeated queries are answered one by one, repeated rows are candidates of their own.
+    Vectors near one pivot make trees of about TREE rows, however many they are. Each query first meets one
+    tree of its own pivot, which gives a k-th score to start with; then the trees of every pivot
+    whose bound reaches that. A task holds a tree and up to QUERIES queries or so and returns k rows a query,
+    which one window by query merges. Shorter vectors count as filled up with zeros. Repeated
+    queries are answered one by one, repeated rows are candidates of their own.
     """
-    vectors, queries = save(vectors, "vectors"), save(queries.withColumn("no", F.monotonically_increasing_id()), "queries")
-    chunks, groups = max(1, -(-vectors.count() // TREE)), max(1, -(-queries.count() // QUERIES))
-    deal = lambda n, *c: F.pmod(F.xxhash64(*c), F.lit(n)).cast("int")
-    data = vectors.select("id", "v", deal(chunks, "id", "v").alias("chunk"), F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("part"))
-    asked = queries.select("no", "id", "v", deal(groups, "no").alias("part"), F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"))
-    found = data.groupBy("chunk", "part").cogroup(asked.groupBy("chunk", "part")).applyInPandas(_search(k), "no long, query_id long, vec_id long, score long")
+    spark = vectors.sparkSession
+    vectors, queries = (save(x.select("id", "v", F.monotonically_increasing_id().alias("no")), "vectors") for x in (vectors, queries))
+    rows, asked_rows = vectors.count(), queries.count()
+    groups = max(1, -(-asked_rows // QUERIES))
+    width = max([1, *(x.agg(F.max(F.size("v"))).first()[0] or 0 for x in (vectors, queries))])
+    picked = vectors.orderBy(F.xxhash64("v", "no"), "no").limit(max(1, min(PIVOTS, rows // TREE))).select("v").collect()
+    points = np.unique(_wide(pd.Series([r.v for r in picked], dtype=object), width), axis=0) if picked else np.zeros((1, width))
+    pivots = Pivots(points, *[np.zeros(0)] * 3)
+    data = save(_assigned(vectors, pivots, width), "assigned")
+    here = {r.pivot: (r.n, r.away) for r in data.groupBy("pivot").agg(F.count(F.lit(1)).alias("n"), F.max("away").alias("away")).collect()}
+    trees = np.array([-(-here.get(p, (0, 0))[0] // TREE) for p in range(len(points))], np.int64)
+    pivots = Pivots(points, np.array([here.get(p, (0, 0.0))[1] for p in range(len(points))]), np.cumsum(trees) - trees, np.cumsum(trees))
+    rows_of = [(p, int(pivots.first[p]), int(trees[p])) for p in range(len(points))]
+    of = F.broadcast(spark.createDataFrame(rows_of, "p_pivot long, p_first long, p_trees long"))  # a row for each pivot
+
+    def dealt(df: DataFrame) -> DataFrame:
+        chunk = F.col("p_first") + F.pmod(F.xxhash64("no"), F.greatest("p_trees", F.lit(1)))
+        return df.join(of, F.col("pivot") == F.col("p_pivot")).withColumn("chunk", chunk).drop("p_pivot", "p_first", "p_trees", "pivot", "away")
+
+    def met(data: DataFrame, asked: DataFrame, parts: int) -> DataFrame:
+        data = data.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+        return data.groupBy("chunk", "part").cogroup(asked.groupBy("chunk", "part")).applyInPandas(_search(k), _FOUND)
+
+    data = dealt(data).select("id", "v", "chunk")
+    asked = dealt(_assigned(queries, pivots, width)).withColumn("part", F.pmod(F.xxhash64("no", F.lit(1)), F.lit(groups)).cast("int"))
+    asked = save(asked.withColumn("worst", F.lit(NONE)), "asked")
+    first = save(met(data, asked, groups), "found")
     best = W.partitionBy("no", "query_id").orderBy(F.col("score").desc(), "vec_id")
+    kth = save(first.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") == k).select(F.col("no").alias("k_no"), F.col("score").alias("kth")), "kth")
+    known = asked.join(kth, F.col("no") == F.col("k_no"), "left").withColumn("worst", F.coalesce("kth", F.lit(NONE))).drop("k_no", "kth")
+    wanted = small_batches(known).mapInPandas(_wanted(pivots, width), "no long, id long, v array<long>, worst long, part int, chunk long")
+    found = first.union(met(data, wanted, groups))
     ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
 
 def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Columns other than vec_id and embedding are not read."""
+    """Each query's 5 best rows, ranked from 1; ties go to the smaller vec_id.
+
+    Null vectors, those with null or non-finite components, and rows without id take no part; empty
+    vectors score 0; repeated rows count each, but no row of the query's own id. An empty table
+    gives no rows. Columns other than vec_id and embedding are not read.
+    """
     vectors = whole_vectors(table(spark, sf_dir, "embeddings"))
     return top_k(vectors, vectors.filter("id % 50 = 0"))
 

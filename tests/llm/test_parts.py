@@ -190,15 +190,40 @@ def test_forest_learns():
 def test_cover_tree_bounds():
     rnd = np.random.default_rng(2)
     points = np.concatenate([rnd.integers(-9, 9, (150, 4)), np.zeros((20, 4), int)]).astype(float)
-    tree = topk.build(np.unique(points, axis=0))
+    tree = topk.build(points, 3)
+    assert sorted(tree.order.tolist()) == list(range(len(points))) and len(tree.sizes) > 2
     for level, n in enumerate(tree.sizes):
-        d = np.sqrt(((tree.points - tree.points[tree.leaf_of[level]]) ** 2).sum(1))
+        d = np.sqrt(((points - tree.centres[tree.leaf_of[level]]) ** 2).sum(1))
         assert (d <= tree.radius[level][tree.leaf_of[level]] + 1e-9).all() and tree.leaf_of[level].max() < n
-    queries = topk.build(rnd.integers(-9, 9, (30, 4)).astype(float))
-    score = queries.points @ tree.points.T
+    queries = rnd.integers(-9, 9, (30, 4)).astype(float)
+    qt = topk.build(queries, 2)
+    score = queries @ points.T
     worst = np.sort(score, 1)[:, -5]
-    alive = topk.survivors(queries, tree, worst)
-    assert alive[score >= worst[:, None]].all()
+    a, b, bound = topk.survivors(qt, tree, worst)
+    pairs = dict(zip(zip(a.tolist(), b.tolist(), strict=True), bound.tolist(), strict=True))
+    assert len(pairs) == len(a) < qt.sizes[-1] * tree.sizes[-1]
+    for q, p in np.argwhere(score >= worst[:, None]):
+        assert pairs[qt.leaf_of[-1][q], tree.leaf_of[-1][p]] >= score[q, p]
+
+
+@pytest.mark.parametrize("spread", [0.5, 8, 400])
+def test_dual_tree_search_is_exact_and_scores_fewer_pairs(spread):
+    rnd = np.random.default_rng(3)
+    centres = rnd.integers(-200, 200, (20, 6))
+    points = (centres[rnd.integers(0, 20, 3000)] + rnd.normal(0, spread, (3000, 6))).astype(np.int64)
+    ids = rnd.integers(0, 2500, 3000)
+    queries, own = points[:200], ids[:200]
+    q, i, s, scored = topk.search(queries, own, points, ids, 5, np.full(200, topk.NONE))
+    for k in range(200):
+        want = sorted((-int(points[j] @ queries[k]), int(ids[j])) for j in range(3000) if ids[j] != own[k])[:5]
+        assert sorted(zip((-s[q == k]).tolist(), i[q == k].tolist(), strict=True)) == want
+    assert scored < 200 * 3000 * (0.9 if spread < 100 else 1.01)
+
+
+def test_huge_components_stay_at_the_limits():
+    points = np.array([[2**62, 2**62], [1, 1], [-(2**62), -(2**62)]])
+    _, i, s, _ = topk.search(points[:1], np.array([9]), points, np.arange(3), 3, np.full(1, topk.NONE))
+    assert i.tolist() == [0, 1, 2] and s.tolist() == [2**63 - 1, 2**63 - 1, -(2**63) + 1]
 
 
 @given(st.text(max_size=80))
