@@ -134,6 +134,11 @@ def quality_rules(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdicts of every row of documents.
+
+    Null and empty texts have no words and fail; a text of any length is judged as a whole; repeated
+    rows are judged alike; an empty table gives none; columns other than doc_id and text are not read.
+    """
     return quality_rules(table(spark, sf_dir, "documents"))
 
 

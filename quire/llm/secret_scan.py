@@ -50,6 +50,18 @@ MASKED = tuple(r._replace(pattern=_PEM) if r.kind == "pem" else r for r in RULES
 SPAN = "array<struct<start:bigint,rank:int,end:bigint,kind:string>>"
 
 
+#: Arrays are folded so many entries at a time, as each step of a fold copies what it has gathered.
+FOLD = 512
+#: Code points of the segments that a text is cut into before parts of it are taken, as each taking walks from a segment's start.
+SEGMENT = 4096
+
+
+def _chunks(items: Column, fold) -> Column:
+    """fold(number of the chunk, chunk) of each FOLD items in a row."""
+    numbers = F.sequence(F.lit(0), F.greatest(F.ceil(F.size(items) / FOLD) - 1, F.lit(0)).cast("int"))
+    return F.transform(numbers, lambda c: fold(c, F.slice(items, c * FOLD + 1, FOLD)))
+
+
 def spans(text: Column, rule: Rule, rank: int) -> Column:
     """Where a rule matches, in code points, end exclusive.
 
@@ -63,12 +75,19 @@ def spans(text: Column, rule: Rule, rank: int) -> Column:
     found = F.filter(F.arrays_zip(between.alias("gap"), whole.alias("size"), judged.alias("judged")), lambda z: z["size"].isNotNull())
     zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(SPAN).alias("out"))
 
+    def span(start: Column, end: Column) -> Column:
+        return F.struct(start.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), F.lit(rule.kind).alias("kind"))
+
     def step(a: Column, z: Column) -> Column:
         start, end = a["at"] + z["gap"], a["at"] + z["gap"] + z["size"]
-        one = F.array(F.struct(start.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), F.lit(rule.kind).alias("kind")))
-        return F.struct(end.alias("at"), F.when(z["judged"] >= rule.least, F.concat(a["out"], one)).otherwise(a["out"]).alias("out"))
+        return F.struct(end.alias("at"), F.when(z["judged"] >= rule.least, F.concat(a["out"], F.array(span(start, end)))).otherwise(a["out"]).alias("out"))
 
-    return F.when(text.rlike(rule.pattern), F.aggregate(found, zero, step, lambda a: a["out"])).otherwise(F.array().cast(SPAN))
+    def join(a: Column, x: Column) -> Column:
+        moved = F.transform(x["out"], lambda s: span(s["start"] + a["at"], s["end"] + a["at"]))
+        return F.struct((a["at"] + x["at"]).alias("at"), F.concat(a["out"], moved).alias("out"))
+
+    chunks = let(found, lambda f: _chunks(f, lambda _, part: F.aggregate(part, zero, step)))
+    return F.when(text.rlike(rule.pattern), F.aggregate(chunks, zero, join, lambda a: a["out"])).otherwise(F.array().cast(SPAN))
 
 
 def address(content: Column) -> Column:
@@ -112,15 +131,31 @@ def secrets_by_path(versions: DataFrame, ledger: DataFrame, rules: tuple[Rule, .
 
 def masked(text: Column, found: Column, mask: str = "[SECRET]") -> Column:
     """text with each run of overlapping spans replaced by mask."""
-    zero = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("end"))
 
-    def step(a: Column, s: Column) -> Column:
-        gap = F.substring(text, (a["end"] + 1).cast("int"), (s["start"] - a["end"]).cast("int"))
-        apart = (s["start"] >= a["end"]) & ((s["start"] > a["end"]) | (a["end"] == 0))
-        return F.struct(F.when(apart, F.concat(a["out"], gap, F.lit(mask))).otherwise(a["out"]).alias("out"), F.greatest(a["end"], s["end"]).alias("end"))
+    def between(x: Column, a: Column, b: Column) -> Column:
+        """Code points a to b, end exclusive."""
+        i, j = F.floor(a / SEGMENT).cast("int"), F.floor(b / SEGMENT).cast("int")
+        part = lambda k, at, n: F.substring(F.coalesce(F.get(x["segments"], k), F.lit("")), (at + 1).cast("int"), n.cast("int"))
+        several = F.concat(part(i, a % SEGMENT, F.lit(SEGMENT)), F.array_join(F.slice(x["segments"], i + 2, j - i - 1), ""), part(j, F.lit(0), b % SEGMENT))
+        return F.when(a >= b, F.lit("")).when(i == j, part(i, a % SEGMENT, b - a)).otherwise(several)
+
+    def last(spans: Column) -> Column:
+        return F.coalesce(F.array_max(F.transform(spans, lambda s: s["end"])), F.lit(0).cast("long"))
+
+    def cut(x: Column) -> Column:
+        def step(a: Column, s: Column) -> Column:
+            apart = (s["start"] >= a["end"]) & ((s["start"] > a["end"]) | (a["end"] == 0))
+            new = F.concat(a["out"], between(x, a["end"], s["start"]), F.lit(mask))
+            return F.struct(F.when(apart, new).otherwise(a["out"]).alias("out"), F.greatest(a["end"], s["end"]).alias("end"))
+
+        def fold(c: Column, part: Column) -> Column:
+            zero = F.struct(F.lit("").alias("out"), last(F.slice(x["spans"], 1, c * FOLD)).alias("end"))
+            return F.aggregate(part, zero, step, lambda a: a["out"])
+
+        return F.concat(F.array_join(_chunks(x["spans"], fold), ""), between(x, last(x["spans"]), x["size"]))
 
-    rest = lambda a: F.concat(a["out"], F.substring(text, (a["end"] + 1).cast("int"), F.length(text)))
-    return F.when(F.size(found) > 0, F.aggregate(found, zero, step, rest)).otherwise(text)
+    parts = F.struct(F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{SEGMENT}}}"), F.lit(0)).alias("segments"), found.alias("spans"), F.length(text).cast("long").alias("size"))
+    return F.when(F.size(found) > 0, let(parts, cut)).otherwise(text)
 
 
 def digest(found: Column, kinds: tuple[str, ...] | None = None) -> Column:

@@ -166,6 +166,29 @@ def test_masked(column):
     assert column(secret_scan.masked(F.col("text"), F.col("s")), span, rows) == ["ab [SECRET] cd", "[SECRET]", "[SECRET]b", "none"]
 
 
+def test_many_secrets_in_one_text(column, monkeypatch):
+    monkeypatch.setattr(secret_scan, "FOLD", 3)
+    monkeypatch.setattr(secret_scan, "SEGMENT", 7)
+    rnd = random.Random(19)
+    word = lambda: "".join(rnd.choice("aé😀 \n.") for _ in range(rnd.randint(0, 9)))
+    texts = ["".join(word() + rnd.choice(["token=" + "abcdefgh" * rnd.randint(1, 3), "AKIA" + "Q" * 14, "f0" * 16, "token=abc "]) + " " for _ in range(rnd.randint(0, 25))) + word() for _ in range(20)]
+    rule = secret_scan.RULES[0]
+    rows = [(t,) for t in texts]
+    found = column(secret_scan.spans(F.col("text"), rule, 0), "text string", rows)
+    import re
+
+    for t, spans in zip(texts, found, strict=True):
+        assert [(s.start, s.end) for s in spans] == [m.span() for m in re.finditer(rule.pattern.replace("(?i:", "(?:"), t) if len(m[2]) >= 8]
+    every = F.array_sort(F.concat(*[secret_scan.spans(F.col("text"), r, k) for k, r in enumerate(secret_scan.RULES)]))
+    for t, got, spans in zip(texts, column(secret_scan.masked(F.col("text"), every), "text string", rows), column(every, "text string", rows), strict=True):
+        want, end = "", 0
+        for s in spans:
+            if s.start > end or s.start == end == 0:
+                want += t[end : s.start] + "[SECRET]"
+            end = max(end, s.end)
+        assert got == want + t[end:]
+
+
 def test_groups_stay_together(spark):
     members = [(k, f"g{k // 4}") for k in range(400)] + [(1000 + k, f"only{k}") for k in range(400)] + [(5000 + k, "hot") for k in range(400)]
     rows = shards.assign(spark.createDataFrame(members, "id long, group string"), 6).collect()
