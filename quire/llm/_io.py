@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import functools
 import re
 import tempfile
 import uuid
@@ -68,6 +71,21 @@ def small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def trimmed(run):
+    """run, a generator over batches, that gives what it has freed back to the system at its end: workers live on between tasks."""
+
+    @functools.wraps(run)
+    def wrapped(*args):
+        try:
+            yield from run(*args)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # a system without it
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return wrapped
+
+
 def raw_texts(column: pa.Array) -> Iterator[memoryview]:
     """The UTF-8 bytes of each text, where the batch has them; none for null."""
     for t in column:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm._io import small_batches, table
+from quire.llm._io import small_batches, table, trimmed
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Texts fall apart where no piece crosses: before the spaces that follow anything else, and around these characters.
@@ -275,7 +275,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text
                 yield pa.RecordBatch.from_arrays([part.column(0), ids, sizes, pa.array(same, pa.bool_())], ["doc_id", "ids", "n_ids", "round_trip"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return small_batches(rows).mapInArrow(run, "doc_id long, ids array<int>, n_ids long, round_trip boolean")
+    return small_batches(rows).mapInArrow(trimmed(run), "doc_id long, ids array<int>, n_ids long, round_trip boolean")
 
 
 def decode(rows: DataFrame, vocabulary: Vocabulary, ids_col: str = "ids", out_col: str = "text") -> DataFrame:

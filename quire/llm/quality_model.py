@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -10,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm._io import small_batches, table
+from quire.llm._io import small_batches, table, trimmed
 
 #: Bound of the sample of labelled rows that training gathers on the driver.
 MAX_TRAIN_ROWS = 20_000
@@ -151,12 +152,14 @@ def fit(docs: DataFrame, labels: DataFrame, max_train_rows: int = MAX_TRAIN_ROWS
 def scorer(forest: Forest):
     """A Column function from text to score; frames that it is put on should go through small_batches() first."""
 
-    def score(s: pd.Series) -> pd.Series:
-        out = np.empty(len(s))
-        for k in range(0, len(s), 512):
-            part = s.iloc[k : k + 512]
-            out[k : k + len(part)] = forest.score(np.array([statistics(t) for t in part]).reshape(-1, len(FEATURES)))
-        return pd.Series(out)
+    @trimmed
+    def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for s in parts:
+            out = np.empty(len(s))
+            for k in range(0, len(s), 512):
+                part = s.iloc[k : k + 512]
+                out[k : k + len(part)] = forest.score(np.array([statistics(t) for t in part]).reshape(-1, len(FEATURES)))
+            yield pd.Series(out)
 
     return F.pandas_udf(score, "double")
 

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm._io import ranges_of, raw_texts, save, small_batches
+from quire.llm._io import ranges_of, raw_texts, save, small_batches, trimmed
 
 BLOCK_BYTES = 2 << 20
 STEP = 1 << 16
@@ -95,7 +95,7 @@ def pack(docs: DataFrame, kind: Kind, id_col: str, text_col: str) -> DataFrame:
             yield block()
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return save(small_batches(rows).mapInArrow(run, "block long, bytes long, payload binary"), "blocks")
+    return save(small_batches(rows).mapInArrow(trimmed(run), "block long, bytes long, payload binary"), "blocks")
 
 
 def _mix(v: np.ndarray) -> np.ndarray:
@@ -476,7 +476,7 @@ def covered(docs: DataFrame, kind: Kind, report: Callable, schema: str, id_col:
     blocks = pack(docs, kind, id_col, text_col)
     ranges = ranges_of(blocks.agg(F.sum("bytes")).first()[0] or 0, RANGE_BYTES)
     blocks = blocks.drop("bytes")
-    anchors = blocks.mapInPandas(_send_anchors(kind, ranges), "range long, block long, marks binary")
+    anchors = blocks.mapInPandas(trimmed(_send_anchors(kind, ranges)), "range long, block long, marks binary")
     levels = anchors.groupBy("range").applyInPandas(_shared, "block long, range long, levels binary")
     sent = blocks.groupBy("block").cogroup(levels.groupBy("block")).applyInPandas(_send_pieces(kind, ranges), "range long, block long, packet binary")
     runs = sent.groupBy("range").applyInPandas(_match(kind), "block long, runs binary")

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm._io import ranges_of, raw_texts, save, small_batches
+from quire.llm._io import ranges_of, raw_texts, save, small_batches, trimmed
 from quire.llm.simhash import BITS, MOST_BITS, RANGE_BYTES, SEED, blobs, classes, components, shingle_hashes, tokens
 from quire.llm.simhash import links as fingerprint_links
 
@@ -76,7 +76,7 @@ def _common(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
 
     share = min(1.0, SAMPLE / max(1, docs.count()))
     some = docs.select("text").sample(share, seed=SEED) if share < 1 else docs.select("text")
-    counted = small_batches(some).mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).filter(F.col("n") >= LEAST_COMMON)
+    counted = small_batches(some).mapInArrow(trimmed(run), "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).filter(F.col("n") >= LEAST_COMMON)
     rows = counted.orderBy(F.col("n").desc(), "h").limit(MOST_COMMON).collect()
     h, n = np.array([r.h for r in rows], np.int64).view(np.uint64), np.array([r.n for r in rows], np.int64)
     order = np.argsort(h)
@@ -127,7 +127,7 @@ def _prefixes(docs: DataFrame, common: tuple[np.ndarray, np.ndarray], words: int
             columns = [batch.column(0), *numbers, pa.array(firsts, pa.binary()), pa.array(maps, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "size", "fp", "prefix", "parity"])
 
-    return small_batches(docs).mapInArrow(run, "doc_id long, node long, size long, fp long, prefix binary, parity binary")
+    return small_batches(docs).mapInArrow(trimmed(run), "doc_id long, node long, size long, fp long, prefix binary, parity binary")
 
 
 def _pack(ranges: int):
@@ -241,7 +241,7 @@ def _lines(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             names = np.array([_name(x) for x in lines], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(lines, pa.binary())], ["name", "line"])
 
-    every = small_batches(docs.select("text")).mapInArrow(run, "name long, line binary")
+    every = small_batches(docs.select("text")).mapInArrow(trimmed(run), "name long, line binary")
     return save(every.join(wanted, F.col("name") == F.col("wanted"), "left_semi").groupBy("name").agg(F.first("line").alias("line")), "lines")
 
 
@@ -262,14 +262,14 @@ def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int, a
     for c in ("a", "b"):
         maps = nodes.select(F.col("node").alias(f"node_{c}"), F.col("size").alias(f"size_{c}"), F.col("parity").alias(f"map_{c}"))
         pairs = pairs.join(maps, F.col(c) == F.col(f"node_{c}"))
-    pairs = save(pairs.select("a", "b", "size_a", "map_a", "size_b", "map_b").mapInPandas(_sift(alike), "a long, b long"), "pairs")
+    pairs = save(pairs.select("a", "b", "size_a", "map_a", "size_b", "map_b").mapInPandas(trimmed(_sift(alike)), "a long, b long"), "pairs")
     if pairs.isEmpty():
         return pairs
     lines = _lines(docs, save(pairs.select(F.explode(F.array("a", "b")).alias("wanted")).distinct(), "wanted"))
     for c in ("a", "b"):
         own = lines.select(F.col("name").alias(f"name_{c}"), F.col("line").alias(f"line_{c}"))
         pairs = pairs.join(own, F.col(c) == F.col(f"name_{c}"))
-    return save(small_batches(pairs.select("a", "b", "line_a", "line_b")).mapInPandas(_compare(words, alike), "a long, b long"), "links")
+    return save(small_batches(pairs.select("a", "b", "line_a", "line_b")).mapInPandas(trimmed(_compare(words, alike)), "a long, b long"), "links")
 
 
 def _rooted(nodes: DataFrame, found: DataFrame) -> DataFrame:
@@ -288,7 +288,7 @@ def links(docs: DataFrame, nodes: DataFrame, words: int, alike: int) -> DataFram
     out = _verified(docs, nodes, _by_fingerprint(nodes), words, alike)
     size = nodes.agg(F.sum(F.octet_length("prefix"))).first()[0] or 0
     ranges = ranges_of(4 * size, RANGE_BYTES)
-    packed = _rooted(nodes.select("node", "size", "prefix"), out).mapInPandas(_pack(ranges), "range long, pairs binary")
+    packed = _rooted(nodes.select("node", "size", "prefix"), out).mapInPandas(trimmed(_pack(ranges)), "range long, pairs binary")
     found = save(packed.groupBy("range").applyInPandas(_first(REACH, alike), _FOUND), "candidates")
     low, high = 0, REACH
     while True:

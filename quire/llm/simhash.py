@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm._io import ranges_of, raw_texts, save, small_batches, table, word_chunks
+from quire.llm._io import ranges_of, raw_texts, save, small_batches, table, trimmed, word_chunks
 
 BITS = 64
 MOST_BITS = 3
@@ -70,7 +70,7 @@ def fingerprints(docs: DataFrame, words: int = WORDS, id_col: str = "doc_id", te
             fp = np.fromiter((fingerprint(t, words) for t in raw_texts(batch.column(1))), np.uint64, batch.num_rows)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
 
-    return small_batches(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))).mapInArrow(run, "doc_id long, fp long")
+    return small_batches(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))).mapInArrow(trimmed(run), "doc_id long, fp long")
 
 
 def segments(low: int, width: int, most_bits: int) -> list[tuple[int, int]]:
@@ -244,7 +244,7 @@ def links(distinct: DataFrame, count: int, most_bits: int = MOST_BITS) -> DataFr
     ranges, schema = ranges_of(count * BITS * 16, RANGE_BYTES), "a long, b long, linked boolean"
     # Each row becomes BITS rows, so that few files of nodes are many tasks.
     spread = distinct.select("fp").repartition(max(8, count >> 15))
-    packed = spread.mapInPandas(_pack(ranges, most_bits, _common_keys(distinct, count, most_bits)), "range long, pairs binary")
+    packed = spread.mapInPandas(trimmed(_pack(ranges, most_bits, _common_keys(distinct, count, most_bits))), "range long, pairs binary")
     found = save(packed.groupBy("range").applyInPandas(_resolve(PAIRWISE, most_bits), schema), "links")
     finer = found.filter(~F.col("linked")).mapInPandas(_split_large(ranges, most_bits), "range long, pairs binary")
     more = finer.groupBy("range").applyInPandas(_resolve(None, most_bits), schema)
