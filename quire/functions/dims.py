@@ -30,8 +30,12 @@ CHAPTERS = (
     (38, 401, "chapter_38_letter_uses_retreats"), (39, 423, "chapter_39_beautiful_names_explanation"),
     (40, 516, "chapter_40_answered_supplications"),
 )
-#: Section starts lie 21 pages apart from the second on, and the last is nine after the one before.
-SECTIONS = ((1, 1), *((k, 1 + 21 * (k - 1)) for k in range(2, 30)), (30, 598))
+# First pages of the thirty sections.
+SECTIONS = (
+    (1, 1), (2, 22), (3, 43), (4, 64), (5, 85), (6, 106), (7, 127), (8, 148), (9, 169), (10, 190),
+    (11, 211), (12, 232), (13, 253), (14, 274), (15, 295), (16, 316), (17, 337), (18, 358), (19, 379), (20, 400),
+    (21, 421), (22, 442), (23, 463), (24, 484), (25, 505), (26, 526), (27, 547), (28, 568), (29, 589), (30, 598),
+)
 # First pages of the parts of the printed edition.
 PARTS = (
     ("I", 1), ("II", 10), ("III", 11), ("IV", 17), ("V", 24), ("VI", 32), ("VII", 40), ("VIII", 53), ("IX", 61), ("X", 68),
@@ -59,13 +63,14 @@ FALLBACKS = {
 # Function words that tell the two target languages apart.
 MARKERS = {
     "id": (
-        "yang dan tidak ada ini dengan untuk adalah pada akan dalam halaman dari ke di itu atau juga sudah bagi kepada "
-        "kepadanya maka pun punlah"
-    ).split(),
+        "yang", "dan", "tidak", "ada", "ini", "dengan", "untuk", "adalah", "pada", "akan", "dalam", "halaman", "dari", "ke", "di",
+        "itu", "atau", "juga", "sudah", "bagi", "kepada", "kepadanya", "maka", "pun", "punlah",
+    ),
     "en": (
-        "the and not this with for is that was were of to in it he she they which as be has have said his her their upon from there"
-    ).split(),
-}
+        "the", "and", "not", "this", "with", "for", "is", "that", "was", "were", "of", "to", "in", "it", "he", "she", "they",
+        "which", "as", "be", "has", "have", "said", "his", "her", "their", "upon", "from", "there",
+    ),
+}
 
 
 def starts(spark: SparkSession, rows, schema: str = "chapter_num int, start_page long, slug string") -> DataFrame:

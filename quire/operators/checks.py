@@ -221,7 +221,8 @@ def validate(files: DataFrame, sources: DataFrame, dataset: DataFrame) -> DataFr
     record = dataset.groupBy(F.col("page").alias("record_page")).agg(F.count(F.lit(1)).alias("n_records"), F.any_value("text").alias("record"))
     out = out.join(record, F.col("page") == F.col("record_page"), "left")
     errors = [F.when(F.coalesce("n_records", F.lit(0)) != 1, F.concat(F.lit("dataset has "), F.coalesce("n_records", F.lit(0)).cast("string"), F.lit(" records")))]
-    errors.append(F.when(text.clean(F.col("record.ar")) != text.clean(F.col("source")), F.lit("dataset ar differs from source")))
+    one = (F.coalesce("n_records", F.lit(0)) == 1) & F.col("record").isNotNull()  # only a single record is compared
+    errors.append(F.when(one & (text.clean(F.col("record.ar")) != text.clean(F.col("source"))), F.lit("dataset ar differs from source")))
     for lang, label in labels.items():
         file = files.filter(F.col("layer") == lang).select(F.col("page").alias(f"{lang}_page"), F.col("content").alias(f"{lang}_file"), blocks.parse_lines(F.col("content")).alias(f"{lang}_blocks"))
         out = out.join(file, F.col("page") == F.col(f"{lang}_page"), "left")
@@ -230,17 +231,17 @@ def validate(files: DataFrame, sources: DataFrame, dataset: DataFrame) -> DataFr
         wanted = F.array(F.lit("Arabic"), F.lit(label))
         say = lambda cond, what: F.when(cond, what if isinstance(what, Column) else F.lit(what))
         lost, extra = F.array_sort(F.array_except(wanted, names)), F.array_sort(F.array_except(names, wanted))
-        prefix, has = F.lit(f"{lang}: "), F.col(f"{lang}_file").isNotNull()
+        prefix, has, filled = F.lit(f"{lang}: "), F.col(f"{lang}_file").isNotNull(), blocks.body_of(bs, label).isNotNull()
         errors += [
             say(~has, f"{lang}: file missing"),
             say(has & (F.size(lost) > 0), F.concat(prefix, F.lit("missing required labels: "), F.array_join(lost, ", "))),
             say(has & (F.size(extra) > 0), F.concat(prefix, F.lit("unexpected labels: "), F.array_join(extra, ", "))),
             say(has & (F.size(blocks.duplicate_labels(bs)) > 0), F.concat(prefix, F.lit("duplicate labels: "), F.array_join(blocks.duplicate_labels(bs), ", "))),
-            say(text.clean(blocks.body_of(bs, "Arabic")) != text.clean(F.col("source")), f"{lang}: embedded Arabic differs from canonical source"),
-            say(blocks.body_of(bs, label).isNotNull() & (body == ""), f"{lang}: {label} block is empty"),
-            say(F.col("blank_source") & (body != dims.BLANK_MARKERS[lang]), f"{lang}: blank source requires its exact marker"),
-            say(~F.col("blank_source") & text.is_fallback(body, lang, "validator"), f"{lang}: fallback text is not allowed on a content page"),
-            say(text.clean(F.col(f"record.{lang}")) != body, f"{lang}: dataset differs from file"),
+            say(blocks.body_of(bs, "Arabic").isNotNull() & (text.clean(blocks.body_of(bs, "Arabic")) != text.clean(F.col("source"))), f"{lang}: embedded Arabic differs from canonical source"),
+            say(filled & (body == ""), f"{lang}: {label} block is empty"),
+            say(filled & F.col("blank_source") & (body != dims.BLANK_MARKERS[lang]), f"{lang}: blank source requires its exact marker"),
+            say(filled & ~F.col("blank_source") & text.is_fallback(body, lang, "validator"), f"{lang}: fallback text is not allowed on a content page"),
+            say(one & filled & (text.clean(F.col(f"record.{lang}")) != body), f"{lang}: dataset differs from file"),
         ]
     en, id_ = (blocks.body_of(F.col(f"{g}_blocks"), n).isNotNull() for g, n in labels.items())
     out = out.withColumn("errors", F.array_compact(F.array(*errors)))
@@ -252,7 +253,7 @@ def sweep_totals(reports: DataFrame) -> DataFrame:
 
 
 def worker_output(pages: DataFrame) -> DataFrame:
-    """Findings on (page, layer, raw, source) with the six rules for a worker's file."""
+    """Findings on (page, layer, raw, source) with the rules for a worker's file, degenerate repetition included."""
     label = by_lang(F.col("layer"), lambda g: F.lit(dims.LANGS[g]))
     rows = pages.withColumns({"bs": blocks.parse_context(text.clean(F.col("raw"))), "label": label, "n": letters(text.clean(F.col("source")))})
     n_label = F.size(F.filter("bs", lambda b: b["label"] == F.col("label")))
@@ -260,7 +261,9 @@ def worker_output(pages: DataFrame) -> DataFrame:
     body, embedded = F.col("body"), blocks.body_of(F.col("bs"), "Arabic")
     longest, total = chars.longest(chars.runs(body, chars.ARABIC_BLOCK)), chars.count(body, chars.ARABIC_LETTERS)
     many = (total > F.greatest(F.lit(4.0), F.length(body) * 0.005)) & (longest < 3) & (total > 60)
+    looped = duplicates.top_window(rows.filter(F.length(body) > 500).select(F.struct("page", "layer").alias("of"), "body"), "of", "body").filter("looped")
     return union([
+        finding(looped.select("of.page", "of.layer", "top", "top_count"), "degenerate-repetition", F.lit(True), metric=F.col("top_count"), detail=F.col("top")),
         finding(rows, "label-count", F.col("n_label") != 1, metric=F.col("n_label")), finding(rows, "empty-target", body == ""),
         finding(rows, "embedded-differs", embedded.isNotNull() & (text.fold_space(embedded) != text.fold_space(F.col("source")))),
         finding(rows, "scratchpad", F.col("raw").rlike(text.SCRATCH), metric=F.regexp_count(F.col("raw"), F.lit(text.SCRATCH))),

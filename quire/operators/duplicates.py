@@ -12,6 +12,7 @@ from quire.functions import chars, text
 WORDS = {"fixed": "[a-zà-öø-ɏ']+", "compat": "[a-zĀ-ɏ']+"}
 SHINGLE = 12
 NEAR = 0.60
+# Names by which pages are aligned.
 LEMMAS = r"\b(Allah|Muhammad|Musa|Yahya|Ibrahim|Ismail|Adam|Yunus|Isa|Iblis|Jibril|Mika'il)\b"
 
 
