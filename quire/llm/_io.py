@@ -71,11 +71,21 @@ def small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
-def trimmed(run):
-    """run, a generator over batches, that gives what it has freed back to the system at its end: workers live on between tasks."""
+#: What a worker keeps between its tasks, by the name of the operator that it is for.
+RESIDENT: dict[str, object] = {}
+
+
+def trimmed(run, keeps: str | None = None):
+    """run, a generator over batches, for workers that live on between tasks and operators.
+
+    It begins without what other operators keep in the worker, and ends by giving what it has freed
+    back to the system.
+    """
 
     @functools.wraps(run)
     def wrapped(*args):
+        for name in [n for n in RESIDENT if n != keeps]:
+            del RESIDENT[name]
         try:
             yield from run(*args)
         finally:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm._io import small_batches, table, trimmed
+from quire.llm._io import RESIDENT, small_batches, table, trimmed
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Texts fall apart where no piece crosses: before the spaces that follow anything else, and around these characters.
@@ -242,16 +242,13 @@ class Vocabulary:
         return b"".join([of[i] for i in ids]).decode("utf-8", "replace")[1:]
 
 
-_loaded: dict[tuple, Vocabulary] = {}
-
-
 def _once(pieces: list, byte_ids: list[int], merged: bool) -> Vocabulary:
-    """The vocabulary of a process: later tasks of a worker find the automaton and the caches ready."""
+    """The vocabulary of a process: later tasks of a worker find the automaton and the caches ready, until another operator's tasks come."""
     key = (len(pieces), hash(tuple(pieces)), tuple(byte_ids), merged)
-    if key not in _loaded:
-        _loaded.clear()
-        _loaded[key] = Vocabulary(pieces, byte_ids, merged)
-    return _loaded[key]
+    kept = RESIDENT.get("pieces")
+    if kept is None or kept[0] != key:
+        kept = RESIDENT["pieces"] = (key, Vocabulary(pieces, byte_ids, merged))
+    return kept[1]
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -275,7 +272,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text
                 yield pa.RecordBatch.from_arrays([part.column(0), ids, sizes, pa.array(same, pa.bool_())], ["doc_id", "ids", "n_ids", "round_trip"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return small_batches(rows).mapInArrow(trimmed(run), "doc_id long, ids array<int>, n_ids long, round_trip boolean")
+    return small_batches(rows).mapInArrow(trimmed(run, keeps="pieces"), "doc_id long, ids array<int>, n_ids long, round_trip boolean")
 
 
 def decode(rows: DataFrame, vocabulary: Vocabulary, ids_col: str = "ids", out_col: str = "text") -> DataFrame:
