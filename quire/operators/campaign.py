@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from quire.functions import text
+
 TERMINAL = "committed"
 # What each action needs and gives.
 MOVES = {
@@ -100,11 +102,31 @@ def state_errors(state: DataFrame, total: int, statuses: tuple[str, ...] = ("pen
     return lost.union(extra).union(bad)
 
 
-def checklist(state: DataFrame, key: str, done: str = "committed") -> DataFrame:
-    """One row: lines "[x] page" in order, how many are done, and of how many."""
+def checklist(state: DataFrame, key: str, done: str = "committed", chunk: int = 1000) -> DataFrame:
+    """(part, lines, done, total): lines "[x] page" in order, chunk pages in a row, so that no row grows with the campaign; parts follow on each other."""
     line = F.concat(F.when(F.col("status") == done, "- [x] ").otherwise("- [ ] "), F.col(key).cast("string"))
-    got = state.agg(F.array_sort(F.collect_list(F.struct(F.col(key).alias("k"), line.alias("line")))).alias("ls"), F.count_if(F.col("status") == done).alias("done"), F.count(F.lit(1)).alias("total"))
-    return got.select(F.array_join(F.transform("ls", lambda x: x["line"]), "\n").alias("lines"), "done", "total")
+    parts = state.groupBy(F.floor(F.col(key) / chunk).alias("part"))
+    got = parts.agg(F.array_sort(F.collect_list(F.struct(F.col(key).alias("k"), line.alias("line")))).alias("ls"), F.count_if(F.col("status") == done).alias("done"), F.count(F.lit(1)).alias("total"))
+    return got.select("part", F.array_join(F.transform("ls", lambda x: x["line"]), "\n").alias("lines"), "done", "total")
+
+
+def remaining_calls(total: Column, done: Column, per_call: int = 3) -> Column:
+    """Calls that the pages left will take."""
+    return F.ceil((total - done) / per_call)
+
+
+WORKABLE = ("claimed", "in_progress", "rework")
+
+
+def work_packets(state: DataFrame, files: DataFrame, worker: str) -> DataFrame:
+    """(page, packet) for the pages (page, status, owner, attempts) that a worker holds in a workable status; files are (page, layer, content), null where there is no draft."""
+    held = state.filter((F.col("owner") == worker) & F.col("status").isin(*WORKABLE))
+    drafts = files.groupBy(F.col("page").alias("f_page")).pivot("layer", ["ar", "en", "id"]).agg(F.first("content"))
+    name = text.page_name(F.col("page"))
+    paths = F.struct(*[F.concat(F.lit(folder), name).alias(k) for k, folder in (("source", "ocr/enriched/"), ("english", "ocr/enriched_en/"), ("indonesian", "ocr/enriched_id/"))])
+    rows = held.join(drafts, F.col("page") == F.col("f_page"), "left")
+    packet = F.struct(F.lit(worker).alias("worker_id"), "page", F.col("attempts").alias("attempt"), "status", paths.alias("paths"), F.col("ar").alias("source_text"), F.col("en").alias("english_draft"), F.col("id").alias("indonesian_draft"))
+    return rows.select("page", packet.alias("packet"))
 
 
 def tail(events: DataFrame, n: int, *order: Column) -> DataFrame:

@@ -122,18 +122,25 @@ def signature_score(a: Column, b: Column) -> Column:
 def alignment(targets: DataFrame, sources: DataFrame) -> DataFrame:
     """(page, own_score, best, best_score) of targets that do not fit the source of their own number.
 
-    Both sides are (page, body). Every target that fails meets every source, whose signatures are a few
-    dozen bytes each; only failing targets with any signal take part, in one pass over the sources.
+    Both sides are (page, body). A failing target meets the sources that share its header, or frames
+    and names where it has either: without a header a score of one needs both of them equal, and what
+    shares neither is no place for it. Sources alike in all three are one, with their lowest page, so
+    that a signature which very many pages share is met once. Targets without a partner have no row.
     """
     t = targets.select("page", signature(F.col("body")).alias("sig"))
     s = sources.select(F.col("page").alias("slot"), signature(F.col("body")).alias("source_sig"))
     signal = F.col("sig.header").isNotNull() | (F.col("sig.frames") > 0) | (F.size("sig.lemmas") > 0)
     own = t.filter(signal).join(s, F.col("page") == F.col("slot")).select("page", "sig", signature_score(F.col("sig"), F.col("source_sig")).alias("own_score"))
     failing = own.filter("own_score < 0.999")
-    # A score above one half needs an equal header, frames or lemmas, so slots meet on one of the three.
-    keys = lambda sig: F.array(F.concat(F.lit("h"), F.coalesce(F.col(f"{sig}.header"), F.lit("?"))), F.concat(F.lit("f"), F.col(f"{sig}.frames").cast("string")), F.concat(F.lit("l"), F.array_join(f"{sig}.lemmas", " ")))
-    met = failing.withColumn("k", F.explode(keys("sig"))).join(s.withColumn("k", F.explode(keys("source_sig"))), "k")
-    scored = met.select("page", "own_score", "slot", signature_score(F.col("sig"), F.col("source_sig")).alias("score")).distinct()
+    kinds = s.groupBy("source_sig").agg(F.min("slot").alias("slot"))
+
+    def keys(sig: str) -> Column:
+        header, frames, lemmas = (F.col(f"{sig}.{c}") for c in ("header", "frames", "lemmas"))
+        both = F.concat(F.lit("b"), frames.cast("string"), F.lit(":"), F.array_join(F.array_distinct(lemmas), " "), F.lit(":"), F.size(lemmas).cast("string"))
+        return F.array_compact(F.array(F.concat(F.lit("h"), header), F.when((frames > 0) | (F.size(lemmas) > 0), both)))
+
+    met = failing.withColumn("k", F.explode(keys("sig"))).join(kinds.withColumn("k", F.explode(keys("source_sig"))), "k")
+    scored = met.select("page", "own_score", "slot", signature_score(F.col("sig"), F.col("source_sig")).alias("score"))
     best = scored.groupBy("page", "own_score").agg(F.max_by(F.struct("slot", "score"), F.struct("score", -F.col("slot"))).alias("b"))
     return best.select("page", "own_score", F.col("b.slot").alias("best"), F.col("b.score").alias("best_score"))
 

@@ -37,6 +37,11 @@ def lines(pages: DataFrame, key: str, body: str) -> DataFrame:
     return split.select(key, "line_no", text.strip(F.col("raw")).alias("line")).withColumn("kind", line_kind(F.col("line")))
 
 
+def is_grid_art(line: Column, least: int = 20) -> Column:
+    """A line drawn of glyphs: so many of the set or more."""
+    return F.regexp_count(line, F.lit(f"[{GRID_GLYPHS}]")) >= least
+
+
 def _closes(line: Column) -> Column:
     """A line after which a new paragraph begins: it ends a sentence and has more than four words."""
     words = F.size(F.filter(F.split(line, r"\s+", -1), lambda w: w != ""))

@@ -7,14 +7,28 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
+#: Rows up to which a dimension of ranges goes to every task.
+SMALL_DIM = 100_000
+
+
 def as_of(pages: DataFrame, page: str, dim: DataFrame, start: str = "start_page", end: str = "end_page") -> DataFrame:
-    """pages with the columns of the dimension's row whose range holds them.
+    """pages with the columns of the dimension's row whose range holds them; ranges do not overlap, and pages in none get nulls.
 
-    A range join against a dimension of fixed length, so its rows are broadcast; pages before the first
-    start get nulls.
+    A dimension of SMALL_DIM rows at most, which is checked, is broadcast into a range join. A larger one is
+    joined through the order of both: each page looks back to the last start at or before it.
     """
-    inside = (F.col(page) >= F.col(start)) & (F.col(end).isNull() | (F.col(page) <= F.col(end)))
-    return pages.join(F.broadcast(dim), inside, "left")
+    if dim.limit(SMALL_DIM + 1).count() <= SMALL_DIM:
+        inside = (F.col(page) >= F.col(start)) & (F.col(end).isNull() | (F.col(page) <= F.col(end)))
+        return pages.join(F.broadcast(dim), inside, "left")
+    # Cells of equal length around the mean distance of starts: a range goes to the cells that it touches.
+    low, high, n = dim.agg(F.min(start), F.max(start), F.count(F.lit(1))).first()
+    width = max(1, (int(high) - int(low)) // int(n))
+    cell = lambda c: F.floor(c.cast("double") / width).cast("long")
+    last = F.lit(pages.agg(F.max(page)).first()[0])
+    until = F.least(F.coalesce(F.col(end), last), last)
+    cells = dim.filter(until >= F.col(start)).withColumn("dim_cell", F.explode(F.sequence(cell(F.col(start)), cell(until))))
+    on = (cell(F.col(page)) == F.col("dim_cell")) & (F.col(page) >= F.col(start)) & (F.col(end).isNull() | (F.col(page) <= F.col(end)))
+    return pages.join(cells, on, "left").drop("dim_cell")
 
 
 def dense(spine: DataFrame, key: str, layers: dict[str, DataFrame], default: str = "") -> DataFrame:

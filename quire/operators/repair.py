@@ -17,9 +17,9 @@ def plan_block(sibling: Column, label: str, lang: str, kind: str = "enriched") -
     """recover a labelled block of the sibling file, relabel a file that already is one, or translate."""
 
     def planned(x: Column) -> Column:
-        found = F.struct(F.lit("recover").alias("action"), text.strip_artifacts(x["first"]).alias("body"), F.concat(F.lit(f"{label} block found in sibling file ("), F.length(x["first"]).cast("string"), F.lit(" chars)")).alias("reason"))
-        whole = F.struct(F.lit("relabel").alias("action"), text.strip_artifacts(x["bare"]).alias("body"), F.lit(f"{kind} file body is already {label}-language but unlabelled").alias("reason"))
-        none = F.struct(F.lit("translate").alias("action"), F.lit("").alias("body"), F.lit(f"no {label} block and no unlabelled {label} body in sibling file").alias("reason"))
+        found = F.struct(F.lit("recover").alias("action"), text.strip_artifacts(x["first"]).alias("body"), F.concat(F.lit(f"the sibling holds a fitting {label} block of "), F.length(x["first"]).cast("string"), F.lit(" characters")).alias("reason"))
+        whole = F.struct(F.lit("relabel").alias("action"), text.strip_artifacts(x["bare"]).alias("body"), F.lit(f"the {kind} text reads as {label} but has no label").alias("reason"))
+        none = F.struct(F.lit("translate").alias("action"), F.lit("").alias("body"), F.lit(f"nothing in the sibling reads as {label}").alias("reason"))
         return F.when(x["first"].isNotNull(), found).when(text.is_translation_like(x["bare"], lang), whole).otherwise(none)
 
     def parts(cleaned: Column) -> Column:

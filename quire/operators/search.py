@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.functions import text
+from quire.functions import text, udf
 
 TERM = r"(?U)[\p{L}\p{N}]+"
 
@@ -33,9 +33,15 @@ def terms(body: Column) -> Column:
     return F.regexp_extract_all(F.lower(body), F.lit(TERM), F.lit(0))
 
 
-def inverted_index(pages: DataFrame, key: str, body: str) -> DataFrame:
-    """(term, key, positions from 0): a row for each term and page; pages bound the positions."""
-    rows = pages.select(key, F.posexplode(terms(F.col(body))).alias("at", "term"))
+def page_of(hits: DataFrame, order: list[Column], offset: int, size: int = 100) -> DataFrame:
+    """The hits after the first offset ones, size at most."""
+    return hits.orderBy(*order).offset(offset).limit(size)
+
+
+def inverted_index(pages: DataFrame, key: str, body: str, fold: bool = False) -> DataFrame:
+    """(term, key, positions from 0): a row for each term and page; pages bound the positions. With fold, diacritics are left out of terms."""
+    own = udf.nfd_fold(F.col(body)) if fold else F.col(body)
+    rows = pages.select(key, own.alias("body")).select(key, F.posexplode(terms(F.col("body"))).alias("at", "term"))
     return rows.groupBy("term", key).agg(F.array_sort(F.collect_list("at")).alias("positions"))
 
 

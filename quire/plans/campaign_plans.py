@@ -65,9 +65,15 @@ def retry_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return campaign.retry_batch(state, "user_id", now_of(spark, sf_dir))
 
 
-@query()
+@query("""WITH RECURSIVE a AS (SELECT user_id AS page, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n,
+    CASE event_type WHEN 'signup' THEN 'claim' WHEN 'view' THEN 'start' WHEN 'purchase' THEN 'submit' WHEN 'error' THEN 'block' ELSE 'other' END AS action FROM events),
+r AS (SELECT DISTINCT page, 0::BIGINT AS n, 'pending' AS status, NULL::VARCHAR AS owner, 0 AS attempts, 0 AS n_refused FROM a
+  UNION ALL SELECT page, n, coalesce(new, status), CASE WHEN new IS NOT NULL AND action = 'claim' THEN 'worker' ELSE owner END, attempts + (new IS NOT NULL AND action = 'claim')::INT, n_refused + (new IS NULL)::INT
+  FROM (SELECT r.page, a.n, r.status, r.owner, r.attempts, r.n_refused, a.action, CASE WHEN action = 'claim' AND status IN ('pending', 'rework') THEN 'claimed' WHEN action = 'start' AND status = 'claimed' THEN 'in_progress'
+    WHEN action = 'submit' AND status = 'in_progress' THEN 'review' WHEN action = 'block' AND status IN ('claimed', 'in_progress', 'review', 'rework') THEN 'blocked' END AS new FROM r JOIN a ON a.page = r.page AND a.n = r.n + 1))
+SELECT page, status, owner, attempts, n_refused FROM r QUALIFY row_number() OVER (PARTITION BY page ORDER BY n DESC) = 1""")
 def state_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each user's events as a page's actions, folded in order; the fold is no window, so there is no SQL."""
+    """Each user's events as a page's actions, folded in order; the SQL walks them one by one."""
     actions = F.create_map(*[F.lit(x) for kv in (("signup", "claim"), ("view", "start"), ("purchase", "submit"), ("error", "block")) for x in kv])
     rows = events(spark, sf_dir).select(
         F.col("user_id").alias("page"), F.struct("ts", "event_id").alias("seq"), F.coalesce(F.try_element_at(actions, F.col("event_type")), F.lit("other")).alias("action"), F.lit("worker").alias("actor")

@@ -187,13 +187,3 @@ def choose_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = lambda role: F.min_by(F.when(F.col("role") == role, F.col("text")), F.when(F.col("role") == role, F.col("turn")))
     rows = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(first("user").alias("a"), first("assistant").alias("b")).filter("a is not null and b is not null")
     return rows.select("conv_id", repair.choose(F.col("a"), F.col("b"))["winner"].alias("winner"))
-
-
-@query()
-def repair_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Plans for conversations read as page files; the context parser needs lookbehind, which DuckDB lacks."""
-    names = F.create_map(*[F.lit(x) for kv in (("user", "Arabic"), ("assistant", "English"), ("system", "Indonesia")) for x in kv])
-    rows = table(spark, sf_dir, "conversations").withColumn("block", F.concat(F.coalesce(F.try_element_at(names, F.col("role")), F.lit("Arabic")), F.lit(":\n"), "text", F.lit("\n\n")))
-    files = relate.ordered_text(rows, ["conv_id"], "turn", "block", "", "content")
-    plan = files.select("conv_id", repair.plan_block(F.col("content"), "English", "en").alias("p"))
-    return plan.select("conv_id", "p.action", F.length("p.body").alias("n_chars"), "p.reason")

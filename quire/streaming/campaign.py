@@ -11,6 +11,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from quire.operators.campaign import MOVES, TERMINAL, WORKER_STALE
+from quire.sources import work
 
 EVENT = "campaign string, seq long, ts timestamp, page int, action string, actor string"
 OUT = "campaign string, seq long, page int, action string, status string, accepted boolean, reason string"
@@ -132,6 +133,6 @@ def daily_counts(spark: SparkSession, path: str, schema: str, ts: str, kind: str
     day = F.to_date(F.col(ts).cast("timestamp"))
     counts = stream.groupBy(day.alias("day"), F.col(kind).alias("kind")).agg(F.count(F.lit(1)).alias("n"))
     writer = counts.writeStream.format("memory").queryName(name).outputMode("complete").trigger(availableNow=True)
-    query = (writer.option("checkpointLocation", checkpoint) if checkpoint else writer).start()
+    query = writer.option("checkpointLocation", checkpoint or work.folder(spark, name)).start()
     query.awaitTermination()
     return spark.table(name)

@@ -79,4 +79,4 @@ def test_marks_and_checklist(spark):
     state = spark.createDataFrame([(1, "pending", None), (2, "committed", None)], "page int, status string, updated timestamp")
     marked = campaign.mark(state, spark.createDataFrame([(1, "committed", T0), (3, "pending", T0)], state.schema))
     assert {r.page: r.status for r in marked.collect()} == {1: "committed", 2: "committed", 3: "pending"}
-    assert tuple(campaign.checklist(marked, "page").first()) == ("- [x] 1\n- [x] 2\n- [ ] 3", 2, 3)
+    assert tuple(campaign.checklist(marked, "page").first()) == (0, "- [x] 1\n- [x] 2\n- [ ] 3", 2, 3)
