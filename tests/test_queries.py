@@ -65,3 +65,20 @@ def test_library_stands_without_the_subpackage():
     for f in root.rglob("*.py"):
         if "llm" not in f.parts:
             assert not re.search(r"quire\.llm|from quire import llm", f.read_text()), f
+
+
+def test_entry_points_with_the_subpackage_hidden(tmp_path):
+    """A copy without the two folders and the pipeline still imports and registers every other query."""
+    import pathlib
+    import shutil
+    import subprocess
+    import sys
+
+    root = pathlib.Path(__file__).parent.parent
+    shutil.copytree(root / "quire", tmp_path / "quire", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(root / "__spark_entry__.py", tmp_path)
+    code = "from tests_session import spark; import __spark_entry__ as e; q = e.queries(); print(len(q), len(e.oracle_sql()), sum(n.startswith('op') and n[2].isdigit() for n in q))"
+    (tmp_path / "tests_session.py").write_text("from pyspark.sql import SparkSession\nspark = SparkSession.builder.master('local[1]').config('spark.ui.enabled', 'false').getOrCreate()\n")
+    ran = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=300)
+    assert ran.returncode == 0, ran.stderr[-2000:]
+    assert ran.stdout.split() == [str(len(QUERIES)), str(len(SQL)), "0"]
