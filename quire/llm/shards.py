@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from quire.llm._io import number_rows, running_sum, save, table
 
 SHARDS = 24
-ROUNDS = 6
 SEED = 42
 
 
@@ -48,11 +47,12 @@ def _propagate(linked: DataFrame, rows: int, shards: int) -> tuple[DataFrame, in
     return save(moved, "linked"), granted.count()
 
 
-def assign(members: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS, seed: int = SEED) -> DataFrame:
+def assign(members: DataFrame, shards: int = SHARDS, rounds: int | None = None, seed: int = SEED) -> DataFrame:
     """members with shard and slot; members has id and group, and documents of one group are linked.
 
     Counts of rows differ by one at most. Rows start in the shard of a hash; linked ones propagate
-    labels; then each shard keeps its quota, linked rows first, and the rest, in the order of
+    labels until no move is granted (or for so many rounds); each move makes one of two parts of a
+    group, so that this ends. Then each shard keeps its quota, linked rows first, and the rest, in the order of
     groups, fills what is left free. Slots count on from 0 in every shard. A group larger than a
     shard is spread. Null groups link nothing; repeated rows are rows of their own.
     """
@@ -64,11 +64,10 @@ def assign(members: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS, seed:
     sizes = save(sizes.filter("s_group is not null and in_group > 1").select("s_group"), "groups")
     labelled = save(labelled.join(sizes, F.col("group") == F.col("s_group"), "left").withColumn("is_linked", F.col("s_group").isNotNull()).drop("s_group"), "labelled")
     rows = labelled.count()
-    linked, moves = labelled.filter("is_linked"), 1
-    for _ in range(rounds):
-        if not moves:
-            break
+    linked, moves, done = labelled.filter("is_linked"), 1, 0
+    while moves and (rounds is None or done < rounds):
         linked, moves = _propagate(linked, rows, shards)
+        done += 1
     every = linked.unionByName(labelled.filter("not is_linked"))
     quotas = _quotas(spark, rows, shards)
     held = save(number_rows(every, "shard", [F.col("is_linked").desc(), F.col("group").asc_nulls_last(), F.col("id").asc_nulls_last()], "no"), "numbered")
@@ -87,7 +86,11 @@ def assign(members: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS, seed:
 
 
 def op5_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents of equal texts are linked (null: no text, and null texts are linked with each other)."""
+    """Documents of equal texts are linked (null: no text, and null texts are linked with each other).
+
+    Null and empty texts have the size 8; repeated rows are rows of their own; null ids are placed
+    by their group; an empty table gives no rows; columns other than doc_id and text are not read.
+    """
     docs = table(spark, sf_dir, "documents")
     text = F.coalesce(F.col("text"), F.lit(""))
     group = F.concat(F.col("text").isNull().cast("string"), F.lit(":"), F.sha2(text, 256))

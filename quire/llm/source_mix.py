@@ -75,7 +75,9 @@ def mix(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, share_halves: int =
 
 
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Null texts have size 0; null sources are one source, the last; other columns are not read."""
+    """Null and empty texts have size 0; null sources are one source, the last; rows alike in all columns
+    are interchangeable; an empty table gives no rows; columns other than doc_id, text and source are not read.
+    """
     docs = table(spark, sf_dir, "documents")
     rows = save(docs.select(F.col("doc_id").alias("id"), "source", word_count(F.col("text")).alias("size")), "sizes")
     return mix(rows).select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")

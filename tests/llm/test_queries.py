@@ -1,6 +1,8 @@
 """Every registered query of the subpackage on difficult rows and on empty tables, against brute force or SQL."""
 
 import hashlib
+import math
+import os
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -104,6 +106,55 @@ def test_quality_model(spark, nasty, docs):
         assert r.held_out == (r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
 
 
+def walk(forest, x):
+    """One row down each tree, node by node."""
+    raw = forest.prior
+    for feature, cut, value in zip(forest.feature, forest.cut, forest.value, strict=True):
+        node = 0
+        while node < len(feature):
+            node = 2 * node + 1 + int(x[feature[node]] > cut[node])
+        raw += value[node - len(feature)]
+    return 1 / (1 + math.exp(-raw))
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="tables are not here")
+def test_quality_model_by_brute_force(spark):
+    from quire.llm import quality_model as m
+
+    where = "/root/testdata/sf0.01"
+    table = lambda name: spark.read.parquet(f"{where}/{name}.parquet")
+    texts = {r.doc_id: r.text for r in table("documents").select("doc_id", "text").collect()}
+    forest = m.fit(table("documents"), table("labels"))
+    rows = {r.doc_id: r for r in result(spark, "op4_quality_model", where)}
+    assert set(rows) == set(texts)
+    for i in list(texts)[::5]:
+        assert math.isclose(rows[i].score, walk(forest, m.statistics(texts[i])), rel_tol=1e-9)
+    held = [(rows[r.doc_id].predicted, r.quality) for r in table("labels").collect() if r.doc_id in rows and rows[r.doc_id].held_out and r.quality is not None]
+    assert len(held) > 30 and sum(p == q for p, q in held) / len(held) > 0.9
+    assert len({round(r.score, 6) for r in rows.values()}) > 50
+
+
+def test_labels_follow_their_neighbours(spark):
+    """Cut links against those of a hash, and against what quotas leave possible."""
+    import random
+
+    from quire.llm import shards
+
+    rnd = random.Random(20)
+    members = [(k, f"g{rnd.randint(0, 120)}") for k in range(700)] + [(1000 + k, "hot") for k in range(350)] + [(2000 + k, None) for k in range(150)]
+    df = spark.createDataFrame(members, "id long, group string")
+
+    def cut(rows):
+        parts = defaultdict(Counter)
+        for r in rows:
+            if r.group is not None:
+                parts[r.group][r.shard] += 1
+        return sum(sum(c.values()) - max(c.values()) for c in parts.values()) - max(0, 350 - max(parts["hot"].values()))
+
+    found, hashed = cut(shards.assign(df, 6).collect()), cut(shards.assign(df, 6, rounds=0).collect())
+    assert hashed > 400 and found < 0.1 * hashed
+
+
 def test_shards(spark, nasty, docs):
     rows = result(spark, "op5_shards", nasty)
     size = lambda t: len((t or "").encode()) + 8
