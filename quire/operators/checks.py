@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from quire.functions import chars, dims, text, udf
 from quire.functions.folio import folio
 from quire.operators import blocks, duplicates
+from quire.sources import work
 
 FINDING = "rule string, page long, layer string, severity string, other_page long, metric double, detail string"
 MIN_CHECKED = {"copy": 60, "duplicate": 200, "language": 100, "short": 40}
@@ -105,9 +106,9 @@ def accept_enriched(raw: Column, enriched: Column) -> Column:
     return F.when((F.length(enriched) >= 0.5 * n) & (F.length(enriched) <= 3 * n), enriched).otherwise(raw)
 
 
-def coverage(body: Column, lang: str) -> Column:
-    """real, empty, placeholder or not-translation-like."""
-    b = text.fold_space(body)
+def coverage(body: Column, lang: str, folded: bool = False) -> Column:
+    """real, empty, placeholder or not-translation-like; folded tells that white space is folded already."""
+    b = body if folded else text.fold_space(body)
     real = F.lit(True) if lang == "ar" else text.is_translation_like(b, lang)
     return F.when(b == "", "empty").when(b.rlike(text.PLACEHOLDER), "placeholder").when(real, "real").otherwise("not-translation-like")
 
@@ -138,24 +139,33 @@ def row_findings(rows: DataFrame, rules: dict[str, tuple[Column, Column | None,
 
 
 def dataset_audit(pages: DataFrame) -> DataFrame:
-    """All findings of the dataset audit on long rows (page, layer in ar, en, id, body)."""
-    layer, body = F.col("layer"), F.col("body")
-    target, folded = layer.isin("en", "id"), text.fold_space(body)
-    state = F.coalesce(by_lang(layer, lambda g: coverage(body, g)), coverage(body, "ar"))
+    """All findings of the dataset audit on long rows (page, layer in ar, en, id, body).
+
+    The bodies are read once: what the rules need of a row is a few dozen bytes, written and read
+    again by each of them.
+    """
+    layer, body, folded = F.col("layer"), F.col("body"), F.col("folded")
+    target = layer.isin("en", "id")
+    state = F.coalesce(by_lang(layer, lambda g: coverage(folded, g, True)), coverage(folded, "ar", True))
     wrong = by_lang(layer, lambda g: chars.marker_density(folded, dims.MARKERS["id" if g == "en" else "en"]))
-    judged = F.when(target & (F.length(folded) >= MIN_CHECKED["language"]) & ~body.rlike(text.PLACEHOLDER), wrong)
-    run = F.when(target, chars.longest(chars.runs(body, chars.ARABIC_BLOCK)))
-    artifact = target & (body.rlike(text.BATCH_HEADER) | body.rlike(text.COMBINED_INLINE))
-    seen = pages.select("page", "layer", state.alias("state"), artifact.alias("artifact"), run.alias("run"), judged.alias("density"))
+    seen = pages.select("page", "layer", "body", text.fold_space(body).alias("folded")).select(
+        "page", "layer", state.alias("state"), (target & (body.rlike(text.BATCH_HEADER) | body.rlike(text.COMBINED_INLINE))).alias("artifact"),
+        F.when(target, chars.longest(chars.runs(body, chars.ARABIC_BLOCK))).alias("run"),
+        F.when(target & (F.length(folded) >= MIN_CHECKED["language"]) & ~body.rlike(text.PLACEHOLDER), wrong).alias("density"),
+        F.when(F.length(folded) >= MIN_CHECKED["duplicate"], F.md5(folded)).alias("digest"), folio(body, "top_three").alias("number"),
+    )
+    path = work.folder(pages.sparkSession, "audit")
+    seen.write.parquet(path)
+    seen = pages.sparkSession.read.schema(seen.schema).parquet(path)
     out = [row_findings(seen, {
         "coverage": (F.col("state") != "real", None, F.col("state")), "batch-artifact": (F.col("artifact"), None, None),
         "arabic-run": (F.col("run") >= 12, F.col("run"), None), "wrong-language": (F.col("density") > 0.05, F.col("density"), None),
     })]
-    keyed = pages.select("page", "layer", folded.alias("folded")).filter(F.length("folded") >= MIN_CHECKED["duplicate"]).select("page", "layer", F.md5("folded").alias("digest"))
-    firsts = keyed.groupBy("layer", "digest").agg(F.min("page").alias("first_page"))
+    keyed = seen.filter("digest is not null").select("page", "layer", "digest")
+    firsts = keyed.groupBy("layer", "digest").agg(F.min("page").alias("first_page"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     out.append(finding(keyed.join(firsts, ["layer", "digest"]), "duplicate-body", F.col("page") > F.col("first_page"), other=F.col("first_page")))
-    src = pages.filter(layer == "ar").select(F.col("page").alias("source_page"), folio(body, "top_three").alias("want"))
-    numbered = pages.filter(target).select("page", "layer", folio(body, "top_three").alias("got")).join(src, F.col("page") == F.col("source_page"))
+    src = seen.filter(layer == "ar").select(F.col("page").alias("source_page"), F.col("number").alias("want"))
+    numbered = seen.filter(target).select("page", "layer", F.col("number").alias("got")).join(src, F.col("page") == F.col("source_page"))
     numbered = numbered.withColumn("delta", F.abs(F.col("got").try_cast("long") - F.col("want").try_cast("long")))
     both = F.concat_ws(" vs ", "want", "got")
     out.append(finding(numbered, "misfiled", F.col("delta") >= 2, metric=F.col("delta"), detail=both))

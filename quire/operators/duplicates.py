@@ -77,14 +77,32 @@ def containment(pages: DataFrame, key: str, body: str, refs: DataFrame, ref_key:
     return hits.select(key, ref_key, "shared", (F.col("shared").cast("double") / F.col("n_ref")).alias("share"))
 
 
-def best_slot(pages: DataFrame, key: str, refs: DataFrame, ref_key: str) -> DataFrame:
-    """(key, best, jaccard) by common tokens; both sides are (key, tokens). Of equal slots the lowest wins."""
-    own = pages.select(F.col(key), F.size(F.array_distinct("tokens")).alias("n"), F.explode(F.array_distinct("tokens")).alias("t"))
-    ref = refs.select(F.col(ref_key).alias("slot"), F.size(F.array_distinct("tokens")).alias("m"), F.explode(F.array_distinct("tokens")).alias("t"))
-    both = own.join(ref, "t").groupBy(key, "slot").agg(F.count(F.lit(1)).alias("both"), F.first("n").alias("n"), F.first("m").alias("m"))
-    scored = both.withColumn("jaccard", F.col("both").cast("double") / (F.col("n") + F.col("m") - F.col("both")))
+def best_slot(pages: DataFrame, key: str, refs: DataFrame, ref_key: str, first: int = 8) -> DataFrame:
+    """(key, best, jaccard) by common tokens; both sides are (key, tokens). Of equal slots the lowest wins; pages that share no token with any slot have no row.
+
+    A page's rarest tokens find slots to begin with. A slot as good as the best of them shares at
+    least that similarity's part of the page's tokens, so it holds one of the rarest that it cannot miss, and
+    its size lies within the same bounds: only such slots are compared in the second round. Frequent
+    tokens take part only for pages that fit nothing well.
+    """
+    own = pages.select(F.col(key), F.array_distinct("tokens").alias("ts"))
+    ref = refs.select(F.col(ref_key).alias("slot"), F.array_distinct("tokens").alias("rs"))
+    terms = ref.select("slot", F.size("rs").alias("m"), F.explode("rs").alias("t"))
+    df = terms.groupBy("t").agg(F.count(F.lit(1)).alias("df"))
+    mine = own.select(key, F.size("ts").alias("n"), F.explode("ts").alias("t")).join(df, "t", "left").withColumn("df", F.coalesce("df", F.lit(0)))
+    whole = W.partitionBy(key)
+    ranked = mine.withColumns({"place": F.row_number().over(whole.orderBy("df", "t")), "absent": F.count_if(F.col("df") == 0).over(whole)}).filter("df > 0")
+
+    def scored(met: DataFrame) -> DataFrame:
+        both = met.select(key, "slot").distinct().join(own, key).join(ref, "slot").withColumn("both", F.size(F.array_intersect("ts", "rs")))
+        return both.select(key, "slot", (F.col("both").cast("double") / (F.size("ts") + F.size("rs") - F.col("both"))).alias("jaccard"))
+
+    begun = scored(ranked.filter(F.col("place") - F.col("absent") <= first).join(terms, "t")).groupBy(key).agg(F.max("jaccard").alias("least"))
+    most = F.col("n") - F.ceil(F.col("least") * F.col("n") - 1e-9) + 1
+    sized = (F.col("m") >= F.col("least") * F.col("n") - 1e-9) & (F.col("m") * F.col("least") <= F.col("n") + 1e-9)
+    found = scored(ranked.join(begun, key).filter(F.col("place") <= most).join(terms, "t").filter(sized))
     best = F.max_by(F.struct("slot", "jaccard"), F.struct(F.col("jaccard"), -F.col("slot")))
-    return scored.groupBy(key).agg(best.alias("b")).select(key, F.col("b.slot").alias("best"), F.col("b.jaccard").alias("jaccard"))
+    return found.groupBy(key).agg(best.alias("b")).select(key, F.col("b.slot").alias("best"), F.col("b.jaccard").alias("jaccard"))
 
 
 def document_frequency(pages: DataFrame, key: str, tokens: Column) -> DataFrame:

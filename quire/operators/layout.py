@@ -68,6 +68,33 @@ def paragraphs(classed: DataFrame, key: str) -> DataFrame:
     return joined.select(key, number.alias("paragraph"), F.col("shape").alias("kind"), body.alias("body"))
 
 
+def page_paragraphs(pages: DataFrame, key: str, body: str) -> DataFrame:
+    """paragraphs() of whole pages, inside each page's own row: nothing is exchanged.
+
+    A paragraph begins at a place that depends on a line and the one before it alone, so the places
+    are filtered and the lines between two of them are cut out.
+    """
+    rows = pages.select(F.col(key), F.transform(F.split(text.clean(F.col(body)), "\n", -1), text.strip).alias("raw"))
+    rows = rows.select(key, F.filter(F.transform("raw", lambda x: F.struct(x.alias("line"), line_kind(x).alias("kind"))), lambda r: r["kind"] != "short_num").alias("rs"))
+    rows = rows.select(key, F.transform("rs", lambda r: F.struct(r["line"], F.when(r["kind"].isin("prose", "short_line"), "prose").otherwise(r["kind"]).alias("shape"))).alias("rs"))
+
+    def begins(r: Column, i: Column) -> Column:
+        above = F.get("rs", i - 1)
+        alone = r["shape"].isin("section_heading", "ornament_heading")
+        return F.when((i == 0) | alone | (above["shape"] != r["shape"]) | ((r["shape"] == "prose") & _closes(above["line"])), i)
+
+    starts = F.filter(F.transform("rs", begins), lambda i: i.isNotNull())
+    rows = rows.select(key, "rs", starts.alias("at"))
+
+    def cut(i: Column, k: Column) -> Column:
+        until = F.coalesce(F.get("at", k + 1), F.size("rs"))
+        lines_ = F.transform(F.slice("rs", i + 1, until - i), lambda r: r["line"])
+        return F.struct(F.get("rs", i)["shape"].alias("kind"), F.array_join(lines_, " ").alias("body"))
+
+    found = F.filter(F.transform("at", cut), lambda p: ~p["kind"].isin("blank", "page_number"))
+    return rows.select(key, F.posexplode(found).alias("n", "p")).select(key, (F.col("n") + 1).alias("paragraph"), "p.kind", "p.body")
+
+
 def segments(pages: DataFrame, key: str, body: str) -> DataFrame:
     """(key, segment from 1, is_table, n_lines): runs of table rows and of other lines between blank lines."""
     rows = lines(pages, key, body).withColumn("is_table", is_pipe_row(F.col("line")))

@@ -116,7 +116,7 @@ i AS (SELECT *, sum(CASE WHEN was IS NULL OR was <> shape OR shape IN ('section_
 p AS (SELECT doc_id, island, shape AS kind, string_agg(line, ' ' ORDER BY line_no) AS body FROM i WHERE shape NOT IN ('blank', 'page_number') GROUP BY 1, 2, 3)
 SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY island)::INT AS paragraph, kind, md5(body) AS digest FROM p""")
 def paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = layout.paragraphs(layout.lines(docs(spark, sf_dir), "doc_id", "text"), "doc_id")
+    rows = layout.page_paragraphs(docs(spark, sf_dir), "doc_id", "text")
     return rows.select("doc_id", "paragraph", "kind", F.md5("body").alias("digest"))
 
 
