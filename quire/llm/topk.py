@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from quire.llm._io import save, small_batches, table
 
 K = 5
-#: Vectors of one data tree, queries that meet it in one task, and points of a leaf.
-TREE, QUERIES, LEAF = 4_096, 4_096, 24
+#: Vectors of one data tree, queries that meet it in one task, and points of a leaf of data and of queries: a wide leaf of queries has a low floor.
+TREE, QUERIES, LEAF, QUERY_LEAF = 4_096, 4_096, 24, 1
 #: Most pivots, by which vectors that are near each other come into one tree; their table goes to every task.
 PIVOTS = 256
 BASE = 1.4
@@ -143,7 +143,7 @@ def search(queries: np.ndarray, own: np.ndarray, points: np.ndarray, ids: np.nda
     Each leaf of queries takes the leaves of data that survive, best bound first and ever more at a
     time, until no bound reaches the lowest of its queries' worst k-th scores, which rise meanwhile.
     """
-    qt, rt = build(queries.astype(float)), build(points.astype(float))
+    qt, rt = build(queries.astype(float), QUERY_LEAF), build(points.astype(float))
     most = float(np.abs(queries.astype(float)).max(initial=0)) * float(np.abs(points.astype(float)).max(initial=0)) * max(queries.shape[1], 1)
     a, b, bound = survivors(qt, rt, worst)
     order = np.lexsort((-bound, a))
