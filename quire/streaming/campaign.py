@@ -62,10 +62,12 @@ def _flat(state: dict) -> tuple:
     return (pages, [state["status"][p] for p in pages], [state["owner"].get(p) for p in pages], *lock)
 
 
-def stateful(events: DataFrame, total: int, stale: float = WORKER_STALE) -> DataFrame:
+def stateful(events: DataFrame, total: int, stale: float = WORKER_STALE, timers: bool = False) -> DataFrame:
     """Every event with its verdict and the page's status after it.
 
-    The gate is global to a campaign, so the campaign is the key: one campaign is one task's work, which a
+    With timers a lock also goes, with a row of its own ("release", seq -1), once no event has come for
+    stale seconds of processing time, so that it is freed without another event. Such a stream never
+    runs out of work, so it is none for a trigger that stops when all is read. The gate is global to a campaign, so the campaign is the key: one campaign is one task's work, which a
     few hundred pages allow, and many campaigns spread. The lock's age is measured in event time.
     """
 
@@ -74,16 +76,22 @@ def stateful(events: DataFrame, total: int, stale: float = WORKER_STALE) -> Data
         if group.exists:
             pages, status, owner, *lock = group.get
             state = {"status": dict(zip(pages, status, strict=True)), "owner": dict(zip(pages, owner, strict=True)), "lock": None if lock[0] is None else list(lock)}
-        rows = pd.concat(list(batches)).sort_values("seq")
         out = []
-        for r in rows.itertuples():
-            ok, status, reason = _apply(state, total, r.seq, r.page, r.action, r.actor, r.ts.timestamp(), stale)
-            out.append((key[0], r.seq, r.page, r.action, status, ok, reason))
+        if group.hasTimedOut:
+            if lock := state["lock"]:
+                out.append((key[0], -1, lock[0], "release", state["status"].get(lock[0], "pending"), True, f"stale lock of {lock[1]}"))
+            state["lock"] = None
+        else:
+            for r in pd.concat(list(batches)).sort_values("seq").itertuples():
+                ok, status, reason = _apply(state, total, r.seq, r.page, r.action, r.actor, r.ts.timestamp(), stale)
+                out.append((key[0], r.seq, r.page, r.action, status, ok, reason))
         group.update(_flat(state))
+        if timers and state["lock"]:
+            group.setTimeoutDuration(max(1, int(stale * 1000)))
         yield pd.DataFrame(out, columns=["campaign", "seq", "page", "action", "status", "accepted", "reason"])
 
     kept = "pages array<int>, status array<string>, owner array<string>, lock_page int, lock_actor string, beat double"
-    return events.groupBy("campaign").applyInPandasWithState(run, OUT, kept, "append", GroupStateTimeout.NoTimeout)
+    return events.groupBy("campaign").applyInPandasWithState(run, OUT, kept, "append", GroupStateTimeout.ProcessingTimeTimeout if timers else GroupStateTimeout.NoTimeout)
 
 
 def batch(events: DataFrame, total: int, stale: float = WORKER_STALE) -> DataFrame:

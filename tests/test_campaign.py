@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -42,6 +43,22 @@ def test_stream_equals_batch(spark, tmp_path):
     assert [int(r.accepted) for r in rows.orderBy("seq").collect()] == ACCEPTED
 
 
+def test_a_stale_lock_goes_without_another_event(spark, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
+    (src / "0.json").write_text(json.dumps({"campaign": "c", "seq": 0, "ts": "2026-01-01T00:00:00", "page": 1, "action": "claim", "actor": "w"}))
+    query = streams.stateful(streams.event_stream(spark, str(src)), 3, stale=1.0, timers=True).writeStream.format("memory").queryName("released").trigger(processingTime="1 second").option("checkpointLocation", str(tmp_path / "cp")).start()
+    try:
+        for _ in range(60):
+            time.sleep(1)
+            if spark.table("released").filter("action = 'release'").count():
+                break
+        found = {(r.seq, r.page, r.action, r.status) for r in spark.table("released").collect()}
+    finally:
+        query.stop()
+    assert found == {(0, 1, "claim", "claimed"), (-1, 1, "release", "claimed")}
+
+
 def test_state_is_replaced(spark, tmp_path):
     src = tmp_path / "verdicts"
     rows = [("c", 0, 1, "claim", "claimed", True, ""), ("c", 1, 1, "start", "in_progress", True, ""), ("c", 2, 2, "claim", "pending", False, "no")]
