@@ -42,6 +42,19 @@ PARTS = (
     ("XI", 93), ("XII", 108), ("XIII", 113),
 )
 
+# Titles of the last pages, pages whose rest is classified, and the cells of two grid pages by language.
+TAIL_TITLES = {
+    601: {"ar": "صفحة فارغة", "en": "Blank Page", "id": "Halaman Kosong"},
+    602: {"ar": "بطاقة إعارة المكتبة", "en": "Library Due-Date Card", "id": "Kartu Tempo Peminjaman Pustaka"},
+    603: {"ar": "صفحة فارغة", "en": "Blank Page", "id": "Halaman Kosong"},
+    604: {"ar": "صفحة فارغة", "en": "Blank Page", "id": "Halaman Kosong"},
+}
+CANDIDATES = (
+    ("en", 84), ("id", 84), ("en", 95), ("id", 95), ("en", 105), ("id", 105), ("id", 117), ("id", 134), ("id", 250), ("en", 331),
+    ("en", 332), ("en", 402), ("id", 402), ("id", 550), ("id", 587), ("id", 600), ("id", 601), ("en", 603), ("id", 603), ("en", 604),
+)
+CELLS = {105: ("[في المربع]", {"en": "[in the square]", "id": "[Di dalam persegi]"}), 253: ("[?]", {"en": "[?]", "id": "[?]"})}
+
 # Exact markers of pages without text, and builders' fallbacks, which are never translations.
 BLANK_MARKERS = {"en": "[NO VISIBLE TEXT]", "id": "[TIDAK ADA TEKS TERLIHAT]"}
 FALLBACKS = {
@@ -93,3 +106,13 @@ def parts(spark: SparkSession) -> DataFrame:
 def bounds(dim: DataFrame, start: str, end: str) -> DataFrame:
     """dim with each row's last page: the next start less one; the last is open. One window over a dimension's few rows."""
     return dim.withColumn(end, F.lead(start).over(W.partitionBy(F.lit(0)).orderBy(start)) - 1)
+
+
+def tail_titles(spark: SparkSession) -> DataFrame:
+    """(page, title struct) of the last pages."""
+    return spark.createDataFrame([(p, tuple(t[g] for g in ("ar", "en", "id"))) for p, t in TAIL_TITLES.items()], "page long, title struct<ar:string,en:string,id:string>")
+
+
+def candidates(spark: SparkSession) -> DataFrame:
+    """(layer, page) whose work is classified one by one."""
+    return spark.createDataFrame(list(CANDIDATES), "layer string, page long")

@@ -149,6 +149,27 @@ def assemble(draft: Column, canonical: Column, lang: str) -> Column:
     return F.struct(F.when(problem.isNull(), blocks.render(canonical, label, body)).alias("content"), problem.alias("problem"))
 
 
+def stray_bodies(files: DataFrame) -> DataFrame:
+    """(page, layer, own_chars, stray): files (page, layer, content) that are not canonical, with the length of their own block and the blocks of other labels, as (label, chars), that read as their language."""
+    own = by_lang(F.col("layer"), lambda g: F.lit(dims.LANGS[g]))
+    rows = files.withColumns({"bs": blocks.parse_context(text.clean(F.col("content"))), "own": own}).filter(blocks.labels_of(F.col("bs")) != F.array(F.lit("Arabic"), F.col("own")))
+
+    def fits(b: Column) -> Column:
+        like = F.when(F.col("layer") == "en", text.is_translation_like(b["body"], "en")).otherwise(text.is_translation_like(b["body"], "id"))
+        return (b["label"] != "Arabic") & (b["label"] != F.col("own")) & like
+
+    stray = F.transform(F.filter("bs", fits), lambda b: F.struct(b["label"].alias("label"), F.length(b["body"]).alias("chars")))
+    mine = F.coalesce(F.length(F.get(F.filter("bs", lambda b: b["label"] == F.col("own")), F.lit(0))["body"]), F.lit(0))
+    return rows.select("page", "layer", mine.alias("own_chars"), stray.alias("stray")).filter((F.col("own_chars") > 0) | (F.size("stray") > 0))
+
+
+def verb_contexts(pages: DataFrame, body: str, before: int = 40, after: int = 20) -> DataFrame:
+    """(page, context): each place where the honorific reads like a verb, with the text around it on one line, for a reader to judge."""
+    pattern = rf"(?s)(.{{0,{before}}}God Most High(?=\s*(?i:above|over|beyond)\b).{{0,{after}}})"
+    found = F.regexp_extract_all(F.col(body), F.lit(pattern), F.lit(1))
+    return pages.select("page", F.explode(F.transform(found, lambda c: F.replace(c, F.lit("\n"), F.lit(" ")))).alias("context"))
+
+
 def title_patch(records: DataFrame, titles: DataFrame) -> DataFrame:
     """records (page, ..., title) with the titles of a patch (page, title) put in."""
     t = titles.select(F.col("page").alias("t_page"), F.col("title").alias("t_title"))

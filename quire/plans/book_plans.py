@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.functions import text
+from quire.functions import dims, text
 from quire.functions.folio import folio
 from quire.operators import blocks, checks, duplicates, evidence, relate, repair, sweeps
 from quire.plans.audit_plans import ID, SYMBOL_SQL
@@ -270,6 +270,25 @@ def strip_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page", (F.size("foreign") > 0).alias("has_foreign"), "safe")
 
 
+@query(rf"""WITH {BOOK} SELECT page, length(body)::INT AS own_chars, 0 AS n_stray FROM book WHERE page % 9 = 0 AND body <> ''""")
+def stray_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that are not canonical, with what they hold."""
+    return repair.stray_bodies(parts(spark, sf_dir)[0]).select("page", "own_chars", F.size("stray").alias("n_stray"))
+
+
+@query(rf"""WITH {BOOK} SELECT page, replace(right(t, 38), chr(10), ' ') || '. God Most High above all' AS context FROM book WHERE NOT contains(t, 'God Most High')""")
+def verb_contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = book(spark, sf_dir).filter("not contains(t, 'God Most High')").select("page", F.concat("t", F.lit(". God Most High above all")).alias("b"))
+    return repair.verb_contexts(rows, "b")
+
+
+@query("SELECT layer, page, title FROM (VALUES " + ", ".join(f"('{g}', {p})" for g, p in dims.CANDIDATES) + ") c(layer, page) LEFT JOIN (VALUES " + ", ".join(f"({p}, '{t['en']}')" for p, t in dims.TAIL_TITLES.items()) + ") t(tail, title) ON tail = page")
+def candidate_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Static dimensions: pages classified one by one, with titles of the last pages."""
+    titles = dims.tail_titles(spark).select(F.col("page").alias("tail"), F.col("title.en").alias("title"))
+    return dims.candidates(spark).join(F.broadcast(titles), F.col("page") == F.col("tail"), "left").select("layer", "page", "title")  # four rows
+
+
 @query(rf"""WITH {BOOK} SELECT page, CASE WHEN page % 4 = 0 THEN 'patched ' || page ELSE left(body, 9) END AS title FROM book""")
 def title_patch(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = book(spark, sf_dir).select("page", F.substring("body", 1, 9).alias("title"))

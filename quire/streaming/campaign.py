@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
@@ -144,3 +145,18 @@ def daily_counts(spark: SparkSession, path: str, schema: str, ts: str, kind: str
     query = writer.option("checkpointLocation", checkpoint or work.folder(spark, name)).start()
     query.awaitTermination()
     return spark.table(name)
+
+
+def once_a_day(spark: SparkSession, marker: str, today: str, job: Callable[[int], int], burst: int = 6) -> int | None:
+    """job(burst), which does so many pages at most and returns how many it did, unless it ran today already (None); the marker is one row in a folder, written when the job has ended."""
+    try:
+        last = spark.read.text(marker).first()
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        last = None
+    if last is not None and last[0] == today:
+        return None
+    done = job(burst)
+    spark.createDataFrame([(today,)], "value string").coalesce(1).write.mode("overwrite").text(marker)
+    return done

@@ -97,3 +97,9 @@ def test_marks_and_checklist(spark):
     marked = campaign.mark(state, spark.createDataFrame([(1, "committed", T0), (3, "pending", T0)], state.schema))
     assert {r.page: r.status for r in marked.collect()} == {1: "committed", 2: "committed", 3: "pending"}
     assert tuple(campaign.checklist(marked, "page").first()) == (0, "- [x] 1\n- [x] 2\n- [ ] 3", 2, 3)
+
+
+def test_once_a_day(spark, tmp_path):
+    did = []
+    run = lambda day: streams.once_a_day(spark, str(tmp_path / "marker"), day, lambda n: did.append(n) or n)
+    assert [run("2026-01-01"), run("2026-01-01"), run("2026-01-02")] == [6, None, 6] and did == [6, 6]
