@@ -191,3 +191,22 @@ def test_dataset_audit(spark):
         ("coverage", 5, "not-translation-like"), ("arabic-run", 5, None), ("batch-artifact", 5, None), ("coverage", 6, "placeholder"),
     }
     assert tuple(checks.blocking(checks.dataset_audit(spark.createDataFrame(rows, "page long, layer string, body string"))).first()) == (9, 0, True)
+
+
+def test_large_dimensions_are_joined_by_cells(spark, monkeypatch):
+    from quire.functions import dims
+    from quire.operators import relate
+
+    pages = spark.range(0, 700).withColumnRenamed("id", "page")
+    want = relate.as_of(pages, "page", dims.chapters(spark)).select("page", "chapter_num")
+    monkeypatch.setattr(relate, "SMALL_DIM", 3)
+    got = relate.as_of(pages, "page", dims.chapters(spark)).select("page", "chapter_num")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    gaps = spark.createDataFrame([(5, 9, "a"), (20, 20, "b"), (30, None, "c")] + [(100 * k, 100 * k + 5, f"d{k}") for k in range(1, 3)], "start_page long, end_page long, name string").filter("name != 'c'")
+    assert [r.name for r in relate.as_of(pages, "page", gaps).orderBy("page").collect()] == ["a" if 5 <= p <= 9 else "b" if p == 20 else f"d{p // 100}" if 100 <= p <= 205 and p % 100 <= 5 else None for p in range(700)]
+
+
+def test_grid_art(column):
+    from quire.operators import layout
+
+    assert column(layout.is_grid_art(F.col("t")), "t string", [("☩" * 20,), ("☩" * 19,), ("a" * 30,)]) == [True, False, False]
