@@ -282,7 +282,7 @@ def verb_contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.verb_contexts(rows, "b")
 
 
-@query("SELECT layer, page, title FROM (VALUES " + ", ".join(f"('{g}', {p})" for g, p in dims.CANDIDATES) + ") c(layer, page) LEFT JOIN (VALUES " + ", ".join(f"({p}, '{t['en']}')" for p, t in dims.TAIL_TITLES.items()) + ") t(tail, title) ON tail = page")
+@query("SELECT layer, page::BIGINT AS page, title FROM (VALUES " + ", ".join(f"('{g}', {p})" for g, p in dims.CANDIDATES) + ") c(layer, page) LEFT JOIN (VALUES " + ", ".join(f"({p}, '{t['en']}')" for p, t in dims.TAIL_TITLES.items()) + ") t(tail, title) ON tail = page")
 def candidate_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Static dimensions: pages classified one by one, with titles of the last pages."""
     titles = dims.tail_titles(spark).select(F.col("page").alias("tail"), F.col("title.en").alias("title"))
