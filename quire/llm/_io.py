@@ -84,6 +84,8 @@ def trimmed(run, keeps: str | None = None):
 
     @functools.wraps(run)
     def wrapped(*args):
+        from quire.llm._io import RESIDENT  # the worker's own: a global would be sent along as a copy
+
         for name in [n for n in RESIDENT if n != keeps]:
             del RESIDENT[name]
         try:
