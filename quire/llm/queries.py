@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quire.llm import pieces, quality_model, quality_rules, secret_scan, shards, simhash, source_mix, substring_dedup, suffix_dedup, topk
+from quire.llm import byte_pairs, fill_middle, pieces, quality_model, quality_rules, secret_scan, shards, simhash, source_mix, substring_dedup, suffix_dedup, topk
 
 
 def queries() -> dict:
@@ -18,6 +18,8 @@ def queries() -> dict:
         "op7_top_k": topk.op7_top_k,
         "op8_quality_rules": quality_rules.op8_quality_rules, "op9_source_mix": source_mix.op9_source_mix,
         "op10_pieces": pieces.op10_pieces,
+        "op11_fill_middle": fill_middle.op11_fill_middle,
+        "op13_byte_pairs": byte_pairs.op13_byte_pairs,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -29,4 +31,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_substring_dedup": substring_dedup.oracle(),
         "op7_top_k": topk.oracle(),
         "op8_quality_rules": quality_rules.oracle(), "op9_source_mix": source_mix.oracle(),
+        "op11_fill_middle": fill_middle.oracle(),
     }
