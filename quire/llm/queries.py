@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quire.llm import byte_pairs, fill_middle, pieces, quality_model, quality_rules, secret_scan, shards, simhash, source_mix, substring_dedup, suffix_dedup, topk
+from quire.llm import byte_pairs, fill_middle, pieces, quality_model, quality_rules, secret_scan, shards, simhash, source_mix, substring_dedup, suffix_dedup, token_alignment, topk
 
 
 def queries() -> dict:
@@ -19,6 +19,7 @@ def queries() -> dict:
         "op8_quality_rules": quality_rules.op8_quality_rules, "op9_source_mix": source_mix.op9_source_mix,
         "op10_pieces": pieces.op10_pieces,
         "op11_fill_middle": fill_middle.op11_fill_middle,
+        "op12_token_alignment": token_alignment.op12_token_alignment,
         "op13_byte_pairs": byte_pairs.op13_byte_pairs,
         "pipeline": corpus_pipeline.run,
     }
