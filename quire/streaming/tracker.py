@@ -159,7 +159,8 @@ class Tracker(StatefulProcessor):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         now = Campaign(self.pages, self.total, self.head.get())
         self.timer.clear()
-        out = list(now.expire(expiredTimerInfo.getExpiryTimeInMs() * 1000))
+        # All that the watermark has passed at once: a timer set now for one of them would wait for the next batch.
+        out = list(now.expire(max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs()) * 1000))
         yield self.settled(key, now, out)
 
     def settled(self, key, now: Campaign, out: list[tuple]) -> pd.DataFrame:
@@ -190,7 +191,8 @@ def verdicts(events: DataFrame, total: int, pages: DataFrame | None = None, leas
     life: at the next event or, when none comes, by a timer once the watermark has passed. Each grant
     raises the campaign's token, and whoever writes with an older one is refused. Events behind the
     watermark are dropped by the engine. retain_ms forgets pages not written for so long, by the clock;
-    the engine has either that or timers of event time. One campaign is one key, since its gate is global.
+    the engine has either that or timers of event time, and such a stream never runs out of work, so it
+    takes a trigger that goes on instead of logged(). One campaign is one key, since its gate is global.
     """
     if leases and retain_ms:
         raise ValueError("pages are kept for a time by the clock, leases run by event time: choose one")

@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 import os
+import time
 
 import pytest
 
@@ -69,9 +70,25 @@ def test_it_begins_from_a_table(spark, tmp_path):
 def test_pages_are_forgotten(spark, tmp_path):
     (tmp_path / "in").mkdir()
     feed(tmp_path / "in", "0.json", list(enumerate(e for e, _ in RULES[:14])))
-    assert len(run(spark, tmp_path, retain_ms=1)) == 14
-    feed(tmp_path / "in", "1.json", [(20, (30, 1, "approve", "z"))])
-    assert run(spark, tmp_path, retain_ms=1)[-1][3] == "pending"
+    rows = tracker.verdicts(spark.readStream.schema(tracker.EVENT).json(str(tmp_path / "in")), 3, retain_ms=3000)
+    with tracker.rocks(spark):
+        query = rows.writeStream.format("memory").queryName("forgotten").trigger(processingTime="1 second").option("checkpointLocation", str(tmp_path / "state")).start()
+
+    def wait(n):
+        for _ in range(40):
+            if spark.table("forgotten").count() == n:
+                return
+            time.sleep(0.5)
+
+    try:
+        wait(14)
+        time.sleep(4)
+        feed(tmp_path / "in", "1.json", [(20, (30, 1, "approve", "z"))])
+        wait(15)
+        found = {r.seq: r.status for r in spark.table("forgotten").collect()}
+    finally:
+        query.stop()
+    assert found[13] == "committed" and found[20] == "pending"
     with pytest.raises(ValueError, match="choose one"):
         tracker.verdicts(spark.readStream.schema(tracker.EVENT).json(str(tmp_path)), 3, leases=True, retain_ms=1)
 
