@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
@@ -13,6 +12,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from quire.operators.campaign import MOVES, TERMINAL, WORKER_STALE
 from quire.sources import work
+from quire.streaming import state_log
 
 EVENT = "campaign string, seq long, ts timestamp, page int, action string, actor string"
 OUT = "campaign string, seq long, page int, action string, status string, accepted boolean, reason string"
@@ -114,23 +114,13 @@ def append_events(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery
 
 
 def replace_state(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """The latest status of each page, replaced as a whole after each batch: written under a new name first, then named current."""
+    """The latest status of each page, replaced as a whole after each batch (see state_log)."""
+    return state_log.replace_latest(rows.filter("accepted").select("campaign", "page", "status", "seq"), path, checkpoint, ["campaign", "page"], "seq")
 
-    def write(batch_df: DataFrame, batch_id: int) -> None:
-        spark = batch_df.sparkSession
-        new = batch_df.filter("accepted").groupBy("campaign", "page").agg(F.max_by("status", "seq").alias("status"), F.max("seq").alias("seq"))
-        pointer = f"{path}/current"
-        try:
-            old = spark.read.parquet(spark.read.text(pointer).first()[0])
-            new = new.unionByName(old).groupBy("campaign", "page").agg(F.max_by("status", "seq").alias("status"), F.max("seq").alias("seq"))
-        except Exception as e:
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-        target = f"{path}/state-{batch_id}"
-        new.write.mode("overwrite").parquet(target)
-        spark.createDataFrame([(target,)], "value string").coalesce(1).write.mode("overwrite").text(pointer)
 
-    return rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def current_state(spark: SparkSession, path: str) -> DataFrame | None:
+    """(campaign, page, status, seq) as replace_state() left it; None before its first batch."""
+    return state_log.StateLog(spark, path).read()
 
 
 def daily_counts(spark: SparkSession, path: str, schema: str, ts: str, kind: str, name: str, checkpoint: str | None = None) -> DataFrame:
@@ -145,18 +135,3 @@ def daily_counts(spark: SparkSession, path: str, schema: str, ts: str, kind: str
     query = writer.option("checkpointLocation", checkpoint or work.folder(spark, name)).start()
     query.awaitTermination()
     return spark.table(name)
-
-
-def once_a_day(spark: SparkSession, marker: str, today: str, job: Callable[[int], int], burst: int = 6) -> int | None:
-    """job(burst), which does so many pages at most and returns how many it did, unless it ran today already (None); the marker is one row in a folder, written when the job has ended."""
-    try:
-        last = spark.read.text(marker).first()
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        last = None
-    if last is not None and last[0] == today:
-        return None
-    done = job(burst)
-    spark.createDataFrame([(today,)], "value string").coalesce(1).write.mode("overwrite").text(marker)
-    return done

@@ -64,8 +64,7 @@ def test_state_is_replaced(spark, tmp_path):
     rows = [("c", 0, 1, "claim", "claimed", True, ""), ("c", 1, 1, "start", "in_progress", True, ""), ("c", 2, 2, "claim", "pending", False, "no")]
     spark.createDataFrame(rows, streams.OUT).write.json(str(src))
     streams.replace_state(spark.readStream.schema(streams.OUT).json(str(src)), str(tmp_path / "state"), str(tmp_path / "cp2")).awaitTermination()
-    target = spark.read.text(str(tmp_path / "state" / "current")).first()[0]
-    assert [(r.page, r.status) for r in spark.read.parquet(target).collect()] == [(1, "in_progress")]
+    assert [(r.page, r.status) for r in streams.current_state(spark, str(tmp_path / "state")).collect()] == [(1, "in_progress")]
 
 
 def test_fold_and_gate(spark):
@@ -97,9 +96,3 @@ def test_marks_and_checklist(spark):
     marked = campaign.mark(state, spark.createDataFrame([(1, "committed", T0), (3, "pending", T0)], state.schema))
     assert {r.page: r.status for r in marked.collect()} == {1: "committed", 2: "committed", 3: "pending"}
     assert tuple(campaign.checklist(marked, "page").first()) == (0, "- [x] 1\n- [x] 2\n- [ ] 3", 2, 3)
-
-
-def test_once_a_day(spark, tmp_path):
-    did = []
-    run = lambda day: streams.once_a_day(spark, str(tmp_path / "marker"), day, lambda n: did.append(n) or n)
-    assert [run("2026-01-01"), run("2026-01-01"), run("2026-01-02")] == [6, None, 6] and did == [6, 6]
