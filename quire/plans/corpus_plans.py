@@ -125,17 +125,30 @@ def dataset_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(scan.RECORD).json(path).select("page", F.md5("text.en").alias("en"), "scanSrc")
 
 
-@query("""SELECT doc_id::INT + 1 AS page, text AS en, '' AS id, CASE WHEN doc_id % 4 = 3 THEN 'scan' END AS scan FROM documents""")
+@query("""SELECT doc_id::INT + 1 AS page, CASE WHEN doc_id % 8 = 7 AND coalesce(text, '') = '' THEN 'direct' ELSE coalesce(text, '') END AS en, CASE WHEN doc_id % 8 = 7 THEN 'teks' ELSE '' END AS id,
+  CASE WHEN doc_id % 8 IN (5, 6) THEN 'scan' END AS scan, CASE WHEN doc_id % 8 = 7 THEN 's7' ELSE '' END AS section FROM documents""")
 def tolerant_import(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One document in each of the accepted JSON shapes, by turns."""
-    page, body = (F.col("doc_id") + 1).alias, F.col("text")
-    one = lambda *c: F.to_json(F.struct(*c))
+    """One document in each of the accepted JSON shapes, by turns: nested, flat, wrapped, plain strings, numbers as strings, repeated pages."""
+    n, body = F.col("doc_id") + 1, F.coalesce(F.col("text"), F.lit(""))
+    one = lambda **c: F.to_json(F.struct(*[(v if not isinstance(v, str) else F.lit(v)).alias(k) for k, v in c.items()]))
+    array = lambda *records: F.concat(F.lit("["), F.concat_ws(",", *records), F.lit("]"))
+    wrapped = lambda *records: F.concat(F.lit('{"toc":[],"pages":'), array(*records), F.lit("}"))
     shapes = [
-        F.concat(F.lit("["), one(page("page"), F.struct(body.alias("en")).alias("text")), F.lit("]")), F.concat(F.lit('{"pages":['), one(page("p"), body.alias("en")), F.lit("]}")),
-        F.concat(F.lit('{"data":['), one(page("number"), F.struct(body.alias("en")).alias("body")), F.lit("]}")), F.concat(F.lit("["), one(page("n"), F.struct(body.alias("en")).alias("translation"), F.lit("scan").alias("scanSrc")), F.lit("]")),
+        array(one(page=n, text=F.struct(body.alias("en")))), wrapped(one(p=n, en=body)), array(one(number=n, body=body)), wrapped(one(n=n.cast("string"), content=body)),
+        array(one(page=n, text=F.struct(F.lit("").alias("en")), en=body)), array(F.concat(F.lit('{"page":null,'), F.substring(one(p=n, text_=body, scan="scan"), F.lit(2), F.lit(2**31 - 1)))),
+        array(one(page=n, translation=body, scanSrc="scan")), array(one(page=n, en="old"), one(page=n, text=F.struct(body.alias("en"), F.lit("teks").alias("id")), en="direct", sectionId="s7")),
     ]
-    j = F.element_at(F.array(*shapes), (F.col("doc_id") % 4 + 1).cast("int"))
-    return scan.tolerant_records(docs(spark, sf_dir).select(j.alias("j")), "j", 2**31 - 1).select("page", "en", "id", "scan")
+    j = F.get(F.array(*shapes), (F.col("doc_id") % 8).cast("int"))
+    return scan.tolerant_records(docs(spark, sf_dir).select(j.alias("j")), "j", 2**31 - 1).select("page", "en", "id", "scan", "section")
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 6 = 0 THEN 'invalid JSON' WHEN doc_id % 6 < 3 THEN 'no page entries' ELSE 'no valid pages' END AS error FROM documents WHERE doc_id % 6 <> 5 AND NOT (doc_id % 6 = 4 AND doc_id BETWEEN 1 AND 604)")
+def import_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that an import refuses, with the reason."""
+    n, body = F.col("doc_id"), F.to_json(F.array(F.coalesce(F.col("text"), F.lit(""))))
+    record = lambda page: F.concat(F.lit('[{"page":'), page, F.lit(',"body":'), F.substring(body, F.lit(2), F.length(body) - 2), F.lit("}]"))
+    shapes = [F.concat(body, F.lit("}")), F.lit("[]"), F.concat(F.lit('{"data":'), record(F.lit("1")), F.lit("}")), record(F.lit('"one"')), record(n.cast("string")), record(F.lit('"1"'))]
+    return scan.tolerant_errors(docs(spark, sf_dir).select("doc_id", F.get(F.array(*shapes), (n % 6).cast("int")).alias("j")), "doc_id", "j", 604)
 
 
 @query("SELECT conv_id, string_agg(text, '' ORDER BY turn) AS said FROM conversations WHERE text <> '' GROUP BY 1")

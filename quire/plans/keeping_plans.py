@@ -11,8 +11,8 @@ from quire.plans.campaign_plans import LATEST
 from quire.plans.registry import query
 from quire.plans.relation_plans import CHAPTERS, IN_CHAPTER, docs
 from quire.plans.tracker_plans import RAW
-from quire.sources import chapters, work
-from quire.sources.scan import table
+from quire.sources import chapters, pagetree, work
+from quire.sources.scan import lenient, table
 from quire.streaming import state_log
 
 PIECE = 1 << 16
@@ -64,3 +64,23 @@ def stream_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work.folder(spark, "state")
     state_log.replace_latest(rows, path, work.folder(spark, "state-stream"), ["user_id"], "at").awaitTermination()
     return state_log.StateLog(spark, path).read().select("user_id", "status")
+
+
+STAGES = ("ocr", "enriched", "enriched_en")
+TREE = "SELECT doc_id::INT + 1 AS page, lang, coalesce(text, '') || CASE WHEN doc_id % 4 = 1 THEN chr(65533) ELSE '' END AS body, octet_length(encode(coalesce(text, ''))) + (doc_id % 4 = 1)::INT AS size, doc_id % 3 AS third FROM documents"
+
+
+@query(f"""SELECT page, CASE WHEN size <= 10 THEN 'pending' WHEN lang = 'en' THEN 'enriched_en' WHEN third > 0 THEN 'enriched' ELSE 'ocr' END AS status, (1 + (third > 0)::INT + coalesce(lang = 'en', false)::INT)::BIGINT AS n_files,
+  sha256(body) AS digest FROM ({TREE})""")
+def page_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents written as page files of three layers, some with a broken byte, read back; each page's stage from the listing."""
+    rows = docs(spark, sf_dir).select((F.col("doc_id") + 1).alias("page"), "lang", F.col("doc_id"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("raw"))
+    content = F.when(F.col("doc_id") % 4 == 1, F.concat("raw", F.unhex(F.lit("FF")))).otherwise(F.col("raw"))
+    layer = F.filter(F.array(F.lit("ocr"), F.when(F.col("doc_id") % 3 > 0, "enriched"), F.when(F.col("lang") == "en", "enriched_en")), lambda x: x.isNotNull())
+    path = work.folder(spark, "tree").removeprefix("file:")
+    pagetree.write(rows.select(F.explode(layer).alias("layer"), "page", content.alias("content")), path)
+    listed = pagetree.read(spark, path, content=False)
+    status = pagetree.furthest(listed, STAGES, listed.agg(F.max("page")).first()[0] or 0)
+    texts = pagetree.read(spark, path, layers=("ocr",)).select(F.col("page").alias("of"), F.sha2(lenient(F.col("content")), 256).alias("digest"))
+    counts = listed.groupBy(F.col("page").alias("counted")).agg(F.count(F.lit(1)).alias("n_files"))
+    return status.join(texts, F.col("page") == F.col("of")).join(counts, F.col("page") == F.col("counted")).select("page", "status", "n_files", "digest")

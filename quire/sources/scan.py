@@ -51,22 +51,69 @@ def dataset(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RECORD).json(path, multiLine=True)
 
 
+def _entries(docs: DataFrame, column: str) -> Column:
+    """The records of a JSON document: an array, or the array under "pages"."""
+    as_array = lambda path: F.try_variant_get(_whole(column), path, "array<variant>")
+    return F.coalesce(as_array("$"), as_array("$.pages"))
+
+
+#: Stands behind a document to show that it ended where its JSON did.
+END = "end of document"
+
+
+def _whole(column: str) -> Column:
+    """The document's VARIANT; null if it is no JSON, or goes on behind its end, which the parser alone would not mind."""
+    items = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), F.col(column), F.lit(f',"{END}"]'))), "$", "array<variant>")
+    ended = F.try_variant_get(F.get(items, F.lit(1)), "$", "string") == END
+    return F.when((F.size(items) == 2) & ended, F.get(items, F.lit(0)))
+
+
+def _present(record: Column, *paths: str) -> Column:
+    """The first of the values that is there and not null."""
+    at = [F.try_variant_get(record, p, "variant") for p in paths]
+    return F.coalesce(*[F.when(~F.is_variant_null(v), v) for v in at])
+
+
+def _said(value: Column) -> Column:
+    """A value that is a string and not empty."""
+    return F.when(F.schema_of_variant(value) == "STRING", F.nullif(F.try_variant_get(value, "$", "string"), F.lit("")))
+
+
+def _page(record: Column) -> Column:
+    """A record's page, a number or a string of one; null if it is neither or not whole."""
+    n = F.try_variant_get(_present(record, "$.page", "$.p", "$.number", "$.n"), "$", "double")
+    return F.when(n == F.floor(n), n.try_cast("int"))
+
+
 def tolerant_records(docs: DataFrame, column: str, total: int) -> DataFrame:
-    """(page, ar, en, id, scan) of JSON documents in any of the accepted shapes.
+    """(page, ar, en, id, scan, section) of JSON documents in any of the accepted shapes.
 
-    A document is an array of records, or one under "pages" or "data". A record names its page and
-    texts under aliases, nested or flat. Pages out of range go; of repeated pages the last wins.
+    Of a record's texts the nested one under "text" comes before the one under the language's own name,
+    unless it is empty; a record without English takes the first plain string of "body", "content",
+    "text_" and "translation", and any language what stands under its name within one of these. Pages out of range go; of repeated pages the last of a document wins.
+    Documents without records give none: tolerant_errors() tells which.
     """
-    v = F.try_parse_json(F.col(column))
-    as_array = lambda path: F.try_variant_get(v, path, "array<variant>")
-    items = F.coalesce(as_array("$"), as_array("$.pages"), as_array("$.data"), as_array("$.manuscript"))
-    rows = docs.select(F.posexplode(items).alias("at", "r"))
-    get = lambda kind, *paths: F.coalesce(*[F.try_variant_get(F.col("r"), p, kind) for p in paths])
-    lang = lambda k: get("string", f"$.text.{k}", f"$.body.{k}", f"$.content.{k}", f"$.text_.{k}", f"$.translation.{k}", f"$.{k}")
-    out = rows.select("at", get("int", "$.page", "$.p", "$.number", "$.n").alias("page"), *[F.coalesce(lang(k), F.lit("")).alias(k) for k in ("ar", "en", "id")], get("string", "$.scanSrc", "$.scan").alias("scan"))
+    rows = docs.select(F.posexplode(_entries(docs, column)).alias("at", "r"))
+    r = F.col("r")
+    others = ("$.body", "$.content", "$.text_", "$.translation")
+    nested = lambda k: F.coalesce(*[_said(_present(r, f"{p}.{k}")) for p in others])
+    lang = lambda k: F.coalesce(_said(_present(r, f"$.text.{k}")), _said(_present(r, f"$.{k}")))
+    plain = {"en": _said(_present(r, *others))}
+    texts = [F.coalesce(lang(k), plain.get(k, F.lit(None)), nested(k), F.lit("")).alias(k) for k in ("ar", "en", "id")]
+    scan = F.try_variant_get(_present(r, "$.scanSrc", "$.scan"), "$", "string").alias("scan")
+    section = F.coalesce(F.try_variant_get(_present(r, "$.sectionId", "$.section"), "$", "string"), F.lit("")).alias("section")
+    out = rows.select("at", _page(r).alias("page"), *texts, scan, section)
     return relate.first_by(out.filter(F.col("page").between(1, total)), ["page"], F.col("at").desc()).drop("at")
 
 
+def tolerant_errors(docs: DataFrame, key: str, column: str, total: int) -> DataFrame:
+    """(key, error) of the documents that an import refuses: no JSON, no records, or none with a page in range."""
+    items = _entries(docs, column)
+    known = F.exists(F.transform(items, _page), lambda p: F.coalesce(p.between(1, total), F.lit(False)))
+    error = F.when(_whole(column).isNull(), "invalid JSON").when(F.coalesce(F.size(items), F.lit(0)) <= 0, "no page entries").when(~known, "no valid pages")
+    return docs.select(key, error.alias("error")).filter("error is not null")
+
+
 def require_rows(rows: DataFrame, key: str) -> DataFrame:
     """Fails when it is run if there are no rows."""
     n = rows.agg(F.count(F.lit(1)).alias("n")).select(F.assert_true(F.col("n") > 0, F.lit("no pages found")).alias("checked"))
