@@ -11,7 +11,7 @@ from quire.plans.campaign_plans import LATEST
 from quire.plans.registry import query
 from quire.plans.relation_plans import CHAPTERS, IN_CHAPTER, docs
 from quire.plans.tracker_plans import RAW
-from quire.sources import chapters, pagetree, work
+from quire.sources import chapters, pagetree, versions, work
 from quire.sources.scan import lenient, table
 from quire.streaming import state_log
 
@@ -84,3 +84,32 @@ def page_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = pagetree.read(spark, path, layers=("ocr",)).select(F.col("page").alias("of"), F.sha2(lenient(F.col("content")), 256).alias("digest"))
     counts = listed.groupBy(F.col("page").alias("counted")).agg(F.count(F.lit(1)).alias("n_files"))
     return status.join(texts, F.col("page") == F.col("of")).join(counts, F.col("page") == F.col("counted")).select("page", "status", "n_files", "digest")
+
+
+#: What each version makes of a document: the second empties the French and shouts, the third lacks the German and empties the Spanish.
+VERSIONS = """SELECT doc_id, 1 AS version, coalesce(text, '') AS body FROM documents UNION ALL SELECT doc_id, 2, CASE WHEN lang = 'fr' THEN '' ELSE coalesce(text, '') || '!' END FROM documents
+  UNION ALL SELECT doc_id, 3, CASE WHEN lang = 'es' THEN '' WHEN doc_id % 2 = 0 THEN coalesce(text, '') ELSE coalesce(text, '') || '!' END FROM documents WHERE lang <> 'de' OR lang IS NULL"""
+
+
+def _snapshots(spark: SparkSession, sf_dir: str) -> str:
+    root, rows = work.folder(spark, "versions"), docs(spark, sf_dir)
+    body, path = F.coalesce(F.col("text"), F.lit("")), F.col("doc_id").cast("string").alias("path")
+    spanish, french, german = (F.coalesce(F.col("lang") == x, F.lit(False)) for x in ("es", "fr", "de"))
+    versions.add(rows.select(path, body.alias("content")), root, 1)
+    versions.add(rows.select(path, F.when(french, "").otherwise(F.concat(body, F.lit("!"))).alias("content")), root, 2)
+    versions.add(rows.filter(~german).select(path, F.when(spanish, "").when(F.col("doc_id") % 2 == 0, body).otherwise(F.concat(body, F.lit("!"))).alias("content")), root, 3)
+    return root
+
+
+@query(f"SELECT doc_id, max(version)::INT AS version, sha256(arg_max(body, version)) AS digest FROM ({VERSIONS}) WHERE body <> '' GROUP BY 1")
+def snapshot_newest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's newest version that is not empty, of three."""
+    found = versions.newest(spark, _snapshots(spark, sf_dir))
+    return found.select(F.col("path").cast("long").alias("doc_id"), "version", F.sha2("content", 256).alias("digest"))
+
+
+@query(f"""SELECT doc_id, CASE WHEN now IS NULL THEN 'removed' ELSE 'changed' END AS change FROM (SELECT doc_id, max(CASE WHEN version = 1 THEN body END) AS was, max(CASE WHEN version = 3 THEN body END) AS now FROM ({VERSIONS}) GROUP BY 1)
+  WHERE was IS DISTINCT FROM now""")
+def snapshot_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What changed from the first version to the third, by digests."""
+    return versions.changes(spark, _snapshots(spark, sf_dir), 1, 3).select(F.col("path").cast("long").alias("doc_id"), "change")
