@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import html
 import unicodedata
 
 import pandas as pd
@@ -17,46 +16,20 @@ def _nfkd(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else "".join(c for c in unicodedata.normalize("NFKD", x) if unicodedata.category(c)[0] != "M" and c != "ـ"))
 
 
-@F.pandas_udf(StringType())
-def _nfd(s: pd.Series) -> pd.Series:
-    fold = lambda x: "".join(c for c in unicodedata.normalize("NFD", x.lower()) if unicodedata.category(c) != "Mn")
-    return s.map(lambda x: None if x is None else fold(x).translate({0x2019: "'", 0x02BB: "'", 0x02BE: "'"}))
-
-
 @F.pandas_udf(StringType())
 def _casefold(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else x.casefold())
 
 
-@F.pandas_udf(StringType())
-def _unescape(s: pd.Series) -> pd.Series:
-    return s.map(lambda x: None if x is None else html.unescape(x))
-
-
 def nfkd_strip(text: Column) -> Column:
     """Compatibility decomposition without marks and tatweel."""
     return _nfkd(text)
 
 
-def nfd_fold(text: Column) -> Column:
-    """Lower case without diacritics, with one kind of apostrophe."""
-    return _nfd(text)
-
-
 def casefold(text: Column) -> Column:
     return _casefold(text)
 
 
-def unescape(text: Column) -> Column:
-    """All HTML entities."""
-    return _unescape(text)
-
-
-def fold_ratio(text: Column) -> Column:
-    """Length after nfkd_strip to length before; 0 for none."""
-    return F.coalesce(F.try_divide(F.length(nfkd_strip(text)).cast("double"), F.length(text)), F.lit(0.0))
-
-
 def needs_honorific(source: Column) -> Column:
     """Whether the two words of the honorific stand side by side, vocalized or not, with the usual clitics."""
     return nfkd_strip(source).rlike(r"(?U)(?<!\w)[وف]?(?:[بك]?الله|لله)\s+تعالى(?!\w)")

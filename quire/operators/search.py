@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.functions import text, udf
+from quire.functions import folding, text
 
 TERM = r"(?U)[\p{L}\p{N}]+"
 
@@ -20,6 +20,19 @@ def substring_search(pages: DataFrame, key: str, body: str, query: str, limit: i
     return hits if limit is None else hits.orderBy(key).limit(limit)
 
 
+def loose_search(pages: DataFrame, key: str, body: str, query: str) -> DataFrame:
+    """(key): the pages that hold the query, whatever its case and diacritics, on either side."""
+    return pages.filter(folding.contains(F.col(body), query)).select(key)
+
+
+def loose_terms(pages: DataFrame, key: str, body: str) -> DataFrame:
+    """(term, n_pages, n): terms grouped without case and diacritics, each under the spelling that sorts first."""
+    rows = pages.select(key, F.explode(F.regexp_extract_all(F.col(body), F.lit(TERM), F.lit(0))).alias("term"))
+    each = rows.groupBy("term", key).agg(F.count(F.lit(1)).alias("n"))
+    groups = each.groupBy(folding.loose(F.col("term")).alias("alike"))
+    return groups.agg(F.min("term").alias("term"), F.count_distinct(key).alias("n_pages"), F.sum("n").alias("n")).select("term", "n_pages", "n")
+
+
 def search_total(pages: DataFrame, key: str, body: str, query: str, shown: int = 20, head: int = 200) -> DataFrame:
     """(key, head, total): the first pages that hold the query literally, with the number of all of them."""
     hits = pages.filter(F.lower(F.col(body)).contains(query.lower()))
@@ -40,7 +53,7 @@ def page_of(hits: DataFrame, order: list[Column], offset: int, size: int = 100)
 
 def inverted_index(pages: DataFrame, key: str, body: str, fold: bool = False) -> DataFrame:
     """(term, key, positions from 0): a row for each term and page; pages bound the positions. With fold, diacritics are left out of terms."""
-    own = udf.nfd_fold(F.col(body)) if fold else F.col(body)
+    own = folding.fold(F.col(body)) if fold else F.col(body)
     rows = pages.select(key, own.alias("body")).select(key, F.posexplode(terms(F.col("body"))).alias("at", "term"))
     return rows.groupBy("term", key).agg(F.array_sort(F.collect_list("at")).alias("positions"))
 

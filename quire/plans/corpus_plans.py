@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.functions import dims, text, udf
+from quire.functions import dims, folding, text
 from quire.operators import blocks, campaign, checks, duplicates, evidence, layout, relate, repair, search
 from quire.plans.book_plans import BOOK, FIRST, LIKE, STRIP, TIDY, book, parts
 from quire.plans.campaign_plans import LATEST, events, newest
@@ -215,11 +215,22 @@ def placeholder_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs(spark, sf_dir).select(F.col("doc_id").alias("page"), scan.placeholder_page(F.col("doc_id"), ["1", "2", "3", "4"]).alias("seed"))
 
 
-@query("SELECT doc_id, strip_accents(lower(text)) AS folded, length(strip_accents(text))::DOUBLE / nullif(length(text), 0) AS ratio FROM (SELECT doc_id, regexp_replace(text, '[^ -~äöüÄÖÜéèêàâçñáíóúÉ]', '', 'g') AS text FROM documents) WHERE text <> ''")
+@query("SELECT doc_id, strip_accents(lower(text)) AS folded, coalesce(length(strip_accents(text))::DOUBLE / nullif(length(text), 0), 0) AS ratio FROM documents")
 def folded_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Texts without diacritics; what the two engines fold differently is left out first."""
-    rows = docs(spark, sf_dir).select("doc_id", F.regexp_replace("text", "[^ -~äöüÄÖÜéèêàâçñáíóúÉ]", "").alias("text")).filter("text <> ''")
-    return rows.select("doc_id", udf.nfd_fold(F.col("text")).alias("folded"), udf.fold_ratio(F.col("text")).alias("ratio"))
+    """Whole texts without case and diacritics, and how much shorter they are."""
+    return docs(spark, sf_dir).select("doc_id", folding.fold(F.col("text")).alias("folded"), folding.fold_ratio(F.col("text")).alias("ratio"))
+
+
+@query("SELECT doc_id FROM documents WHERE contains(strip_accents(lower(text)), 'leere')")
+def loose_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with a run of letters, whatever their accents and case."""
+    return search.loose_search(docs(spark, sf_dir), "doc_id", "text", "LeÈré")
+
+
+@query("""SELECT min(term) AS term, count(DISTINCT doc_id) AS n_pages, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[\\p{L}\\p{N}]+')) AS term FROM documents) GROUP BY replace(strip_accents(lower(term)), 'ß', 'ss')""")
+def loose_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that differ in case and accents alone, counted together."""
+    return search.loose_terms(docs(spark, sf_dir), "doc_id", "text")
 
 
 @query("""WITH t AS (SELECT doc_id, unnest(regexp_extract_all(strip_accents(lower(text)), '[\\p{L}\\p{N}]+')) AS term FROM documents)

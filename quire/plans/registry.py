@@ -24,5 +24,5 @@ def query(sql: str | None = None):
 
 def values(rows, columns: str) -> str:
     """A VALUES list with column names."""
-    lit = lambda v: "NULL" if v is None else f"'{v}'" if isinstance(v, str) else str(v)
+    lit = lambda v: "NULL" if v is None else "'" + v.replace("'", "''") + "'" if isinstance(v, str) else str(v)
     return "(VALUES " + ", ".join("(" + ", ".join(map(lit, r)) + ")" for r in rows) + f") AS v({columns})"

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.functions import chars, text
+from quire.functions import chars, entities, text
 from quire.functions.folio import folio
 from quire.operators import blocks, layout, relate, repair
-from quire.plans.registry import query
+from quire.plans.registry import query, values
 from quire.plans.relation_plans import docs
 from quire.sources.scan import table
 
@@ -187,3 +189,24 @@ def choose_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = lambda role: F.min_by(F.when(F.col("role") == role, F.col("text")), F.when(F.col("role") == role, F.col("turn")))
     rows = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(first("user").alias("a"), first("assistant").alias("b")).filter("a is not null and b is not null")
     return rows.select("conv_id", repair.choose(F.col("a"), F.col("b"))["winner"].alias("winner"))
+
+
+NAMES = values(sorted(html5.items()), "name, letters")
+OLD_PAGE = values([(b, bytes([b]).decode("cp1252", "ignore") or chr(b)) for b in range(0x80, 0xA0)], "code, letter")
+#: Each page ends with references of its own: numbers, names with and without a semicolon, and some that are none.
+REFERRED = """html || '&#' || (page_id * 37) || ';&#x' || (page_id % 10) || '3;&eacute;&notit;&ampx &nosuch; &; &#;' || chr(10) || '&NotEqualTilde;' || page_id"""
+
+
+@query(rf"""WITH t AS (SELECT page_id, unnest(ts) AS token, generate_subscripts(ts, 1) AS i FROM (SELECT page_id, regexp_extract_all({REFERRED}, '&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{{1,32}};?)|[^&]+|&') AS ts FROM pages)),
+n AS (SELECT *, CASE WHEN regexp_matches(token, '^&#[0-9]') THEN CAST(regexp_extract(token, '[0-9]+') AS BIGINT) WHEN regexp_matches(token, '^&#[xX]') THEN CAST('0x' || regexp_extract(token, '[xX]([0-9a-fA-F]+)', 1) AS BIGINT) END AS code FROM t),
+e AS (SELECT name, letters FROM {NAMES}), o AS (SELECT code AS old, letter FROM {OLD_PAGE}),
+heads AS (SELECT token, max_by(letters || substr(token, length(name) + 2), length(name)) AS read FROM (SELECT DISTINCT token FROM t WHERE token LIKE '&%') JOIN e ON NOT contains(name, ';') AND starts_with(substr(token, 2), name) GROUP BY 1)
+SELECT page_id, md5(string_agg(CASE WHEN code IS NOT NULL THEN CASE WHEN letter IS NOT NULL THEN letter WHEN code = 0 OR code BETWEEN 55296 AND 57343 OR code > 1114111 THEN chr(65533) WHEN code = 13 THEN chr(13)
+    WHEN code BETWEEN 1 AND 8 OR code = 11 OR code BETWEEN 14 AND 31 OR code = 127 OR code BETWEEN 64976 AND 65007 OR code & 65534 = 65534 THEN '' ELSE chr(code::INT) END
+  WHEN letters IS NOT NULL THEN letters WHEN read IS NOT NULL THEN read ELSE n.token END, '' ORDER BY i)) AS digest
+FROM n LEFT JOIN o ON code = old LEFT JOIN e ON n.token = '&' || name LEFT JOIN heads h ON h.token = n.token GROUP BY page_id""")
+def html_references(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole pages with all character references read, named and numeric."""
+    number = F.col("page_id").cast("string")
+    more = F.concat("html", F.lit("&#"), (F.col("page_id") * 37).cast("string"), F.lit(";&#x"), (F.col("page_id") % 10).cast("string"), F.lit("3;&eacute;&notit;&ampx &nosuch; &; &#;\n&NotEqualTilde;"), number)
+    return table(spark, sf_dir, "pages").select("page_id", F.md5(entities.unescape(more)).alias("digest"))

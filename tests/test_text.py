@@ -1,9 +1,13 @@
 """Text functions, character classes and printed numbers."""
 
+import html.entities
+import random
+import unicodedata
+
 import pytest
 from pyspark.sql import functions as F
 
-from quire.functions import chars, text, udf
+from quire.functions import chars, entities, folding, text, udf
 from quire.functions.folio import DIALECTS, folio
 
 T = F.col("t")
@@ -69,10 +73,28 @@ def test_honorific(column, source, want):
 
 
 def test_folds(column):
-    assert column(udf.nfd_fold(T), "t string", [("Élan ’x",), (None,)]) == ["elan 'x", None]
+    assert column(folding.fold(T), "t string", [("Élan ’x",), (None,), ("",), ("ÀÉ e\u0301 Straße",)]) == ["elan 'x", None, "", "ae e straße"]
     assert column(udf.casefold(T), "t string", [("Straße",)]) == ["strasse"]
-    assert column(udf.unescape(T), "t string", [("&eacute;&#x41;",)]) == ["éA"]
-    assert column(udf.fold_ratio(T), "t string", [("",), ("مَ",)]) == [0.0, 0.5]
+    assert column(folding.fold_ratio(T), "t string", [("",), ("مَ",), ("ﬁ",), ("abcﷺ",)]) == [0.0, 0.5, 2.0, 21 / 4]
+
+
+def test_folding_by_the_standard(column):
+    codes = [*range(0x80, 0x3000, 3), *range(0xF900, 0xFFFF, 5), *range(0x1D400, 0x1D800, 7)]
+    texts = [chr(c) + "x" for c in codes]
+    marks = lambda x: "".join(c for c in unicodedata.normalize("NFD", x.lower()) if unicodedata.category(c) != "Mn").translate({0x2019: "'", 0x02BB: "'", 0x02BE: "'"})
+    for t, got in zip(texts, column(folding.fold(T), "t string", [(t,) for t in texts]), strict=True):
+        assert got == marks(t) or len(unicodedata.normalize("NFD", t.lower())) > 2, t
+    plain = lambda x: [c for c in unicodedata.normalize("NFKD", x) if unicodedata.category(c)[0] != "M" and c != "ـ"]
+    assert column(folding.fold_length(T), "t string", [(t,) for t in texts]) == [len(plain(t)) for t in texts]
+    assert column(folding.contains(T, "ETÉ"), "t string", [("l'été",), ("thé",), ("",), (None,)]) == [True, False, False, None]
+
+
+def test_references_as_the_standard_library_reads_them(column):
+    rnd = random.Random(1)
+    texts = ["&" + n for n in sorted(html.entities.html5)] + [f"&#{k};" for k in [*range(300), 0xD800, 0xFDD0, 0xFFFE, 0x1FFFF, 0x10FFFF, 0x110000, 99999999999]] + ["&notit;", "&", "&&amp;&", "&#x;", "& amp;", "&amp;lt;", "&#0000000000065;", ""]
+    bits = ["&", "#", "x", "4", "1", ";", "amp", "lt", "not", "it", " ", "é", "eacute", "NotEqualTilde", "\n", "<", "&quot"]
+    texts += ["".join(rnd.choice(bits) for _ in range(rnd.randint(0, 12))) for _ in range(1500)]
+    assert column(entities.unescape(T), "t string", [(t,) for t in texts] + [(None,)]) == [html.unescape(t) for t in texts] + [None]
 
 
 @pytest.mark.parametrize(
