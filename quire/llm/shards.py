@@ -35,6 +35,8 @@ def _propagate(linked: DataFrame, rows: int, shards: int) -> tuple[DataFrame, in
     open_ = seen.join(least, F.col("group") == F.col("l_group")).filter((F.col("parts") > 1) & (F.col("room") >= F.col("least")))
     target = open_.groupBy(F.col("group").alias("t_group")).agg(F.max(F.struct("n", F.xxhash64("group", "shard").alias("tie"), "shard")).alias("t"))
     wish = open_.join(target, F.col("group") == F.col("t_group")).select("group", "shard", "n", F.col("t.shard").alias("target"), (F.col("t.n") - F.col("n")).alias("gain")).filter("shard != target")
+    # What can never fit asks for nothing: in the running sum it would shut out all that come after it.
+    wish = wish.join(F.broadcast(room), F.col("target") == F.col("q_shard")).filter("n <= room").drop("q_shard", "room")
     wish = save(wish, "wish")
     wanted = wish.count()
     if not wanted:

@@ -282,3 +282,17 @@ def test_viterbi_finds_the_best_sum():
         ids = v.viterbi(t)
         unknown = sum(i >= 100 for i in ids)
         assert abs(total(ids) + unknown * v.unknown - best(t)) < 1e-9
+
+
+def test_a_large_part_does_not_shut_out_small_ones(spark):
+    """Quotas of 48 rows: G's parts fit nowhere, H's two rows fit into the room of three, and must move."""
+    parts = {"G": (40, 10, 1), "H": (5, 2, 0), "F": (0, 0, 47)}
+    rows = [(g, s) for g, counts in parts.items() for s, n in enumerate(counts) for _ in range(n)]
+    rows += [("single", 1)] * (144 - len(rows))
+    linked = spark.createDataFrame([(k, g, s) for k, (g, s) in enumerate(rows) if g != "single"], "id long, group string, shard int")
+    moves = 1
+    while moves:
+        linked, moves = shards._propagate(linked, 144, 3)
+    found = {(r.group, r.shard): r.n for r in linked.groupBy("group", "shard").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert found["H", 0] == 7 and ("H", 1) not in found
+    assert max(sum(n for (_, s), n in found.items() if s == k) for k in range(3)) <= 48
