@@ -42,6 +42,16 @@ PARTS = (
     ("XI", 93), ("XII", 108), ("XIII", 113),
 )
 
+# The figures of the printed edition by number, with their page, the block that they stand behind (-1: before all) and their size.
+FIGURES = (
+    (1, 2, 99, "md"), (2, 4, 99, "md"), (3, 6, 99, "plate"), (4, 7, -1, "plate"), (5, 8, -1, "lg"), (6, 12, 99, "lg"), (7, 14, 2, "md"), (8, 15, 1, "md"), (9, 16, 2, "md"), (10, 17, 2, "lg"),
+    (11, 18, 1, "lg"), (12, 19, 1, "md"), (13, 21, 6, "md"), (14, 23, 6, "sm"), (15, 24, 7, "lg"), (16, 25, 1, "lg"), (17, 25, 99, "plate"), (18, 26, 99, "plate"), (19, 27, 99, "plate"), (20, 28, 99, "plate"),
+    (21, 29, 99, "plate"), (22, 30, 99, "plate"), (23, 31, 9, "plate"), (24, 33, 1, "lg"), (25, 41, 27, "lg"), (26, 45, 12, "sm"), (27, 47, 0, "md"), (28, 53, 1, "lg"), (29, 56, 4, "md"), (30, 57, 8, "sm"),
+    (31, 60, 1, "md"), (32, 61, 7, "md"), (33, 64, 0, "lg"), (34, 64, 2, "tall"), (35, 67, 3, "sm"), (36, 78, 1, "md"), (37, 80, 1, "sm"), (38, 82, 2, "md"), (39, 84, 1, "lg"), (40, 95, 0, "fullplate"),
+    (41, 97, 1, "lg"), (42, 97, 2, "lg"), (43, 99, 2, "lg"), (44, 99, 2, "md"), (45, 100, 2, "lg"), (46, 100, 4, "lg"), (47, 102, 1, "lg"), (48, 104, 3, "md"), (49, 105, 0, "md"), (50, 105, 0, "md"),
+    (51, 112, 1, "fullplate"), (52, 113, 2, "lg"), (53, 121, -1, "lg"),
+)
+
 # Titles of the last pages, pages whose rest is classified, and the cells of two grid pages by language.
 TAIL_TITLES = {
     601: {"ar": "صفحة فارغة", "en": "Blank Page", "id": "Halaman Kosong"},
@@ -116,3 +126,8 @@ def tail_titles(spark: SparkSession) -> DataFrame:
 def candidates(spark: SparkSession) -> DataFrame:
     """(layer, page) whose work is classified one by one."""
     return spark.createDataFrame(list(CANDIDATES), "layer string, page long")
+
+
+def figures(spark: SparkSession) -> DataFrame:
+    """(figure, page, after_block, size) of the printed edition."""
+    return spark.createDataFrame(list(FIGURES), "figure int, page long, after_block int, size string")

@@ -116,3 +116,19 @@ def nearest_block(figures: DataFrame, blocks: DataFrame, page: str) -> DataFrame
     last = blocks.groupBy(page).agg(F.max("block").alias("last_block"))
     at = figures.join(last, page).withColumn("block", F.least("after_block", "last_block"))
     return at.join(blocks, [page, "block"], "left")
+
+
+def place_figures(figures: DataFrame, blocks: DataFrame, page: str) -> DataFrame:
+    """(page, place from 1, figure, block): blocks (page, block from 0) in order, with each figure (page, figure, after_block) where it is shown.
+
+    A figure stands behind its block, or the page's last one if there are fewer; a negative one stands
+    before the first. On a page without blocks there is nothing to stand behind: only such figures are shown.
+    """
+    last = blocks.groupBy(F.col(page).alias("l_page")).agg(F.max("block").alias("last_block"))
+    shown = figures.join(last, F.col("page") == F.col("l_page"), "left").filter((F.col("after_block") < 0) | F.col("last_block").isNotNull())
+    behind = F.when(F.col("after_block") < 0, F.lit(-1)).otherwise(F.least("after_block", "last_block"))
+    both = blocks.select(F.col(page).cast("long").alias("page"), F.lit(None).cast("int").alias("figure"), F.col("block").cast("int").alias("block"), F.col("block").cast("int").alias("behind")).unionByName(
+        shown.select(F.col("page").cast("long").alias("page"), "figure", F.lit(None).cast("int").alias("block"), behind.cast("int").alias("behind"))
+    )
+    order = W.partitionBy("page").orderBy("behind", F.col("figure").asc_nulls_first())
+    return both.withColumn("place", F.row_number().over(order)).select("page", "place", "figure", "block")

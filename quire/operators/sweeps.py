@@ -93,6 +93,17 @@ def restore_sources(files: DataFrame, sources: DataFrame, tolerance: int = 1) ->
     return rows.select("page", "layer", verdict.alias("verdict"), "delta", fixed.alias("content"))
 
 
+def restore_truncated(files: DataFrame, sources: DataFrame, least: int = 200, head: int = 200) -> DataFrame:
+    """(page, layer, shortfall, content): files whose embedded source is the source's beginning and lacks `least` characters or more get the whole back.
+
+    White space counts as one space on both sides; the target's block stays, or is empty where there is none.
+    """
+    rows = parsed(files, sources).withColumn("shortfall", F.length("source") - F.length("embedded"))
+    flat = rows.withColumns({"a": text.fold_space(F.col("embedded")), "b": text.fold_space(F.col("source"))})
+    cut = (F.col("embedded") != F.col("source")) & (F.col("shortfall") > 0) & F.startswith("b", F.substring("a", 1, head)) & (F.length("b") - F.length("a") >= least)
+    return flat.filter(cut).select("page", "layer", "shortfall", blocks.render(F.col("source"), F.col("label"), F.coalesce("body", F.lit(""))).alias("content"))
+
+
 def _versions(before: DataFrame, after: DataFrame, sources: DataFrame) -> DataFrame:
     """Both versions' bodies with their Arabic letters; only files that differ."""
     was = before.select(F.col("page").alias("b_page"), F.col("layer").alias("b_layer"), F.col("content").alias("b_content"))
