@@ -173,6 +173,25 @@ def dataset_audit(pages: DataFrame) -> DataFrame:
     return union(out)
 
 
+def structure(records: DataFrame, spine: DataFrame) -> DataFrame:
+    """Findings on the records (page, title, scan) themselves: pages of the spine (page) that have none, pages with several or beyond it, no English title, no scan."""
+    counts = records.groupBy("page").agg(F.count(F.lit(1)).alias("n"), F.max(F.coalesce(text.strip(F.col("title")), F.lit("")) == "").alias("untitled"), F.max(F.coalesce(text.strip(F.col("scan")), F.lit("")) == "").alias("unscanned"))
+    both = spine.select(F.col("page").alias("due")).distinct().join(counts, F.col("due") == F.col("page"), "full").withColumn("layer", F.lit("record"))
+    both = both.withColumn("beyond", F.col("due").isNull()).withColumn("lost", F.col("n").isNull()).withColumn("page", F.coalesce("page", "due"))
+    lack = lambda rule, when, severity="error": finding(both, rule, F.coalesce(when, F.lit(False)), severity=severity, metric=F.col("n"))
+    return union([lack("missing-page", F.col("lost")), lack("repeated-page", F.col("n") > 1), lack("unexpected-page", F.col("beyond")), lack("untitled", F.col("untitled")), lack("no-scan", F.col("unscanned"), "warning")])
+
+
+#: Rules that stop a release; all others are for a reader to judge.
+BLOCKING = {"missing-page": "record count/contiguity", "repeated-page": "record count/contiguity", "unexpected-page": "record count/contiguity", "untitled": "untitled pages"}
+
+
+def verdict(findings: DataFrame) -> DataFrame:
+    """(reason, n_findings) for what blocks: records out of order, pages without title, bodies that two pages of a layer share. None: nothing blocks."""
+    reason = F.coalesce(*[F.when(F.col("rule") == rule, F.lit(why)) for rule, why in BLOCKING.items()], F.when(F.col("rule") == "duplicate-body", F.concat("layer", F.lit(" duplicate bodies"))))
+    return findings.withColumn("reason", reason).filter("reason is not null").groupBy("reason").agg(F.count(F.lit(1)).alias("n_findings"))
+
+
 def coverage_summary(pages: DataFrame) -> DataFrame:
     """(layer, state, n_pages)."""
     layer, body = F.col("layer"), F.col("body")
