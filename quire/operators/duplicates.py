@@ -140,27 +140,35 @@ def signature_score(a: Column, b: Column) -> Column:
 def alignment(targets: DataFrame, sources: DataFrame) -> DataFrame:
     """(page, own_score, best, best_score) of targets that do not fit the source of their own number.
 
-    Both sides are (page, body). A failing target meets the sources that share its header, or frames
+    Both sides are (page, body). A failing target may belong to a source that shares its header, or frames
     and names where it has either: without a header a score of one needs both of them equal, and what
-    shares neither is no place for it. Sources alike in all three are one, with their lowest page, so
-    that a signature which very many pages share is met once. Targets without a partner have no row.
+    shares neither is no place for it. What such a source scores depends only on which of the three it
+    shares and on whether it has a header, so of all sources that share the same the one with the lowest page
+    stands for them, and a signature meets six sources at most, however many pages have it. Targets
+    without a partner have no row.
     """
     t = targets.select("page", signature(F.col("body")).alias("sig"))
     s = sources.select(F.col("page").alias("slot"), signature(F.col("body")).alias("source_sig"))
     signal = F.col("sig.header").isNotNull() | (F.col("sig.frames") > 0) | (F.size("sig.lemmas") > 0)
     own = t.filter(signal).join(s, F.col("page") == F.col("slot")).select("page", "sig", signature_score(F.col("sig"), F.col("source_sig")).alias("own_score"))
     failing = own.filter("own_score < 0.999")
-    kinds = s.groupBy("source_sig").agg(F.min("slot").alias("slot"))
 
-    def keys(sig: str) -> Column:
+    def shared(sig: str, headed: list[Column]) -> Column:
+        """Keys of what is shared: header, frames and names in their combinations, or the latter two by whether the source has a header."""
         header, frames, lemmas = (F.col(f"{sig}.{c}") for c in ("header", "frames", "lemmas"))
-        both = F.concat(F.lit("b"), frames.cast("string"), F.lit(":"), F.array_join(F.array_distinct(lemmas), " "), F.lit(":"), F.size(lemmas).cast("string"))
-        return F.array_compact(F.array(F.concat(F.lit("h"), header), F.when((frames > 0) | (F.size(lemmas) > 0), both)))
-
-    met = failing.withColumn("k", F.explode(keys("sig"))).join(kinds.withColumn("k", F.explode(keys("source_sig"))), "k")
-    scored = met.select("page", "own_score", "slot", signature_score(F.col("sig"), F.col("source_sig")).alias("score"))
-    best = scored.groupBy("page", "own_score").agg(F.max_by(F.struct("slot", "score"), F.struct("score", -F.col("slot"))).alias("b"))
-    return best.select("page", "own_score", F.col("b.slot").alias("best"), F.col("b.score").alias("best_score"))
+        names = F.concat(F.array_join(F.array_distinct(lemmas), " "), F.lit(":"), F.size(lemmas).cast("string"))
+        f, both = frames.cast("string"), F.concat(frames.cast("string"), F.lit(":"), names)
+        with_header = [F.concat(F.lit(f"{k}|"), header, *[x for c in rest for x in (F.lit("|"), c)]) for k, rest in (("hfl", [both]), ("hf", [f]), ("hl", [names]), ("h", []))]
+        plain = [F.when(((frames > 0) | (F.size(lemmas) > 0)) & when, F.concat(F.lit(kind), both)) for kind, when in zip(("with|", "without|"), headed, strict=True)]
+        return F.array_compact(F.array(*with_header, *plain))
+
+    has = F.col("source_sig.header").isNotNull()
+    kinds = s.groupBy("source_sig").agg(F.min("slot").alias("slot")).withColumn("k", F.explode(shared("source_sig", [has, ~has])))
+    first = kinds.groupBy("k").agg(F.min_by(F.struct("slot", "source_sig"), "slot").alias("s")).select("k", "s.slot", "s.source_sig")
+    asked = failing.select("sig").distinct().withColumn("k", F.explode(shared("sig", [F.lit(True), F.lit(True)])))
+    scored = asked.join(first, "k").select("sig", "slot", signature_score(F.col("sig"), F.col("source_sig")).alias("score"))
+    best = scored.groupBy(F.col("sig").alias("of")).agg(F.max_by(F.struct("slot", "score"), F.struct("score", -F.col("slot"))).alias("b"))
+    return failing.join(best, F.col("sig").eqNullSafe(F.col("of"))).select("page", "own_score", F.col("b.slot").alias("best"), F.col("b.score").alias("best_score"))
 
 
 def header_plan(targets: DataFrame, sources: DataFrame) -> DataFrame:
