@@ -233,11 +233,23 @@ def _wanted(pivots: Pivots, width: int):
                 chunk = np.repeat(pivots.first[p] - np.cumsum(count) + count, count) + np.arange(count.sum())
                 q = np.repeat(q, count)
                 other = chunk != part["chunk"].to_numpy()[q]
-                yield part.iloc[q[other]].assign(chunk=chunk[other])[["no", "id", "v", "worst", "part", "chunk"]]
+                yield part.iloc[q[other]].assign(chunk=chunk[other])[["no", "id", "v", "worst", "chunk"]]
 
     return run
 
 
+def _parted(asked: DataFrame) -> DataFrame:
+    """asked (chunk, no, ...) with a part of its own chunk: as many parts as its queries fill, however many ask elsewhere."""
+    counts = asked.groupBy(F.col("chunk").alias("n_chunk")).agg(F.ceil(F.count(F.lit(1)) / QUERIES).alias("n_parts"))
+    joined = asked.join(counts, F.col("chunk") == F.col("n_chunk"))
+    return joined.withColumn("part", F.pmod(F.xxhash64("no", F.lit(1)), F.col("n_parts")).cast("int")).drop("n_chunk", "n_parts")
+
+
+def _sent(data: DataFrame, asked: DataFrame) -> DataFrame:
+    """data (chunk, ...) once for each part of its chunk that holds a query; trees that nobody asks for stay where they are."""
+    return data.join(asked.select("chunk", "part").distinct(), "chunk")
+
+
 def whole_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(id, v): floor(256 x) of every component; vectors null or with null or non-finite components, and rows without id, go."""
     v, finite = F.col(vector_col), lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
@@ -251,13 +263,13 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     Vectors near one pivot make trees of about TREE rows, however many they are. Each query first meets one
     tree of its own pivot, which gives a k-th score to start with; then the trees of every pivot
     whose bound reaches that. A task holds a tree and up to QUERIES queries or so and returns k rows a query,
-    which one window by query merges. Shorter vectors count as filled up with zeros. Repeated
+    which one window by query merges; a tree goes to as many tasks as its own queries fill, so what is
+    sent grows with the pairs of trees and groups of queries that no bound rules out. Shorter vectors count as filled up with zeros. Repeated
     queries are answered one by one, repeated rows are candidates of their own.
     """
     spark = vectors.sparkSession
     vectors, queries = (save(x.select("id", "v", F.monotonically_increasing_id().alias("no")), "vectors") for x in (vectors, queries))
-    rows, asked_rows = vectors.count(), queries.count()
-    groups = max(1, -(-asked_rows // QUERIES))
+    rows = vectors.count()
     width = max([1, *(x.agg(F.max(F.size("v"))).first()[0] or 0 for x in (vectors, queries))])
     picked = vectors.orderBy(F.xxhash64("v", "no"), "no").limit(max(1, min(PIVOTS, rows // TREE))).select("v").collect()
     points = np.unique(_wide(pd.Series([r.v for r in picked], dtype=object), width), axis=0) if picked else np.zeros((1, width))
@@ -273,19 +285,19 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
         chunk = F.col("p_first") + F.pmod(F.xxhash64("no"), F.greatest("p_trees", F.lit(1)))
         return df.join(of, F.col("pivot") == F.col("p_pivot")).withColumn("chunk", chunk).drop("p_pivot", "p_first", "p_trees", "pivot", "away")
 
-    def met(data: DataFrame, asked: DataFrame, parts: int) -> DataFrame:
-        data = data.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-        return data.groupBy("chunk", "part").cogroup(asked.groupBy("chunk", "part")).applyInPandas(_search(k), _FOUND)
+    def met(data: DataFrame, asked: DataFrame) -> DataFrame:
+        asked = _parted(asked)
+        columns = ("id", "v", F.col("chunk").alias("of_chunk"), F.col("part").alias("of_part"))  # names of its own: both sides come from one table
+        return _sent(data, asked).select(*columns).groupBy("of_chunk", "of_part").cogroup(asked.groupBy("chunk", "part")).applyInPandas(_search(k), _FOUND)
 
     data = dealt(data).select("id", "v", "chunk")
-    asked = dealt(_assigned(queries, pivots, width)).withColumn("part", F.pmod(F.xxhash64("no", F.lit(1)), F.lit(groups)).cast("int"))
-    asked = save(asked.withColumn("worst", F.lit(NONE)), "asked")
-    first = save(met(data, asked, groups), "found")
+    asked = save(dealt(_assigned(queries, pivots, width)).withColumn("worst", F.lit(NONE)), "asked")
+    first = save(met(data, asked), "found")
     best = W.partitionBy("no", "query_id").orderBy(F.col("score").desc(), "vec_id")
     kth = save(first.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") == k).select(F.col("no").alias("k_no"), F.col("score").alias("kth")), "kth")
     known = asked.join(kth, F.col("no") == F.col("k_no"), "left").withColumn("worst", F.coalesce("kth", F.lit(NONE))).drop("k_no", "kth")
-    wanted = small_batches(known).mapInPandas(_wanted(pivots, width), "no long, id long, v array<long>, worst long, part int, chunk long")
-    found = first.union(met(data, wanted, groups))
+    wanted = save(small_batches(known).mapInPandas(_wanted(pivots, width), "no long, id long, v array<long>, worst long, chunk long"), "wanted")
+    found = first.union(met(data, wanted))
     ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 

@@ -296,3 +296,32 @@ def test_a_large_part_does_not_shut_out_small_ones(spark):
     found = {(r.group, r.shard): r.n for r in linked.groupBy("group", "shard").agg(F.count(F.lit(1)).alias("n")).collect()}
     assert found["H", 0] == 7 and ("H", 1) not in found
     assert max(sum(n for (_, s), n in found.items() if s == k) for k in range(3)) <= 48
+
+
+@pytest.mark.parametrize("times", [1, 4])
+def test_trees_go_only_where_they_are_asked_for(spark, monkeypatch, times):
+    """Clustered vectors: rows sent grow with the pairs of trees and query groups that bounds leave, not with trees times groups."""
+    monkeypatch.setattr(topk, "TREE", 20)
+    monkeypatch.setattr(topk, "QUERIES", 5)
+    monkeypatch.setattr(topk, "PIVOTS", 8 * times)
+    rnd = np.random.default_rng(7)
+    n = 200 * times
+    centres = rnd.normal(size=(8, 16))
+    points = np.floor(256 * (centres[np.arange(n) % 8] + 0.01 * rnd.normal(size=(n, 16)))).astype(int)
+    df = spark.createDataFrame([(k, p.tolist()) for k, p in enumerate(points)], "id long, v array<long>")
+    sent, real = [], topk._sent
+
+    def counted(data, asked):
+        out = real(data, asked)
+        sent.append((out.count(), data.count(), asked.select("chunk", "part").distinct().count()))
+        return out
+
+    monkeypatch.setattr(topk, "_sent", counted)
+    got = {(r.query_id, r.rank): (r.vec_id, r.score) for r in topk.top_k(df, df.filter("id % 5 = 0")).collect()}
+    scores = points @ points.T
+    for q in range(0, n, 5):
+        order = sorted((-int(scores[q, c]), c) for c in range(n) if c != q)[: topk.K]
+        assert [got[q, k + 1] for k in range(topk.K)] == [(c, -s) for s, c in order]
+    groups = -(-n // 5 // topk.QUERIES)
+    for rows, whole, met in sent:
+        assert rows <= met * 3 * topk.TREE and rows < whole * groups / 2
