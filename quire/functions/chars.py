@@ -65,12 +65,14 @@ def prose_score(text: Column) -> Column:
 
 def symbol_count(text: Column) -> Column:
     """Characters that carry no language: not ASCII, letters of the Arabic class, digits of any script, spaces or long dashes."""
-    return F.regexp_count(text, F.lit(r"(?U)[^\x00-\x7F" + ARABIC_LETTERS + r"\s\p{Nd}—–]"))
+    found = F.regexp_count(text, F.lit(r"(?U)[^\x00-\x7F" + ARABIC_LETTERS + r"\s\p{Nd}—–]"))
+    return F.when(text.rlike(r"[^\x00-\x7F]"), found).otherwise(F.when(text.isNotNull(), F.lit(0)))
 
 
 def symbol_load(text: Column) -> Column:
     """Share of symbols among what is not white space."""
-    solid = F.regexp_count(text, F.lit(r"(?U)\S"))
+    # White space is a sixth of a text, so it is what is counted and taken off.
+    solid = F.length(text) - F.regexp_count(text, F.lit(r"(?U)\s"))
     return F.coalesce(F.try_divide(symbol_count(text).cast("double"), solid), F.lit(0.0))
 
 

@@ -79,6 +79,19 @@ def own_text(files: DataFrame, sources: DataFrame, stop: tuple[str, ...] = ()) -
     return rows.select("page", "layer", state.alias("state"), terms.alias("n_terms"), F.when(ok, ratio).alias("ratio"), F.when(ok, folio(source, "digits_only") == folio(body, "digits_only")).alias("same_folio"))
 
 
+# Words that say nothing of the page they stand on.
+COMMON_WORDS = (
+    "الله", "تعالى", "صلى", "عليه", "وسلم", "الذي", "التي", "هذا",
+    "هذه", "ذلك", "كان", "كانت", "بسم", "الرحمن", "الرحيم", "وقال",
+)
+
+
+def own_terms(sources: DataFrame, stop: tuple[str, ...] = COMMON_WORDS) -> DataFrame:
+    """(page, place from 1, term): the words that tell a source page from others, by which a reader checks its targets."""
+    rows = sources.select("page", F.posexplode(fingerprint(text.clean(F.col("body")), stop)).alias("at", "term"))
+    return rows.select("page", (F.col("at") + 1).alias("place"), "term")
+
+
 def fingerprint(source: Column, stop: tuple[str, ...] = ()) -> Column:
     from quire.operators.duplicates import fingerprint_terms
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.functions import text
-from quire.operators import checks, evidence, repair
+from quire.operators import checks, evidence, repair, sweeps
 from quire.plans.registry import query
 from quire.plans.relation_plans import docs
 from quire.sources import sinks
@@ -103,3 +103,16 @@ def block_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.when(F.col("role") == "system", "section_heading").when(F.col("role") == "user", "grid").otherwise("prose")
     rows = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("page"), F.col("turn").alias("paragraph"), kind.alias("kind"), F.col("text").alias("body"))
     return sinks.html_blocks(rows).select("page", "paragraph", F.md5("html").alias("digest"))
+
+
+#: Words of a source: one that all pages have and a stop word, between some that follow from the page's number.
+WORDED = "'بسم الله الرحمن الرحيم ' || repeat('العلوم ', 2) || repeat('ابجد', 2 + page % 5) || ' ' || repeat('نور', 1 + page % 4) || ' نص ' || repeat('حرف', 2 + page % 3)"
+
+
+@query(rf"""WITH w AS (SELECT DISTINCT doc_id + 1 AS page, unnest(regexp_extract_all({WORDED.replace("page", "(doc_id + 1)")}, '[\x{{0600}}-\x{{06FF}}]{{5,}}')) AS term FROM documents),
+r AS (SELECT page, term, row_number() OVER (PARTITION BY page ORDER BY length(term) DESC, term)::INT AS place FROM w WHERE term NOT IN ({", ".join(f"'{x}'" for x in sweeps.COMMON_WORDS)}))
+SELECT page, place, term FROM r WHERE place <= 6""")
+def own_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The longest words of each source, without stop words."""
+    rows = docs(spark, sf_dir).select((F.col("doc_id") + 1).alias("page"))
+    return sweeps.own_terms(rows.select("page", F.expr(WORDED).alias("body")))
