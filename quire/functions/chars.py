@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 # The five Arabic classes, which must stay apart, and further ranges.
 ARABIC_BLOCK = r"؀-ۿ"
 ARABIC_LETTERS = r"ؠ-يٮ-ۓݐ-ݿࢠ-ࣿﭐ-﷿ﹰ-﻿"
-ARABIC_RANGE = r"؀-ۿݐ-ݿﭐ-﷿ﹰ-﻿"
 ARABIC_FULL = (
     r"؀-ۿݐ-ݿࡰ-࢟ࢠ-ࣿﭐ-﷿ﹰ-ﻼ"
     r"\x{10E60}-\x{10E7F}\x{10EC0}-\x{10EFF}\x{1EE00}-\x{1EEFF}"

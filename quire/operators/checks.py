@@ -12,7 +12,6 @@ from quire.functions.folio import folio
 from quire.operators import blocks, duplicates
 from quire.sources import work
 
-FINDING = "rule string, page long, layer string, severity string, other_page long, metric double, detail string"
 MIN_CHECKED = {"copy": 60, "duplicate": 200, "language": 100, "short": 40}
 
 

@@ -10,7 +10,6 @@ from quire.functions.folio import folio
 from quire.operators import blocks
 from quire.operators.checks import by_lang
 
-PLAN = "struct<action:string,body:string,reason:string>"
 
 
 def plan_block(sibling: Column, label: str, lang: str, kind: str = "enriched") -> Column:
@@ -103,11 +102,6 @@ def filler_drift(embedded: Column, canonical: Column) -> Column:
     return n(embedded) - n(canonical)
 
 
-def cleaner_upstream(now: Column, upstream: Column, margin: int = 3) -> Column:
-    """Whether upstream's block has at least margin fewer Arabic letters."""
-    return chars.count(now, chars.ARABIC_LETTERS) - chars.count(upstream, chars.ARABIC_LETTERS) >= margin
-
-
 def blank_plan(pages: DataFrame) -> DataFrame:
     """(page, layer, marker) of blank pages (page, layer, source, body) without their exact marker."""
     marker = by_lang(F.col("layer"), lambda g: F.lit(dims.BLANK_MARKERS[g]))

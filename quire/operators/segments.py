@@ -78,6 +78,18 @@ class SegmentedIndex:
                 return
         raise RuntimeError(f"{self.path}: another writer was faster {tries} times")
 
+    def sweep(self, keep: int = 1) -> int:
+        """Removes manifests before the last `keep`, and every segment that none left names; how many went. For a time without writers and readers."""
+        names = [n for n in self.store.names() if n.endswith(".json")]
+        for name in names[:-keep]:
+            self.store.remove(name)
+        named = {s["name"] for n in names[-keep:] for s in json.loads(self.store.read(n))}
+        every = Store(self.spark, self.path)
+        lost = [f for f in every.folders() if f.startswith("segment-") and f not in named]
+        for f in lost:
+            every.remove(f)
+        return len(lost)
+
     def merge(self) -> bool:
         """Merges runs of FANOUT neighbours of like size until there is none; false if another writer was faster, which then merges."""
         while True:

@@ -116,3 +116,15 @@ def own_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The longest words of each source, without stop words."""
     rows = docs(spark, sf_dir).select((F.col("doc_id") + 1).alias("page"))
     return sweeps.own_terms(rows.select("page", F.expr(WORDED).alias("body")))
+
+
+ENRICHED = "CASE doc_id % 4 WHEN 0 THEN substr(t, 1, CAST(floor(length(t) / 3) AS INT)) WHEN 1 THEN concat(t, ' more') WHEN 2 THEN concat(t, t, t, t) ELSE substr(t, 1, CAST(ceil(length(t) / 2) AS INT)) END"
+
+
+@query(f"""SELECT doc_id, md5(CASE WHEN length(e) BETWEEN 0.5 * length(t) AND 3 * length(t) THEN e ELSE t END) AS digest, (length(e) BETWEEN 0.5 * length(t) AND 3 * length(t)) AS accepted
+  FROM (SELECT doc_id, t, {ENRICHED} AS e FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents))""")
+def enriched_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Enriched texts that are too short or too long give way to the raw ones."""
+    rows = docs(spark, sf_dir).select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("t")).withColumn("e", F.expr(ENRICHED))
+    kept = checks.accept_enriched(F.col("t"), F.col("e"))
+    return rows.select("doc_id", F.md5(kept).alias("digest"), (kept == F.col("e")).alias("accepted"))

@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quire.functions import dims
 from quire.plans.registry import query
 from quire.sources import work
 from quire.sources.scan import table
 from quire.streaming import tracker
 
 RAW = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
-TOTAL = 604
 ACTION = """CASE event_type WHEN 'signup' THEN 'claim' WHEN 'click' THEN 'submit' WHEN 'view' THEN CASE WHEN event_id % 3 = 0 THEN 'heartbeat' ELSE 'start' END
     WHEN 'purchase' THEN CASE WHEN event_id % 2 = 0 THEN 'approve' ELSE 'commit' END
     ELSE CASE event_id % 4 WHEN 0 THEN 'rework' WHEN 1 THEN 'block' WHEN 2 THEN 'unblock' ELSE 'reclaim' END END"""
@@ -76,7 +76,7 @@ def run(spark: SparkSession, sf_dir: str, leases: bool) -> DataFrame:
     first = campaigns.select("campaign", F.explode(F.sequence(F.lit(1), F.lit(9), F.lit(2))).alias("page")).join(odd, "page", "left_semi")
     first = first.select("campaign", "page", F.lit("committed").alias("status"), F.lit(None).cast("string").alias("owner"))
     path = work.folder(spark, "verdicts")
-    tracker.logged(tracker.verdicts(rows, TOTAL, first, leases), path, work.folder(spark, "tracker")).awaitTermination()
+    tracker.logged(tracker.verdicts(rows, dims.TOTAL_PAGES, first, leases), path, work.folder(spark, "tracker")).awaitTermination()
     return spark.read.schema(tracker.VERDICT).parquet(path)
 
 

@@ -51,6 +51,11 @@ class Store:
             return []
         return sorted(n for s in self._fs.listStatus(self._root) if s.isFile() and not (n := s.getPath().getName()).startswith("."))
 
+    def folders(self) -> list[str]:
+        if not self._fs.exists(self._root):
+            return []
+        return sorted(s.getPath().getName() for s in self._fs.listStatus(self._root) if s.isDirectory())
+
     def read(self, name: str) -> str:
         stream = self._fs.open(self._at(name))
         try:

@@ -70,14 +70,11 @@ class StateLog:
             self.store.remove(name)
         named = {json.loads(self.store.read(n))["table"] for n in names[-keep:]}
         tables = Store(self.spark, self.path)
-        lost = [t for t in self._tables(tables) if t not in named]
+        lost = [t for t in tables.folders() if t.startswith("table-") and t not in named]
         for t in lost:
             tables.remove(t)
         return len(lost)
 
-    def _tables(self, tables: Store) -> list[str]:
-        return [n for s in tables._fs.listStatus(tables._root) if s.isDirectory() and (n := s.getPath().getName()).startswith("table-")]
-
 
 def latest_of(new: DataFrame, old: DataFrame | None, keys: list[str], order: str) -> DataFrame:
     """Each key's row with the highest order, of both."""

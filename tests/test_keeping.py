@@ -37,6 +37,8 @@ def test_changes_equal_a_rebuild(spark, tmp_path, monkeypatch, fanout):
         assert postings(index.postings()) == postings(whole), step
     version, held = index.segments()
     assert len(held) < 6 and version > 5
+    before = postings(index.postings())
+    assert index.sweep() > 0 and postings(index.postings()) == before and index.sweep() == 0
     assert [s["first"] for s in held[1:]] == [s["last"] + 1 for s in held[:-1]] and held[-1]["last"] == 5
 
 
