@@ -54,11 +54,6 @@ def save(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def size_hint(df: DataFrame) -> int:
-    """Catalyst's estimate of the bytes in df; steers numbers of partitions and never results."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-
-
 def small_batches(df: DataFrame) -> DataFrame:
     """df, whose rows go to Python workers in Arrow batches of BATCH_BYTES, or of one row that is larger.
 
