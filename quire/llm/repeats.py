@@ -50,6 +50,8 @@ class Kind(NamedTuple):
     size: Callable[[bytes], int]
     #: Whether copies in one document count.
     same_document: bool
+    #: Symbols at which an index is full unless one anchor has more; its arrays should fit the processor's cache.
+    batch: int = INDEX_SYMBOLS
 
 
 class Block(NamedTuple):
@@ -330,6 +332,7 @@ def _find(kind: Kind, texts: list[bytes], mark: np.ndarray, low: np.ndarray, cou
     per = symbols - kind.window + 1
     offset = np.cumsum(per) - per
     out = np.full(per.sum(), NO_ID)
+    full = min(INDEX_SYMBOLS, kind.batch)
     order = np.argsort(mark, kind="stable")
     ordered = np.cumsum(symbols[order])
     cuts = np.flatnonzero(np.r_[True, np.diff(mark[order]) != 0, True]) if len(order) else np.zeros(1, np.int64)
@@ -344,7 +347,7 @@ def _find(kind: Kind, texts: list[bytes], mark: np.ndarray, low: np.ndarray, cou
     for a, z in zip(cuts.tolist(), cuts[1:].tolist(), strict=False):
         before = int(ordered[a - 1]) if a else 0
         size = int(ordered[z - 1]) - before
-        if int(ordered[z - 1]) - done > INDEX_SYMBOLS:
+        if int(ordered[z - 1]) - done > full:
             simple(begin, a)
             begin, done = a, before
         if size > INDEX_SYMBOLS:

@@ -325,3 +325,21 @@ def test_trees_go_only_where_they_are_asked_for(spark, monkeypatch, times):
     groups = -(-n // 5 // topk.QUERIES)
     for rows, whole, met in sent:
         assert rows <= met * 3 * topk.TREE and rows < whole * groups / 2
+
+
+def test_bytes_shared_by_chance_are_not_dealt_out():
+    """Texts that share 20 bytes, far fewer than a window has, have no anchor in common."""
+    rnd = random.Random(8)
+    texts = [b"".join([rnd.randbytes(90), b"the licence of these", rnd.randbytes(90)]) for _ in range(60)]
+    block = repeats.Block(np.arange(60), np.zeros(60, bool), np.cumsum([0, *map(len, texts)]), b"".join(texts))
+    kind = suffix_dedup.KIND
+    assert not repeats._anchors(block, repeats.pieces(block, kind, 64), kind)[2].any()
+
+
+def test_an_index_is_full_at_its_kinds_size():
+    """Short pieces of many anchors go through indexes that fit the cache."""
+    seen = []
+    kind = suffix_dedup.KIND._replace(index=lambda pieces: seen.append(sum(map(len, pieces))) or suffix_dedup.KIND.index(pieces))
+    texts = [np.random.default_rng(k).bytes(80) for k in range(4000)]
+    repeats._find(kind, texts, np.arange(4000), np.zeros(4000, np.int64), np.ones(4000, np.int64))
+    assert sum(seen) == 320_000 and max(seen) <= 1 << 17
