@@ -7,6 +7,8 @@ in packets of consecutive tokens of one tokenizer; a token's end follows from th
 
 How often a pair of ids is linked in the whole corpus is counted over blocks of documents: a block sends
 each of its pairs once, and gets its count back once, so that a pair that every document has is no hot key.
+Pairs travel in packets too, one from each block to each range of B ids, where they are added up and
+compared; what comes back stands in the order of what was sent.
 """
 
 from __future__ import annotations
@@ -22,14 +24,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.llm import byte_pairs
-from quire.llm._io import RESIDENT, save, small_batches, table, trimmed
+from quire.llm._io import RESIDENT, ranges_of, save, small_batches, table, trimmed
 from quire.llm.byte_pairs import Kept, pack
 from quire.llm.pieces import BREAKS, MODEL
 
 #: Tokens in a packet, and pairs of a document counted before a block is closed.
 PACKET, BLOCK_PAIRS = 1 << 14, 1 << 21
+#: Bytes of pairs and totals that one range of B ids gets.
+RANGE_BYTES = 4 << 20
 PACKETS = "key long, doc_id long, start long, side int, n int, ids binary"
-SWEPT = "block long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, slots binary, times binary, pairs array<long>, totals array<long>"
+SWEPT = "block long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, slots binary, times binary, pairs binary, totals binary"
+ASKED = "range long, block long, pairs binary, totals binary"
+ANSWERS = "range long, block long, counts binary, best binary"
 RESULT = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
 
@@ -94,6 +100,10 @@ class Both:
     def __reduce__(self):
         return once, self.paths
 
+    def spread(self, b: np.ndarray) -> np.ndarray:
+        """B ids as other numbers of as many bits, one for each, in which neighbours lie far apart: ranges of them are of like size."""
+        return b.astype(np.int64) * (0x9E3779B1 & (1 << self.bits) - 1) & (1 << self.bits) - 1
+
     def tokens(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of both for a text with a space before it; none where the text is empty or tokens would change it."""
         none = np.zeros(0, self.kind)
@@ -179,7 +189,7 @@ class Sweep:
         events, shut = events[:last], shut[:last]
         of_a, of_b = (events & 1).astype(np.int64), (events >> 1).astype(np.int64)
         at_a, at_b = np.cumsum(of_a) - of_a, np.cumsum(of_b) - of_b
-        keys = a[at_a].astype(np.int64) << self.both.bits | b[at_b]
+        keys = self.both.spread(b[at_b]) << self.both.bits | a[at_a]
         self.found.append(np.unique(keys.astype(np.uint32) if self.both.bits == 16 else keys, return_counts=True))
         if len(self.found) > 64:
             self.found = [self._pairs()]
@@ -213,7 +223,7 @@ class Sweep:
 
 
 def _block(number: int, docs: list[tuple]) -> Iterator[pa.RecordBatch]:
-    """The rows of a block: a row for each document, with its pairs by their place in the block, and one with the block's pairs and their totals."""
+    """The rows of a block: a row for each document, with its pairs by their place in the block, and one with the block's pairs in order and their totals."""
     keys = np.concatenate([k for _, (k, _) in docs])
     times = np.concatenate([n for _, (_, n) in docs])
     pairs, place = np.unique(keys, return_inverse=True)
@@ -226,9 +236,7 @@ def _block(number: int, docs: list[tuple]) -> Iterator[pa.RecordBatch]:
             yield _batch(rows, SWEPT)
             rows = []
     yield _batch(rows, SWEPT)
-    step = 1 << 16
-    for at in range(0, len(pairs), step):
-        yield _batch([(number, *[None] * 8, pairs[at : at + step].astype(np.int64), totals[at : at + step])], SWEPT)
+    yield _batch([(number, *[None] * 8, pairs.astype(np.int64).tobytes(), totals.tobytes())], SWEPT)
 
 
 def sweep(events: DataFrame, both: Both) -> DataFrame:
@@ -258,29 +266,55 @@ def sweep(events: DataFrame, both: Both) -> DataFrame:
     return small_batches(dealt).mapInArrow(trimmed(run, keeps="token_alignment"), SWEPT)
 
 
-def align(docs: DataFrame, both: Both, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """Blocks of swept documents, and every pair of linked ids with its count in the corpus and whether that is its B id's highest."""
-    swept = save(sweep(packets(docs, both, id_col, text_col), both), "swept")
-    counted = save(asked(swept).groupBy("pair").agg(F.sum("total").alias("count")), "pairs")
-    b = F.col("pair").bitwiseAND(F.lit((1 << both.bits) - 1))
-    top = counted.groupBy(b.alias("of_b")).agg(F.max("count").alias("top"))
-    best = counted.join(top, b == F.col("of_b")).select("pair", "count", (F.col("count") == F.col("top")).alias("best"))
-    return swept, best
+def asked(swept: DataFrame, both: Both) -> DataFrame:
+    """range, block, pairs, totals: each block's pairs once, in packets for ranges of their B ids."""
+    bits, packets_ = both.bits, swept.filter("pairs is not null").select("block", "pairs", "totals")
+    size = packets_.agg(F.sum(F.octet_length("pairs") + F.octet_length("totals"))).first()[0] or 0
+    ranges = min(1 << bits, ranges_of(size, RANGE_BYTES))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, pairs, totals in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+                keys = np.frombuffer(pairs, np.int64)
+                of = (keys >> bits) * ranges >> bits
+                cuts = np.flatnonzero(np.r_[True, of[1:] != of[:-1], True]) if len(of) else []
+                rows = [(int(of[x]), block, pairs[8 * x : 8 * y], totals[8 * x : 8 * y]) for x, y in zip(cuts, cuts[1:], strict=False)]
+                yield _batch(rows, ASKED)
+
+    return small_batches(packets_).mapInArrow(trimmed(run), ASKED)
 
 
-def asked(swept: DataFrame) -> DataFrame:
-    """block, pair, total: each block's pairs once."""
-    both = swept.filter("pairs is not null").select("block", F.explode(F.arrays_zip("pairs", "totals")).alias("x"))
-    return both.select("block", F.col("x.pairs").alias("pair"), F.col("x.totals").alias("total"))
+def counted(asked: DataFrame, both: Both) -> DataFrame:
+    """range, block, counts, best: for each packet the counts of its pairs in the corpus, and whether they are their B id's highest."""
+    bits = both.bits
+
+    def run(got: pa.Table) -> pa.Table:
+        packets_ = [np.frombuffer(x.as_buffer(), np.int64) for x in got["pairs"]]
+        pairs, place = np.unique(np.concatenate(packets_), return_inverse=True)
+        count = np.zeros(len(pairs), np.int64)
+        np.add.at(count, place, np.concatenate([np.frombuffer(x.as_buffer(), np.int64) for x in got["totals"]]))
+        first = np.flatnonzero(np.r_[True, np.diff(pairs >> bits) != 0])
+        best = count == np.repeat(np.maximum.reduceat(count, first), np.diff(np.r_[first, len(pairs)]))
+        places = np.split(place, np.cumsum([len(p) for p in packets_])[:-1])
+        answers = [[v[p].tobytes() for p in places] for v in (count, best)]
+        return pa.table({"range": got["range"], "block": got["block"], "counts": pa.array(answers[0], pa.binary()), "best": pa.array(answers[1], pa.binary())})
+
+    return asked.groupBy("range").applyInArrow(run, ANSWERS)
+
+
+def align(docs: DataFrame, both: Both, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """Blocks of swept documents, and for each block what counted() says of its pairs."""
+    swept = save(sweep(packets(docs, both, id_col, text_col), both), "swept")
+    return swept, counted(asked(swept, both), both)
 
 
-def scored(swept: DataFrame, best: DataFrame) -> DataFrame:
+def scored(swept: DataFrame, answers: DataFrame) -> DataFrame:
     """A row for each document, with the links that are best for their B id and the sum of their counts."""
-    answers = asked(swept).select(F.col("block").alias("to"), "pair").join(best, "pair")
 
     def run(docs: pa.Table, known: pa.Table) -> pa.Table:
-        order = np.argsort(known["pair"].to_numpy())
-        count, top = known["count"].to_numpy()[order], known["best"].to_numpy(zero_copy_only=False)[order]
+        known = known.sort_by("range")  # as the block's pairs are
+        count = np.frombuffer(b"".join(known["counts"].to_pylist()), np.int64)
+        top = np.frombuffer(b"".join(known["best"].to_pylist()), np.bool_)
         n_best, sums = [], []
         for slots, times in zip(docs["slots"], docs["times"], strict=True):
             place = np.cumsum(np.frombuffer(slots.as_buffer(), np.uint32), dtype=np.int64)
@@ -291,7 +325,7 @@ def scored(swept: DataFrame, best: DataFrame) -> DataFrame:
         return pa.table(out | {"n_best": pa.array(n_best, pa.int64()), "count_sum": pa.array(sums, pa.int64()), "groups_sha256": docs["groups_sha256"]})
 
     rows = small_batches(swept).filter("slots is not null").drop("pairs", "totals")
-    return rows.groupBy("block").cogroup(answers.groupBy("to")).applyInArrow(run, RESULT)
+    return rows.groupBy("block").cogroup(answers.withColumnRenamed("block", "to").groupBy("to")).applyInArrow(run, RESULT)
 
 
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:

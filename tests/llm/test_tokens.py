@@ -214,3 +214,17 @@ def test_texts_without_tokens_alone(spark, tmp_path):
     spark.createDataFrame([(1, None), (2, ""), (2, "▁")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     got = token_alignment.op12_token_alignment(spark, str(tmp_path)).collect()
     assert sorted(map(tuple, got)) == [(k, 0, 0, 0, 0, 0, 0, "") for k in (1, 2, 2)]
+
+
+def test_pairs_travel_in_packets(spark, where):
+    """A block sends a packet to each range of B ids, and no rows of pairs are joined."""
+    swept = token_alignment.sweep(token_alignment.packets(spark.read.parquet(f"{where}/documents.parquet"), BOTH), BOTH).cache()
+    sent = token_alignment.asked(swept, BOTH)
+    pairs = sum(len(r.pairs) // 8 for r in sent.select("pairs").collect())
+    blocks = swept.select("block").distinct().count()
+    assert sent.count() <= 64 * blocks < pairs
+    plan = token_alignment.scored(swept, token_alignment.counted(sent, BOTH))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
+    swept.unpersist()
+    ids = BOTH.spread(np.arange(1 << BOTH.bits, dtype=np.int64)) if BOTH.bits == 16 else np.arange(2)
+    assert len(np.unique(ids)) == len(ids) and ids.max() < 1 << BOTH.bits
