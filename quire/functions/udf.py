@@ -1,9 +1,10 @@
-"""What Spark has no function for: Unicode normalization and true case folding, as vectorized UDFs."""
+"""What Spark has no function for: Unicode normalization, true case folding and counting a text's windows, as vectorized UDFs."""
 
 from __future__ import annotations
 
 import unicodedata
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -33,3 +34,41 @@ def casefold(text: Column) -> Column:
 def needs_honorific(source: Column) -> Column:
     """Whether the two words of the honorific stand side by side, vocalized or not, with the usual clitics."""
     return nfkd_strip(source).rlike(r"(?U)(?<!\w)[وف]?(?:[بك]?الله|لله)\s+تعالى(?!\w)")
+
+
+def window_counts(texts: list[str], size: int) -> tuple[str | None, int]:
+    """The window of `size` characters that begins most often in texts, their last ones left out, and how often; of equal ones that of the highest code points.
+
+    Windows are numbers of as many characters as 64 bits hold; what is longer is ranked and extended, so that the order stays that of the characters.
+    """
+    parts = [np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32) for t in texts]
+    lengths = np.array([len(p) for p in parts], np.int64)
+    many = np.maximum(lengths - size, 0)
+    if not many.sum():
+        return None, 0
+    letters, codes = np.unique(np.concatenate(parts), return_inverse=True)
+    ends = np.cumsum(many)
+    at = np.arange(ends[-1]) + np.repeat(np.cumsum(lengths) - lengths - ends + many, many)
+    base, done, keys, classes = max(len(letters), 2), 0, np.zeros(len(at), np.int64), 1
+    while True:
+        while done < size and classes * base < 1 << 63:
+            keys = keys * base + codes[at + done]
+            classes, done = classes * base, done + 1
+        if done == size:
+            break
+        found, keys = np.unique(keys, return_inverse=True)
+        classes = len(found)
+    _, first, times = np.unique(keys, return_index=True, return_counts=True)
+    best = len(times) - 1 - int(np.argmax(times[::-1]))
+    begin = int(at[first[best]])
+    return letters[codes[begin : begin + size]].astype(np.uint32).tobytes().decode("utf-32-le", "surrogatepass"), int(times[best])
+
+
+def top_window(texts: Column, size: int) -> Column:
+    """(w, n): the most frequent window of an array of texts, as window_counts() finds it."""
+
+    @F.pandas_udf("w string, n long")
+    def found(s: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([window_counts(list(ts), size) for ts in s], columns=["w", "n"]).astype({"w": object, "n": "int64"})
+
+    return found(texts)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quire.functions import chars, text
+from quire.functions import chars, text, udf
 
 #: Latin words with accents; profile "compat" leaves out the letters between the two Latin ranges.
 WORDS = {"fixed": "[a-zà-öø-ɏ']+", "compat": "[a-zĀ-ɏ']+"}
@@ -197,16 +197,15 @@ def top_window(pages: DataFrame, key: str, body: str, size: int = 12) -> DataFra
     """(key, top, top_count, looped): the most frequent window of characters, and whether a body is mostly that.
 
     looped needs a body over 500 characters of which a third is starts of a window that does not look like words.
+    Windows are counted within a page's row: bodies of one key and length together, of others by themselves.
     """
-    b = F.col(body)
-    # From an array of characters a window costs its own size; substring() would walk there from the start.
-    windows = lambda cs: F.transform(F.sequence(F.lit(0), F.size(cs) - size - 1), lambda i: F.concat(*[F.get(cs, i + j) for j in range(size)]))
-    rows = pages.filter(F.length(b) > size).select(key, F.explode(chars.let(F.split(b, ""), windows)).alias("w"))
-    counts = rows.groupBy(key, "w").agg(F.count(F.lit(1)).alias("n"))
-    top = counts.groupBy(key).agg(F.max_by(F.struct("w", "n"), F.struct("n", F.hex(F.col("w")).alias("tie"))).alias("t"), (F.sum("n") + size).alias("n_body"))
+    own = pages.filter(F.length(body) > size).groupBy(key, F.length(body).alias("n_body")).agg(F.collect_list(body).alias("bodies"))
+    counts = own.select(key, "n_body", udf.top_window(F.col("bodies"), size).alias("c"))
+    most = F.max_by(F.struct("c.w", "c.n", "n_body"), F.struct(F.col("c.n").alias("n"), F.hex(F.col("c.w")).alias("tie")))
+    top = counts.groupBy(key).agg(most.alias("t"))
     letters = F.regexp_count(F.col("t.w"), F.lit("[A-Za-z ]"))
     worded = F.col("t.w").contains(" ") & (2 * letters > size)
-    looped = (F.col("n_body") > 500) & (3 * F.col("t.n") > F.col("n_body")) & ~worded
+    looped = (F.col("t.n_body") > 500) & (3 * F.col("t.n") > F.col("t.n_body")) & ~worded
     return top.select(key, F.col("t.w").alias("top"), F.col("t.n").alias("top_count"), looped.alias("looped"))
 
 

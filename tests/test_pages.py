@@ -1,6 +1,7 @@
 """A small book on disk: readers, joins, validators, audits, search and sinks."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -210,3 +211,22 @@ def test_grid_art(column):
     from quire.operators import layout
 
     assert column(layout.is_grid_art(F.col("t")), "t string", [("☩" * 20,), ("☩" * 19,), ("a" * 30,)]) == [True, False, False]
+
+
+def test_windows_are_counted_within_the_row(spark):
+    """No window is a row of its own, bodies of one key and length count together, and ties go to the highest characters."""
+    from collections import Counter
+
+    from quire.functions import udf
+
+    rnd = random.Random(3)
+    for _ in range(60):
+        texts = ["".join(rnd.choice(rnd.choice(["ab", "aé漢😀z", "abc \n"])) for _ in range(rnd.randint(0, 90))) for _ in range(rnd.randint(1, 3))]
+        want = Counter(t[i : i + 12] for t in texts for i in range(len(t) - 12))
+        assert udf.window_counts(texts, 12) == (max(((w, n) for w, n in want.items()), key=lambda x: (x[1], x[0])) if want else (None, 0))
+    wide = "".join(map(chr, range(0x4E00, 0x4E00 + 9000)))
+    assert udf.window_counts([wide + wide], 12)[1] == 2
+    pages = spark.createDataFrame([(1, "ab" * 40), (1, "ba" * 40), (2, "abcdefghijklm"), (None, "x" * 20), (3, "x" * 12)], "page int, body string")
+    found = duplicates.top_window(pages, "page", "body")
+    assert sorted(found.collect(), key=str) == [(1, "ba" * 6, 68, False), (2, "abcdefghijkl", 1, False), (None, "x" * 12, 8, False)]
+    assert "explode" not in found._jdf.queryExecution().optimizedPlan().toString()
