@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
 import re
+import sys
 import uuid
+import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -33,7 +37,19 @@ class Files(InputPartition):
 
 @dataclass
 class Drafts(WriterCommitMessage):
-    moves: list[tuple[str, str]] = field(default_factory=list)
+    """Where a task's drafts are, and of each layer the pages, compressed: a draft's name follows from its page, so a file costs the driver a few bytes."""
+
+    task: str
+    pages: dict[str, bytes] = field(default_factory=dict)
+
+    def moves(self, root: str) -> Iterator[tuple[str, str]]:
+        for layer, packed in self.pages.items():
+            for page in array("i", zlib.decompress(packed)):
+                yield draft_name(root, layer, self.task, page), f"{root.rstrip('/')}/{layer}/page_{page:03d}.txt"
+
+
+def draft_name(root: str, layer: str, task: str, page: int) -> str:
+    return f"{root.rstrip('/')}/{layer}/.draft-{task}-{page}"
 
 
 class PageTree(DataSource):
@@ -106,37 +122,50 @@ class Writer(DataSourceArrowWriter):
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Drafts:
         system, root = opened(self.path)
-        done, seen = Drafts(), set()
-        for batch in iterator:
-            for r in batch.select(["layer", "page", "content"]).to_pylist():
-                folder = f"{root.rstrip('/')}/{r['layer']}"
-                if folder not in seen:
-                    system.create_dir(folder, recursive=True)
-                    seen.add(folder)
-                draft = f"{folder}/.draft-{uuid.uuid4().hex}"
-                with system.open_output_stream(draft) as f:
-                    f.write(r["content"] or b"")
-                done.moves.append((draft, f"{folder}/page_{r['page']:03d}.txt"))
+        done, pages = Drafts(uuid.uuid4().hex), {}
+        try:
+            for batch in iterator:
+                for r in batch.select(["layer", "page", "content"]).to_pylist():
+                    layer, page = r["layer"], r["page"]
+                    if layer not in pages:
+                        system.create_dir(f"{root.rstrip('/')}/{layer}", recursive=True)
+                        pages[layer] = set()
+                    if page in pages[layer]:
+                        raise ValueError("two rows for one page of a layer")
+                    pages[layer].add(page)
+                    with system.open_output_stream(draft_name(root, layer, done.task, page)) as f:
+                        f.write(r["content"] or b"")
+        finally:
+            done.pages = {layer: zlib.compress(array("i", sorted(own)).tobytes()) for layer, own in pages.items()}
+            if sys.exc_info()[0]:
+                self.abort([done])
         return done
 
     def commit(self, messages: list[Drafts | None]) -> None:
         system, root = opened(self.path)
-        moves = [x for m in messages if m for x in m.moves]
-        names = {name for _, name in moves}
-        if len(names) < len(moves):
-            self.abort(messages)
-            raise ValueError("two rows for one page of a layer")
-        for draft, name in moves:
-            system.move(draft, name)
+        pages: dict[str, set[int]] = {}
+        for m in messages:
+            for layer, packed in m.pages.items() if m else ():
+                own = array("i", zlib.decompress(packed))
+                if not pages.setdefault(layer, set()).isdisjoint(own):
+                    self.abort(messages)
+                    raise ValueError("two rows for one page of a layer")
+                pages[layer].update(own)
+        for m in messages:
+            for draft, name in m.moves(root) if m else ():
+                system.move(draft, name)
         if self.overwrite:
             for info in system.get_file_info(fs.FileSelector(root, recursive=True)):
-                if info.type == fs.FileType.File and NAME.search(info.path) and info.path not in names:
+                named = NAME.search(info.path)
+                if info.type == fs.FileType.File and named and not (int(named[1]) in pages.get(info.path.split("/")[-2], ()) and named[0] == f"page_{int(named[1]):03d}.txt"):
                     system.delete_file(info.path)
 
     def abort(self, messages: list[Drafts | None]) -> None:
-        system, _ = opened(self.path)
-        for draft, _ in (x for m in messages if m for x in m.moves):
-            system.delete_file(draft)
+        system, root = opened(self.path)
+        for m in messages:
+            for draft, _ in m.moves(root) if m else ():
+                with contextlib.suppress(FileNotFoundError):
+                    system.delete_file(draft)
 
 
 def read(spark: SparkSession, path: str, layers: tuple[str, ...] = (), content: bool = True) -> DataFrame:

@@ -40,6 +40,23 @@ def test_a_failed_write_leaves_nothing(spark, tmp_path):
     assert tree(spark, tmp_path / "nowhere") == []
 
 
+def test_a_file_costs_the_driver_a_few_bytes(tmp_path):
+    """A task's message holds numbers of pages, not two paths for each file."""
+    import pickle
+
+    import pyarrow as pa
+
+    batch = pagetree._batch([("ar", k, 1, b"x") for k in range(2000)])
+    writer = pagetree.Writer(str(tmp_path), True)
+    message = writer.write(iter([batch]))
+    assert len(pickle.dumps(message)) < 8 * 2000
+    with pytest.raises(ValueError, match="two rows for one page"):
+        writer.write(iter([pa.RecordBatch.from_arrays([c.take(pa.array([3, 3])) for c in batch.columns], batch.schema.names)]))
+    writer.commit([message, None])
+    names = sorted(p.name for p in (tmp_path / "ar").iterdir())
+    assert names == sorted(f"page_{k:03d}.txt" for k in range(2000))
+
+
 SHAPES = [
     ({"page": 1, "body": "plain"}, "plain"), ({"page": 1, "content": "c"}, "c"), ({"page": 1, "text": {"en": ""}, "en": "direct"}, "direct"), ({"page": "1", "translation": "t"}, "t"), ({"p": 1, "text_": "t"}, "t"),
     ({"page": 1, "text": {"en": "nested"}, "en": "direct", "body": "b"}, "nested"), ({"page": 1, "body": "", "content": "c"}, ""), ({"page": 1, "body": None, "content": "c"}, "c"), ({"page": 1, "body": {"en": "x"}}, "x"),
