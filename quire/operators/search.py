@@ -27,10 +27,15 @@ def loose_search(pages: DataFrame, key: str, body: str, query: str) -> DataFrame
 
 def loose_terms(pages: DataFrame, key: str, body: str) -> DataFrame:
     """(term, n_pages, n): terms grouped without case and diacritics, each under the spelling that sorts first."""
-    rows = pages.select(key, F.explode(F.regexp_extract_all(F.col(body), F.lit(TERM), F.lit(0))).alias("term"))
+    # Texts are dealt by page, so that what is counted for each page needs no shuffle of its terms.
+    rows = pages.select(key, body).repartition(key).select(key, F.explode_outer(F.regexp_extract_all(F.col(body), F.lit(TERM), F.lit(0))).alias("term")).filter("term is not null")
     each = rows.groupBy("term", key).agg(F.count(F.lit(1)).alias("n"))
-    groups = each.groupBy(folding.loose(F.col("term")).alias("alike"))
-    return groups.agg(F.min("term").alias("term"), F.count_distinct(key).alias("n_pages"), F.sum("n").alias("n")).select("term", "n_pages", "n")
+    # Collations are compared once for each spelling; what meets for each page are plain strings.
+    spelled = rows.select("term").distinct().groupBy(folding.loose(F.col("term")).alias("alike"))
+    classes = spelled.agg(F.min("term").alias("least"), F.collect_list("term").alias("terms")).select("least", F.explode("terms").alias("of"))
+    named = each.join(classes.filter("of != least"), F.col("term") == F.col("of"), "left").select(F.coalesce("least", "term").alias("term"), key, "n")
+    by_page = named.groupBy("term", key).agg(F.sum("n").alias("n"))
+    return by_page.groupBy("term").agg(F.count(key).alias("n_pages"), F.sum("n").alias("n"))
 
 
 def search_total(pages: DataFrame, key: str, body: str, query: str, shown: int = 20, head: int = 200) -> DataFrame:
@@ -52,9 +57,13 @@ def page_of(hits: DataFrame, order: list[Column], offset: int, size: int = 100)
 
 
 def inverted_index(pages: DataFrame, key: str, body: str, fold: bool = False) -> DataFrame:
-    """(term, key, positions from 0): a row for each term and page; pages bound the positions. With fold, diacritics are left out of terms."""
-    own = folding.fold(F.col(body)) if fold else F.col(body)
-    rows = pages.select(key, own.alias("body")).select(key, F.posexplode(terms(F.col("body"))).alias("at", "term"))
+    """(term, key, positions from 0): a row for each term and page; pages bound the positions. With fold, diacritics are left out of terms.
+
+    Texts are dealt by page, so that their terms meet where they are found. An outer generator has no filter
+    inferred for it, which would cut every text into terms a second time.
+    """
+    dealt, own = pages.select(key, F.col(body).alias("body")).repartition(key), F.col("body")
+    rows = dealt.select(key, (folding.fold(own) if fold else own).alias("body")).select(key, F.posexplode_outer(terms(F.col("body"))).alias("at", "term")).filter("term is not null")
     return rows.groupBy("term", key).agg(F.array_sort(F.collect_list("at")).alias("positions"))
 
 

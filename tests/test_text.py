@@ -123,3 +123,26 @@ def test_verb_frame(column):
     from quire.operators import repair
 
     assert column(repair.verb_frame(T), "t string", [("x. God Most High above all",), ("by God Most High. above",)]) == ["x. He is exalted above all", "by God Most High. above"]
+
+
+def test_collations_are_compared_once_for_each_spelling(spark):
+    """Pages of one class of spellings meet under one plain string, counted once, and no page takes part in comparing collations."""
+    from quire.operators import search
+
+    rows = [(1, "Élan elan x"), (1, "ELAN"), (2, "élan Straße"), (3, "strasse y"), (None, "elan"), (4, None)]
+    found = search.loose_terms(spark.createDataFrame(rows, "page int, body string"), "page", "body")
+    got = {r.term: (r.n_pages, r.n) for r in found.collect()}
+    assert got["ELAN"] == (2, 5) and got["x"] == (1, 1) and got["y"] == (1, 1)
+    grouped = [line for line in found._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Aggregate" in line and "collate" in line]
+    assert grouped and not any("page#" in line for line in grouped)
+
+
+def test_terms_meet_where_their_page_is(spark):
+    """The index shuffles texts by page, once, and cuts them into terms once; pages of one number still count together."""
+    from quire.operators import search
+
+    rows = [(1, "b a b"), (1, "A"), (2, None), (3, ""), (None, "x x")]
+    index = search.inverted_index(spark.createDataFrame(rows, "page int, body string"), "page", "body")
+    plan = index._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    assert plan.count("Exchange hashpartitioning") == 1 and "hashpartitioning(term" not in plan and plan.count("regexp_extract_all") == 1
+    assert sorted((r.term, r.page or 0, r.positions) for r in index.collect()) == [("a", 1, [0, 1]), ("b", 1, [0, 2]), ("x", 0, [0, 1])]
