@@ -129,12 +129,13 @@ def copy_forward(pages: DataFrame, sources: DataFrame) -> DataFrame:
     return union(out)
 
 
-def row_findings(rows: DataFrame, rules: dict[str, tuple[Column, Column | None, Column | None]]) -> DataFrame:
-    """Findings of rules that look at one row, in one scan: name -> (condition, metric, detail)."""
+def row_findings(rows: DataFrame, rules: dict[str, tuple]) -> DataFrame:
+    """Findings of rules that look at one row, in one scan: name -> (condition, metric, detail) and, where it is no error, the severity."""
     null = lambda c, kind: (c if c is not None else F.lit(None)).cast(kind)
-    each = [F.when(when, F.struct(F.lit(name).alias("rule"), null(metric, "double").alias("metric"), null(detail, "string").alias("detail"))) for name, (when, metric, detail) in rules.items()]
-    found = rows.select(F.col("page").cast("long").alias("page"), "layer", F.explode(F.array_compact(F.array(*each))).alias("f"))
-    return found.select("f.rule", "page", "layer", F.lit("error").alias("severity"), F.lit(None).cast("long").alias("other_page"), "f.metric", "f.detail")
+    fields = lambda name, metric, detail, severity="error": F.struct(F.lit(name).alias("rule"), F.lit(severity).alias("severity"), null(metric, "double").alias("metric"), null(detail, "string").alias("detail"))
+    each = [F.when(when, fields(name, *rest)) for name, (when, *rest) in rules.items()]
+    found = rows.select(F.col("page").cast("long").alias("page"), "layer", F.explode_outer(F.array_compact(F.array(*each))).alias("f")).filter("f is not null")
+    return found.select("f.rule", "page", "layer", "f.severity", F.lit(None).cast("long").alias("other_page"), "f.metric", "f.detail")
 
 
 def dataset_audit(pages: DataFrame) -> DataFrame:
@@ -219,24 +220,26 @@ def triage(pages: DataFrame, sources: DataFrame) -> DataFrame:
     label = by_lang(F.col("layer"), lambda g: F.lit(dims.LANGS[g]))
     shaped = blocks.labels_of(F.col("bs")) == F.array(F.lit("Arabic"), label)
     rows = joined.withColumn("good", shaped & F.col("source").isNotNull()).withColumn("body", F.get(F.filter("bs", lambda b: b["label"] != "Arabic"), F.lit(0))["body"])
-    ok = rows.filter("good").withColumns({"want": folio(F.col("source")), "got": folio(F.col("body")), "runs": chars.runs(F.col("body"), chars.ARABIC_FULL), "blank": text.is_blank_source(F.col("source"))})
     body, layer = F.col("body"), F.col("layer")
     marker = body.isin(*dims.BLANK_MARKERS.values())
     own = by_lang(layer, lambda g: F.lit(dims.BLANK_MARKERS[g]))
     delta = F.abs(F.col("got").try_cast("long") - F.col("want").try_cast("long"))
-    asks = ok.filter(layer == "en").withColumn("asks", udf.needs_honorific(F.col("source")))
-    return union([
-        finding(rows, "no-source", F.col("source").isNull()),
-        finding(rows, "malformed-labels", F.col("source").isNotNull() & ~shaped, detail=F.array_join(blocks.labels_of(F.col("bs")), ",")),
-        finding(ok, "marker-over-text", marker & ~F.col("blank")), finding(ok, "wrong-marker", marker & F.col("blank") & (body != own)),
-        finding(ok, "empty", ~marker & (F.length(body) < MIN_CHECKED["short"]), metric=F.length(body)),
-        finding(ok, "untranslated", F.size("runs") > 0, metric=chars.total(F.col("runs")), detail=F.get("runs", F.lit(0))),
-        finding(ok, "wrong-page", delta > 1, detail=F.concat_ws(" vs ", "want", "got")),
-        finding(ok, "off-by-one", delta == 1, severity="info", detail=F.concat_ws(" vs ", "want", "got")),
-        finding(ok, "banned-honorific", (layer == "en") & body.contains(text.BANNED_HONORIFIC)),
-        finding(asks, "missing-honorific", F.col("asks") & ~body.contains(text.BANNED_HONORIFIC) & ~body.contains(text.WANTED_HONORIFIC)),
-        finding(ok, "local-honorific", (layer == "id") & body.rlike(text.LOCAL_HONORIFIC)),
-    ])
+    asks = udf.needs_honorific(F.when((layer == "en") & F.col("good"), F.col("source")))
+    both, labels = F.concat_ws(" vs ", "want", "got"), F.array_join(blocks.labels_of(F.col("bs")), ",")
+    good, lettered = F.col("good"), F.col("runs")
+    # One pass: each row is parsed once and holds all of its findings.
+    seen = rows.withColumns({"want": folio(F.col("source")), "got": folio(body), "runs": chars.runs(body, chars.ARABIC_FULL), "blank": text.is_blank_source(F.col("source")), "asks": asks})
+    return row_findings(seen, {
+        "no-source": (F.col("source").isNull(), None, None),
+        "malformed-labels": (F.col("source").isNotNull() & ~shaped, None, labels),
+        "marker-over-text": (good & marker & ~F.col("blank"), None, None), "wrong-marker": (good & marker & F.col("blank") & (body != own), None, None),
+        "empty": (good & ~marker & (F.length(body) < MIN_CHECKED["short"]), F.length(body), None),
+        "untranslated": (good & (F.size("runs") > 0), chars.total(lettered), F.get("runs", F.lit(0))),
+        "wrong-page": (good & (delta > 1), None, both), "off-by-one": (good & (delta == 1), None, both, "info"),
+        "banned-honorific": (good & (layer == "en") & body.contains(text.BANNED_HONORIFIC), None, None),
+        "missing-honorific": (good & F.col("asks") & ~body.contains(text.BANNED_HONORIFIC) & ~body.contains(text.WANTED_HONORIFIC), None, None),
+        "local-honorific": (good & (layer == "id") & body.rlike(text.LOCAL_HONORIFIC), None, None),
+    })
 
 
 def validate(files: DataFrame, sources: DataFrame, dataset: DataFrame) -> DataFrame:

@@ -230,3 +230,10 @@ def test_windows_are_counted_within_the_row(spark):
     found = duplicates.top_window(pages, "page", "body")
     assert sorted(found.collect(), key=str) == [(1, "ba" * 6, 68, False), (2, "abcdefghijkl", 1, False), (None, "x" * 12, 8, False)]
     assert "explode" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_triage_parses_each_file_once(spark):
+    files = spark.createDataFrame([(1, "en", "Arabic:\nنص\n\nEnglish:\nshort\n")], "page int, layer string, content string")
+    found = checks.triage(files, spark.createDataFrame([(1, "نص")], "page int, body string"))
+    assert "Union" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert [(r.rule, r.severity, r.metric) for r in found.collect()] == [("empty", "error", 5.0)]
