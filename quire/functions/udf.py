@@ -1,12 +1,14 @@
-"""What Spark has no function for: Unicode normalization, true case folding and counting a text's windows, as vectorized UDFs."""
+"""What Spark has no function for: Unicode normalization, true case folding, counting a text's windows and what many sets share, vectorized."""
 
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -72,3 +74,53 @@ def top_window(texts: Column, size: int) -> Column:
         return pd.DataFrame([window_counts(list(ts), size) for ts in s], columns=["w", "n"]).astype({"w": object, "n": "int64"})
 
     return found(texts)
+
+
+#: Members of sets that are looked at together.
+MEMBERS = 1 << 20
+
+
+def common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For rows (part, page, n, hs, partners) sorted by part, those without partners first: small, page, n and how many members both sets have."""
+    now = pages = None
+    for batch in batches:
+        part, page, n, hs, partners = (batch.column(k) for k in range(5))
+        members, ends, asked, stops, bare = hs.values.to_numpy(), hs.offsets.to_numpy(), partners.values.to_numpy(), partners.offsets.to_numpy(), partners.is_null().to_pylist()
+        found = []
+        for k, (of, this, size) in enumerate(zip(part.to_pylist(), page.to_pylist(), n.to_pylist(), strict=True)):
+            if of != now:
+                now, keys, kept, pages = of, [], [], None
+            mine = members[ends[k] : ends[k + 1]]
+            if bare[k]:
+                keys.append(this)
+                kept.append(mine.copy())
+                continue
+            if pages is None:
+                order = np.argsort(keys)
+                pages, kept = np.array(keys)[order], [kept[x] for x in order]
+                lengths = np.array([len(x) for x in kept])
+                begins = np.cumsum(lengths) - lengths
+                known, codes = np.unique(np.concatenate(kept), return_inverse=True)
+                kept, marked = [], np.zeros(len(known), bool)
+            at = np.minimum(np.searchsorted(known, mine), len(known) - 1)
+            at = at[known[at] == mine]
+            marked[at] = True
+            others = np.sort(asked[stops[k] : stops[k + 1]])
+            places = np.searchsorted(pages, others)
+            cuts = np.flatnonzero(np.diff(np.cumsum(lengths[places]) // MEMBERS)) + 1
+            for where, whose in zip(np.split(places, cuts), np.split(others, cuts), strict=True):
+                many = lengths[where]
+                firsts = np.cumsum(many) - many
+                index = np.arange(many.sum()) + np.repeat(begins[where] - firsts, many)
+                shared = np.add.reduceat(marked[codes[index]], firsts, dtype=np.int64)
+                found.append((np.full(len(whose), this, np.int64), whose, np.full(len(whose), size, np.int64), shared))
+            marked[at] = False
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found, strict=True)], ["small", "page", "n", "shared"])
+
+
+def count_common(dealt: DataFrame) -> DataFrame:
+    """(small, page, n, shared): how many members a set has in common with each of its partners' in its part."""
+    rows = dealt.select(F.col("part").cast("int"), F.col("page").cast("long"), F.col("n").cast("long"), F.col("hs").cast("array<long>"), F.col("partners").cast("array<long>"))
+    whole = rows.repartition("part").sortWithinPartitions("part", F.col("partners").isNotNull())
+    return whole.mapInArrow(common, "small long, page long, n long, shared long")

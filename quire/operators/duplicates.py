@@ -12,6 +12,8 @@ from quire.functions import chars, text, udf
 WORDS = {"fixed": "[a-zà-öø-ɏ']+", "compat": "[a-zĀ-ɏ']+"}
 SHINGLE = 12
 NEAR = 0.60
+#: Parts to which the sets of pages in pairs are dealt; a worker holds the sets of one.
+PARTS = 64
 # Names by which pages are aligned.
 LEMMAS = r"\b(Allah|Muhammad|Musa|Yahya|Ibrahim|Ismail|Adam|Yunus|Isa|Iblis|Jibril|Mika'il)\b"
 
@@ -45,28 +47,41 @@ def near_pairs(pages: DataFrame, key: str, body: str, k: int = SHINGLE, least: f
     more than that share of the smaller set, so one of the smaller set's rarest shingles, as many as
     it can miss and one more, must be common: only these look for partners. Shingles of one page
     alone are the rarest and meet nobody; a passage that very many pages share is looked up only by
-    pages that hold little else. Candidates are then counted in full, so the result is exact.
+    pages that hold little else. Candidates are then counted in full, so the result is exact. Texts and
+    shingles are shuffled once; what follows goes on with the shingles that two pages hold. Keys are whole numbers.
     """
     firsts = pages.select(F.col(key).alias("page"), F.col(body).alias("body")).groupBy(F.md5(text.fold_space(F.col("body"))).alias("digest"))
     one = firsts.agg(F.min("page").alias("page"), F.min_by("body", "page").alias("body"))
     sets = one.select("page", shingle_hashes(words(F.col("body"), profile), k).alias("hs"))
     sized = F.transform("hs", lambda h: F.struct(h.alias("h"), F.size("hs").alias("n")))
     rows = sets.select("page", F.explode(sized).alias("x")).select("page", "x.h", "x.n")
-    shared = rows.groupBy("h").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
-    rows = rows.join(shared, "h")
-    own = W.partitionBy("page")
-    ranked = rows.withColumns({"rarity": F.row_number().over(own.orderBy("df", "h")), "n_shared": F.count(F.lit(1)).over(own)})
+    # Joins below would add these two conditions to some of their sides: then equal shuffles would not be told for equal.
+    rows = rows.withColumn("df", F.count(F.lit(1)).over(W.partitionBy("h"))).filter("df > 1 AND h IS NOT NULL AND page IS NOT NULL")
+    # Each page's common shingles, the rarest first, and how many it holds in all: what no other page holds is in no pair's count.
+    rarest = F.array_sort(F.collect_list(F.struct("df", "h"))).alias("hs")
+    held = rows.repartition("page").groupBy("page").agg(F.first("n").alias("n"), rarest).withColumn("hs", F.col("hs.h"))
     may_miss = F.col("n") - F.floor(least * F.col("n"))  # with one more than `least` of n common, the rarest n - that + 1 hold one
-    asking = ranked.filter(F.col("rarity") <= may_miss - (F.col("n") - F.col("n_shared"))).select("h", F.col("page").alias("small"), F.col("n").alias("n_small"))
+    asks = F.slice("hs", F.lit(1), F.greatest(may_miss - (F.col("n") - F.size("hs")), F.lit(0)).cast("int"))
+    asking = held.select(F.explode(asks).alias("h"), F.col("page").alias("small"), F.col("n").alias("n_small"))
     larger = (F.col("n") > F.col("n_small")) | ((F.col("n") == F.col("n_small")) & (F.col("page") > F.col("small")))
     met = asking.join(rows.select("h", "page", "n"), "h").filter(larger).select("small", "page").distinct()
-    left, right = sets.select(F.col("page").alias("small"), F.col("hs").alias("a")), sets.select("page", F.col("hs").alias("b"))
-    counted = met.join(left, "small").join(right, "page").withColumn("shared", F.size(F.array_intersect("a", "b")).cast("long"))
-    counted = counted.withColumn("containment", F.col("shared").cast("double") / F.least(F.size("a"), F.size("b")))
+    counted = udf.count_common(dealt_sets(met, held)).withColumn("containment", F.col("shared").cast("double") / F.col("n"))
     pair = F.least("small", "page").alias("page_a"), F.greatest("small", "page").alias("page_b")
     return counted.filter(F.col("containment") > least).select(*pair, "shared", "containment")
 
 
+def dealt_sets(met: DataFrame, held: DataFrame) -> DataFrame:
+    """(part, page, n, hs, partners): sets (page, n, hs) dealt to PARTS, where pairs (small, page) can be compared.
+
+    Each page of a pair stands once in a part of its own, without partners; each small one comes once to every part in
+    which it has partners, however many they are.
+    """
+    part = F.pmod(F.xxhash64("page"), F.lit(PARTS)).cast("int").alias("part")
+    theirs = held.join(met.select("page").distinct(), "page", "left_semi").select(part, "page", "n", "hs", F.lit(None).cast("array<long>").alias("partners"))
+    asked = met.groupBy("small", part).agg(F.collect_list(F.col("page").cast("long")).alias("partners")).withColumnRenamed("small", "page")
+    return theirs.union(asked.join(held, "page").select("part", "page", "n", "hs", "partners"))
+
+
 def containment(pages: DataFrame, key: str, body: str, refs: DataFrame, ref_key: str, ref_body: str, k: int, profile: str = "fixed") -> DataFrame:
     """(key, ref_key, shared, share) of the reference's shingles that each page holds."""
     h = lambda df, i, b: df.select(F.col(i), shingle_hashes(words(F.col(b), profile), k).alias("hs"))

@@ -237,3 +237,36 @@ def test_triage_parses_each_file_once(spark):
     found = checks.triage(files, spark.createDataFrame([(1, "نص")], "page int, body string"))
     assert "Union" not in found._jdf.queryExecution().optimizedPlan().toString()
     assert [(r.rule, r.severity, r.metric) for r in found.collect()] == [("empty", "error", 5.0)]
+
+
+def test_near_pairs_shuffles_each_shingle_once_and_sets_by_parts(spark):
+    rng = random.Random(7)
+    passage = [f"p{c}" + "x" * rng.randint(1, 5) + chr(97 + rng.randint(0, 25)) for c in "abcdefghijklmnopqrstuvwxyz" * 3]
+    word = lambda: "".join(rng.choices("abcdefghijklm", k=6))
+    # A passage with little else on some pages, with much else on many: every page of the first kind pairs with all that hold it.
+    texts = [" ".join([*passage, *(word() for _ in range(rng.randint(0, 20)))]) for _ in range(6)] + [" ".join([*(word() for _ in range(rng.randint(40, 200))), *passage]) for _ in range(200)]
+    texts += [texts[0].replace(" ", "  "), " ".join(passage[:11]), "", None]
+    pages = spark.createDataFrame([(3 * i + 1, t) for i, t in enumerate(texts)], "page long, body string").repartition(3)
+    sets = {}
+    for i, t in enumerate(texts[:206]):
+        ws = "".join(c if c.isalpha() else " " for c in t).split()
+        sets[3 * i + 1] = {tuple(ws[k : k + 12]) for k in range(len(ws) - 11)}
+    keys = sorted(sets)
+    want = {(a, b): len(sets[a] & sets[b]) for x, a in enumerate(keys) for b in keys[x + 1 :] if len(sets[a] & sets[b]) / min(len(sets[a]), len(sets[b])) > 0.6}
+    assert len(want) > 1000
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = duplicates.near_pairs(pages, "page", "body")
+        got = found.collect()
+        plan = found._jdf.queryExecution().executedPlan().toString().split("\n")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert {(r.page_a, r.page_b): r.shared for r in got} == want and len(got) == len(want)
+    assert all(r.containment == r.shared / min(len(sets[r.page_a]), len(sets[r.page_b])) for r in got)
+    dealt = [line.split("Exchange hashpartitioning(")[1] for line in plan if "Exchange hashpartitioning(" in line and "ReusedExchange" not in line]
+    # Before: texts twice, shingles to be counted and again to be joined, and a set with every pair.
+    assert sum(x.startswith("_groupingexpression") for x in dealt) == 1 and sum(x.startswith("h#") for x in dealt) == 2
+    held = spark.createDataFrame([(k, len(s), [hash(x) for x in s]) for k, s in sets.items()], "page long, n int, hs array<long>")
+    met = spark.createDataFrame([(1, k) for k in keys[6:]], "small long, page long")
+    assert duplicates.dealt_sets(met, held).filter("partners is not null").count() <= duplicates.PARTS < met.count()
