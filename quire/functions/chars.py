@@ -62,16 +62,22 @@ def prose_score(text: Column) -> Column:
     return F.regexp_count(text, F.lit("[A-Za-z][A-Za-z'’-]*"))
 
 
+def prose_from(text: Column, least: int) -> Column:
+    """Whether prose_score() is `least` or more, without going on to the text's end."""
+    return text.rlike(rf"\A[^A-Za-z]*+(?:[A-Za-z][A-Za-z'’-]*+[^A-Za-z]*+){{{least}}}")
+
+
 def symbol_count(text: Column) -> Column:
     """Characters that carry no language: not ASCII, letters of the Arabic class, digits of any script, spaces or long dashes."""
-    found = F.regexp_count(text, F.lit(r"(?U)[^\x00-\x7F" + ARABIC_LETTERS + r"\s\p{Nd}—–]"))
+    # ASCII is told first, before the classes that need a table.
+    found = F.regexp_count(text, F.lit(r"(?U)[[^\x00-\x7F]&&[^" + ARABIC_LETTERS + r"\s\p{Nd}—–]]"))
     return F.when(text.rlike(r"[^\x00-\x7F]"), found).otherwise(F.when(text.isNotNull(), F.lit(0)))
 
 
 def symbol_load(text: Column) -> Column:
     """Share of symbols among what is not white space."""
-    # White space is a sixth of a text, so it is what is counted and taken off.
-    solid = F.length(text) - F.regexp_count(text, F.lit(r"(?U)\s"))
+    # Spaces are taken out as bytes: a match for each, a sixth of a text, costs more than all else here.
+    solid = let(F.replace(text, F.lit(" "), F.lit("")), lambda t: F.length(t) - F.regexp_count(t, F.lit(r"(?U)\s")))
     return F.coalesce(F.try_divide(symbol_count(text).cast("double"), solid), F.lit(0.0))
 
 

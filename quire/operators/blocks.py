@@ -65,6 +65,14 @@ def parse_context(body: Column, profile: str = "fixed") -> Column:
     return _split(F.regexp_replace(marked, inline, f"{MARK}$1{MARK}"))
 
 
+def labelled(body: Column) -> Column:
+    """Whether parse_context() finds a block; most texts without one name no label at all."""
+    named = F.contains(body, F.lit(MARK))
+    for label in LABELS:
+        named |= F.contains(body, F.lit(label))
+    return F.when(named, F.size(parse_context(body)) > 0).otherwise(F.lit(False))
+
+
 def bodies(blocks: Column, label: str) -> Column:
     return F.transform(F.filter(blocks, lambda b: b["label"] == label), lambda b: b["body"])
 

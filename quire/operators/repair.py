@@ -137,10 +137,13 @@ def doubled_tails(body: Column, table: dict[str, str]) -> Column:
 
 def assemble(draft: Column, canonical: Column, lang: str) -> Column:
     """(content, problem): the two-block file of a body-only draft; a draft that has labels or is no translation is refused."""
-    label, body = dims.LANGS[lang], text.strip_artifacts(text.clean(draft))
-    labelled = F.size(blocks.parse_context(body)) > 0
-    problem = F.when(body == "", "empty draft").when(labelled, "draft carries labels").when(~text.is_translation_like(body, lang), "not a translation")
-    return F.struct(F.when(problem.isNull(), blocks.render(canonical, label, body)).alias("content"), problem.alias("problem"))
+
+    def judged(body: Column) -> Column:
+        problem = F.when(body == "", "empty draft").when(blocks.labelled(body), "draft carries labels").when(~text.is_translation_like(body, lang), "not a translation")
+        made = lambda p: F.struct(F.when(p.isNull(), blocks.render(canonical, dims.LANGS[lang], body)).alias("content"), p.alias("problem"))
+        return chars.let(problem, made)
+
+    return chars.let(text.strip_artifacts(text.clean(draft)), judged)
 
 
 def stray_bodies(files: DataFrame) -> DataFrame:

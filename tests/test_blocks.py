@@ -153,3 +153,18 @@ def test_batches(column):
     assert column(text.wrap_arabic(T), "t string", [("a نص اخر b",)]) == ['a <span class="ar">نص اخر</span> b']
     nested = '{"output": [{"type": "message", "content": [{"type": "output_text", "text": "a"}, {"type": "output_text", "text": "b"}]}]}'
     assert column(blocks.payload_text(T), "t string", [(nested,), ("{}",)]) == ["ab", None]
+
+
+def test_a_draft_is_judged_once(spark):
+    rows = spark.createDataFrame([(1, PROSE), (2, f"English:\n{PROSE}"), (3, "")], "page long, t string").repartition(2)
+    made = rows.select("page", repair.assemble(T, F.lit("نص"), "en").alias("a")).select("page", F.col("a.problem").alias("problem"), F.md5("a.content").alias("digest"))
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    # Once for the draft and once in the judgement of it; before, for each use of either.
+    assert plan.count("TRANSLATION") == 2
+    assert {r.page: (r.problem, r.digest is None) for r in made.collect()} == {1: (None, False), 2: ("draft carries labels", True), 3: ("empty draft", True)}
+
+
+def test_labelled_is_whether_blocks_are_found(column):
+    bodies = ["", "x", "English", "English : y", "a English: b", "بابEnglish: b", "Eng\x01lish: z", "\x01", "Arabic:", "Indonesia\n:", "english: n", "x\nIndonesia\t: y"]
+    want = [len(x) > 0 for x in column(blocks.parse_context(T), "t string", [(b,) for b in bodies])]
+    assert column(blocks.labelled(T), "t string", [(b,) for b in bodies]) == want and True in want and False in want

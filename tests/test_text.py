@@ -146,3 +146,15 @@ def test_terms_meet_where_their_page_is(spark):
     plan = index._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
     assert plan.count("Exchange hashpartitioning") == 1 and "hashpartitioning(term" not in plan and plan.count("regexp_extract_all") == 1
     assert sorted((r.term, r.page or 0, r.positions) for r in index.collect()) == [("a", 1, [0, 1]), ("b", 1, [0, 2]), ("x", 0, [0, 1])]
+
+
+def test_symbols_and_words_are_counted_as_by_one_pattern_each(column):
+    rng = random.Random(3)
+    texts = ["", None, "K a b c", "a'b c-d e’f 'g", "abcdefgh", "a b c", "a b c d", "1a2b3c4d", "éaébécéd", "a\nb\nc\nd e"]
+    texts += ["".join(rng.choices("ab '’-  　\x85\t\n\x1cé—–٣२9ابجx\U00010348😀ß", k=rng.randint(0, 60))) for _ in range(400)]
+    rows, run = [(t,) for t in texts], lambda c: column(c, "t string", rows)
+    assert run(chars.prose_from(T, 4)) == [None if n is None else n >= 4 for n in run(chars.prose_score(T))]
+    pattern = r"(?U)[^\x00-\x7F" + chars.ARABIC_LETTERS + r"\s\p{Nd}—–]"
+    assert run(chars.symbol_count(T)) == run(F.regexp_count(T, F.lit(pattern)))
+    solid = run(F.length(T) - F.regexp_count(T, F.lit(r"(?U)\s")))
+    assert run(chars.symbol_load(T)) == [n / s if s else 0.0 for n, s in zip(run(chars.symbol_count(T)), solid, strict=True)]
