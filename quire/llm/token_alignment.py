@@ -14,11 +14,11 @@ compared; what comes back stands in the order of what was sent.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,14 +63,14 @@ class Pieces:
         plain = [names[i] for i in ids if not (self.model.is_byte(i) or self.model.is_control(i) or self.model.is_unknown(i))]
         if bad := [p for p in plain if " " in p.lstrip(" ")]:
             raise ValueError(f"pieces with a space inside: {bad[:3]}")
-        own = regex.escape("".join(c for c in BREAKS if not any(c in p for p in plain)))
-        self._words = regex.compile(f" *[^ {own}]+| +|[{own}]" if own else " *[^ ]+| +").findall
-        self._seam = regex.compile("(?<=[^ ]) ")
+        own = re.escape("".join(c for c in BREAKS if not any(c in p for p in plain)))
+        self._words = re.compile(f" *[^ {own}]+| +|[{own}]" if own else " *[^ ]+| +").findall
+        self._seam = re.compile("(?<=[^ ]) ")
         self.kept = Kept(self._new)
 
     def _new(self, word: str) -> bytes:
         ids = self.model.encode(word)
-        if b"".join([self.bytes_of[i] for i in ids]) != word.encode():
+        if b"".join(map(self.bytes_of.__getitem__, ids)) != word.encode():
             raise Unlike(word)
         return pack(ids)
 

@@ -228,3 +228,21 @@ def test_pairs_travel_in_packets(spark, where):
     swept.unpersist()
     ids = BOTH.spread(np.arange(1 << BOTH.bits, dtype=np.int64)) if BOTH.bits == 16 else np.arange(2)
     assert len(np.unique(ids)) == len(ids) and ids.max() < 1 << BOTH.bits
+
+
+def test_both_engines_find_the_same_words():
+    import random
+
+    from quire.llm import byte_pairs
+    from quire.llm.byte_pairs import Coder, vocabulary
+
+    coder, rng = Coder(vocabulary()), random.Random(5)
+    letters = [chr(c) for c in range(256)] + list(" '  \n\tstrevmld''  abcé12") * 4
+    texts = ["".join(rng.choices(letters, k=rng.randint(0, 80))) for _ in range(3000)] + ["", " ", "don't we'll 'VE I'm\x1c\x1d x\x85\xa0 y  ", "²³¼ªºµ ß×÷"]
+    used = []
+    for t in texts:
+        assert coder._latin(t) == coder._any(t) == coder._words(t)
+    coder._any = lambda t: used.append(t) or []
+    assert coder._words("l'été à Köln") and not used  # before, every text went through the slower engine
+    assert coder._words("œuvre") == [] and used == ["œuvre"]
+    assert byte_pairs.latin_words().__self__.groups == 0
