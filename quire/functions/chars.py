@@ -14,6 +14,8 @@ ARABIC_FULL = (
 )
 ARABIC_SPAN = r"؀-ۿݐ-ݿࢠ-ࣿﭐ-﷿ﹰ-﻿"
 DIGITS = r"0-9٠-٩۰-۹"
+# Decimal digits of Unicode 14 and 15 (Tangsa, Kawi, Nag Mundari), which \p{Nd} of Java 17 does not know.
+LATER_DIGITS = r"\x{16AC0}-\x{16AC9}\x{11F50}-\x{11F59}\x{1E4F0}-\x{1E4F9}"
 FOREIGN_SCRIPTS = {
     "Cyrillic": r"Ѐ-ӿ", "Greek": r"Ͱ-Ͽ", "CJK": r"一-鿿",
     "Devanagari": r"ऀ-ॿ", "Thai": r"฀-๿", "Armenian": r"԰-֏",
@@ -70,7 +72,7 @@ def prose_from(text: Column, least: int) -> Column:
 def symbol_count(text: Column) -> Column:
     """Characters that carry no language: not ASCII, letters of the Arabic class, digits of any script, spaces or long dashes."""
     # ASCII is told first, before the classes that need a table.
-    found = F.regexp_count(text, F.lit(r"(?U)[[^\x00-\x7F]&&[^" + ARABIC_LETTERS + r"\s\p{Nd}—–]]"))
+    found = F.regexp_count(text, F.lit(r"(?U)[[^\x00-\x7F]&&[^" + ARABIC_LETTERS + LATER_DIGITS + r"\s\p{Nd}—–]]"))
     return F.when(text.rlike(r"[^\x00-\x7F]"), found).otherwise(F.when(text.isNotNull(), F.lit(0)))
 
 

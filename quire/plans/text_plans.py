@@ -80,7 +80,9 @@ def clean_fold_md5(spark: SparkSession, sf_dir: str) -> DataFrame:
 FROM documents""")
 def prose_symbol_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = F.col("text")
-    return docs(spark, sf_dir).select("doc_id", F.round(chars.arabic_ratio(t), 9).alias("arabic_ratio"), chars.prose_score(t).alias("prose_score"), chars.symbol_count(t).alias("n_symbols"))
+    # Scaled and rounded as in SQL; Spark's round(x, 9) goes by decimal digits, which differs where the tenth place is a last 5. A text without characters has no ratio.
+    ratio = F.when(F.length(t) > 0, F.round(chars.arabic_ratio(t) * 1e9) / 1e9)
+    return docs(spark, sf_dir).select("doc_id", ratio.alias("arabic_ratio"), chars.prose_score(t).alias("prose_score"), chars.symbol_count(t).alias("n_symbols"))
 
 
 @query(r"""SELECT doc_id, len(rs)::INT AS n_runs, coalesce(list_max(list_transform(rs, lambda x: length(x))), 0)::INT AS longest, coalesce(list_sum(list_transform(rs, lambda x: length(x))), 0)::INT AS n_digits

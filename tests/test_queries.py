@@ -82,3 +82,15 @@ def test_entry_points_with_the_subpackage_hidden(tmp_path):
     ran = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=300)
     assert ran.returncode == 0, ran.stderr[-2000:]
     assert ran.stdout.split() == [str(len(QUERIES)), str(len(SQL)), "0"]
+
+
+def test_symbol_scores_of_odd_texts_as_sql_has_them(spark, tmp_path):
+    """Texts that are null or empty, shares that end in a 5 at the tenth place, and digits that came with Unicode 14 and 15."""
+    texts = [None, "", " ", "ا", "12\U00016ac1", "a\U00011f50—\U00011f59b", "\U0001e4f0٣é", "\U00011f4f\U00011f5a\U00016abf\U00016aca\U0001e4ef\U0001e4fa"]
+    texts += ["ب" * k + "x" * (n - k) for k, n in [(3, 1024), (1366, 5120), (1367, 5120), (4101, 15360), (6749, 25600)]]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    c = duckdb.connect()
+    c.execute(f"create view documents as select * from read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    names = ["doc_id", "arabic_ratio", "prose_score", "n_symbols"]
+    got = [tuple(r) for r in QUERIES["prose_symbol_scores"](spark, str(tmp_path)).select(*names).orderBy("doc_id").collect()]
+    assert got == c.execute(f"select {', '.join(names)} from ({SQL['prose_symbol_scores']}) order by doc_id").fetchall()
